@@ -1,0 +1 @@
+"""Deliberately empty: the workload has no streams; its timeouts are batch transitions (operators.transitions)."""
