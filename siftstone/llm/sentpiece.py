@@ -55,7 +55,7 @@ def load_pieces(path: str) -> Pieces:
 class Encoder:
     """Encodes one text at a time; remembers the ids of words it has met, in two generations of a fixed size."""
 
-    def __init__(self, pieces: Pieces, remembered: int = 500_000):
+    def __init__(self, pieces: Pieces, remembered: int = 250_000):
         self.p = pieces
         self.stable: dict[int, bool] = {}
         #: Pieces that merging reaches from single characters, and by their last three characters their lengths.
@@ -242,11 +242,32 @@ def decode(docs: DataFrame, model: str, ids: str = "ids") -> Column:
     return run(F.col(ids))
 
 
+def encode_and_check(docs: DataFrame, model: str, text: str = "text") -> Column:
+    """struct(ids, round_trip) of docs' text column: encoded, and decoded again, in one pass by one worker."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(load_pieces(model)), model
+
+    @F.arrow_udf("ids array<int>, round_trip boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enc, dec = _worker(name, shared)
+        for batch in batches:
+            lengths, values, same = np.zeros(len(batch) + 1, dtype=np.int64), [], []
+            for k, x in enumerate(batch):
+                t = x.as_py() or ""
+                ids = enc.encode(t)
+                lengths[k + 1] = len(ids)
+                values.append(ids)
+                same.append(dec.decode(ids.tolist()) == t)
+            flat = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
+            del values
+            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(flat)), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+    return run(F.col(text))
+
+
 def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """doc_id (if docs has one), ids, n_ids, and round_trip: whether decoding the ids gives the text again.
 
     round_trip is false only for texts with U+2581; null texts count as empty ones. Repeated rows stay."""
     keep = [c for c in docs.columns if c == "doc_id"]
-    coded = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).withColumn("ids", encode(docs, model, "__text"))
-    back = coded.withColumn("__back", decode(docs, model, "ids"))
-    return back.select(*keep, "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("__back") == F.col("__text")).alias("round_trip"))
+    coded = docs.select(*keep, encode_and_check(docs, model, text).alias("__coded"))
+    return coded.select(*keep, F.col("__coded.ids").alias("ids"), F.size("__coded.ids").cast("long").alias("n_ids"), F.col("__coded.round_trip").alias("round_trip"))
