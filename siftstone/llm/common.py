@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,3 +109,15 @@ def bounded_sample(df: DataFrame, key: Column, label: str, per_label: int, max_l
     for r in counts:
         rate = F.when(F.col(label) == F.lit(r[0]), F.lit(min(1.0, per_label / r["count"]))).otherwise(rate)
     return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < rate * 1_000_000)
+
+
+_state: dict[str, object] = {}
+
+
+def worker_state(key: str, make: Callable[[], object]):
+    """What a Python worker remembers between batches and tasks: one operator's state at a time, so that the stages
+    of a pipeline, which share workers, do not add up their memories."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = make()
+    return _state[key]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import bounded_sample
+from siftstone.llm.common import bounded_sample, worker_state
 
 RUN = re.compile(r"[^\W\d_]+")
 #: Longer runs (text without spaces) are read in pieces of this many characters.
@@ -184,7 +184,7 @@ def train(examples: list[tuple[str, str]], hidden: int = 16, steps: int = 500, b
 class Labeller:
     """Pools documents; remembers the runs it has labelled, up to a fixed number."""
 
-    def __init__(self, model: Model, remembered: int = 500_000):
+    def __init__(self, model: Model, remembered: int = 400_000):
         self.model, self.remembered = model, remembered
         self.clear()
 
@@ -233,19 +233,13 @@ class Labeller:
             self.learn(new)
 
 
-_state: dict[str, Labeller] = {}
-
-
 def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """struct(lang, score) of docs' text column: whole texts; `und` and 0 for null and letterless ones."""
     shared, name = docs.sparkSession.sparkContext.broadcast(model), model.name
 
     @F.arrow_udf("lang string, score double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if name not in _state:
-            _state.clear()
-            _state[name] = Labeller(shared.value)
-        who = _state[name]
+        who = worker_state(name, lambda: Labeller(shared.value))
         for batch in batches:
             found = []
             for k in range(0, len(batch), 512):

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftstone.llm.common import worker_state
+
 SPACE = "▁"
 
 
@@ -199,16 +201,9 @@ class Decoder:
         return (raw[1:] if self.p.prefix and raw.startswith(b" ") else raw).decode("utf-8", "replace")
 
 
-_state: dict[str, tuple] = {}
-
-
 def _worker(name: str, pieces) -> tuple[Encoder, Decoder]:
     """One encoder a Python worker and model: words met in an earlier batch or task need no new search."""
-    if name not in _state:
-        _state.clear()
-        p = pieces.value
-        _state[name] = (Encoder(p), Decoder(p))
-    return _state[name]
+    return worker_state(name, lambda: (Encoder(pieces.value), Decoder(pieces.value)))
 
 
 def encode(docs: DataFrame, model: str, text: str = "text") -> Column:

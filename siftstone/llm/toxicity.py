@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import bounded_sample
+from siftstone.llm.common import bounded_sample, worker_state
 
 #: What a sign may stand for besides itself.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "x"}
@@ -274,7 +274,7 @@ def words_of(text: str, lm: CharModel, memo: dict[str, list[str]]) -> set[str]:
 class Scorer:
     """Scores texts; remembers which features a token has, up to a fixed number of tokens."""
 
-    def __init__(self, model: Model, remembered: int = 600_000):
+    def __init__(self, model: Model, remembered: int = 400_000):
         self.model, self.lm, self.remembered = model, CharModel(model.counts), remembered
         self.memo: dict[str, tuple[str, ...]] = {}
 
@@ -307,19 +307,13 @@ class Scorer:
         return min(1.0, max(0.0, 1 - calm))
 
 
-_state: dict[str, Scorer] = {}
-
-
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """Toxicity between 0 and 1 of docs' text column, over whole texts; the base rate for null and empty ones."""
     shared, name = docs.sparkSession.sparkContext.broadcast(model), model.name
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if name not in _state:
-            _state.clear()
-            _state[name] = Scorer(shared.value)
-        who = _state[name]
+        who = worker_state(name, lambda: Scorer(shared.value))
         for batch in batches:
             yield pa.array([who.score(x.as_py()) for x in batch], pa.float64())
 
