@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -169,10 +171,6 @@ def pop_note(notes: Column | str, key: str) -> Column:
 def put_note_list(notes: Column | str, key: str, values: Column) -> Column:
     """As put_note, for an array value; other members keep their types. An Arrow UDF, as maps of strings would quote
     what is no string."""
-    import json
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(texts: pd.Series, lists: pd.Series) -> pd.Series:
         def one(text, items):
