@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -131,29 +133,55 @@ def _filter_bits(terms: DataFrame) -> bytes:
     return bits.tobytes()
 
 
+class _Known:
+    """Which words the filter lets pass, remembered up to a fixed number: the term in lower case, or empty."""
+
+    def __init__(self, bits: bytes):
+        self.bits, self.memo = bits, {}
+
+    def __call__(self, word: str) -> str:
+        got = self.memo.get(word)
+        if got is None:
+            low = word.lower()
+            b = zlib.crc32(low.encode("utf-8", "surrogatepass")) % FILTER_BITS
+            if len(self.memo) > 300_000:
+                self.memo.clear()
+            got = self.memo[word] = low if self.bits[b >> 3] >> (b & 7) & 1 else ""
+        return got
+
+
+def _totals(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """term, total: how often each term that the filter lets pass occurs in all of docs; counted within each task
+    first, so that a frequent term is one row a task, not one an occurrence."""
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(terms))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = _Known(bits.value), Counter()
+
+        def out() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), _long(list(counts.values()))], ["term", "n"])
+            counts.clear()
+            return rows
+
+        for batch in batches:
+            for x in batch.column(0):
+                counts.update(filter(None, map(known, _TERM.findall(x.as_py() or ""))))
+                if len(counts) > 100_000:
+                    yield out()
+        yield out()
+
+    return docs.select("t").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("total"))
+
+
 def _hits(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """k, h, term, start, end: occurrences of what the filter lets pass in docs (k, h, t); to be joined with the terms."""
-    import zlib
-
     bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have, memo = bits.value, {}
+        known = _Known(bits.value)
         for batch in batches:
-            ks, hs, found = batch.column(0), batch.column(1), []
-            for n in range(batch.num_rows):
-                text = batch.column(2)[n].as_py()
-                for m in _TERM.finditer(text) if text else ():
-                    w = m.group()
-                    term = memo.get(w)
-                    if term is None:
-                        low = w.lower()
-                        b = zlib.crc32(low.encode("utf-8", "surrogatepass")) % FILTER_BITS
-                        if len(memo) > 300_000:
-                            memo.clear()
-                        term = memo[w] = low if have[b >> 3] >> (b & 7) & 1 else ""
-                    if term:
-                        found.append((n, term, m.start(), m.end()))
+            ks, hs = batch.column(0), batch.column(1)
+            found = [(n, term, m.start(), m.end()) for n, x in enumerate(batch.column(2)) for m in _TERM.finditer(x.as_py() or "") if (term := known(m.group()))]
             at = pa.array([f[0] for f in found], pa.int64())
             yield pa.RecordBatch.from_arrays([ks.take(at), hs.take(at), pa.array([f[1] for f in found], pa.string()), _long([f[2] for f in found]), _long([f[3] for f in found])], ["k", "h", "term", "start", "end"])
 
@@ -169,7 +197,7 @@ def disclosures(docs: DataFrame, s: Settings) -> DataFrame | None:
     joint = materialize(joint, "joint")
     if joint.isEmpty():
         return None
-    total = _hits(docs, joint).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    total = _totals(docs, joint)
     entities = near.select("entity", "context", "n").groupBy("entity").agg(F.sum("n").alias("mentions"))
     everything = near.agg(F.sum("n")).first()[0]
     told = joint.join(total, "term").join(entities, "entity")
