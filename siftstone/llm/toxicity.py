@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import bounded_sample, worker_state
+from siftstone.llm.common import worker_state
 
 #: What a sign may stand for besides itself.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "x"}
@@ -320,17 +320,13 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
     return run(F.col(text))
 
 
-def fit(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 4000) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 3500) -> Model:
     """The language model is counted over all of docs; the classifier is fitted on a bounded sample of labelled
-    (key, text, label) rows: about per_label rows for each label."""
+    (key, text, label) rows: about `sample` of them, chosen by a hash of the key, in their natural proportion."""
     counts = count_chars(docs, text)
     rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")).filter("t is not null and y in (0, 1)")
-    got = bounded_sample(rows, F.col("k"), "y", per_label).collect()
-    weight = _prior(labelled, label)
-    model = train(sorted(((r["t"], r["y"]) for r in got), key=lambda r: r), counts)
-    return model._replace(base=min(model.base, weight))
-
-
-def _prior(labelled: DataFrame, label: str) -> float:
-    r = labelled.filter(F.col(label).isin(0, 1)).agg(F.sum(F.col(label).cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).first()
-    return ((r["t"] or 0) + 0.5) / (r["n"] + 1)
+    r = rows.agg(F.sum(F.col("y").cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).first()
+    part = min(1.0, sample / max(1, r["n"]))
+    got = rows.filter(F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(1_000_000)) < part * 1_000_000).collect()
+    model = train(sorted((x["t"], x["y"]) for x in got), counts)
+    return model._replace(base=min(model.base, ((r["t"] or 0) + 0.5) / (r["n"] + 1)))
