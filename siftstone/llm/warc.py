@@ -109,7 +109,9 @@ def write(pages: DataFrame, path: str | None = None, page_id: str = "page_id", u
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).alias("uri"), payload(html).alias("body"))
     uri = F.regexp_replace(F.coalesce("uri", F.lit("")), r"[\r\n]", " ")
     small = rows.filter(F.length("body") <= chunk).select("id", uri.alias("uri"), "body", base32(F.sha1("body")).alias("digest"))
-    small = small.repartition(int(n), "id").join(types.repartition(int(n), "tid"), F.col("id").eqNullSafe(F.col("tid")) & (F.col("digest") == F.col("tdigest")))
+    # one plain key on both sides: with several, or null-safe ones, the join would deal the payloads out a second time
+    key = lambda ident, digest: F.concat_ws(":", F.coalesce(F.col(ident).cast("string"), F.lit("null")), digest)
+    small = small.withColumn("key", key("id", "digest")).repartition(int(n), "key").join(types.withColumn("key", key("tid", "tdigest")).repartition(int(n), "key"), "key")
     again = F.col("refers_to").isNotNull()
     body = F.when(again, F.lit(b"")).otherwise(F.col("body"))
     common = [("WARC-Date", F.lit(DATE)), ("WARC-Target-URI", F.when(F.col("uri") != "", F.col("uri"))), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))]
