@@ -21,6 +21,8 @@ from siftstone.llm.common import drop_table, materialize, word_blocks
 from siftstone.llm.components import connected_components
 
 SEED = 42
+#: Fingerprints whose variants one task emits, about.
+BALLS = 100_000
 
 
 def _bit_counts(hashes: list[int]) -> np.ndarray:
@@ -75,7 +77,10 @@ def near_links(fingerprints: DataFrame, col: str, radius: int = 2) -> DataFrame:
     """(u, v): links that join all distinct non-null values of col within radius bits (0 to 2), directly or
     through a chain of links, each verified. Equal values are one node and have no link."""
     masks = F.array(*[F.lit(m).cast("long") for m in _ball((radius + 1) // 2)])
-    fp = fingerprints.select(F.col(col).cast("long").alias("fp")).filter("fp is not null").distinct()
+    fp = fingerprints.select(F.col(col).cast("long").alias("fp")).filter("fp is not null")
+    # dealt out by number: AQE would put rows of 8 bytes into few tasks, and each row becomes 65
+    tasks = max(int(fp.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-fp.count() // BALLS))
+    fp = fp.repartition(tasks, "fp").distinct()
     hits = fp.select("fp", F.explode(masks).alias("m")).select(F.col("fp").bitwiseXOR(F.col("m")).alias("variant"), "m")
     met = hits.groupBy("variant").agg(F.bit_or("m").alias("flips"), F.max(F.col("m") == 0).alias("own"))
     met = met.filter(F.bit_count("flips") + F.col("own").cast("int") >= 2)
@@ -91,7 +96,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     but never names it; component_id is null if the whole group has none. Other columns are ignored, whatever
     their names; an empty table gives an empty one."""
     table = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text, width).alias("fp")), "simhash")
-    nodes = table.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = materialize(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = connected_components(near_links(nodes, "fp", radius))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "roots")
