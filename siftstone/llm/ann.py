@@ -2,16 +2,19 @@
 
 Each half of a vector is quantised with its own codebook, fitted on a bounded sample; a pair of centroids is
 a cell, and every vector is indexed in its cell. A query walks the cells by the sum of its distances to the
-two centroids with a heap, until the cells seen hold the wanted share of the vectors, and their entries are
-reranked by the exact inner product in double precision. Cells are laid out in shards of bounded size
+two centroids with a heap, until the cells seen hold the wanted number of vectors, and their entries are
+reranked by the exact inner product in double precision. How many are wanted is measured, not guessed: a bounded
+sample of queries is searched exactly, which tells where on its walk each true neighbour's cell comes, and the
+walk is as long as the wanted recall takes. Cells are laid out in shards of bounded size
 (a cell larger than a shard is spread by a hash of the id); a query is sent to the shards of its cells only.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -25,10 +28,11 @@ from siftstone.llm.common import materialize
 class Settings(NamedTuple):
     centroids: int = 32  # of each half
     sample: int = 8192  # rows that the codebooks are fitted on, at most about
-    visit: float = 0.65  # share of the indexed vectors whose cells a query sees
-    least: int = 1000  # and their number at least
+    recall: float = 0.95  # share of the sampled queries' true neighbours that the walk must reach
+    tried: int = 256  # queries that the walk's length is measured on, at most about
+    least: int = 1000  # vectors that a query sees at least
     shard: int = 1 << 17  # vectors in a shard at most
-    block: int = 1 << 13  # queries in a block at most
+    block: int = 1 << 15  # queries in a block at most
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 5) -> np.ndarray:
@@ -71,6 +75,43 @@ def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, wanted: int) -> list
     return out
 
 
+def true_cells(index: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(query number, cell) of the k nearest rows of index (vec_id, v, cell) to each query, by one scan of the
+    whole index: each task keeps k rows a query, so len(ids) * k rows a task are shuffled and as many collected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.full((len(q), k), -np.inf)
+        cells = np.full((len(q), k), -1, dtype=np.int32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                own = part.column(0).to_numpy(zero_copy_only=False)
+                score = np.where(ids[:, None] == own[None, :], -np.inf, q @ matrix(part.column(1)).T)
+                score = np.concatenate([best, score], axis=1)
+                cell = np.concatenate([cells, np.broadcast_to(part.column(2).to_numpy(), (len(q), part.num_rows))], axis=1)
+                top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                best, cells = np.take_along_axis(score, top, axis=1), np.take_along_axis(cell, top, axis=1)
+        n, r = np.nonzero(best > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int32)), pa.array(cells[n, r]), pa.array(best[n, r])], ["n", "cell", "score"])
+
+    found = index.select("vec_id", "v", "cell").mapInArrow(run, "n int, cell int, score double")
+    order = Window.partitionBy("n").orderBy(F.desc("score"), "cell")
+    return [(r["n"], r["cell"]) for r in found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).collect()]
+
+
+def walk_length(found: list[tuple[int, int]], order: Callable[[int], list[int]], sizes: np.ndarray, recall: float) -> int:
+    """The least number of vectors to walk for `recall` of found (query number, cell); order: a query's cells."""
+    cells: dict[int, list[int]] = {}
+    for n, cell in found:
+        cells.setdefault(n, []).append(cell)
+    before = []
+    for n, true in cells.items():
+        seen = order(n)
+        at = dict(zip(seen, np.cumsum(sizes[seen]) - sizes[seen], strict=True))
+        before += [int(at[c]) for c in true]
+    return sorted(before)[math.ceil(recall * len(before)) - 1] + 1 if before else 0
+
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """vec_id, v: rows with an id and a finite non-zero vector of the commonest length; equal rows count once."""
     v = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
@@ -117,8 +158,15 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_
     layout = spark.createDataFrame([(c, int(starts[c]), int(sizes[c])) for c in range(len(sizes)) if sizes[c]], "cell int, start long, n long")
     placed = index.join(F.broadcast(layout), "cell")  # at most centroids squared rows
     placed = placed.select("vec_id", "v", "cell", F.floor((F.col("start") + F.pmod(F.xxhash64("vec_id"), F.col("n"))) / shard).cast("int").alias("shard"))
-    wanted = int(max(s.least, k + 1, s.visit * n))
     queries = index.filter(F.col("vec_id") % every == 0)
+    wanted = max(s.least, k + 1)
+    if n > wanted:
+        part = min(1.0, s.tried * every / n)
+        tried = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit("tried")), F.lit(1_000_000)) < part * 1_000_000).orderBy("vec_id").limit(2 * s.tried).select("vec_id", "v").collect()
+        if tried:
+            q = np.array([r["v"] for r in tried], dtype=np.float64)
+            found = true_cells(index, np.array([r["vec_id"] for r in tried]), q, k)
+            wanted = max(wanted, walk_length(found, lambda i: walk(-(c1 @ q[i, :half]), -(c2 @ q[i, half:]), sizes, n), sizes, s.recall))
     blocks = max(1, -(-(n // every) // s.block))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
