@@ -85,7 +85,12 @@ def near_links(fingerprints: DataFrame, col: str, radius: int = 2) -> DataFrame:
     met = hits.groupBy("variant").agg(F.bit_or("m").alias("flips"), F.max(F.col("m") == 0).alias("own"))
     met = met.filter(F.bit_count("flips") + F.col("own").cast("int") >= 2)
     members = F.transform(F.filter(masks, lambda m: F.when(m == 0, F.col("own")).otherwise(F.col("flips").bitwiseAND(m) != 0)), lambda m: F.col("variant").bitwiseXOR(m))
-    met = met.select(members.alias("members")).select(F.array_min("members").alias("v"), F.explode("members").alias("u"))
+    met = met.select("variant", "own", members.alias("members"))
+    if radius == 1:  # members of a ball are up to 2 bits apart then: each is linked to the ball's middle
+        met = met.filter("own").select("members", F.col("variant").alias("v"))
+    else:
+        met = met.withColumn("v", F.array_min("members"))
+    met = met.select("v", F.explode("members").alias("u"))
     return met.filter("u <> v").distinct().filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius)
 
 
