@@ -50,12 +50,15 @@ def test_fingerprint_blocks_and_edges():
     assert [w for b in word_blocks(long.encode(), 100) for w in b] == long.encode().split()
 
 
-def test_near_duplicates_equal_brute_force(spark):
+@pytest.mark.parametrize("radius", [0, 1, 2])
+def test_near_duplicates_equal_brute_force(spark, radius):
     rnd = random.Random(2)
     base = [rnd.getrandbits(64) for _ in range(30)]
     fps = base + [b ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for b in base for _ in range(4)] + [0, 0, (1 << 64) - 1]
+    # stars: all at 1 bit from their middle and 2 bits from each other
+    fps += [m ^ bit for m in base[:4] for bit in (1, 2, 4, 1 << 62, 1 << 63)]
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), "fp", 2)
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), "fp", radius)
     roots = {r["node"]: r["root"] for r in components.connected_components(links).collect()}
     parent = {f: f for f in signed}
 
@@ -66,7 +69,7 @@ def test_near_duplicates_equal_brute_force(spark):
 
     for a in parent:
         for b in parent:
-            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= radius:
                 parent[max(find(a), find(b))] = min(find(a), find(b))
     assert {f: roots.get(f, f) for f in signed} == {f: find(f) for f in signed}
 
@@ -275,6 +278,32 @@ def test_pii_edges(spark):
 # --- nearest neighbours --------------------------------------------------------------------------------------------
 
 
+def test_walk_is_as_long_as_recall_takes(spark):
+    rng = np.random.default_rng(4)
+    m = rng.normal(size=(500, 8))
+    cell = rng.integers(0, 12, 500).astype(int)
+    index = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(m, cell, strict=True))], "vec_id long, v array<double>, cell int").repartition(3)
+    ids = np.array([0, 20, 40])
+    found = ann.true_cells(index, ids, m[ids], 20)
+    s = m @ m.T
+    for n, q in enumerate(ids):
+        near = [i for i in np.argsort(-s[q]) if i != q][:20]
+        assert sorted(c for k, c in found if k == n) == sorted(int(cell[i]) for i in near)
+    sizes = np.bincount(cell, minlength=12)
+    order = lambda n: [int(c) for c in np.random.default_rng(n).permutation(12)]
+
+    def reached(length):
+        hit = 0
+        for n, c in found:
+            seen = order(n)
+            hit += sizes[seen[: seen.index(c)]].sum() < length
+        return hit / len(found)
+
+    for recall in (0.5, 0.9, 1.0):
+        length = ann.walk_length(found, order, sizes, recall)
+        assert reached(length) >= recall > reached(length - 1)
+    assert ann.walk_length([], order, sizes, 0.9) == 0
+
 def test_search_is_exact_when_small_and_recalls_when_large(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(3000, 16)).astype(np.float32)
