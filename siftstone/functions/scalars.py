@@ -132,6 +132,12 @@ def short_location(location: Column | str) -> Column:
     return F.trim(F.substring_index(col(location), ",", -1))
 
 
+def known(reply: Column | str) -> Column:
+    """A trimmed answer; null for an empty one and for UNKNOWN."""
+    answer = F.trim(col(reply))
+    return F.when((answer != "") & (F.upper(answer) != "UNKNOWN"), answer)
+
+
 def first_ref(reply: Column | str) -> Column:
     """The first integer of a reply; null for none, `none` and empty ones."""
     r = F.trim(col(reply))

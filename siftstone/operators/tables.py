@@ -43,6 +43,17 @@ def cache_status(names: DataFrame, cache: DataFrame, now: Column, skip_days: int
     return out.select(*[names[x] for x in names.columns], status.alias("cache_status"))
 
 
+def cached_attribute(names: DataFrame, cache: DataFrame, value: Column, alias: str) -> DataFrame:
+    """names (poi_name) with what the cache knows of an attribute; `missing` marks those that a client is asked for.
+
+    Empty answers count as unknown, and so does the word UNKNOWN."""
+    from siftstone.functions.scalars import known
+
+    c = cache.select(F.col("poi_name").alias("__n"), known(value).alias(alias))
+    out = names.join(c, names["poi_name"] == c["__n"], "left").drop("__n")
+    return out.withColumn("missing", F.col(alias).isNull())
+
+
 def with_foreign_key(rows: DataFrame, layer: DataFrame) -> DataFrame:
     """rows (poi_name) with optimization_layer_id, null where the name is unknown."""
     k = layer.select(F.col("poi_name").alias("__n"), F.col("id").alias("optimization_layer_id"))

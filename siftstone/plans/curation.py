@@ -32,8 +32,9 @@ def curate(candidates: DataFrame, replies: DataFrame | None = None, config: Conf
 
 
 def retry(first: DataFrame, more: DataFrame, least: int = 12) -> DataFrame:
-    """Candidates of a second try: for groups below the gate, first and more together; others as they were."""
-    short = first.groupBy("poi").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < least).select("poi")
-    start = first.groupBy("poi").agg((F.max("ord") + 1).alias("start"))
-    extra = more.join(short, "poi", "left_semi").join(start, "poi").withColumn("ord", F.col("ord") + F.col("start")).drop("start")
+    """Candidates of a second try: for groups below the gate (those without any row included), first and more
+    together, more numbered after first; others as they were."""
+    have = first.groupBy("poi").agg(F.count(F.lit(1)).alias("__n"), (F.max("ord") + 1).alias("__start"))
+    extra = more.join(have, "poi", "left").filter(F.coalesce("__n", F.lit(0)) < least)
+    extra = extra.withColumn("ord", F.col("ord") + F.coalesce("__start", F.lit(0))).drop("__n", "__start")
     return first.unionByName(extra, allowMissingColumns=True)

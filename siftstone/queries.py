@@ -221,13 +221,14 @@ def j11_exists(spark, d):
     return tables.exists(t.customer.select("c_custkey"), t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
-@query("""WITH c AS (SELECT list(p_name ORDER BY p_partkey) AS names FROM part WHERE p_partkey <= 20),
-s AS (SELECT p_partkey, unnest(names) AS n, generate_subscripts(names, 1) AS i, p_name FROM part, c)
-SELECT p_partkey, arg_max(n, (len(list_intersect(list_distinct(regexp_split_to_array(lower(n), '\\s+')), list_distinct(regexp_split_to_array(lower(p_name), '\\s+')))) * 1000 - i)) AS best FROM s GROUP BY p_partkey""")
+@query("""WITH c AS (SELECT list(n_name ORDER BY n_nationkey) AS names FROM nation),
+s AS (SELECT c_custkey, unnest(names) AS n, generate_subscripts(names, 1) AS i, c_name FROM (SELECT c_custkey, n_name || ' of ' || c_name AS c_name FROM customer JOIN nation ON n_nationkey = c_nationkey), c)
+SELECT c_custkey, arg_max(n, (len(list_intersect(list_distinct(regexp_split_to_array(lower(n), '\\s+')), list_distinct(regexp_split_to_array(lower(c_name), '\\s+')))) * 1000 - i)) AS best FROM s GROUP BY c_custkey""")
 def j12_u5_best_name(spark, d):
-    p = T(spark, d).part
-    names = p.filter("p_partkey <= 20").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x["p_name"]).alias("names"))
-    return p.join(F.broadcast(names)).select("p_partkey", urls.best_name(F.col("names"), F.col("p_name")).alias("best"))
+    t = T(spark, d)
+    pack = t.nation.agg(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: F.concat(F.lit('- link "'), x["n_name"], F.lit(' $99 4.3" [ref=1]'))).alias("s")).select(F.lit("all").alias("g"), urls.pack_names(F.array_join("s", "\n")).alias("names"))
+    wanted = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat("n_name", F.lit(" of "), "c_name").alias("w"), F.lit("all").alias("g"))
+    return wanted.join(pack, "g").select("c_custkey", urls.best_name(F.col("names"), F.col("w")).alias("best"))
 
 
 @query("SELECT lang, count(*) FILTER (source = 'src0') AS n_src0, count(*) FILTER (source = 'src1') AS n_src1, count(*) FILTER (source = 'none') AS n_none FROM documents GROUP BY lang")
@@ -296,10 +297,15 @@ def w4_w5_head30(spark, d):
     return ranking.top_n(scored(T(spark, d)), n=30).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
 
 
-@query(f"""SELECT label AS poi, vec_id AS ord, (CASE WHEN count(*) OVER (PARTITION BY label) <= 15 THEN row_number() OVER (PARTITION BY label ORDER BY vec_id) ELSE row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) END) - 1 AS pos
-FROM {_SCORES} WHERE label < 5 OR vec_id < 60 QUALIFY pos < 15""")
+#: Large groups, and some of one row each.
+_TWO = f"(SELECT vec_id, CASE WHEN vec_id % 100 = 7 THEN vec_id + 1000 ELSE label END AS poi, score FROM {_SCORES})"
+
+
+@query(f"""SELECT poi, vec_id AS ord, (CASE WHEN count(*) OVER (PARTITION BY poi) <= 15 THEN row_number() OVER (PARTITION BY poi ORDER BY vec_id) ELSE row_number() OVER (PARTITION BY poi ORDER BY score DESC, vec_id) END) - 1 AS pos
+FROM {_TWO} QUALIFY pos < 15""")
 def w6_top_n(spark, d):
-    return ranking.top_n(scored(T(spark, d)).filter("poi < 5 or ord < 60")).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
+    s = scored(T(spark, d)).withColumn("poi", F.when(F.col("ord") % 100 == 7, F.col("ord") + 1000).otherwise(F.col("poi")))
+    return ranking.top_n(s).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
 
 
 @query("SELECT o_orderkey, nullif(o_orderdate, timestamp '1995-01-01') AS idx FROM orders ORDER BY idx DESC NULLS FIRST, o_orderkey LIMIT 10")
@@ -384,10 +390,10 @@ def k2_manifest(spark, d):
     return m.select("poi_name", "total", c["google_kp"].alias("kp"), c["google_images"].alias("images"), c["official_site"].alias("site"))
 
 
-@query("SELECT doc_id, doc_id % 2 = 0 AS kept FROM documents WHERE doc_id % 2 = 0")
+@query("SELECT doc_id, true AS kept FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def u4_membership(spark, d):
-    docs = T(spark, d).documents.select("doc_id")
-    return tables.survivors(docs, docs.filter("doc_id % 2 = 0"), "doc_id").withColumn("kept", F.lit(True))
+    t = T(spark, d)
+    return tables.survivors(t.documents.select("doc_id"), t.labels, "doc_id").withColumn("kept", F.lit(True))
 
 
 @query(f"SELECT page_id, url, url_out FROM (SELECT page_id, url, url AS url_out, row_number() OVER (PARTITION BY page_id, url ORDER BY idx) AS k FROM {_HREFS} WHERE length(url) >= 10 AND NOT starts_with(url, 'data:') AND NOT ({_LIKE('lower(url)', scalars.JUNK)})) WHERE k = 1")
@@ -397,9 +403,9 @@ def s7_page_images(spark, d):
     return found.select(F.col("poi").alias("page_id"), "url", F.col("url").alias("url_out"))
 
 
-@query("SELECT page_id, 'https://img.example/photograph-of-' || page_id || '.jpg?w=1&h=2' AS url FROM pages WHERE page_id % 2 = 0")
+@query("SELECT page_id, 'https://img.example/photograph-of-' || page_id || '.jpg?w=1&h=2' AS url FROM pages")
 def s5_f4_script_urls(spark, d):
-    p = T(spark, d).pages.filter("page_id % 2 = 0")
+    p = T(spark, d).pages
     js = F.concat(F.lit("var a='https://img.example/photograph-of-"), F.col("page_id").cast("string"), F.lit(".jpg?w"), F.lit("=1&h=2'; b='https://www.google.com/some/long/path/x.png'; c='https://cdn.example/logo/abcdefgh.png'"))
     return urls.script_urls(p.select("page_id", js.alias("js")), "page_id", "js").select(F.col("poi").alias("page_id"), "url")
 
@@ -540,12 +546,12 @@ def d6_a6_reset_stale_runs(spark, d):
     return transitions.n_changed(transitions.reset_stale_runs(jobs(T(spark, d)), now()))
 
 
-@query("""SELECT c_name AS poi_name, NULL::VARCHAR AS id, NULL::VARCHAR AS optimization_layer_id FROM customer WHERE c_custkey % 3 = 0
-UNION ALL SELECT c_name, 'new' || c_custkey, s_name FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey WHERE c_custkey % 3 <> 0""")
+@query("""SELECT c_name AS poi_name, NULL::VARCHAR AS id, NULL::VARCHAR AS optimization_layer_id FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT c_name, 'new' || c_custkey, s_name FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey WHERE c_mktsegment <> 'BUILDING'""")
 def d1_d7_get_or_create(spark, d):
     t = T(spark, d)
     none = F.lit(None).cast("string")
-    have = t.customer.filter("c_custkey % 3 = 0").select(F.col("c_name").alias("poi_name"), none.alias("id"), none.alias("optimization_layer_id"))
+    have = t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_name").alias("poi_name"), none.alias("id"), none.alias("optimization_layer_id"))
     wanted = t.customer.select(F.col("c_name").alias("poi_name"), F.concat(F.lit("new"), F.col("c_custkey").cast("string")).alias("id"))
     lay = t.customer.join(t.supplier, F.col("s_suppkey") == F.col("c_custkey")).select(F.col("c_name").alias("poi_name"), F.col("s_name").alias("id"))
     return transitions.get_or_create_batches(have, wanted, lay)
@@ -626,3 +632,75 @@ def curate_judged(spark, d):
 @query("SELECT page_id, idx, url FROM " + _HREFS + " WHERE idx < 2")
 def s9_manifest_prefix(spark, d):
     return hrefs(T(spark, d)).select("page_id", "idx", "url").filter("idx < 2")
+
+
+@query("SELECT regexp_replace(url, '/[^/]*$', '') AS dir, regexp_extract(url, '[^/]*$') AS name FROM pages WHERE contains(url, '/') AND NOT ends_with(url, '/')")
+def s18_f13_listing(spark, d):
+    from siftstone.sources.readers import listing
+
+    return listing(T(spark, d).pages, "url")
+
+
+@query("SELECT c_custkey AS poi_name, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS location, (s_suppkey IS NULL OR s_suppkey % 3 = 0) AS missing FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey")
+def s19_cached_attribute(spark, d):
+    t = T(spark, d)
+    k = F.col("s_suppkey")
+    cache = t.supplier.select(k.alias("poi_name"), F.when(k % 3 > 0, F.concat("s_name", F.lit(" "))).when(k % 2 == 0, "unknown").otherwise("").alias("location"))
+    return tables.cached_attribute(t.customer.select(F.col("c_custkey").alias("poi_name")), cache, F.col("location"), "location")
+
+
+@query("""WITH n AS (SELECT DISTINCT doc_id // 3 AS poi, doc_id FROM documents), s AS (SELECT DISTINCT doc_id // 3 AS poi, doc_id FROM labels),
+g AS (SELECT poi, count(*) AS k FROM n GROUP BY poi), c AS (SELECT poi, count(*) AS k FROM s GROUP BY poi)
+SELECT n.poi, n.doc_id || '.jpg' AS name, coalesce(c.k <> g.k, false) AS archive, (coalesce(c.k <> g.k, false) OR s.doc_id IS NULL) AS upload
+FROM n JOIN g ON g.poi = n.poi LEFT JOIN c ON c.poi = n.poi LEFT JOIN s ON s.doc_id = n.doc_id""")
+def k5_upload_plan(spark, d):
+    from siftstone.plans.upload import upload_plan
+
+    t = T(spark, d)
+    files = lambda df, end=".jpg": df.select(F.floor(F.col("doc_id") / 3).alias("poi"), F.concat(F.col("doc_id").cast("string"), F.lit(end)).alias("name"))
+    return upload_plan(files(t.documents), files(t.labels).unionByName(files(t.documents, ".json")))
+
+
+@query(f"""WITH f AS (SELECT label AS poi, vec_id AS ord FROM {_SCORES} WHERE score >= 6.1), m AS (SELECT label AS poi, vec_id AS ord FROM {_SCORES} WHERE score < 6.1),
+h AS (SELECT poi, count(*) AS n, max(ord) + 1 AS start FROM f GROUP BY poi)
+SELECT poi, ord FROM f UNION ALL SELECT m.poi, m.ord + coalesce(h.start, 0) AS ord FROM m LEFT JOIN h ON h.poi = m.poi WHERE coalesce(h.n, 0) < 6""")
+def u3_retry(spark, d):
+    from siftstone.plans.curation import retry
+
+    s = scored(T(spark, d)).select("poi", "ord", "score")
+    return retry(s.filter("score >= 6.1").drop("score"), s.filter("score < 6.1").drop("score"), least=6)
+
+
+@query("SELECT c_custkey, c_custkey::VARCHAR AS button, c_nationkey::VARCHAR AS rooms, 2 AS n_tabs, c_name AS pack FROM customer")
+def f21_f22_f23_snapshot(spark, d):
+    k, n = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    snap = F.concat(F.lit('- text "Photos"\n- button "All photos" [ref='), k, F.lit(']\n- tab "Change collection to Rooms" [ref=1]\n- tab "Change collection to Food" [ref=2]\n- tab "Change collection to Rooms" [ref='), n, F.lit(']\n- link "'), F.col("c_name"), F.lit(' $120 4.5" [ref=9]'))
+    tabs = urls.tab_refs(snap)
+    return T(spark, d).customer.select("c_custkey", urls.photos_button(snap).alias("button"), tabs["Rooms"].alias("rooms"), F.size(tabs).alias("n_tabs"), F.get(urls.pack_names(snap), F.lit(0)).alias("pack"))
+
+
+@query("SELECT event_id, CASE WHEN event_type <> 'click' THEN epoch(date_trunc('second', ts))::BIGINT END AS at FROM events")
+def f29_iso_times(spark, d):
+    text = F.when(F.col("event_type") == "click", "no time").otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    return T(spark, d).events.select("event_id", F.unix_seconds(scalars.iso_timestamp(text)).alias("at"))
+
+
+@query("SELECT vec_id AS ord, " + ", ".join(f"round(list_{f}((embedding::DOUBLE[])[{a}:{a + 31}]), 6) AS {n}" for n, f, a in (("x0", "min", 1), ("y0", "min", 33), ("x1", "max", 1), ("y1", "max", 33))) + " FROM embeddings")
+def f36_bounding_boxes(spark, d):
+    points = F.zip_with(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32), lambda x, y: F.array(x.cast("double"), y.cast("double")))
+    return T(spark, d).embeddings.select(F.col("vec_id").alias("ord"), *[F.round(v, 6).alias(k) for k, v in scalars.bbox(points).items()])
+
+
+@query("SELECT c_custkey, contains(p, ', ' || n_name) AS place, contains(p, 'About: ' || c_mktsegment) AS about, contains(p, 'Images: ' || c_nationkey) AS images FROM (SELECT c_custkey, n_name, c_mktsegment, c_nationkey, 'Place: ' || c_name || CASE WHEN c_nationkey > 9 THEN ', ' || n_name ELSE '' END || CASE WHEN c_acctbal > 0 THEN chr(10) || 'About: ' || c_mktsegment ELSE '' END || chr(10) || 'Images: ' || c_nationkey AS p FROM customer JOIN nation ON n_nationkey = c_nationkey)")
+def f37_prompts(spark, d):
+    t = T(spark, d)
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    p = scalars.judge_prompt("c_name", F.when(F.col("c_nationkey") > 9, F.col("n_name")), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(""), "c_nationkey")
+    return rows.select("c_custkey", *[p.contains(F.concat(F.lit(a), F.col(b).cast("string"))).alias(n) for n, a, b in (("place", ", ", "n_name"), ("about", "About: ", "c_mktsegment"), ("images", "Images: ", "c_nationkey"))])
+
+
+@query("SELECT n_nationkey AS k, n_name AS name, n_regionkey AS region FROM nation UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+def f41_d1_insert(spark, d):
+    t = T(spark, d)
+    have = t.nation.select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    return transitions.insert(have, t.supplier.select(F.col("s_suppkey").cast("long").alias("k"), F.col("s_name").alias("name")))

@@ -165,3 +165,17 @@ def test_perceptual_hash(spark):
     df = spark.createDataFrame([(noise,), (noise,), (flat,), (None,), ([1.0],)], "g array<double>")
     got = [r[0] for r in df.select(dedup.perceptual_hash(F.col("g"))).collect()]
     assert got[0] == got[1] and got[0] != got[2] and got[3:] == [None, None]
+
+
+def test_retry_and_upload_plan(spark):
+    from siftstone.plans.curation import retry
+    from siftstone.plans.upload import upload_plan
+
+    first = spark.createDataFrame([("a", 0), ("a", 4), ("b", 0)], "poi string, ord int")
+    more = spark.createDataFrame([("a", 0), ("b", 0), ("b", 1), ("c", 0)], "poi string, ord int")
+    assert sorted(map(tuple, retry(first, more, least=2).collect())) == [("a", 0), ("a", 4), ("b", 0), ("b", 1), ("b", 2), ("c", 0)]
+    new = spark.createDataFrame([("a", "1.jpg"), ("a", "2.jpg"), ("a", "2.jpg"), ("b", "1.jpg"), ("c", "1.jpg"), ("c", "2.jpg")], "poi string, name string")
+    stored = spark.createDataFrame([("a", "1.jpg"), ("a", "9.jpg"), ("a", "metadata.json"), ("b", "metadata.json"), ("c", "1.jpg")], "poi string, name string")
+    got = {(r["poi"], r["name"]): (r["archive"], r["upload"]) for r in upload_plan(new, stored).collect()}
+    assert got == {("a", "1.jpg"): (False, False), ("a", "2.jpg"): (False, True), ("b", "1.jpg"): (False, True), ("c", "1.jpg"): (True, True), ("c", "2.jpg"): (True, True)}
+    assert upload_plan(new.limit(0), stored).count() == 0
