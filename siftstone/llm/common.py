@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,8 +118,10 @@ _state: dict[str, object] = {}
 
 def worker_state(key: str, make: Callable[[], object]):
     """What a Python worker remembers between batches and tasks: one operator's state at a time, so that the stages
-    of a pipeline, which share workers, do not add up their memories."""
+    of a pipeline, which share workers, do not add up their memories. What Arrow holds unused goes back as well."""
     if key not in _state:
         _state.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _state[key] = make()
     return _state[key]

@@ -57,7 +57,7 @@ def load_pieces(path: str) -> Pieces:
 class Encoder:
     """Encodes one text at a time; remembers the ids of words it has met, in two generations of a fixed size."""
 
-    def __init__(self, pieces: Pieces, remembered: int = 250_000):
+    def __init__(self, pieces: Pieces, remembered: int = 120_000):
         self.p = pieces
         self.stable: dict[int, bool] = {}
         #: Pieces that merging reaches from single characters, and by their last three characters their lengths.
@@ -96,7 +96,7 @@ class Encoder:
         key = a << 32 | b
         got = self.stable.get(key)
         if got is None:
-            if len(self.stable) > 600_000:
+            if len(self.stable) > 300_000:
                 self.stable.clear()
             x, y = self.p.text[a], self.p.text[b]
             got = self.stable[key] = self.merged(x + y) == [x, y]
