@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftstone.llm import ann, components, langid, mixing, pii, quality, sentpiece, simhash, toxicity, urlfilter, warc
+from siftstone.llm import ann, components, langid, mixing, pii, quality, sentpiece, shingles, simhash, toxicity, urlfilter, warc
 from siftstone.llm.common import word_blocks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -85,6 +85,45 @@ def test_near_duplicates_edges(spark):
     assert ids.count(3) == 1 and ids.count(None) == 1 and 1 not in ids and "spans" in kept.columns
 
 
+def test_near_copies_by_shingles(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for k in range(12):
+        base = [word() for _ in range(200)]
+        for n in range(6):
+            w = list(base)
+            for at in rnd.sample(range(200), n):
+                w[at] = word()
+            rows.append((len(rows), " ".join(w), "en", "s", 0))
+    hot = [word() for _ in range(120)]
+    for _ in range(40):  # a large group, of which pairs are formed in rounds
+        w = list(hot)
+        for at in rnd.sample(range(120), 3):
+            w[at] = word()
+        rows.append((len(rows), " ".join(w), "en", "s", 0))
+    rows += [(None, rows[0][1] + " end", "en", "s", 0), (None, "", "en", "s", 0), (999, None, "en", "s", 0), (5000, "a b", "en", "s", 0), (5000, "c d", "en", "s", 0)]
+
+    def shingle(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+    near = lambda a, b: bool(a and b) and len(a & b) >= 0.8 * len(a | b)
+    df = spark.createDataFrame(rows, DOCS)
+    kept = [tuple(r) for r in shingles.keep_one(df, leaders=8).collect()]
+    sets = [shingle(r[1]) for r in kept]
+    assert not any(near(a, b) for i, a in enumerate(sets) for b in sets[:i])
+    gone = [r for r in rows if r not in kept]
+    assert len(kept) + len(gone) == len(rows) and (None, rows[0][1] + " end", "en", "s", 0) in gone
+    assert all(any(near(shingle(r[1]), shingle(x[1])) for x in rows if x[0] is not None and (r[0] is None or x[0] < r[0])) for r in gone)
+    assert {(999, None), (None, ""), (5000, "a b"), (5000, "c d")} <= {r[:2] for r in kept}
+    stage = dict(pipeline.STAGES)["near_duplicates"](spark, df, "").collect()
+    sets = [shingle(r["text"]) for r in stage]
+    assert not any(near(a, b) for i, a in enumerate(sets) for b in sets[:i])
+    assert shingles.keep_one(df.limit(0)).count() == 0
+
+
 # --- SentencePiece ---------------------------------------------------------------------------------------------
 
 
