@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import drop_table, materialize, word_blocks
+from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
 from siftstone.llm.components import connected_components
 
 SEED = 42
@@ -100,31 +100,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     One row for each input row, repeated rows included. Null ids are allowed: such a row belongs to its group
     but never names it; component_id is null if the whole group has none. Other columns are ignored, whatever
     their names; an empty table gives an empty one."""
-    table = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text, width).alias("fp")), "simhash")
+    return _grouped(docs, doc_id, text, width, radius).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, radius: int, **more: Column) -> DataFrame:
+    """doc_id, fp, the columns of more, root (which names the group even where groups share an id) and component_id."""
+    table = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text, width).alias("fp"), *[c.alias(k) for k, c in more.items()]), "simhash")
     nodes = materialize(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = connected_components(near_links(nodes, "fp", radius))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "roots")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = materialize(rooted.join(named, "root").select("fp", "component_id"), "named")
+    of = materialize(rooted.join(named, "root").select("fp", "root", "component_id"), "named")
     drop_table(rooted)
-    return table.join(of, "fp").select("doc_id", "fp", "component_id")
+    return table.join(of, "fp").select("doc_id", "fp", *more, "root", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
-    """docs without near-duplicates: of each group the row with the smallest doc_id stays.
+    """docs without near-duplicates: of each group one row with the group's smallest doc_id stays.
 
-    Of rows that repeat that id, one stays. A row without an id stays unless its group has a row with one.
+    Groups go by text: rows of one id in different groups do not touch each other. Of a group's rows that repeat
+    its smallest id, one stays. A row without an id stays unless its group has a row with one.
     All input columns are kept as they are."""
-    found = near_duplicates(docs, doc_id, text, width, radius)
-    gone = materialize(found.filter((F.col("doc_id") != F.col("component_id")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    out = docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
-    nameless = found.filter("doc_id is null and component_id is not null").select("fp").distinct()
-    if not nameless.isEmpty():
-        tagged = out.withColumn("__fp", F.when(F.col(doc_id).isNull(), fingerprint(text, width)))
-        out = tagged.join(nameless.withColumnRenamed("fp", "__fp"), "__fp", "left_anti").drop("__fp")
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    h, ident = fresh(docs, "h", "ident")
+    found = materialize(_grouped(docs, doc_id, text, width, radius, h=F.xxhash64(F.col(text))).filter("component_id is not null"), "grouped")
+    chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.min("h").alias("kept"))
+    rest = found.join(chosen, "root").filter("doc_id is null or doc_id <> component_id or h <> kept")
+    gone = materialize(rest.select(F.col("h").alias(h), F.col("doc_id").alias(ident)).distinct(), "gone")
+    out = docs.join(gone, (F.xxhash64(docs[text]) == gone[h]) & docs[doc_id].eqNullSafe(gone[ident]), "left_anti")
+    again = found.filter("doc_id is not null").groupBy("doc_id", "h").count().filter("count > 1")
     if not again.isEmpty():
-        rest = out.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
+        rest = out.filter(F.col(doc_id).isNotNull()).withColumn(h, F.xxhash64(F.col(text))).dropDuplicates([doc_id, h]).drop(h)
         out = rest.unionByName(out.filter(F.col(doc_id).isNull()))
     return out

@@ -85,6 +85,13 @@ def test_near_duplicates_edges(spark):
     assert ids.count(3) == 1 and ids.count(None) == 1 and 1 not in ids and "spans" in kept.columns
 
 
+def test_rows_of_one_id_in_different_groups_stay(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcde"]
+    rows = [(7, t, "en", "s", 0) for t in texts[:4]] + [(7, texts[0], "en", "s", 0), (3, texts[1], "en", "s", 0), (9, texts[2], "en", "s", 0), (9, texts[4], "en", "s", 0), (None, texts[3], "en", "s", 0), (None, texts[0] + " ", "en", "s", 0)]
+    kept = sorted((r["doc_id"], texts.index(r["text"])) for r in simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect())
+    assert kept == [(3, 1), (7, 0), (7, 2), (7, 3), (9, 4)]
+
+
 def test_near_copies_by_shingles(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     rnd = random.Random(21)
