@@ -1,10 +1,12 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions alone.
 
-Base rules are fixed. Beyond them, each statistic has a grid of cutoffs; a cutoff is admitted in a stratum if,
-of the labelled good documents there, so few exceed it that the exact binomial test refutes a false-rejection
-rate of `risk / number of rules` at level `delta / (rules x cutoffs x strata)`. The strictest admitted cutoff is
-used. Then, with probability 1 - delta, no stratum loses more than `risk` of its good documents; a stratum
-with too few labels to prove that has no cutoffs.
+Base rules are fixed. Beyond them, each statistic has a grid of cutoffs. A path through the grids is fixed
+beforehand: from the loosest cutoffs to the strictest, each step tightens one rule by one cutoff, the rules in turn.
+In a stratum, a step is admitted if, of the labelled good documents there, so few exceed any of its cutoffs that the
+exact binomial test refutes a false-rejection rate of `risk` for all rules together at level `delta / strata`. Steps
+are nested, so testing them in order until one fails needs no division by their number, and none is left out by it.
+The last admitted step is used. Then, with probability 1 - delta, no stratum loses more than `risk` of its good
+documents; a stratum with too few labels to prove that (log(strata / delta) / risk about) has no cutoffs.
 """
 
 from __future__ import annotations
@@ -53,19 +55,31 @@ def log_binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(0.0)).otherwise(log_term + F.log(total))
 
 
+def path() -> list[dict[str, float]]:
+    """The steps: for each rule its cutoff so far."""
+    steps: list[dict[str, float]] = []
+    for k in range(max(len(cuts) for _, cuts in RULES.values())):
+        for name, (_, cuts) in RULES.items():
+            if k < len(cuts):
+                steps.append({**(steps[-1] if steps else {}), name: cuts[-1 - k]})
+    return steps
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
-    """stratum and, for each rule, its strictest admitted cutoff (null for none); labels: doc_id, good."""
+    """stratum and, for each rule, its cutoff in the last admitted step (null for none); labels: doc_id, good."""
     good = measured.filter(~base_failed()).join(labels.filter("good = 1").select(F.col("doc_id").alias("lid")).distinct(), F.col("doc_id") == F.col("lid"), "left_semi")
-    grid = [(name, c, f"{stat} > {c}") for name, (stat, cuts) in RULES.items() for c in cuts]
-    counts = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.expr(f"cast({e} as long)")).alias(f"k{i}") for i, (_, _, e) in enumerate(grid)])
+    steps = path()
+    exceeds = [" or ".join(f"{RULES[name][0]} > {c}" for name, c in step.items()) for step in steps]
+    counts = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.expr(f"cast({e} as long)")).alias(f"k{i}") for i, e in enumerate(exceeds)])
     counts = materialize(counts, "rejections")
     strata = max(1, counts.count())
-    rows = counts.select("stratum", "n", F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, (name, c, _) in enumerate(grid)])).alias("g")).select("stratum", "n", "g.*")
+    cells = [F.struct(F.lit(i).alias("step"), F.col(f"k{i}").alias("k"), *[F.lit(step.get(name)).cast("double").alias(f"cut_{name}") for name in RULES]) for i, step in enumerate(steps)]
+    rows = counts.select("stratum", "n", F.explode(F.array(*cells)).alias("g")).select("stratum", "n", "g.*")
     import math
 
-    level = math.log(delta / (len(grid) * strata))
-    admitted = rows.filter(log_binomial_tail(F.col("n"), F.col("k"), risk / len(RULES)) <= level)
-    return admitted.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"cut_{name}") for name in RULES])
+    admitted = rows.filter(log_binomial_tail(F.col("n"), F.col("k"), risk) <= math.log(delta / strata))
+    last = admitted.groupBy("stratum").agg(F.max_by(F.struct(*[f"cut_{name}" for name in RULES]), "step").alias("g"))
+    return last.select("stratum", "g.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", label_id: str = "doc_id", label: str = "quality", risk: float = 0.01, delta: float = 0.05) -> DataFrame:

@@ -427,6 +427,15 @@ def test_thresholds_need_proof(spark):
     assert all(few.values())
 
 
+def test_thresholds_of_several_strata(spark):
+    good = [(k, "plain words of some text that goes on and on with ease %d" % k, f"l{k % 4}", None, 0) for k in range(2000)]
+    junk = [(10000 + k, " ".join(f"w{k}x{i}$$$" for i in range(20)), f"l{k % 4}", None, 0) for k in range(8)]
+    labels = spark.range(2000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(good + junk, DOCS), labels).collect()}
+    assert all(kept[k] for k in range(2000)) and not any(kept[10000 + k] for k in range(8))
+    assert len(quality.path()) == sum(len(cuts) for _, cuts in quality.RULES.values())
+
+
 # --- URLs ----------------------------------------------------------------------------------------------------------
 
 
