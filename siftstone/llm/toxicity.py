@@ -38,10 +38,14 @@ for _c in "\t\n\x0b\x0c\r":
 
 _LETTER = r"[^\W\d_]"
 _LETTERS = re.compile(rf"{_LETTER}+")
-#: What makes a word worth decoding: a sign, or a letter three times.
-_HIDES = re.compile(r"[0-9@$!|+(<€£¡*#%]|([^\W\d_])\1\1")
-#: Letters spelled out: three or more single letters with one sign or space between each two.
-_SPELLED = re.compile(rf"\b{_LETTER}[ .\-_*]{_LETTER}[ .\-_*](?:{_LETTER}[ .\-_*])*{_LETTER}\b")
+#: What makes a word worth decoding: a sign, or a letter twice.
+_HIDES = re.compile(r"[0-9@$!|+(<€£¡*#%]|([^\W\d_])\1")
+#: Letters spelled out: three or more single letters or signs with one separator or space between each two.
+_UNIT = r"(?:[^\W_]|[@$!|+(<€£¡#%])"
+_SPELLED = re.compile(rf"(?<!\w){_UNIT}[ .\-_*](?:{_UNIT}[ .\-_*])+{_UNIT}(?!\w)")
+_BETWEEN = re.compile(r"[ .\-_*]")
+#: Letters of a tail that are looked at: longer than any word.
+TAIL = 64
 #: Decoration at a word's edges: repeated signs, and signs that resemble no letter.
 _EDGE = re.compile(r"^(?:([^\w\s])\1+|[^\w\s@$!|+(<€£¡])+|(?:([^\w\s])\2+|[^\w\s@$€£])+$")
 
@@ -86,11 +90,12 @@ def count_chars(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
-def restore(word: str, lm: CharModel, channel: float = 1.5) -> str:
+def restore(word: str, lm: CharModel, channel: float = 1.5, breaks: bool = False) -> str:
     """The likeliest reading of one word (lower case): Viterbi over its lattice, channel nats for each change.
 
     A sign may be itself or a letter it resembles; a run of one letter may be itself, one or two of it. Signs
-    that stand for nothing at a word's edges and separators of spelled-out letters are passed over."""
+    that stand for nothing at a word's edges and separators of spelled-out letters are passed over. With breaks, a
+    word may end after any run, at no cost but the model's."""
     runs: list[tuple[str, int]] = []
     for c in word[:256]:  # longer than any word of a language; the caller cuts longer ones
         if runs and runs[-1][0] == c:
@@ -107,6 +112,8 @@ def restore(word: str, lm: CharModel, channel: float = 1.5) -> str:
             options += [(c, channel)] + ([(c * 2, channel)] if n > 2 else [])
         if not c.isalnum():
             options.append(("", channel))
+        if breaks:
+            options += [(s + " ", price) for s, price in options if s]
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, out) in beams.items():
             for s, price in options:
@@ -130,18 +137,26 @@ def readings(token: str, lm: CharModel) -> list[str]:
         core = token
     if _HIDES.search(core) and (out or len(core) > 3):
         for k in range(0, len(core), 256):
-            out += _LETTERS.findall(restore(core[k : k + 256], lm))
+            out += [w for w in _LETTERS.findall(restore(core[k : k + 256], lm)) if w not in out]
     return out
 
 
-def spelled(low: str) -> list[str]:
-    """Words spelled out letter by letter in a lower-cased text; each tail of three letters or more counts too,
-    as single-letter words may come before."""
-    out = []
+def spelled(low: str, lm: CharModel | None = None) -> list[str]:
+    """Words spelled out letter by letter in a lower-cased text: the letters as written and, with lm, the likeliest
+    reading of letters and signs, with and without its word breaks. Each tail of three letters or more counts too,
+    as other words may come before; of a tail, TAIL letters are looked at."""
+    out: dict[str, None] = {}
     for m in _SPELLED.finditer(low):
-        word = re.sub(r"[\W_]", "", m.group())
-        out += [word[k:] for k in range(max(1, min(len(word) - 2, 4)))]
-    return out
+        core = _BETWEEN.sub("", m.group())
+        if not _LETTERS.search(core):
+            continue
+        parts = _LETTERS.findall(core)
+        for k in range(0, len(core), 256 - TAIL) if lm else ():
+            read = restore(core[k : k + 256], lm, breaks=True)
+            parts += [*_LETTERS.findall(read), *_LETTERS.findall(read.replace(" ", ""))]
+        for part in dict.fromkeys(parts):
+            out |= dict.fromkeys(part[k : k + TAIL] for k in range(len(part) - 2))
+    return list(out)
 
 
 def features(word: str) -> list[str]:
@@ -267,7 +282,7 @@ def words_of(text: str, lm: CharModel, memo: dict[str, list[str]]) -> set[str]:
         if got is None:
             got = memo[token] = readings(token, lm)
         out.update(got)
-    out.update(spelled(low))
+    out.update(spelled(low, lm))
     return out
 
 
@@ -300,7 +315,7 @@ class Scorer:
                     got = self.found(token)
                 if got:
                     seen.update(got)
-            for w in spelled(low):
+            for w in spelled(low, self.lm):
                 seen.update(f for f in features(w) if f in rates)
             for f in sorted(seen):
                 calm *= 1 - rates[f]

@@ -485,6 +485,15 @@ def test_deobfuscation(lm):
     assert "moron" in toxicity.spelled("you m o r o n") and "idiot" in toxicity.spelled("an i.d.i.o.t here") and toxicity.spelled("a b") == []
 
 
+def test_deobfuscation_of_spelled_and_doubled_letters(lm):
+    m = toxicity.CharModel(lm)
+    for low, word in {"t h a t i d i o t": "idiot", "such a i d 1 0 t here": "idiot", "y o u a r e a m 0 r 0 n": "moron"}.items():
+        assert word in toxicity.spelled(low, m), low
+    for hidden, word in {"stuupid": "stupid", "iddiot": "idiot", "moroon": "moron"}.items():
+        assert word in toxicity.readings(hidden, m), hidden
+    assert toxicity.spelled("1 2 3 4", m) == [] and len(toxicity.spelled("a b " * 5000)) < 70 * 2
+
+
 def test_toxicity_held_out(spark, lm):
     rnd = random.Random(12)
     filler = ["".join(rnd.choice(["ba", "ko", "ri", "mu", "te"]) for _ in range(3)) for _ in range(200)]
