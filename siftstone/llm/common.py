@@ -2,28 +2,42 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: One word: a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Where tables go if the session names no shared folder, as in tests on one machine.
+#: Where tables go if a session on one machine (master local) names no shared folder, as in tests.
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a session whose driver does all the
+    work may go without; on a cluster a missing setting is an error, as a machine's own folder would lose data."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (at or LOCAL_CHECKPOINTS).rstrip("/")
+    if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = LOCAL_CHECKPOINTS
+    return at.rstrip("/")
+
+
+#: Folders written and not yet deleted, oldest first.
+_written: list[str] = []
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/siftstone/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/siftstone/{what}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
@@ -48,6 +62,28 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _written:
+        _written.remove(path)
+
+
+class Scratch:
+    """`with Scratch(spark) as s`: what operators have written to the shared folder within is deleted at the end,
+    but for the tables passed through s.keep(). Results must have been written or collected by then."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.before, self.kept = spark, set(), set()
+
+    def __enter__(self) -> Scratch:
+        self.before = set(_written)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.add(df._siftstone_path)
+        return df
+
+    def __exit__(self, *_) -> None:
+        for path in [p for p in _written if p not in self.before and p not in self.kept]:
+            delete_path(self.spark, path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -98,19 +134,16 @@ def word_blocks(data: bytes, block: int = 1 << 20) -> Iterator[list[bytes]]:
         at = end
 
 
-def bounded_sample(df: DataFrame, key: Column, label: str, per_label: int, max_labels: int = 64) -> DataFrame:
-    """At most per_label rows for each value of label, on average, chosen by a hash of key: deterministic,
-    without a shuffle of the rows. Of very many labels only the max_labels most frequent are sampled.
-
-    The result holds about per_label * max_labels rows at most: a bound that does not grow with the input."""
-    counts = df.groupBy(label).count().orderBy(F.desc("count"), F.asc(label)).limit(max_labels).collect()
-    counts = [r for r in counts if r[0] is not None]
-    if not counts:
-        return df.limit(0)
-    rate = F.lit(0.0)
-    for r in counts:
-        rate = F.when(F.col(label) == F.lit(r[0]), F.lit(min(1.0, per_label / r["count"]))).otherwise(rate)
-    return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < rate * 1_000_000)
+def bounded_sample(df: DataFrame, mark: Column, label: str, rows: int) -> DataFrame:
+    """About `rows` rows of df, 2 * rows at most, dealt evenly over the values of label (each value is met, however
+    many there are); which ones is decided by the hash `mark`: deterministic, without a shuffle of the rows."""
+    counts = materialize(df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("__of")).count(), "labels")
+    each = max(1, rows // max(1, counts.count()))
+    rates = materialize(counts.select("__of", (F.lit(float(each)) / F.col("count")).alias("__rate")), "rates")
+    # a value's few rows may all miss a low rate: of up to four times the wanted number the first are taken
+    some = df.withColumn("__mark", mark).join(rates, F.col(label) == F.col("__of")).filter(F.pmod("__mark", F.lit(1 << 40)) < 4 * F.col("__rate") * (1 << 40))
+    rank = F.row_number().over(Window.partitionBy("__of").orderBy("__mark"))
+    return some.withColumn("__rank", rank).filter(F.col("__rank") <= each).orderBy("__mark").limit(2 * rows).drop("__of", "__rate", "__mark", "__rank")
 
 
 _state: dict[str, object] = {}
@@ -123,5 +156,7 @@ def worker_state(key: str, make: Callable[[], object]):
         _state.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries keep what is free
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
         _state[key] = make()
     return _state[key]

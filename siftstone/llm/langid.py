@@ -1,9 +1,10 @@
 """Language identification: a bidirectional gated recurrent network over bytes.
 
-The network is trained here in numpy by backpropagation through time. It reads the UTF-8 bytes of each run
-of letters (lower-cased, cut at MAX_BYTES) in both directions and labels every byte position; a document's
-probabilities are the mean over all its positions. State begins anew with each run, so a run's labels do not
-depend on its neighbours and a worker computes them once for all the places where the run occurs.
+The network is trained here in numpy by backpropagation through time. It reads all UTF-8 bytes of a document
+(lower-cased: letters, spaces, digits and marks alike) in both directions and labels every byte position; a
+document's probabilities are the mean over the positions of its letters. To read many places at once, a document is
+read in stretches of LENGTH bytes; each direction begins AROUND bytes before its stretch, so that a position's state
+has seen at least so many bytes on either side, across words. Gates and candidates are squashed by x / (1 + |x|).
 """
 
 from __future__ import annotations
@@ -20,19 +21,28 @@ from pyspark.sql import functions as F
 
 from siftstone.llm.common import bounded_sample, worker_state
 
-RUN = re.compile(r"[^\W\d_]+")
-#: Longer runs (text without spaces) are read in pieces of this many characters.
-MAX_CHARS = 24
+LENGTH, AROUND = 128, 24
+#: Stretches that are read at once, and bytes of documents that are laid out for that, about.
+BATCH, BLOCK = 2048, 1 << 20
+#: What is read before a document begins and after it ends: the state stays 0.
+PAD = 256
 UND = "und"
 
+_WORD = re.compile(r"[^\W\d_]+")
+#: Bytes of letters: ASCII ones and parts of longer characters.
+_IN_LETTER = np.array([chr(b).isalpha() if b < 128 else b < 256 for b in range(257)])
+
+
+def has_letter(text: str) -> bool:
+    return any(any(map(str.isalpha, m.group())) for m in _WORD.finditer(text))
+
 
 class Net(NamedTuple):
-    """Weights of one direction: input rows by byte, recurrent weights, output weights."""
+    """Weights of one direction, for update gate, reset gate and candidate one below the other."""
 
-    x: np.ndarray  # 256 x 3H: update, reset, candidate
-    u: np.ndarray  # H x 2H: update, reset
-    c: np.ndarray  # H x H: candidate
-    o: np.ndarray  # H x L
+    x: np.ndarray  # 3H x 257: by byte
+    u: np.ndarray  # 3H x H: recurrent
+    o: np.ndarray  # L x H: output
 
 
 class Model(NamedTuple):
@@ -43,194 +53,185 @@ class Model(NamedTuple):
     bias: np.ndarray
 
 
-def segments(text: str) -> list[str]:
-    """Lower-cased runs of letters, the long ones in pieces."""
-    found = RUN.findall(text.lower())
-    if max(map(len, found), default=0) <= MAX_CHARS:
-        return found
-    return [s[k : k + MAX_CHARS] for s in found for k in range(0, len(s), MAX_CHARS)]
-
-
-def _pad(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes by position (B x T), the same reversed within each word, and lengths."""
-    raw = [w.encode("utf-8", "replace") for w in words]
-    n = np.array([len(b) for b in raw])
-    t = int(n.max(initial=1))
-    flat = np.frombuffer(b"".join(b.ljust(t, b"\0") for b in raw), dtype=np.uint8).reshape(len(raw), t)
-    back = np.take_along_axis(flat, np.maximum(n[:, None] - 1 - np.arange(t)[None, :], 0), axis=1)
-    return flat, back, n
-
-
-def _sigmoid(a: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * a) + 0.5
+def _squash(a: np.ndarray, space: np.ndarray) -> None:
+    np.abs(a, out=space)
+    space += 1
+    np.divide(a, space, out=a)
 
 
 def _run(net: Net, x: np.ndarray, keep: bool = False):
-    """Hidden states by position (T x B x H); with keep, also what the backward pass needs."""
-    size = net.c.shape[0]
-    h = np.zeros((x.shape[0], size), dtype=np.float32)
-    out, tape = [], []
-    for t in range(x.shape[1]):
-        a = net.x[x[:, t]]
-        zr = _sigmoid(a[:, : 2 * size] + h @ net.u)
-        z, r = zr[:, :size], zr[:, size:]
-        hc = h @ net.c
-        n = np.tanh(a[:, 2 * size :] + r * hc)
-        new = n + z * (h - n)
+    """Hidden states (T x H x B) for bytes x (T x B); with keep, also what the backward pass needs."""
+    size, (steps, width) = net.u.shape[1], x.shape
+    out = np.empty((steps, size, width), dtype=net.x.dtype)
+    a, g, space = (np.empty((3 * size, width), dtype=net.x.dtype) for _ in range(3))
+    h, tape = np.zeros((size, width), dtype=net.x.dtype), []
+    for t in range(steps):
+        np.take(net.x, x[t], axis=1, out=a, mode="clip")
+        np.matmul(net.u, h, out=g)
+        gates, n, hc = a[: 2 * size], a[2 * size :], g[2 * size :]
+        gates += g[: 2 * size]
+        _squash(gates, space[: 2 * size])
+        gates *= 0.5
+        gates += 0.5
+        if keep:
+            tape.append([h.copy(), gates.copy(), hc.copy()])
+        hc *= gates[size:]
+        n += hc
+        _squash(n, space[2 * size :])
         if keep:
-            tape.append((h, z, r, hc, n))
-        h = new
-        out.append(h)
+            tape[-1].append(n.copy())
+        h -= n
+        h *= gates[:size]
+        h += n
+        out[t] = h
     return (out, tape) if keep else out
 
 
-def _logits(model: Model, words: list[str], keep: bool = False):
-    x, back, n = _pad(words)
-    fwd, bwd = _run(model.forward, x, keep), _run(model.backward, back, keep)
-    hf, hb = (np.stack(s[0] if keep else s, axis=1) for s in (fwd, bwd))  # B x T x H
-    at = np.maximum(n[:, None] - 1 - np.arange(x.shape[1])[None, :], 0)
-    hb_at = np.take_along_axis(hb, at[:, :, None], axis=1)
-    logits = hf @ model.forward.o + hb_at @ model.backward.o + model.bias
-    return logits, (x, back, n, hf, hb_at, at, fwd, bwd)
-
-
-def _softmax(a: np.ndarray) -> np.ndarray:
-    e = np.exp(a - a.max(axis=-1, keepdims=True))
-    return e / e.sum(axis=-1, keepdims=True)
-
-
-def label_positions(model: Model, words: list[str]) -> np.ndarray:
-    """For each run: the sum over its byte positions of the label probabilities, then the number of positions."""
-    out = np.zeros((len(words), len(model.labels) + 1), dtype=np.float32)
-    order = np.argsort([len(w) for w in words], kind="stable")
-    for k in range(0, len(order), 2048):
-        part = order[k : k + 2048]
-        logits, (_, _, n, *_rest) = _logits(model, [words[i] for i in part])
-        p = _softmax(logits) * (np.arange(logits.shape[1])[None, :] < n[:, None])[:, :, None]
-        out[part, :-1], out[part, -1] = p.sum(axis=1), n
-    return out
-
-
 def _backward(net: Net, x: np.ndarray, tape: list, dh_at: np.ndarray) -> list[np.ndarray]:
-    """Gradients of x, u, c through time; dh_at: T x B x H from the outputs."""
-    size = net.c.shape[0]
-    gx, gu, gc = np.zeros_like(net.x), np.zeros_like(net.u), np.zeros_like(net.c)
-    dh = np.zeros_like(tape[0][0])
-    for t in range(len(tape) - 1, -1, -1):
-        h, z, r, hc, n = tape[t]
+    """Gradients of x and u through time; dh_at: T x H x B from the outputs."""
+    size, steps = net.u.shape[1], len(tape)
+    gu, dh = np.zeros_like(net.u), np.zeros_like(tape[0][0])
+    das = np.empty((steps, 3 * size, x.shape[1]), dtype=net.x.dtype)
+    for t in range(steps - 1, -1, -1):
+        h, gates, hc, n = tape[t]
+        z, r = gates[:size], gates[size:]
         dh = dh + dh_at[t]
-        dz, dn = dh * (h - n), dh * (1 - z)
-        da_n = dn * (1 - n * n)
-        dr = da_n * hc
-        dhc = da_n * r
-        da_zr = np.concatenate([dz * z * (1 - z), dr * r * (1 - r)], axis=1)
-        np.add.at(gx, x[:, t], np.concatenate([da_zr, da_n], axis=1))
-        gu += h.T @ da_zr
-        gc += h.T @ dhc
-        dh = dh * z + da_zr @ net.u.T + dhc @ net.c.T
-    assert gx.shape[1] == 3 * size
-    return [gx, gu, gc]
-
-
-def train(examples: list[tuple[str, str]], hidden: int = 16, steps: int = 500, batch: int = 192, seed: int = 7, max_words: int = 40_000) -> Model:
-    """Fit the network to (text, label) pairs: every byte position of every run gets its text's label.
-
-    Runs are drawn with equal weight for each label, at most max_words distinct ones each; Adam with a fixed
+        da_n = dh * (1 - z) * (1 - np.abs(n)) ** 2
+        bend = 0.5 * (1 - np.abs(2 * gates - 1)) ** 2
+        da = das[t]
+        da[:size], da[size : 2 * size], da[2 * size :] = dh * (h - n) * bend[:size], da_n * hc * bend[size:], da_n
+        dg = da.copy()
+        dg[2 * size :] *= r
+        gu += dg @ h.T
+        dh = dh * z + net.u.T @ dg
+    # sums by byte: sorted by byte, added up run by run
+    flat = das.transpose(0, 2, 1).reshape(-1, 3 * size)
+    order = np.argsort(x.ravel(), kind="stable")
+    which, starts = np.unique(x.ravel()[order], return_index=True)
+    gx = np.zeros_like(net.x)
+    gx[:, which] = np.add.reduceat(flat[order], starts, axis=0).T
+    gx[:, PAD] = 0
+    return [gx, gu]
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Over the middle axis, in place."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def stretches(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of the documents in a row, and for each stretch: its document, its start and its length there."""
+    flat = np.frombuffer(b"".join(data), dtype=np.uint8)
+    n = np.array([len(b) for b in data], dtype=np.int64)
+    per = -(-n // LENGTH)
+    doc = np.repeat(np.arange(len(data)), per)
+    nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    offset = np.cumsum(n) - n
+    return flat, doc, offset[doc] + nth * LENGTH, np.minimum(LENGTH, n[doc] - nth * LENGTH)
+
+
+def position_labels(model: Model, data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """In batches of stretches: their documents (B), starts (B), probabilities (T x L x B) of each of their positions,
+    and which of these are letters of the document (T x B)."""
+    flat, doc, start, length = stretches(data)
+    n = np.array([len(b) for b in data], dtype=np.int64)
+    end = np.cumsum(n)
+    for part in np.array_split(np.argsort(-length, kind="stable"), max(1, -(-len(doc) // BATCH))):
+        if not len(part):
+            continue
+        longest, d = int(length[part].max()), doc[part]
+        at = start[part][None, :] + np.arange(-AROUND, longest + AROUND)[:, None]
+        x = np.where((at >= (end - n)[d][None, :]) & (at < end[d][None, :]), flat[np.clip(at, 0, len(flat) - 1)].astype(np.intp), PAD)
+        del at
+        hf = _run(model.forward, x[: AROUND + longest])[AROUND:]
+        hb = _run(model.backward, x[AROUND:][::-1])[AROUND:][::-1]
+        p = _softmax(np.matmul(model.forward.o, hf) + np.matmul(model.backward.o, hb) + model.bias[None, :, None])
+        inside = np.arange(longest)[:, None] < length[part][None, :]
+        yield d, start[part] - (end - n)[d], p, inside & _IN_LETTER[x[AROUND : AROUND + longest]]
+
+
+def train(examples: list[tuple[str, str]], hidden: int = 16, steps: int = 300, batch: int = 160, width: int = 48, seed: int = 7) -> Model:
+    """Fit the network to (text, label) pairs: every byte position of a stretch of width bytes gets its text's label.
+
+    Stretches are drawn with equal weight for each label, from all places of its texts; Adam with a fixed
     seed, so that equal examples give an equal model. No labels at all: a model that answers `und`."""
-    labels = sorted({b for _, b in examples})
     rng = np.random.default_rng(seed)
-    pools = {b: [w for t, c in examples if c == b for w in segments(t)] for b in labels}
-    pools = {b: (sorted(w) if len(w) <= max_words * 4 else [w[i] for i in rng.choice(len(w), max_words * 4, replace=False)]) for b, w in pools.items() if w}
+    pools: dict[str, bytes] = {}
+    for b in sorted({b for _, b in examples}):
+        raw = b"\n".join(sorted(t.lower().encode("utf-8", "replace") for t, c in examples if c == b and has_letter(t)))
+        if raw:
+            pools[b] = raw + b"\n" * max(0, width - len(raw))
     labels = sorted(pools)
 
     def net() -> Net:
-        s = 1 / np.sqrt(hidden)
-        return Net(*(rng.normal(0, s, shape).astype(np.float32) for shape in ((256, 3 * hidden), (hidden, 2 * hidden), (hidden, hidden), (hidden, max(1, len(labels))))))
+        weights = [rng.normal(0, 1 / np.sqrt(hidden), shape).astype(np.float32) for shape in ((3 * hidden, 257), (3 * hidden, hidden), (max(1, len(labels)), hidden))]
+        weights[0][:, PAD] = 0
+        weights[0][:hidden, PAD] = 1e9  # an update gate of 1: the state stays
+        return Net(*weights)
 
     model = Model(uuid.uuid4().hex, labels, net(), net(), np.zeros(max(1, len(labels)), np.float32))
     if len(labels) < 2:
         return model
     params = [*model.forward, *model.backward, model.bias]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    codes = [np.frombuffer(pools[b], dtype=np.uint8) for b in labels]
     each = max(1, batch // len(labels))
+    few = len(labels) > batch  # of very many labels, a step draws some
     for step in range(1, steps + 1):
-        words, target = [], []
-        for k, b in enumerate(labels):
-            words += [pools[b][i] for i in rng.integers(0, len(pools[b]), each)]
-            target += [k] * each
-        logits, (x, back, n, hf, hb_at, at, fwd, bwd) = _logits(model, words, keep=True)
-        mask = (np.arange(x.shape[1])[None, :] < n[:, None]).astype(np.float32)
-        d = _softmax(logits)
-        d[np.arange(len(words))[:, None], np.arange(x.shape[1])[None, :], np.array(target)[:, None]] -= 1
-        d = d * (mask / mask.sum())[:, :, None]
-        dhf = d @ model.forward.o.T
-        dhb_at = d @ model.backward.o.T
-        dhb = np.zeros_like(dhb_at)
-        rows = np.arange(len(words))[:, None].repeat(x.shape[1], 1)
-        np.add.at(dhb, (rows, at), dhb_at)
-        go_f = np.einsum("bth,btl->hl", hf, d)
-        go_b = np.einsum("bth,btl->hl", hb_at, d)
-        grads = [*_backward(model.forward, x, fwd[1], dhf.transpose(1, 0, 2)), go_f, *_backward(model.backward, back, bwd[1], dhb.transpose(1, 0, 2)), go_b, d.sum(axis=(0, 1))]
+        target = rng.choice(len(labels), batch, replace=False) if few else np.repeat(np.arange(len(labels)), each)
+        x = np.stack([codes[k][(at := rng.integers(0, len(codes[k]) - width + 1)) : at + width] for k in target], axis=1).astype(np.intp)
+        hf, fwd = _run(model.forward, x, keep=True)
+        hb, bwd = _run(model.backward, x[::-1], keep=True)
+        d = _softmax(np.matmul(model.forward.o, hf) + np.matmul(model.backward.o, hb[::-1]) + model.bias[None, :, None])
+        d[:, target, np.arange(len(target))] -= 1
+        d /= x.size
+        go_f = np.einsum("tlb,thb->lh", d, hf)
+        go_b = np.einsum("tlb,thb->lh", d, hb[::-1])
+        grads = [*_backward(model.forward, x, fwd, np.matmul(model.forward.o.T, d)), go_f, *_backward(model.backward, x[::-1], bwd, np.matmul(model.backward.o.T, d[::-1])), go_b, d.sum(axis=(0, 2))]
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
-        rate = 0.02 * min(1.0, 2 * (1 - step / (steps + 1)))
+        pace = 0.02 * min(1.0, 2 * (1 - step / (steps + 1)))
         for p, g, a, b in zip(params, grads, m, v, strict=True):
             g = g * min(1.0, 1.0 / max(norm, 1e-9))
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
-            p -= (rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+            p -= (pace * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return model
 
 
 class Labeller:
-    """Pools documents; remembers the runs it has labelled, up to a fixed number."""
-
-    def __init__(self, model: Model, remembered: int = 400_000):
-        self.model, self.remembered = model, remembered
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.model.labels) + 1), dtype=np.float32)
-
-    def learn(self, words: set[str]) -> None:
-        new = sorted(words)
-        start = len(self.at)
-        while start + len(new) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[start : start + len(new)] = label_positions(self.model, new)
-        letters = np.fromiter((any(map(str.isalpha, w)) for w in new), dtype=bool, count=len(new))
-        self.rows[start : start + len(new)][~letters] = 0
-        self.at.update(zip(new, range(start, start + len(new)), strict=True))
+    """Pools documents' positions."""
+
+    def __init__(self, model: Model):
+        self.model = model
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        if not self.model.labels:
-            return [(UND, 0.0)] * len(texts)
-        out = []
-        for text in texts:
-            total = np.zeros(len(self.model.labels) + 1)
-            runs = segments(text) if text else []
-            for k in range(0, len(runs), 1 << 18):  # a very long text in blocks
-                part = runs[k : k + (1 << 18)]
-                new = {w for w in part if w not in self.at}
-                if new:
-                    if len(self.at) + len(new) > self.remembered:
-                        self.clear()
-                        new = set(part)
-                    self.learn(new)
-                total += self.rows[np.fromiter(map(self.at.__getitem__, part), dtype=np.int64, count=len(part))].sum(axis=0, dtype=np.float64)
-            if total[-1] == 0:
-                out.append((UND, 0.0))
-            else:
-                p = total[:-1] / total[-1]
-                k = int(p.argmax())
-                out.append((self.model.labels[k], float(min(1.0, max(0.0, p[k])))))
+        """Label and probability of each text; documents are laid out together up to BLOCK bytes."""
+        out: list[tuple[str, float]] = [(UND, 0.0)] * len(texts)
+        held: list[tuple[int, bytes]] = []
+        size = 0
+        for k, t in enumerate(texts):
+            if t and self.model.labels and has_letter(t):
+                held.append((k, t.lower().encode("utf-8", "replace")))
+                size += len(held[-1][1])
+                if size >= BLOCK:
+                    self._pool(held, out)
+                    held, size = [], 0
+        self._pool(held, out)
         return out
 
-    def ahead(self, texts: list[str | None]) -> None:
-        """Label the new runs of several short texts at once: fewer, larger matrix products."""
-        new = {w for t in texts if t and len(t) < 1 << 20 for w in segments(t) if w not in self.at}
-        if new and len(self.at) + len(new) <= self.remembered:
-            self.learn(new)
+    def _pool(self, held: list[tuple[int, bytes]], out: list[tuple[str, float]]) -> None:
+        if not held:
+            return
+        total = np.zeros((len(held), len(self.model.labels)))
+        for doc, _, p, letters in position_labels(self.model, [b for _, b in held]):
+            np.add.at(total, doc, np.einsum("tlb,tb->bl", p, letters.astype(np.float32)))
+        total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-30)
+        best = total.argmax(axis=1)
+        for (k, _), b, p in zip(held, best, total, strict=True):
+            out[k] = (self.model.labels[b], float(min(1.0, max(0.0, p[b]))))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
@@ -243,22 +244,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
         for batch in batches:
             found = []
             for k in range(0, len(batch), 512):
-                texts = batch.slice(k, 512).to_pylist()
-                who.ahead(texts)
-                found += who.predict(texts)
+                found += who.predict(batch.slice(k, 512).to_pylist())
             yield pa.StructArray.from_arrays([pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], ["lang", "score"])
 
     return run(F.col(text))
 
 
-def fit(docs: DataFrame, key: Column, text: str = "text", lang: str = "lang", per_label: int = 300, window: int = 3000, **how) -> Model:
-    """Train on a bounded sample: about per_label rows for each label, a window of that many characters each
-    (from a place chosen by the row's hash). Rows without a label or a text are ignored."""
-    rows = docs.select(key.alias("__key"), F.col(text).alias("__text"), F.col(lang).alias("__lang")).filter("__lang is not null and __text is not null")
-    rows = bounded_sample(rows, F.col("__key"), "__lang", per_label)
-    start = F.pmod(F.xxhash64("__key", F.lit("at")), F.greatest(F.length("__text") - window, F.lit(1))) + 1
-    got = rows.select("__key", "__lang", F.substr("__text", start.cast("int"), F.lit(window)).alias("__text")).collect()
-    return train([(r["__text"], r["__lang"]) for r in sorted(got, key=lambda r: (str(r["__key"]), r["__text"]))], **how)
+def fit(docs: DataFrame, key: Column, text: str = "text", lang: str = "lang", rows: int = 1200, windows: int = 3, window: int = 1000, **how) -> Model:
+    """Train on a bounded sample: about `rows` rows (2 * rows at most) dealt evenly over the labels, of each `windows`
+    windows of that many characters from places chosen by the row's hash. Rows without a label or a text are ignored."""
+    mark = F.xxhash64(key, F.col(text), F.lit("sample"))
+    some = docs.select(mark.alias("__m"), F.col(text).alias("__text"), F.col(lang).alias("__lang")).filter("__lang is not null and __text is not null")
+    start = lambda k: F.pmod(F.xxhash64("__m", F.lit(k)), F.greatest(F.length("__text") - window, F.lit(1))) + 1
+    cut = F.concat_ws("\n", *[F.substr("__text", start(k).cast("int"), F.lit(window)) for k in range(windows)])
+    got = bounded_sample(some.select("__m", "__lang", cut.alias("__text")), F.col("__m"), "__lang", rows).select("__m", "__lang", "__text").collect()
+    return train([(r["__text"], r["__lang"]) for r in sorted(got, key=lambda r: (r["__m"], r["__text"]))], **how)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -14,6 +14,9 @@ from siftstone.llm.common import held_out
 #: Where the tokenizer model is; a parameter of the operator, read on the driver only.
 PIECES = os.environ.get("SIFTSTONE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
+#: Pages are of some kilobytes: beyond this size their records are segmented.
+CHUNK = 4096
+
 RULES = [urlfilter.Rule("com", "/", "allow"), urlfilter.Rule("example.com", "/en/", "block"), urlfilter.Rule("www.example.com", "/en/", "allow"), urlfilter.Rule("net", "/es/", "block"), urlfilter.Rule("net", "/fr/", "block")]
 
 
@@ -29,7 +32,7 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_pages(spark, warc.write(_table(spark, sf_dir, "pages")))
+    return warc.read_pages(spark, warc.write(_table(spark, sf_dir, "pages"), chunk=CHUNK))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,23 +96,6 @@ SQL = {
                CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM q""",
-    "op3_mixing": r"""
-        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                          substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16) AS key FROM documents),
-        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
-        w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::INT] AS w, source_size * 2.0 AS most FROM s),
-        l AS (SELECT *, row_number() OVER o AS pos,
-                     (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-                     / (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
-              FROM w WINDOW o AS (ORDER BY most / w, source IS NULL, encode(source))),
-        f AS (SELECT arg_min(level, pos) AS level FROM l WHERE most >= level * w),
-        t AS (SELECT source, source_size, least(most, (SELECT level FROM f) * w)::DOUBLE AS target FROM l),
-        r AS (SELECT *, least(floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END + 1e-9), 2)::BIGINT AS whole FROM t),
-        e AS (SELECT *, greatest(target - whole * source_size, 0) AS extra FROM r),
-        c AS (SELECT d.*, e.source_size, e.target, e.whole, e.extra,
-                     sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto
-              FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
-        SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN extra > 0 AND upto - size / 2 <= extra THEN 1 ELSE 0 END))::BIGINT AS taken FROM c""",
     "op5_ann": """
         WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2])) AS score

@@ -1,10 +1,14 @@
 """WARC archives as tables of chunks.
 
-Writing: a payload up to CHUNK bytes is one record; a larger one is a segmented record, a row for each chunk
-(record id and chunk number) with the digest carried from chunk to chunk, so that no task builds a whole
-record. Every row is one WARC record and ends with an empty line, which is the row separator of Spark's text
-writer: archives are therefore written by Spark's own committer to any store, gzipped, and survive a lost
-executor. Reading goes by Content-Length, never by what a payload may contain.
+Writing: a payload up to `chunk` bytes is one record; a larger one is a segmented record, a row for each chunk
+(record and chunk number) with the digest carried from chunk to chunk, so that no step after the first cut holds
+a whole record. Every row is one WARC record and ends with an empty line, which is the row separator of Spark's
+text writer: archives are therefore written by Spark's own committer to any store, gzipped, and survive a lost
+executor. Reading goes by Content-Length, never by what a payload may contain; a record's segments follow one
+another in one archive, so the reader, too, carries one digest along and holds one segment.
+
+Every input row is a record of its own: its id is made of page id, payload digest and a number among the rows
+that are equal in both. Rows that repeat an id, with the same payload or others, and rows without one do not meet.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftstone.llm.common import fresh_path, materialize
@@ -25,6 +29,8 @@ CHUNK = 1 << 20
 #: Bytes of uncompressed records that one archive holds, about.
 ARCHIVE = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
+#: Parts that the rows of a much repeated (id, payload) are dealt into.
+PARTS = 16
 
 
 def base32(hex_digest: Column) -> Column:
@@ -38,31 +44,31 @@ def payload(html: str) -> Column:
 
 
 def chunks(rows: DataFrame, size: int = CHUNK) -> DataFrame:
-    """rows (id, body binary) -> id, chunk_no, n_chunks, body: the chunk table, in order within each record."""
+    """rows (body binary and others) -> the same with chunk_no and n_chunks, body cut: in order within each record."""
     n = F.greatest(F.ceil(F.length("body") / F.lit(size)).cast("int"), F.lit(1))
-    cut = rows.select("id", "body", n.alias("n_chunks"), F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_no"))
-    return cut.select("id", "chunk_no", "n_chunks", F.substring("body", F.col("chunk_no") * size + 1, F.lit(size)).alias("body"))
+    cut = rows.select("*", n.alias("n_chunks")).select("*", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk_no"))
+    return cut.withColumn("body", F.substring("body", F.col("chunk_no") * size + 1, F.lit(size)))
 
 
 def chunk_digests(table: DataFrame) -> DataFrame:
     """The chunk table, in order within each partition, with running: hex SHA-1 of the record up to the chunk.
 
-    One hash state goes from chunk to chunk; only one chunk is in memory beside its batch."""
+    One hash state goes from chunk to chunk; only one batch of chunks is in memory."""
+    names = table.columns
+    no_at, body_at = names.index("chunk_no"), names.index("body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, of = hashlib.sha1(), None
+        state = hashlib.sha1()
         for batch in batches:
             out = []
-            for k in range(batch.num_rows):
-                ident, no = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                if no == 0 or ident != of:
-                    state, of = hashlib.sha1(), ident
-                state.update(batch.column(3)[k].as_buffer())
+            for no, body in zip(batch.column(no_at).to_pylist(), batch.column(body_at), strict=True):
+                if no == 0:
+                    state = hashlib.sha1()
+                state.update(body.as_buffer())
                 out.append(state.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(out, pa.string())], ["id", "chunk_no", "n_chunks", "body", "running"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*names, "running"])
 
-    kind = dict(table.dtypes)["id"]
-    return table.select("id", "chunk_no", "n_chunks", "body").mapInArrow(run, f"id {kind}, chunk_no int, n_chunks int, body binary, running string")
+    return table.mapInArrow(run, ", ".join(f"`{k}` {t}" for k, t in table.dtypes) + ", running string")
 
 
 class Archive(NamedTuple):
@@ -72,69 +78,89 @@ class Archive(NamedTuple):
     parts: tuple[str, ...]
 
 
-def digests(pages: DataFrame, page_id: str = "page_id", html: str = "html", url: str = "url", chunk: int = CHUNK) -> DataFrame:
-    """id, n_bytes, digest (base32 SHA-1 of the payload): one row for each page, written once. Payloads over
-    chunk bytes are hashed chunk by chunk."""
-    rows = pages.select(F.col(page_id).alias("id"), payload(html).alias("body"))
-    small = rows.filter(F.length("body") <= chunk).select("id", F.length("body").cast("long").alias("n_bytes"), base32(F.sha1("body")).alias("digest"))
-    large = chunk_digests(chunks(rows.filter(F.length("body") > chunk), chunk))
-    large = large.withColumn("n", F.length("body").cast("long") + F.col("chunk_no").cast("long") * chunk)
-    large = large.filter(F.col("chunk_no") == F.col("n_chunks") - 1).select("id", F.col("n").alias("n_bytes"), base32(F.col("running")).alias("digest"))
-    return materialize(small.unionByName(large), "digests")
+def _key() -> Column:
+    return F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("digest"))
 
 
-def _header(kind: Column, fields: list[tuple[str, Column]]) -> Column:
-    lines = [F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")) for name, value in fields]
-    return F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), kind, F.lit("\r\n"), *[F.coalesce(x, F.lit("")) for x in lines], F.lit("\r\n"))
+def _rows(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
+    uri = F.regexp_replace(F.coalesce(F.col(url).cast("string"), F.lit("")), r"[\r\n]", " ")
+    rows = pages.select(F.col(page_id).alias("id"), uri.alias("uri"), payload(html).alias("body"))
+    return rows.select("id", "uri", "body", F.length("body").cast("long").alias("n_bytes"), base32(F.sha1("body")).alias("digest"))
 
 
-def _urn(ident: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(ident.cast("string"), F.lit("null")), F.lit(">"))
+def kinds(table: DataFrame, min_bytes: int) -> DataFrame:
+    """table (id, digest, n_bytes), a row a page -> key, refers_to, n: a row for each (id, payload); refers_to: the
+    page whose payload it repeats, null for responses; n: how many rows there are."""
+    first = table.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"))
+    types = table.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).join(first, "digest", "left")
+    return types.select(_key().alias("key"), F.when(F.col("id").isNull() | (F.col("id") != F.col("first")), F.col("first")).alias("refers_to"), "n")
+
+
+def _records(rows: DataFrame) -> Column:
+    """The WARC record of each row of (id, uri, digest, n_bytes, refers_to, k, chunk_no, n_chunks, running, body)."""
+    again, cut = F.col("refers_to").isNotNull(), F.col("n_chunks") > 1
+    text = lambda c: F.url_encode(F.col(c)) if dict(rows.dtypes)[c] == "string" else F.col(c).cast("string")
+    urn = lambda ident, *more: F.concat(F.lit("<urn:page:"), F.coalesce(ident, F.lit("")), F.lit(":"), F.col("digest"), *more, F.lit(">"))
+    own = urn(text("id"), F.lit(":"), F.col("k").cast("string"))
+    fields = {
+        "WARC-Record-ID": F.when(F.col("chunk_no") == 0, own).otherwise(urn(text("id"), F.lit(":"), F.col("k").cast("string"), F.lit(":"), (F.col("chunk_no") + 1).cast("string"))),
+        "WARC-Date": F.lit(DATE),
+        "WARC-Target-URI": F.when(F.col("uri") != "", F.col("uri")),
+        "WARC-Payload-Digest": F.concat(F.lit("sha1:"), F.col("digest")),
+        "WARC-Refers-To": F.when(again, urn(text("refers_to"), F.lit(":0"))),
+        "WARC-Profile": F.when(again, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+        "WARC-Segment-Number": F.when(cut, F.col("chunk_no") + 1),
+        "WARC-Segment-Origin-ID": F.when(F.col("chunk_no") > 0, own),
+        "WARC-Segment-Total-Length": F.when(cut & (F.col("chunk_no") == F.col("n_chunks") - 1), F.col("n_bytes")),
+        "X-Running-Digest": F.when(cut, F.concat(F.lit("sha1:"), base32(F.col("running")))),
+        "X-Payload-Length": F.col("n_bytes"),
+        "X-Page-ID": text("id"),
+        "X-Refers-To-Page": text("refers_to"),
+        "Content-Type": F.lit("text/html"),
+        "Content-Length": F.length("body"),
+    }
+    lines = [F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit("")) for name, value in fields.items()]
+    kind = F.when(again, "revisit").when(F.col("chunk_no") == 0, "response").otherwise("continuation")
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), kind, F.lit("\r\n"), *lines, F.lit("\r\n"))
+    return F.concat(F.encode(head, "utf-8"), F.col("body")).cast("string")
 
 
 def write(pages: DataFrame, path: str | None = None, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, chunk: int = CHUNK, archive: int = ARCHIVE) -> Archive:
     """Write one record for each page; payload: html in UTF-8 (null: empty).
 
     Of equal payloads of min_bytes or more, the one with the smallest page_id is a response and the others
-    revisit it (rows that repeat that page_id are responses too; if all ids are null, all are). The digest
-    table is narrow; payloads are shuffled once, by page, into archives of about `archive` bytes."""
-    path = path or fresh_path(pages.sparkSession, "warc")
-    table = digests(pages, page_id, html, url, chunk)
-    first = table.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"))
-    types = table.select("id", "digest", "n_bytes").distinct().join(first, "digest", "left")
-    types = types.select("id", "digest", "n_bytes", F.when(F.col("id").isNull() | (F.col("id") != F.col("first")), F.col("first")).alias("refers_to"))
-    types = materialize(types.select(F.col("id").alias("tid"), F.col("digest").alias("tdigest"), "n_bytes", "refers_to"), "types")
-    total = table.agg(F.sum(F.col("n_bytes") + 400), F.count(F.lit(1))).first()
-    n = max(1, -(-(total[0] or 0) // archive), min(table.sparkSession.sparkContext.defaultParallelism, (total[1] or 0) // 256))
-    rows = pages.select(F.col(page_id).alias("id"), F.col(url).alias("uri"), payload(html).alias("body"))
-    uri = F.regexp_replace(F.coalesce("uri", F.lit("")), r"[\r\n]", " ")
-    small = rows.filter(F.length("body") <= chunk).select("id", uri.alias("uri"), "body", base32(F.sha1("body")).alias("digest"))
-    # one plain key on both sides: with several, or null-safe ones, the join would deal the payloads out a second time
-    key = lambda ident, digest: F.concat_ws(":", F.coalesce(F.col(ident).cast("string"), F.lit("null")), digest)
-    small = small.withColumn("key", key("id", "digest")).repartition(int(n), "key").join(types.withColumn("key", key("tid", "tdigest")).repartition(int(n), "key"), "key")
-    again = F.col("refers_to").isNotNull()
-    body = F.when(again, F.lit(b"")).otherwise(F.col("body"))
-    common = [("WARC-Date", F.lit(DATE)), ("WARC-Target-URI", F.when(F.col("uri") != "", F.col("uri"))), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))]
-    head = _header(F.when(again, "revisit").otherwise("response"), [("WARC-Record-ID", _urn(F.col("id"))), *common, ("WARC-Refers-To", F.when(again, _urn(F.col("refers_to")))), ("WARC-Profile", F.when(again, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))), ("X-Payload-Length", F.col("n_bytes")), ("Content-Type", F.lit("text/html")), ("Content-Length", F.length(body))])
-    record = F.concat(F.encode(head, "utf-8"), body).cast("string").alias("value")
-    parts = [f"{path}/whole"]
-    small.select(record).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(parts[0])
-    big = rows.filter(F.length("body") > chunk).select("id", uri.alias("uri"), "body")
-    if not big.isEmpty():
-        parts.append(f"{path}/segmented")
-        cut = chunk_digests(chunks(big.select("id", "body"), chunk))
-        # each chunk's record carries the digest of all bytes up to its end; the last one's is the payload's
-        seg = F.col("chunk_no") + 1
-        last = F.col("chunk_no") == F.col("n_chunks") - 1
-        uris = big.select(F.col("id").alias("uid"), "uri").distinct()
-        kinds = types.filter(F.col("n_bytes") > chunk)
-        cut = cut.withColumn("running", base32(F.col("running"))).join(uris, F.col("id").eqNullSafe(F.col("uid")), "left").join(kinds.groupBy("tid").agg(F.max("n_bytes").alias("n_bytes"), F.max("tdigest").alias("tdigest"), F.max("refers_to").alias("refers_to")), F.col("id").eqNullSafe(F.col("tid")), "left")
-        again = F.col("refers_to").isNotNull()
-        cut = cut.filter(~again | (F.col("chunk_no") == 0))
-        body = F.when(again, F.lit(b"")).otherwise(F.col("body"))
-        head = _header(F.when(again, "revisit").when(F.col("chunk_no") == 0, "response").otherwise("continuation"), [("WARC-Record-ID", F.concat(_urn(F.col("id")), F.when(again, "").otherwise(F.concat(F.lit(";"), seg)))), ("WARC-Date", F.lit(DATE)), ("WARC-Target-URI", F.when(F.col("uri") != "", F.col("uri"))), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("tdigest"))), ("WARC-Refers-To", F.when(again, _urn(F.col("refers_to")))), ("WARC-Segment-Number", F.when(~again, seg)), ("WARC-Segment-Origin-ID", F.when(~again & (F.col("chunk_no") > 0), F.concat(_urn(F.col("id")), F.lit(";1")))), ("WARC-Segment-Total-Length", F.when(~again & last, F.col("n_bytes"))), ("X-Running-Digest", F.when(~again, F.concat(F.lit("sha1:"), F.col("running")))), ("X-Payload-Length", F.col("n_bytes")), ("Content-Type", F.lit("text/html")), ("Content-Length", F.length(body))])
-        cut.select(F.concat(F.encode(head, "utf-8"), body).cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", max(1, archive // chunk)).text(parts[1])
-    return Archive(path, tuple(parts))
+    revisit it (rows that repeat that page_id are responses too; if all ids are null, all are). Payloads over
+    chunk bytes are segmented. The table of kinds is narrow; payloads are shuffled once, by (id, payload), into
+    archives of about `archive` bytes; a pair that makes up a thousandth of the rows or more is dealt into PARTS.
+    An empty table gives no records; other columns of pages are ignored."""
+    spark = pages.sparkSession
+    path = path or fresh_path(spark, "warc")
+    rows = _rows(pages, page_id, url, html)
+    table = materialize(rows.select("id", "digest", "n_bytes"), "digests")
+    types = materialize(kinds(table, min_bytes), "kinds")
+    large = F.col("n_bytes") > chunk
+    sums = table.groupBy(large.alias("large")).agg(F.sum(F.col("n_bytes") + 400).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in sums)
+    hot = [r["key"] for r in types.filter(F.col("n") >= max(1000, total // 1000)).select("key").collect()]  # 1,000 at most
+    some = F.col("key").isin(hot) if hot else F.lit(False)
+    types = types.withColumn("part", F.explode(F.when(some, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    rows = rows.withColumn("key", _key()).withColumn("part", F.when(some, F.pmod(F.spark_partition_id(), F.lit(PARTS))).otherwise(0))
+    written = []
+    for r in sorted(sums, key=lambda r: r["large"]):
+        n = int(max(1, -(-r["bytes"] // archive), min(spark.sparkContext.defaultParallelism, r["n"] // 256)))
+        of = rows.filter(large if r["large"] else ~large)
+        # both sides are dealt out by one key: with several, or null-safe ones, the join would deal the payloads out again
+        of = of.repartition(n, "key", "part").join(types.repartition(n, "key", "part"), ["key", "part"])
+        nth = F.count(F.lit(1)).over(Window.partitionBy("key", "part").rowsBetween(Window.unboundedPreceding, 0))
+        of = of.withColumn("k", (nth - 1) * PARTS + F.col("part")).drop("key", "part")
+        of = of.withColumn("body", F.when(F.col("refers_to").isNotNull(), F.lit(b"")).otherwise(F.col("body")))
+        if r["large"]:
+            of = chunk_digests(chunks(of, chunk))
+        else:
+            of = of.withColumns({"chunk_no": F.lit(0), "n_chunks": F.lit(1), "running": F.lit("")})
+        written.append(f"{path}/{'segmented' if r['large'] else 'whole'}")
+        of.select(_records(of).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(written[-1])
+    return Archive(path, tuple(written))
 
 
 _FIELD = re.compile(rb"([A-Za-z-]+): ([^\r\n]*)\r\n")
@@ -159,65 +185,90 @@ def parse(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
                 return True
         return False
 
+    at = 0  # where the record at hand begins in held
     while True:
-        while (at := held.find(b"\r\n\r\n")) < 0:
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
             if not more():
-                if held.strip():
+                if held[at:].strip():
                     raise ValueError("an archive ends within a header")
                 return
-        head = {a.decode(): b.decode("utf-8", "replace") for a, b in _FIELD.findall(bytes(held[: at + 2]))}
-        end = at + 4 + int(head["Content-Length"])
+        head = {a.decode(): b.decode("utf-8", "replace") for a, b in _FIELD.findall(bytes(held[at : end + 2]))}
+        start = end + 4
+        end = start + int(head["Content-Length"])
         while len(held) < end + 4:
             if not more():
                 raise ValueError("an archive ends within a record")
-        body = bytes(held[at + 4 : end])
         if held[end : end + 4] != b"\r\n\r\n":
             raise ValueError("a record does not end where its length says")
-        del held[: end + 4]
-        yield head, body
+        yield head, bytes(held[start:end])
+        at = end + 4
+        if at > 1 << 20:
+            del held[:at]
+            at = 0
 
 
-_OUT = "record_id string, chunk_no int, record_type string, refers_to string, n_bytes long, payload_bytes long, payload_digest string, sha1 string, body binary"
+_OUT = "record_id string, page_id string, chunk_no int, last boolean, record_type string, refers_to string, n_bytes long, so_far long, running string, payload_bytes long, payload_digest string, body binary"
 
 
-def read(spark, archive: Archive, bodies: str = "segments") -> DataFrame:
-    """The chunk table of archives: a row for each WARC record, with its own length and SHA-1 from the bytes read.
+def read(spark: SparkSession, archive: Archive, bodies: bool = True) -> DataFrame:
+    """The chunk table of archives: a row for each WARC record: its own length, and length and SHA-1 (base32) of the
+    payload up to its end (so_far, running), from the bytes read. With bodies, these come along.
 
-    bodies: which payload bytes come along: "all", "segments" (those of segmented records) or "none"."""
+    Archives that are cut short, in which a segment is missing, or whose bytes belie a digest are refused."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import base64
+
         names = [x.split()[0] for x in _OUT.split(", ")]
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+        types = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary()}
+        kinds = [types[x.split()[1]] for x in _OUT.split(", ")]
+        pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
         for batch in batches:
-            for k in range(batch.num_rows):
-                rows, held = [], 0
-                for head, body in parse(memoryview(batch.column(0)[k].as_buffer())):
-                    ident, _, seg = head["WARC-Record-ID"].partition(";")
-                    unurn = lambda x: x[len("<urn:page:") :].rstrip(">") if x else None
-                    with_body = bodies == "all" or (bodies == "segments" and "WARC-Segment-Number" in head)
-                    rows.append((unurn(ident), int(seg or 1) - 1, head["WARC-Type"], unurn(head.get("WARC-Refers-To")), len(body), int(head["X-Payload-Length"]), head["WARC-Payload-Digest"][5:], hashlib.sha1(body).hexdigest(), body if with_body else None))
-                    held += len(body) if with_body else 200
+            for content in batch.column(0):
+                rows, held, of, number, state, so_far = [], 0, None, 0, hashlib.sha1(), 0
+                for head, body in parse(memoryview(content.as_buffer())):
+                    segment = int(head.get("WARC-Segment-Number", 1))
+                    origin = head.get("WARC-Segment-Origin-ID", head["WARC-Record-ID"])
+                    if segment != (number + 1 if of is not None else 1) or of not in (None, origin):
+                        raise ValueError(f"a segment is missing before {head['WARC-Record-ID']}")
+                    if segment == 1:
+                        state, so_far = hashlib.sha1(), 0
+                    state.update(body)
+                    so_far += len(body)
+                    last = "WARC-Segment-Number" not in head or "WARC-Segment-Total-Length" in head
+                    of, number = (None, 0) if last else (origin, segment)
+                    running = base64.b32encode(state.digest()).decode()
+                    digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
+                    if last and head["WARC-Type"] != "revisit" and running != digest:
+                        raise ValueError(f"the payload of {origin} is not that of its digest")
+                    rows.append((origin, head.get("X-Page-ID"), segment - 1, last, head["WARC-Type"], head.get("X-Refers-To-Page"), len(body), so_far, running, int(head["X-Payload-Length"]), digest, body if bodies else None))
+                    held += len(body) + 400 if bodies else 400
                     if held > 8 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                        yield pack(rows)
                         rows, held = [], 0
+                if of is not None:
+                    raise ValueError(f"{of} ends without its last segment")
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    yield pack(rows)
 
+    if not archive.parts:
+        return spark.createDataFrame([], _OUT)
     files = spark.read.format("binaryFile").load(list(archive.parts)).select("content")
     return files.mapInArrow(run, _OUT)
 
 
-def read_pages(spark, archive: Archive, id_type: str = "bigint") -> DataFrame:
+def read_pages(spark: SparkSession, archive: Archive, id_type: str = "bigint") -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to: one row for each page of the archives.
 
-    A response's length and digest are computed from what was read; segments are brought together by record and
-    hashed in order, chunk by chunk. A revisit has those of its header."""
-    found = read(spark, archive)
-    is_seg = F.col("body").isNotNull()
-    whole = found.filter(~is_seg).select("record_id", F.when(F.col("record_type") == "revisit", F.col("payload_bytes")).otherwise(F.col("n_bytes")).alias("payload_bytes"), F.when(F.col("record_type") == "revisit", F.col("payload_digest")).otherwise(base32(F.col("sha1"))).alias("payload_digest"), "record_type", "refers_to")
-    if any(p.endswith("/segmented") for p in archive.parts):
-        segs = found.filter(is_seg).select(F.col("record_id").alias("id"), "chunk_no", F.lit(0).alias("n_chunks"), "body").repartition("id").sortWithinPartitions("id", "chunk_no")
-        run = chunk_digests(segs).groupBy("id").agg(F.sum(F.length("body").cast("long")).alias("payload_bytes"), F.max_by("running", "chunk_no").alias("hex"))
-        whole = whole.unionByName(run.select(F.col("id").alias("record_id"), "payload_bytes", base32(F.col("hex")).alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("string").alias("refers_to")))
-    ident = lambda c: F.when(F.col(c) != "null", F.col(c)).cast(id_type)
-    return whole.select(ident("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", ident("refers_to").alias("refers_to"))
+    A response's length and digest are computed from what was read, over all its segments; a revisit has those
+    of its header. id_type is that of the pages written."""
+    found = read(spark, archive, bodies=False).filter("last")
+    again = F.col("record_type") == "revisit"
+    ident = lambda c: F.url_decode(F.col(c)) if id_type == "string" else F.col(c).cast(id_type)
+    return found.select(
+        ident("page_id").alias("page_id"),
+        F.when(again, F.col("payload_bytes")).otherwise(F.col("so_far")).alias("payload_bytes"),
+        F.when(again, F.col("payload_digest")).otherwise(F.col("running")).alias("payload_digest"),
+        F.when(again, "revisit").otherwise("response").alias("record_type"),
+        ident("refers_to").alias("refers_to"),
+    )
