@@ -123,34 +123,33 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def stretches(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All bytes of the documents in a row, and for each stretch: its document, its start and its length there."""
-    flat = np.frombuffer(b"".join(data), dtype=np.uint8)
+    """The bytes of the documents, with PADs around each; for each stretch its document, its start there and its length."""
     n = np.array([len(b) for b in data], dtype=np.int64)
+    first = AROUND + np.cumsum(n + LENGTH + AROUND) - (n + LENGTH + AROUND)
+    flat = np.full(int((n + LENGTH + AROUND).sum()) + 2 * AROUND, PAD, dtype=np.intp)
+    for b, at in zip(data, first.tolist(), strict=True):
+        flat[at : at + len(b)] = np.frombuffer(b, dtype=np.uint8)
     per = -(-n // LENGTH)
     doc = np.repeat(np.arange(len(data)), per)
-    nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-    offset = np.cumsum(n) - n
-    return flat, doc, offset[doc] + nth * LENGTH, np.minimum(LENGTH, n[doc] - nth * LENGTH)
+    start = (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * LENGTH
+    return flat, first, doc, start
 
 
 def position_labels(model: Model, data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """In batches of stretches: their documents (B), starts (B), probabilities (T x L x B) of each of their positions,
     and which of these are letters of the document (T x B)."""
-    flat, doc, start, length = stretches(data)
-    n = np.array([len(b) for b in data], dtype=np.int64)
-    end = np.cumsum(n)
+    flat, first, doc, start = stretches(data)
+    length = np.minimum(LENGTH, np.array([len(b) for b in data], dtype=np.int64)[doc] - start)
     for part in np.array_split(np.argsort(-length, kind="stable"), max(1, -(-len(doc) // BATCH))):
         if not len(part):
             continue
         longest, d = int(length[part].max()), doc[part]
-        at = start[part][None, :] + np.arange(-AROUND, longest + AROUND)[:, None]
-        x = np.where((at >= (end - n)[d][None, :]) & (at < end[d][None, :]), flat[np.clip(at, 0, len(flat) - 1)].astype(np.intp), PAD)
-        del at
+        x = flat[(first[d] + start[part])[None, :] + np.arange(-AROUND, longest + AROUND)[:, None]]
         hf = _run(model.forward, x[: AROUND + longest])[AROUND:]
         hb = _run(model.backward, x[AROUND:][::-1])[AROUND:][::-1]
         p = _softmax(np.matmul(model.forward.o, hf) + np.matmul(model.backward.o, hb) + model.bias[None, :, None])
         inside = np.arange(longest)[:, None] < length[part][None, :]
-        yield d, start[part] - (end - n)[d], p, inside & _IN_LETTER[x[AROUND : AROUND + longest]]
+        yield d, start[part], p, inside & _IN_LETTER[x[AROUND : AROUND + longest]]
 
 
 def train(examples: list[tuple[str, str]], hidden: int = 16, steps: int = 300, batch: int = 160, width: int = 48, seed: int = 7) -> Model:
