@@ -143,15 +143,17 @@ def write(pages: DataFrame, path: str | None = None, page_id: str = "page_id", u
     total = sum(r["n"] for r in sums)
     hot = [r["key"] for r in types.filter(F.col("n") >= max(1000, total // 1000)).select("key").collect()]  # 1,000 at most
     some = F.col("key").isin(hot) if hot else F.lit(False)
-    types = types.withColumn("part", F.explode(F.when(some, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    types = types.withColumn("p", F.explode(F.when(some, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))))
+    types = types.select(F.concat_ws(":", "key", "p").alias("key"), "refers_to")
     rows = rows.withColumn("key", _key()).withColumn("part", F.when(some, F.pmod(F.spark_partition_id(), F.lit(PARTS))).otherwise(0))
+    rows = rows.withColumn("key", F.concat_ws(":", "key", "part"))
     written = []
     for r in sorted(sums, key=lambda r: r["large"]):
         n = int(max(1, -(-r["bytes"] // archive), min(spark.sparkContext.defaultParallelism, r["n"] // 256)))
         of = rows.filter(large if r["large"] else ~large)
         # both sides are dealt out by one key: with several, or null-safe ones, the join would deal the payloads out again
-        of = of.repartition(n, "key", "part").join(types.repartition(n, "key", "part"), ["key", "part"])
-        nth = F.count(F.lit(1)).over(Window.partitionBy("key", "part").rowsBetween(Window.unboundedPreceding, 0))
+        of = of.repartition(n, "key").join(types.repartition(n, "key"), "key")
+        nth = F.count(F.lit(1)).over(Window.partitionBy("key").rowsBetween(Window.unboundedPreceding, 0))
         of = of.withColumn("k", (nth - 1) * PARTS + F.col("part")).drop("key", "part")
         of = of.withColumn("body", F.when(F.col("refers_to").isNotNull(), F.lit(b"")).otherwise(F.col("body")))
         if r["large"]:
