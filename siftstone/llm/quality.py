@@ -1,7 +1,8 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions alone.
 
-Base rules are fixed. Beyond them, each statistic has a grid of cutoffs. A path through the grids is fixed
-beforehand: from the loosest cutoffs to the strictest, each step tightens one rule by one cutoff, the rules in turn.
+Base rules are fixed. Beyond them, each statistic has a grid of cutoffs. A path through the grids leads from no cutoff
+to the strictest ones, each step tightening one rule by one cutoff. It is chosen by documents that the tests do not use:
+each step is the one that rejects most of the documents labelled bad for the unlabelled ones that it rejects.
 In a stratum, a step is admitted if, of the labelled good documents there, so few exceed any of its cutoffs that the
 exact binomial test refutes a false-rejection rate of `risk` for all rules together at level `delta / strata`. Steps
 are nested, so testing them in order until one fails needs no division by their number, and none is left out by it.
@@ -11,6 +12,8 @@ documents; a stratum with too few labels to prove that (log(strata / delta) / ri
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +32,21 @@ RULES = {
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
     """doc_id, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words of every whole text.
 
-    Repeated windows are found by sorting the windows' hashes with their positions in the low bits: about
-    n log n work for n words, whatever repeats. Null texts count as empty."""
+    Repeated windows are found by sorting the windows' hashes with their positions in the low bits, about n log n work
+    for n words, and what these let pass is sorted by its words: counts are exact. Null texts count as empty."""
     t = docs.select(F.col(doc_id).alias("doc_id"), F.col(stratum).alias("stratum"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     t = t.select("doc_id", "stratum", F.regexp_count("t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"), F.array_remove(F.split("t", SPACE), "").alias("w"), F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    t = t.select("doc_id", "stratum", "n_symbols", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"), F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr("if(size(w) < 5, array(), transform(sequence(1, size(w) - 4), i -> xxhash64(slice(w, i, 5))))").cast("array<bigint>").alias("h"))
+    t = t.select("doc_id", "stratum", "n_symbols", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"), F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr("if(size(w) < 5, array(), transform(sequence(1, size(w) - 4), i -> xxhash64(slice(w, i, 5))))").cast("array<bigint>").alias("h"), "w")
     t = t.withColumn("dup", F.size(F.array_distinct("h")) < F.size("h")).withColumn("bits", F.ceil(F.log2(F.size("h") + 1.0)).cast("int"))
-    # hash in the high bits, position in the low ones; neighbours in order with equal hashes are repeats
+    # hash in the high bits, position in the low ones; neighbours in order with equal hashes may be repeats
     t = t.withColumn("p", F.expr("case when dup then sort_array(transform(h, (x, i) -> shiftleft(x, bits) | i)) end")).drop("h")
-    t = t.withColumn("q", F.expr("case when dup then sort_array(filter(transform(p, (x, i) -> if((i > 0 and shiftright(x, bits) = shiftright(p[greatest(i - 1, 0)], bits)) or (i < size(p) - 1 and shiftright(x, bits) = shiftright(p[least(i + 1, size(p) - 1)], bits)), x & (shiftleft(1L, bits) - 1), -1L)), x -> x >= 0)) end")).drop("p")
+    t = t.withColumn("q", F.expr("case when dup then filter(transform(p, (x, i) -> if((i > 0 and shiftright(x, bits) = shiftright(p[greatest(i - 1, 0)], bits)) or (i < size(p) - 1 and shiftright(x, bits) = shiftright(p[least(i + 1, size(p) - 1)], bits)), x & (shiftleft(1L, bits) - 1), -1L)), x -> x >= 0) end")).drop("p")
+    # those whose words are equal are: windows in order, with their places
+    t = t.withColumn("p", F.expr("case when dup then sort_array(transform(q, i -> struct(array_join(slice(w, cast(i as int) + 1, 5), ' ') as s, i as i))) end")).drop("q")
+    t = t.withColumn("q", F.expr("case when dup then sort_array(transform(filter(transform(p, (x, i) -> if((i > 0 and x.s = p[greatest(i - 1, 0)].s) or (i < size(p) - 1 and x.s = p[least(i + 1, size(p) - 1)].s), x.i, -1L)), x -> x >= 0), x -> x)) end")).drop("p", "w")
     repeats = F.expr("case when size(q) > 1 then 5L + aggregate(transform(q, (x, i) -> if(i = 0, 0L, least(5L, x - q[greatest(i - 1, 0)]))), 0L, (a, x) -> a + x) else 0L end")
-    return t.select("doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.coalesce(repeats, F.lit(0)).alias("n_repeat_words"))
+    # written, as what follows would else repeat the whole chain wherever it names a result
+    return materialize(t.select("doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.coalesce(repeats, F.lit(0)).alias("n_repeat_words")), "measured")
 
 
 def base_failed() -> Column:
@@ -55,30 +62,52 @@ def log_binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(0.0)).otherwise(log_term + F.log(total))
 
 
-def path() -> list[dict[str, float]]:
-    """The steps: for each rule its cutoff so far."""
-    steps: list[dict[str, float]] = []
-    for k in range(max(len(cuts) for _, cuts in RULES.values())):
-        for name, (_, cuts) in RULES.items():
-            if k < len(cuts):
-                steps.append({**(steps[-1] if steps else {}), name: cuts[-1 - k]})
+def level(name: str) -> Column:
+    """How many of a rule's cutoffs a document exceeds: cutoff k rejects it if that is more than k."""
+    stat, cuts = RULES[name]
+    return F.expr(" + ".join(f"cast(coalesce({stat} > {c}, false) as int)" for c in cuts))
+
+
+def path(cells: list[tuple[tuple[int, ...], int, int]]) -> list[tuple[int, ...]]:
+    """The steps: the index of each rule's cutoff (the number of its cutoffs for none yet).
+
+    cells: levels by rule, documents labelled bad, unlabelled documents. The next rule, and how far it is tightened, is
+    what has the best ratio of newly rejected bad to newly rejected unlabelled documents; where nothing more rejects a
+    bad one, the least tightened rule is next."""
+    sizes = [len(cuts) for _, cuts in RULES.values()]
+    now, steps, left = sizes.copy(), [], cells
+    while any(now):
+        found = []
+        for r in range(len(sizes)):
+            for k in range(now[r]):
+                hit = [c for c in left if c[0][r] > k]
+                found.append((sum(c[1] for c in hit) / (1 + sum(c[2] for c in hit)), now[r] / sizes[r], k, -r))
+        _, _, k, r = max(found)
+        left = [c for c in left if c[0][-r] <= k]
+        while now[-r] > k:
+            now[-r] -= 1
+            steps.append(tuple(now))
     return steps
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
     """stratum and, for each rule, its cutoff in the last admitted step (null for none); labels: doc_id, good."""
-    good = measured.filter(~base_failed()).join(labels.filter("good = 1").select(F.col("doc_id").alias("lid")).distinct(), F.col("doc_id") == F.col("lid"), "left_semi")
-    steps = path()
-    exceeds = [" or ".join(f"{RULES[name][0]} > {c}" for name, c in step.items()) for step in steps]
-    counts = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.expr(f"cast({e} as long)")).alias(f"k{i}") for i, e in enumerate(exceeds)])
+    names = list(RULES)
+    marks = labels.groupBy(F.col("doc_id").alias("lid")).agg(F.min("good").alias("good"))
+    known = measured.filter(~base_failed()).join(marks, F.col("doc_id") == F.col("lid"), "left")
+    cells = known.groupBy("stratum", *[level(n).alias(f"l_{n}") for n in names]).agg(*[F.sum(F.coalesce(c, F.lit(False)).cast("long")).alias(k) for k, c in {"good": F.col("good") == 1, "bad": F.col("good") != 1, "other": F.col("good").isNull()}.items()])
+    cells = materialize(cells, "cells")
+    pooled = cells.groupBy(*[f"l_{n}" for n in names]).agg(F.sum("bad").alias("bad"), F.sum("other").alias("other"))
+    steps = path([(tuple(r[f"l_{n}"] for n in names), r["bad"], r["other"]) for r in sorted(pooled.collect())])  # at most the product of the grids' sizes
+    exceeds = [" or ".join(f"l_{n} > {k}" for n, k in zip(names, step, strict=True)) for step in steps]
+    counts = cells.groupBy("stratum").agg(F.sum("good").alias("n"), *[F.sum(F.expr(f"if({e}, good, 0)")).alias(f"k{i}") for i, e in enumerate(exceeds)]).filter("n > 0")
     counts = materialize(counts, "rejections")
     strata = max(1, counts.count())
-    cells = [F.struct(F.lit(i).alias("step"), F.col(f"k{i}").alias("k"), *[F.lit(step.get(name)).cast("double").alias(f"cut_{name}") for name in RULES]) for i, step in enumerate(steps)]
-    rows = counts.select("stratum", "n", F.explode(F.array(*cells)).alias("g")).select("stratum", "n", "g.*")
-    import math
-
+    cut = lambda n, k: F.lit(RULES[n][1][k] if k < len(RULES[n][1]) else None).cast("double").alias(f"cut_{n}")
+    tests = [F.struct(F.lit(i).alias("step"), F.col(f"k{i}").alias("k"), *[cut(n, k) for n, k in zip(names, step, strict=True)]) for i, step in enumerate(steps)]
+    rows = counts.select("stratum", "n", F.explode(F.array(*tests)).alias("g")).select("stratum", "n", "g.*")
     admitted = rows.filter(log_binomial_tail(F.col("n"), F.col("k"), risk) <= math.log(delta / strata))
-    last = admitted.groupBy("stratum").agg(F.max_by(F.struct(*[f"cut_{name}" for name in RULES]), "step").alias("g"))
+    last = admitted.groupBy("stratum").agg(F.max_by(F.struct(*[f"cut_{n}" for n in names]), "step").alias("g"))
     return last.select("stratum", "g.*")
 
 
@@ -88,7 +117,7 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     labels (label_id, label 0 or 1): of ids labelled more than once the worst label counts. The null stratum is one
     of its own; a stratum without cutoffs keeps what passes the base rules. Repeated rows and null ids stay;
     empty tables give empty ones; other columns are ignored."""
-    measured = materialize(measure(docs, doc_id, text, stratum), "measured")
+    measured = measure(docs, doc_id, text, stratum)
     marks = labels.select(F.col(label_id).alias("doc_id"), F.col(label).alias("y")).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.min("y").alias("good"))
     cuts = materialize(cutoffs(measured, marks, risk, delta).withColumnRenamed("stratum", "cut_stratum"), "cutoffs")
     out = measured.join(cuts, F.col("stratum").eqNullSafe(F.col("cut_stratum")), "left")

@@ -453,6 +453,33 @@ def test_terms_that_give_an_entity_away(spark):
             assert got[k]["spans"] == base
 
 
+def disclosing(spark, rows, **how):
+    got = pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), settings=pii.Settings(**how)).collect()
+    texts = dict(rows)
+    return {texts[r["doc_id"]][int(a) : int(b)] for r in got for k, a, b in (x.split(":") for x in r["spans"].split(",") if x) if k in ("remove", "generalise")}
+
+
+def pii_rows(n_own, n_other, rnd, line="{} Quixotle zed@example.org {}"):
+    filler = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    some = lambda n: " ".join(rnd.choice(filler) for _ in range(n))
+    rows = [(k, f"{some(9)}\n{line.format(some(1), some(2))}\n{some(9)}") for k in range(n_own)]
+    rows += [(5000 + k, some(40)) for k in range(30 * n_own)]
+    return rows + [(1000 + k, f"{some(30)} user{k}@example.org {some(5)}") for k in range(n_other)]
+
+
+@pytest.mark.parametrize("how", [{}, {"told": 0, "part": 2}])
+def test_disclosing_terms_by_either_way(spark, how):
+    """One entity alone, one that has most mentions, a name in the same line everywhere, and copies."""
+    rnd = random.Random(18)
+    assert disclosing(spark, pii_rows(12, 0, rnd), **how) == {"Quixotle"}
+    assert "Quixotle" in disclosing(spark, pii_rows(100, 30, rnd), **how)
+    assert {"Quixotle", "Jane"} <= disclosing(spark, pii_rows(3, 100, rnd, line="Jane Quixotle zed@example.org"), **how)
+    assert disclosing(spark, pii_rows(2, 100, rnd), **how) == set()
+    once = pii_rows(1, 0, rnd)[0][1]
+    near = [(k, once + f" tail{chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(40)]
+    assert disclosing(spark, near + [(100 + k, once) for k in range(5)], **how) == set()
+
+
 def test_pii_edges(spark):
     got = pii.sanitise(odd_docs(spark))
     assert got.count() == len(ODD) + 3 and pii.sanitise(odd_docs(spark).limit(0)).count() == 0
@@ -571,7 +598,44 @@ def test_thresholds_of_several_strata(spark):
     labels = spark.range(2000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
     kept = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(good + junk, DOCS), labels).collect()}
     assert all(kept[k] for k in range(2000)) and not any(kept[10000 + k] for k in range(8))
-    assert len(quality.path()) == sum(len(cuts) for _, cuts in quality.RULES.values())
+
+
+def test_path_goes_where_bad_documents_are():
+    sizes = [len(cuts) for _, cuts in quality.RULES.values()]
+    steps = quality.path([((3, 0, 0, 0), 10, 1), ((0, 0, 2, 0), 5, 100), ((0, 1, 0, 0), 0, 7)])
+    assert len(steps) == sum(sizes) and steps[-1] == (0,) * len(sizes)
+    assert all(sum(a) - sum(b) == 1 and all(x >= y for x, y in zip(a, b, strict=True)) for a, b in zip([tuple(sizes), *steps], steps, strict=False))
+    reaches = [next(i for i, s in enumerate(steps) if s[r] < lvl) for r, lvl in ((0, 3), (2, 2))]
+    assert reaches[0] < reaches[1]
+
+
+def test_strata_have_their_own_cutoffs_within_the_risk(spark):
+    """Good documents with symbols in one language alone; a third has few labels. Of fresh good documents, few go."""
+    rnd = random.Random(20)
+    words = ["w" + "".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(500)]
+
+    def text(share):
+        return " ".join(rnd.choice(words) + ("$" if rnd.random() < share else "") for _ in range(40))
+
+    def rows(n, start):
+        return [(start + k, text((0.3 if k % 2 else 0.0) if k % 5 else 0.0), "loud" if k % 2 else "calm", None, 0) for k in range(n)]
+
+    good, fresh = rows(3000, 0), rows(1500, 50000)
+    bad = [(100000 + k, text(0.3), ("loud", "calm", "few")[k % 3], None, 0) for k in range(600)]
+    few = [(200000 + k, text(0.0), "few", None, 0) for k in range(50)]
+    docs = spark.createDataFrame(good + fresh + bad + few, DOCS)
+    labels = spark.createDataFrame([(r[0], 1) for r in good + few] + [(r[0], 0) for r in bad[:300]] + [(good[1][0], 1), (None, 1)], "doc_id long, quality int")
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs, labels).collect()}
+    for lang in ("calm", "loud"):
+        lost = [not kept[r[0]] for r in fresh if r[2] == lang]
+        assert np.mean(lost) <= 0.02
+    assert not any(kept[r[0]] for r in bad if r[2] == "calm") and all(kept[r[0]] for r in bad if r[2] != "calm")
+    measured = quality.measure(docs)
+    marks = labels.selectExpr("doc_id", "quality as good")
+    cuts = {r["stratum"]: r for r in quality.cutoffs(measured, marks).collect()}
+    assert cuts["calm"]["cut_symbols_per_char"] < (cuts["loud"]["cut_symbols_per_char"] or 1) and "few" not in cuts
+    # more strata share the level: each needs more labels for it
+    assert quality.cutoffs(measured, marks, risk=0.002).count() < quality.cutoffs(measured, marks, risk=0.01).count()
 
 
 # --- URLs ----------------------------------------------------------------------------------------------------------
