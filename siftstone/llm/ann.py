@@ -1,12 +1,16 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 Each half of a vector is quantised with its own codebook, fitted on a bounded sample; a pair of centroids is
-a cell, and every vector is indexed in its cell. A query walks the cells by the sum of its distances to the
-two centroids with a heap, until the cells seen hold the wanted number of vectors, and their entries are
+a cell, and every vector is indexed in its cell. The number of centroids grows with the fourth root of the number of
+vectors, that of cells with its square root, so a cell stays small. A query walks the cells by the sum of its
+distances to the two centroids with a heap, until the cells seen hold the wanted number of vectors, and their entries are
 reranked by the exact inner product in double precision. How many are wanted is measured, not guessed: a bounded
 sample of queries is searched exactly, which tells where on its walk each true neighbour's cell comes, and the
-walk is as long as the wanted recall takes. Cells are laid out in shards of bounded size
-(a cell larger than a shard is spread by a hash of the id); a query is sent to the shards of its cells only.
+walk is as long as the wanted recall takes: short where vectors form clusters, long where they have no structure.
+
+Cells are laid out in shards of bounded size (a cell larger than a shard is spread by a hash). An entry goes to its
+shard and nowhere else; a query goes to the shards of its cells, with the sum at which its walk ended, which tells
+there which cells it sees. In a shard, entries come first and are held; queries stream past them in small blocks.
 """
 
 from __future__ import annotations
@@ -26,13 +30,27 @@ from siftstone.llm.common import materialize
 
 
 class Settings(NamedTuple):
-    centroids: int = 32  # of each half
-    sample: int = 8192  # rows that the codebooks are fitted on, at most about
+    centroids: int | None = None  # of each half; None: twice the fourth root of the vectors, 8 to 512
+    sample: int = 64  # rows for each centroid that the codebooks are fitted on, about
     recall: float = 0.95  # share of the sampled queries' true neighbours that the walk must reach
     tried: int = 256  # queries that the walk's length is measured on, at most about
     least: int = 1000  # vectors that a query sees at least
-    shard: int = 1 << 17  # vectors in a shard at most
-    block: int = 1 << 15  # queries in a block at most
+    shard: int = 1 << 16  # vectors in a shard at most, about
+    block: int = 64  # queries that are held against a shard at once
+
+
+class Index(NamedTuple):
+    """table: vec_id, v, h (a hash of both), cell; sizes: vectors by cell, centroids squared of them at most."""
+
+    table: DataFrame
+    c1: np.ndarray
+    c2: np.ndarray
+    sizes: np.ndarray
+
+    def distances(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of queries (Q x D) to the centroids of either half (Q x C): minus the inner product."""
+        half = self.c1.shape[1]
+        return -(q[:, :half] @ self.c1.T), -(q[:, half:] @ self.c2.T)
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 5) -> np.ndarray:
@@ -61,7 +79,8 @@ def matrix(column) -> np.ndarray:
 def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, wanted: int) -> list[int]:
     """Cells in the order of d1[i] + d2[j], until they hold the wanted number of entries (or all cells)."""
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
-    heap, out, got, wide = [(float(d1[o1[0]] + d2[o2[0]]), 0, 0)], [], 0, len(d2)
+    a, b = d1[o1].tolist(), d2[o2].tolist()
+    heap, out, got, wide = [(a[0] + b[0], 0, 0)], [], 0, len(b)
     while heap and got < wanted:
         _, i, j = heapq.heappop(heap)
         cell = int(o1[i]) * wide + int(o2[j])
@@ -69,9 +88,9 @@ def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, wanted: int) -> list
             out.append(cell)
             got += int(sizes[cell])
         if j + 1 < wide:
-            heapq.heappush(heap, (float(d1[o1[i]] + d2[o2[j + 1]]), i, j + 1))
-        if j == 0 and i + 1 < len(d1):
-            heapq.heappush(heap, (float(d1[o1[i + 1]] + d2[o2[0]]), i + 1, 0))
+            heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
+        if j == 0 and i + 1 < len(a):
+            heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
     return out
 
 
@@ -120,98 +139,162 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return v.filter(F.size("v") == (n[0]["n"] if n else 0)).withColumn("v", F.col("v").cast("array<double>")).dropDuplicates(["vec_id", "v"])
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", settings: Settings | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score: of each row whose id is divisible by `every`, its k nearest among all other
-    rows by inner product, nearest first, ties to the smaller id.
-
-    Null ids, and vectors that are null, zero, of another length than most or with null or non-finite parts take
-    no part; rows with the query's own id are no candidates. Fewer than k candidates give fewer rows; an empty
-    table gives none. Tables of up to `least` rows are searched exactly."""
-    s = settings or Settings()
-    spark = vectors.sparkSession
+def build(vectors: DataFrame, vec_id: str, embedding: str, s: Settings) -> Index | None:
+    """The index of all usable rows; None if there are none."""
     rows = materialize(usable(vectors, vec_id, embedding), "vectors")
     n = rows.count()
-    kind = dict(rows.dtypes)["vec_id"]
-    schema = f"query_id {kind}, rank int, vec_id {kind}, score double"
     if not n:
-        return spark.createDataFrame([], schema)
-    rate = min(1.0, s.sample / n)
-    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < rate * 1_000_000).orderBy("vec_id").limit(2 * s.sample).collect() or rows.limit(1).collect()
+        return None
+    k = s.centroids or int(min(512, max(8, round(2 * n**0.25))))
+    rate = min(1.0, max(8192, s.sample * k) / n)
+    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < rate * 1_000_000).orderBy("vec_id").limit(2 * max(8192, s.sample * k)).collect() or rows.limit(1).collect()
     x = np.array([r["v"] for r in sample], dtype=np.float64)
     half = x.shape[1] // 2
-    c1, c2 = kmeans(x[:, :half], s.centroids), kmeans(x[:, half:], s.centroids)
-    wide = len(c2)
+    c1, c2 = kmeans(x[:, :half], k), kmeans(x[:, half:], k)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = matrix(batch.column(1))
-            cell = nearest(m[:, :half], c1) * wide + nearest(m[:, half:], c2) if len(m) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32))], ["vec_id", "v", "cell"])
+            cell = nearest(m[:, :half], c1) * len(c2) + nearest(m[:, half:], c2) if len(m) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], ["vec_id", "v", "h", "cell"])
 
-    index = materialize(rows.mapInArrow(assign, f"vec_id {kind}, v array<double>, cell int"), "index")
-    sizes = np.zeros(len(c1) * wide, dtype=np.int64)
-    for r in index.groupBy("cell").count().collect():  # at most centroids squared rows
+    kind = dict(rows.dtypes)["vec_id"]
+    table = rows.select("vec_id", "v", F.xxhash64("vec_id", "v").alias("h")).mapInArrow(assign, f"vec_id {kind}, v array<double>, h long, cell int")
+    table = materialize(table, "index")
+    sizes = np.zeros(len(c1) * len(c2), dtype=np.int64)
+    for r in table.groupBy("cell").count().collect():  # at most centroids squared rows
         sizes[r["cell"]] = r["count"]
-    cpus = spark.sparkContext.defaultParallelism
+    return Index(table, c1, c2, sizes)
+
+
+def measured_walk(index: Index, every: int, k: int, s: Settings) -> int:
+    """How many vectors a query is to see."""
+    n, wanted = int(index.sizes.sum()), max(s.least, k + 1)
+    if n <= wanted:
+        return wanted
+    part = min(1.0, s.tried * every / n)
+    queries = index.table.filter(F.col("vec_id") % every == 0)
+    tried = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit("tried")), F.lit(1_000_000)) < part * 1_000_000).orderBy("vec_id").limit(2 * s.tried).select("vec_id", "v").collect()
+    if not tried:
+        return wanted
+    q = np.array([r["v"] for r in tried], dtype=np.float64)
+    found = true_cells(index.table, np.array([r["vec_id"] for r in tried]), q, k)
+    d1, d2 = index.distances(q)
+    full = lambda i: np.argsort((d1[i][:, None] + d2[i][None, :]).ravel(), kind="stable").tolist()
+    return max(wanted, walk_length(found, full, index.sizes, s.recall))
+
+
+class _Shard:
+    """The entries of one shard, by cell; queries are held against those of them that their walks have seen."""
+
+    def __init__(self, index: Index, ids: np.ndarray, v: np.ndarray, cells: np.ndarray, k: int):
+        order = np.argsort(cells, kind="stable")
+        self.index, self.k = index, k
+        self.ids, self.v = ids[order], v[order]
+        self.cells, self.at = np.unique(cells[order], return_inverse=True)
+
+    def nearest(self, ids: np.ndarray, q: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query its number, and ids and exact scores of its k nearest entries here."""
+        d1, d2 = self.index.distances(q)
+        wide = len(self.index.c2)
+        seen = d1[:, self.cells // wide] + d2[:, self.cells % wide] <= ends[:, None]  # Q x cells
+        rows = np.flatnonzero(seen.any(axis=0)[self.at])
+        e, own, at = (self.v, self.ids, self.at) if len(rows) == len(self.at) else (self.v[rows], self.ids[rows], self.at[rows])
+        score = q @ e.T
+        score[~seen[:, at] | (ids[:, None] == own[None, :])] = -np.inf
+        for n in range(len(q)):
+            near = np.flatnonzero(score[n] > -np.inf)
+            if len(near) > self.k:  # leave what can't be among the first k; then the exact measure, alike for equal vectors
+                mine = score[n, near]
+                near = near[mine >= np.partition(mine, len(near) - self.k)[len(near) - self.k] - 1e-6 * (1 + np.abs(mine).max())]
+            if len(near):
+                exact = (e[near] * q[n]).sum(axis=1)
+                best = np.lexsort((own[near], -exact))[: self.k]
+                yield n, own[near][best], exact[best]
+
+
+def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", settings: Settings | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: of each row whose id is divisible by `every`, its k nearest among all other
+    rows by inner product, nearest first, ties to the smaller id.
+
+    Null ids, and vectors that are null, zero, of another length than most or with null or non-finite parts take
+    no part; rows with the query's own id are no candidates. Rows equal in id and vector count once; an id with several
+    vectors is that many rows. Fewer than k candidates give fewer rows; an empty table gives none. A query sees
+    settings.least vectors at least, so that small tables are searched exactly."""
+    s = settings or Settings()
+    spark = vectors.sparkSession
+    kind = dict(vectors.dtypes)[vec_id]
+    index = build(vectors, vec_id, embedding, s)
+    if index is None:
+        return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
+    wanted, sizes = measured_walk(index, every, k, s), index.sizes
+    n, cpus = int(sizes.sum()), spark.sparkContext.defaultParallelism
     shard = int(min(s.shard, max(1024, -(-n // (2 * cpus)))))
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    layout = spark.createDataFrame([(c, int(starts[c]), int(sizes[c])) for c in range(len(sizes)) if sizes[c]], "cell int, start long, n long")
-    placed = index.join(F.broadcast(layout), "cell")  # at most centroids squared rows
-    placed = placed.select("vec_id", "v", "cell", F.floor((F.col("start") + F.pmod(F.xxhash64("vec_id"), F.col("n"))) / shard).cast("int").alias("shard"))
-    queries = index.filter(F.col("vec_id") % every == 0)
-    wanted = max(s.least, k + 1)
-    if n > wanted:
-        part = min(1.0, s.tried * every / n)
-        tried = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit("tried")), F.lit(1_000_000)) < part * 1_000_000).orderBy("vec_id").limit(2 * s.tried).select("vec_id", "v").collect()
-        if tried:
-            q = np.array([r["v"] for r in tried], dtype=np.float64)
-            found = true_cells(index, np.array([r["vec_id"] for r in tried]), q, k)
-            wanted = max(wanted, walk_length(found, lambda i: walk(-(c1 @ q[i, :half]), -(c2 @ q[i, half:]), sizes, n), sizes, s.recall))
-    blocks = max(1, -(-(n // every) // s.block))
+    first, last = starts[:-1] // shard, np.maximum(starts[:-1], starts[1:] - 1) // shard
+    books = index._replace(table=None)  # what tasks need of the index
+    columns = f"shard int, query boolean, cell int, id {kind}, v array<double>, walk_end double"
+    names = [x.split()[0] for x in columns.split(", ")]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, h = batch.column(3).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+            at = (starts[cell] + (h % np.maximum(sizes[cell], 1).astype(np.uint64)).astype(np.int64)) // shard
+            none = pa.nulls(batch.num_rows, pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(np.zeros(len(at), bool)), batch.column(3), batch.column(0), batch.column(1), none], names)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lot in range(0, whole.num_rows, 1024):
+                batch = whole.slice(lot, 1024)
+                d1, d2 = books.distances(matrix(batch.column(1)))
+                rows, shards, ends = [], [], []
+                for r in range(batch.num_rows):
+                    cells = np.array(walk(d1[r], d2[r], sizes, wanted), dtype=np.int64)
+                    to = np.zeros(int(last[-1]) + 2, dtype=np.int64)
+                    np.add.at(to, first[cells], 1)
+                    np.add.at(to, last[cells] + 1, -1)
+                    to = np.flatnonzero(np.cumsum(to)[:-1])
+                    rows.append(np.full(len(to), r))
+                    shards.append(to)
+                    ends.append(np.full(len(to), (d1[r][cells // len(books.c2)] + d2[r][cells % len(books.c2)]).max()))
+                take = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shards).astype(np.int32)), pa.array(np.ones(len(take), bool)), batch.column(3).take(take), batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(ends))], names)
+
+    queries = index.table.filter(F.col("vec_id") % every == 0).repartition(max(1, min(cpus * 2, n // every // 64 + 1)), "h")
+    both = index.table.mapInArrow(place, columns).unionByName(queries.mapInArrow(route, columns))
+    both = both.repartition(int(last[-1]) + 1, "shard").sortWithinPartitions("shard", "query", "cell")
+
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at, now = -1, None
         for batch in batches:
-            m, ids, at, shards, masks = matrix(batch.column(1)), batch.column(0), [], [], []
-            for r in range(len(m)):
-                q = m[r]
-                cells = walk(-(c1 @ q[:half]), -(c2 @ q[half:]), sizes, wanted)
-                seen = np.zeros(len(sizes), dtype=bool)
-                seen[cells] = True
-                mask = np.packbits(seen).tobytes()
-                for t in sorted({t for c in cells for t in range(starts[c] // shard, (starts[c + 1] - 1) // shard + 1)}):
-                    at.append(r)
-                    shards.append(t)
-                    masks.append(mask)
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.take(take), batch.column(1).take(take), pa.array(shards, pa.int32()), pa.array(masks, pa.binary())], ["query_id", "q", "shard", "cells"])
-
-    routed = queries.select("vec_id", "v").repartition(max(1, min(cpus * 2, n // every // 64 + 1))).mapInArrow(route, f"query_id {kind}, q array<double>, shard int, cells binary")
-    routed = routed.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks)).cast("int"))
-    entries = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else placed.withColumn("block", F.lit(0))
-
-    def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = ([], [], [], [])
-        if left.num_rows and right.num_rows:
-            e, ids, cell = matrix(right["v"]), right["vec_id"].to_numpy(), right["cell"].to_numpy()
-            for qid, q, mask in zip(left["query_id"].to_numpy(), matrix(left["q"]), left["cells"].to_pylist(), strict=True):
-                seen = np.unpackbits(np.frombuffer(mask, dtype=np.uint8)).astype(bool)
-                at = np.flatnonzero(seen[cell] & (ids != qid))
-                if not len(at):
+            shards, query = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((np.diff(shards) != 0) | np.diff(query)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                if shards[a] != at:
+                    at, now, held = int(shards[a]), None, []
+                part = batch.slice(a, b - a)
+                if not query[a]:
+                    held.append(part)
+                    continue
+                if held:
+                    t = pa.Table.from_batches(held)
+                    now, held = _Shard(books, t.column("id").to_numpy(), matrix(t.column("v")), t.column("cell").to_numpy(), k), []
+                    del t
+                if now is None:
                     continue
-                score = e[at] @ q
-                if len(at) > k:  # leave what can't be among the first k; then the exact measure, alike for equal vectors
-                    keep = score >= np.partition(score, len(at) - k)[len(at) - k] - 1e-6 * (1 + np.abs(score).max())
-                    at = at[keep]
-                score = (e[at] * q).sum(axis=1)
-                best = np.lexsort((ids[at], -score))[:k]
-                out[0].append(np.full(len(best), qid))
-                out[1].append(np.full(len(best), zlib.crc32(q.tobytes())))
-                out[2].append(ids[at][best])
-                out[3].append(score[best])
-        cat = [np.concatenate(o) if o else np.zeros(0) for o in out]
-        ints = left["query_id"].type
-        return pa.table({"query_id": pa.array(cat[0].astype(np.int64)).cast(ints), "of": pa.array(cat[1].astype(np.int64)), "vec_id": pa.array(cat[2].astype(np.int64)).cast(ints), "score": pa.array(cat[3].astype(np.float64))})
-
-    found = routed.groupBy("shard", "block").cogroup(entries.groupBy("shard", "block")).applyInArrow(rerank, f"query_id {kind}, of long, vec_id {kind}, score double")
+                for lot in range(0, part.num_rows, s.block):
+                    some = part.slice(lot, s.block)
+                    ids, q = some.column(3).to_numpy(), matrix(some.column(4))
+                    ends = some.column(5).to_numpy()
+                    got = [(np.full(len(c), ids[n]), np.full(len(c), zlib.crc32(q[n].tobytes())), c, score) for n, c, score in now.nearest(ids, q, ends + 1e-9 * (1 + np.abs(ends)))]
+                    if got:
+                        qid, of, c, score = (np.concatenate(x) for x in zip(*got, strict=True))
+                        yield pa.RecordBatch.from_arrays([pa.array(qid).cast(some.column(3).type), pa.array(of.astype(np.int64)), pa.array(c).cast(some.column(3).type), pa.array(score)], ["query_id", "of", "vec_id", "score"])
+
+    found = both.mapInArrow(rerank, f"query_id {kind}, of long, vec_id {kind}, score double")
     order = Window.partitionBy("query_id", "of").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

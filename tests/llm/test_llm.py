@@ -515,6 +515,48 @@ def test_walk_is_as_long_as_recall_takes(spark):
         assert reached(length) >= recall > reached(length - 1)
     assert ann.walk_length([], order, sizes, 0.9) == 0
 
+
+def test_search_by_its_method_on_vectors_with_and_without_structure(spark):
+    """No least number of vectors: what is found comes by the measured walk alone."""
+    rng = np.random.default_rng(10)
+    settings = ann.Settings(least=1, shard=300)
+    schema = "vec_id long, embedding array<float>"
+    for clustered in (True, False):
+        x = rng.normal(size=(2000, 16))
+        if clustered:
+            x = 0.05 * x + rng.normal(size=(40, 16))[rng.integers(0, 40, 2000)]
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema).repartition(5)
+        x = x.astype(np.float32).astype(np.float64)
+        true = {}
+        for q in range(0, 2000, 20):
+            s = x @ x[q]
+            s[q] = -np.inf
+            true[q] = set(np.argsort(-s, kind="stable")[:20].tolist())
+        got = {}
+        for r in ann.search(df, settings=settings).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        assert np.mean([len(got[q] & true[q]) / 20 for q in true]) >= 0.9
+        share = ann.measured_walk(ann.build(df, "vec_id", "embedding", settings), 20, 20, settings) / 2000
+        assert share < 0.2 if clustered else share < 0.95
+
+
+def test_search_with_a_vector_that_a_third_of_the_rows_have(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(900, 8))
+    x[300:600] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(20, x[20].tolist()), (20, x[21].tolist())]
+    got = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id int, embedding array<double>"), settings=ann.Settings(shard=64)).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 900, 20)) and len(got[20]) == 40
+    for q in (0, 300, 320, 880):
+        want = sorted(((-float((x[i] * x[q]).sum()), i) for i in range(900) if i != q))[:20]
+        near = [(v, s) for _, v, s in sorted(got[q])]
+        assert all(math.isclose(-w, s, rel_tol=1e-12) for (w, _), (_, s) in zip(want, near, strict=True))
+        if q == 300:
+            assert [v for v, _ in near] == [i for _, i in want]
+
+
 def test_search_is_exact_when_small_and_recalls_when_large(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(3000, 16)).astype(np.float32)
