@@ -1,8 +1,10 @@
 """URL filters: host and path rules, and gradient-boosted trees on lexical features where no rule fits.
 
-The trees are fitted on a bounded sample of labelled URLs and become one SQL expression, so that judging runs
-in generated code. Features: length, depth, digit ratio, entropy, parameter count, host labels and the
-smoothed share of blocked URLs of the host's suffix (over all labelled URLs).
+Rules are a table of one row a host: pages are joined with it once for each number of labels that a rule's host has, so
+that lists of any length work, and whether that table is broadcast is the planner's decision by its size.
+The trees are fitted on a bounded sample of labelled URLs and become one SQL expression. Features: length, depth, digit
+ratio, entropy, parameter count, host labels and the smoothed share of blocked URLs of the host's suffix (over all
+labelled URLs; for those that the trees are fitted on, over the other folds only).
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import materialize
+from siftstone.llm.common import fresh, materialize
 
 FEATURES = ("length", "depth", "digit_ratio", "entropy", "n_params", "n_labels", "suffix_rate")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -37,15 +39,25 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), UPPER, LOWER), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def by_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
-    """struct(rule, verdict) of the longest rule that fits (ties: the first in code-point order); null for none.
-
-    A rule fits its host and all subdomains, if the path starts with the rule's."""
-    out = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for r in sorted(rules, key=lambda r: (len(r.text), [-ord(c) for c in r.text])):
-        fits = ((host == r.host) | host.endswith(f".{r.host}")) & path.startswith(r.path)
-        out = F.when(fits, F.struct(F.lit(r.text).alias("rule"), F.lit(r.verdict).alias("verdict"))).otherwise(out)
-    return out
+def with_rules(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """rows (host, path and others) with rule and ruled: text and verdict of the longest rule that fits (ties: the first
+    in code-point order); null for none. A rule fits its host and all subdomains, if the path starts with the rule's."""
+    rank, path, at, hits = fresh(rows, "rank", "rule_path", "rule_host", "hits")
+    by_host: dict[str, list[Rule]] = {}
+    for r in rules:
+        by_host.setdefault(r.host, []).append(r)
+    kind = "array<struct<n:int,text:string,path:string,verdict:string>>"
+    found = []
+    for depth in sorted({h.count(".") + 1 for h in by_host}):
+        of = {h: rs for h, rs in by_host.items() if h.count(".") + 1 == depth}
+        table = rows.sparkSession.createDataFrame([(h, [(-len(r.text), r.text, r.path, r.verdict) for r in rs]) for h, rs in sorted(of.items())], f"`{at}` string, `{rank}{depth}` {kind}")
+        rows = rows.join(table, F.substring_index("host", ".", -depth) == F.col(at), "left").drop(at)
+        found.append(F.coalesce(F.filter(f"{rank}{depth}", lambda r: F.startswith(F.col("path"), r["path"])), F.array().cast(kind)))
+    if not found:
+        return rows.withColumns({"rule": F.lit(None).cast("string"), "ruled": F.lit(None).cast("string")})
+    rows = rows.withColumn(hits, F.array_min(F.concat(*found)))
+    rows = rows.withColumns({"rule": F.col(hits)["text"], "ruled": F.col(hits)["verdict"]})
+    return rows.drop(hits, *[c for c in rows.columns if c.startswith(rank)])
 
 
 def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
@@ -134,6 +146,27 @@ def expression(start: float, trees: list[Tree]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
+#: Parts of the labelled URLs: a URL's suffix statistics for fitting come from the other parts.
+FOLDS = 5
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """rows (u, host, path and others) with the features that need no other URL, and suffix."""
+    return rows.withColumns(lexical(F.col("u"), F.col("host"), F.col("path"))).withColumn("suffix", F.element_at(F.split("host", r"\."), -1))
+
+
+def suffix_rates(known: DataFrame, strength: float = 10.0) -> tuple[DataFrame, float]:
+    """(s, fold, suffix_rate) and the prior: the smoothed share of blocked URLs of each suffix. Fold -1: over all of known
+    (suffix, fold, y); another: over the rest."""
+    counts = materialize(known.groupBy("suffix", "fold").agg(F.sum("y").alias("b"), F.count(F.lit(1)).alias("n")), "suffixes")
+    total = counts.agg(F.sum("b"), F.sum("n")).first()
+    prior = ((total[0] or 0) + 1.0) / ((total[1] or 0) + 2.0)
+    every = counts.groupBy(F.col("suffix").alias("s")).agg(F.sum("b").alias("all_b"), F.sum("n").alias("all_n"))
+    rest = counts.join(every, F.col("suffix") == F.col("s")).select("s", "fold", (F.col("all_b") - F.col("b")).alias("b"), (F.col("all_n") - F.col("n")).alias("n"))
+    both = rest.unionByName(every.select("s", F.lit(-1).cast("long").alias("fold"), F.col("all_b").alias("b"), F.col("all_n").alias("n")))
+    return materialize(both.select("s", "fold", ((F.col("b") + strength * F.lit(prior)) / (F.col("n") + strength)).alias("suffix_rate")), "rates"), prior
+
+
 def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None, page_id: str = "page_id", url: str = "url", sample: int = 20_000, threshold: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict, block_score for every row.
 
@@ -141,30 +174,27 @@ def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None
     `sample` of them are fitted on, chosen by a hash. Without labels the score is 0.5 and the verdict allow. Null
     and odd URLs have empty parts and are judged like any other; repeated rows stay; an empty table gives an
     empty one; other columns are ignored."""
-    src = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("u"))
     host, path = parts(F.col("u"))
-    rows = src.withColumn("host", host).withColumn("path", path).withColumn("fit", by_rule(F.col("host"), F.col("path"), rules))
-    rows = rows.select("page_id", "u", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled"))
-    rows = rows.withColumns(lexical(F.col("u"), F.col("host"), F.col("path"))).withColumn("suffix", F.element_at(F.split("host", r"\."), -1))
-    rows = materialize(rows, "urls")
+    split = lambda df: df.withColumn("host", host).withColumn("path", path)
+    rows = with_rules(split(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("u"))), rules)
+    rows = materialize(described(rows), "urls")
     if labelled is None:
         known = rows.filter("ruled is not null").withColumn("y", (F.col("ruled") == "block").cast("int"))
     else:
-        h, p = parts(F.col("u"))
-        known = labelled.select(F.col("url").alias("u"), F.col("blocked").cast("int").alias("y")).filter("y in (0, 1)").withColumn("host", h).withColumn("path", p)
-        known = known.withColumns(lexical(F.col("u"), F.col("host"), F.col("path"))).withColumn("suffix", F.element_at(F.split("host", r"\."), -1))
-    stats = materialize(known.groupBy("suffix").agg(F.sum("y").alias("b"), F.count(F.lit(1)).alias("n")), "suffixes")
-    total = stats.agg(F.sum("b"), F.sum("n")).first()
-    prior = ((total[0] or 0) + 1.0) / ((total[1] or 0) + 2.0)
-    rates = materialize(stats.select(F.col("suffix").alias("s"), ((F.col("b") + 10 * F.lit(prior)) / (F.col("n") + 10.0)).alias("suffix_rate")), "rates")
-    with_rate = lambda df: df.join(rates, F.col("suffix") == F.col("s"), "left").withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(prior)))
-    part = min(1.0, sample / max(1, total[1] or 0))
-    fitted = with_rate(known.filter(F.pmod(F.xxhash64("u", F.lit("fit")), F.lit(1_000_000)) < part * 1_000_000))
-    got = fitted.groupBy(*FEATURES, "y").count().orderBy(*FEATURES, "y").collect()
+        known = described(split(labelled.select(F.col("url").alias("u"), F.col("blocked").cast("int").alias("y")).filter("y in (0, 1)")))
+    known = known.withColumn("fold", F.pmod(F.xxhash64("u", F.lit("fold")), F.lit(FOLDS)))
+    rates, prior = suffix_rates(known)
+    n_known = known.count()
+    part = min(1.0, sample / max(1, n_known))
+    some = known.filter(F.pmod(F.xxhash64("u", F.lit("fit")), F.lit(1_000_000)) < part * 1_000_000).orderBy(F.xxhash64("u", F.lit("fit"))).limit(2 * sample)
+    own = rates.withColumnRenamed("fold", "of")
+    some = some.join(own, (F.col("suffix") == F.col("s")) & (F.col("fold") == F.col("of")), "left").withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(prior)))
+    got = some.groupBy(*FEATURES, "y").count().orderBy(*FEATURES, "y").collect()
     n = np.array([r["count"] for r in got], dtype=int)
     x = np.repeat(np.array([[r[f] for f in FEATURES] for r in got], dtype=float).reshape(-1, len(FEATURES)), n, axis=0)
     y = np.repeat(np.array([r["y"] for r in got], dtype=float), n)
     score = expression(*boost(x, y))
-    out = with_rate(rows).withColumn("block_score", score)
+    out = rows.join(rates.filter("fold = -1").select("s", "suffix_rate"), F.col("suffix") == F.col("s"), "left")
+    out = out.withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(prior))).withColumn("block_score", score)
     verdict = F.coalesce("ruled", F.when(F.col("block_score") > threshold, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")

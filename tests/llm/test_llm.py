@@ -702,6 +702,46 @@ def test_url_rules_and_trees(spark):
     assert got[9]["rule"] == "net/fr/" and got[4]["rule"] == "example.com/en/" and got[3]["rule"] == "www.example.com/en/"
 
 
+def test_rules_by_a_join_on_hosts(spark):
+    rnd = random.Random(22)
+    hosts = [".".join(rnd.choice(["a", "b", "ab", ""]) for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    rules = [urlfilter.Rule(rnd.choice(hosts), rnd.choice(["/", "/x", "/x/", ""]), rnd.choice(["allow", "block"])) for _ in range(3000)]
+    rows = [(k, rnd.choice(hosts) + rnd.choice(["", ".a", ".b"]), rnd.choice(["", "/", "/x", "/x/y"])) for k in range(300)]
+    df = spark.createDataFrame(rows, "k long, host string, path string").withColumn("rank", F.lit("clash"))
+    got = {r["k"]: r for r in urlfilter.with_rules(df, rules).collect()}
+    assert len(got) == 300
+    for k, host, path in rows:
+        fit = {r.text for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)}
+        assert got[k]["rule"] == min(fit, key=lambda t: (-len(t), t), default=None)
+    assert all(r["rule"] is None for r in urlfilter.with_rules(df, []).collect())
+
+
+def test_expression_equals_the_trees(spark):
+    rng = np.random.default_rng(23)
+    x = np.round(rng.normal(size=(400, len(urlfilter.FEATURES))), 2)
+    y = ((x[:, 0] > 0.2) ^ (x[:, 3] < -0.1)).astype(float)
+    start, trees = urlfilter.boost(x, y, trees=12)
+
+    def value(t, row):
+        while t.feature >= 0:
+            t = t.left if row[t.feature] <= t.cut else t.right
+        return t.value
+
+    want = [1 / (1 + math.exp(-(start + sum(value(t, row) for t in trees)))) for row in x]
+    df = spark.createDataFrame([(k, *map(float, row)) for k, row in enumerate(x)], ["k", *urlfilter.FEATURES])
+    got = {r["k"]: r["p"] for r in df.select("k", urlfilter.expression(start, trees).alias("p")).collect()}
+    assert np.allclose([got[k] for k in range(400)], want, atol=1e-12) and np.mean((np.array(want) > 0.5) == (y > 0.5)) > 0.9
+
+
+def test_suffix_rates_leave_out_the_fold(spark):
+    known = spark.createDataFrame([("net", 0, 1), ("net", 0, 1), ("net", 1, 0), ("org", 1, 1)], "suffix string, fold long, y int")
+    rates, prior = urlfilter.suffix_rates(known, strength=1.0)
+    got = {(r["s"], r["fold"]): r["suffix_rate"] for r in rates.collect()}
+    assert prior == 4 / 6
+    want = {("net", -1): (2, 3), ("net", 0): (0, 1), ("net", 1): (2, 2), ("org", -1): (1, 1), ("org", 1): (0, 0)}
+    assert set(got) == set(want) and all(math.isclose(got[k], (b + prior) / (n + 1)) for k, (b, n) in want.items())
+
+
 def test_boosting_learns(spark):
     rnd = random.Random(11)
     rows = [(k, f"http://h{k % 7}.org/" + ("a/" * (6 if k % 2 else 1)) + str(rnd.randrange(99))) for k in range(400)]
