@@ -4,14 +4,16 @@ The model file holds byte-pair pieces with byte fallback. For such models the li
 a text is the one path of pieces whose every adjacent pair is stable: merging the two pieces' text from
 scratch gives the same two pieces again. The search keeps, for each boundary, the last piece of the path that
 survives there (a back pointer); it needs the last max-piece-length boundaries only, and whenever all
-back-pointer paths from those meet in one boundary, the ids before it are committed and forgotten. The ids
-equal the library's; decoding gives the text back exactly, but for U+2581, which stands for a space.
+back-pointer paths from those meet in one boundary, the ids before it are committed and forgotten. Where no piece
+of the vocabulary can cross a boundary (white space begins, a line ends) all paths are known to meet there: texts
+are read in blocks up to such boundaries, and the ids between two of them are remembered, up to a fixed number.
+The ids equal the library's; decoding gives the text back exactly, but for U+2581, which stands for a space.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from siftstone.llm.common import worker_state
 
 SPACE = "▁"
+#: Characters that are looked at together.
+BLOCK = 1 << 16
 
 
 class Pieces(NamedTuple):
@@ -106,42 +110,47 @@ class Encoder:
         """A character outside the vocabulary as its bytes."""
         return [self.p.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")] if self.p.byte_ids else [self.p.unknown]
 
-    def stream(self, text: str) -> Iterator[int]:
-        """The ids of a run of any length, in order, committed as soon as the surviving paths meet."""
+    def stream(self, blocks: Iterable[str]) -> Iterator[int]:
+        """The ids of a text that comes in blocks, in order, committed as soon as the surviving paths meet: of what
+        has come, only the window since the last committed boundary is kept."""
         whole, ends, stable, longest = self.whole, self.ends, self.stable, self.p.longest
-        piece: list[int] = [-1]  # piece[k]: id of the piece that ends at boundary base + k; -1 at the start and for unknown characters
+        piece: list[int] = [-1]  # piece[k]: id of the piece that ends at the window's boundary k; -1 at the start and for unknown characters
         size: list[int] = [0]  # and its length
-        base, n = 0, len(text)
-        padded = "\n" * longest + text  # no piece of several characters holds a line end
-        for j in range(1, n + 1):
-            k, e = j - base, j + longest
-            for l in ends.get(padded[e - 3 : e], (2, 1)):
-                i = whole.get(padded[e - l : e])
-                if i is not None:
-                    before = piece[k - l]
-                    if before < 0:
-                        break
-                    ok = stable.get(before << 32 | i)
-                    if ok or (ok is None and self.pair(before, i)):
-                        break
-            else:
-                i, l = -1, 1
-            piece.append(i)
-            size.append(l)
-            if k >= 4 * longest and j < n:
-                base, done = self._commit(text, piece, size, base)
-                yield from done
-        yield from self._path(text, piece, size, base, n - base)
-
-    def _path(self, text: str, piece: list[int], size: list[int], base: int, k: int) -> list[int]:
+        held = ""  # the window's characters
+        for block in blocks:
+            for at in range(0, len(block), longest):
+                held += block[at : at + longest]
+                padded = "\n" * longest + held  # no piece of several characters holds a line end
+                for k in range(len(piece), len(held) + 1):
+                    e = k + longest
+                    for l in ends.get(padded[e - 3 : e], (2, 1)):
+                        i = whole.get(padded[e - l : e])
+                        if i is not None:
+                            before = piece[k - l]
+                            if before < 0:
+                                break
+                            ok = stable.get(before << 32 | i)
+                            if ok or (ok is None and self.pair(before, i)):
+                                break
+                    else:
+                        i, l = -1, 1
+                    piece.append(i)
+                    size.append(l)
+                if len(held) >= 2 * longest:
+                    gone, done = self._commit(held, piece, size)
+                    held = held[gone:]
+                    yield from done
+        yield from self._path(held, piece, size, len(held))
+
+    def _path(self, held: str, piece: list[int], size: list[int], k: int) -> list[int]:
         out: list[int] = []
         while k > 0:
-            out.extend([piece[k]] if piece[k] >= 0 else self.spell(text[base + k - 1])[::-1])
+            out.extend([piece[k]] if piece[k] >= 0 else self.spell(held[k - 1])[::-1])
             k -= size[k]
         return out[::-1]
 
-    def _commit(self, text: str, piece: list[int], size: list[int], base: int) -> tuple[int, list[int]]:
-        """Follow the paths from every boundary of the window until one boundary is left; drop what is before it.
+    def _commit(self, held: str, piece: list[int], size: list[int]) -> tuple[int, list[int]]:
+        """Follow the paths from the last boundaries of the window until one boundary is left; drop what is before it.
 
         The committed boundary keeps its piece: pairs over it are still to be checked."""
         ends = set(range(max(0, len(piece) - self.p.longest), len(piece)))
@@ -151,14 +160,14 @@ class Encoder:
             ends.add(k - size[k])
         at = ends.pop()
         if at <= 0:
-            return base, []
-        done = self._path(text, piece, size, base, at)
+            return 0, []
+        done = self._path(held, piece, size, at)
         del piece[:at], size[:at]
         size[0] = 0
-        return base + at, done
+        return at, done
 
     def ids_of(self, run: str) -> bytes:
-        return np.fromiter(self.stream(run), dtype=self.code).tobytes()
+        return np.fromiter(self.stream((run,)), dtype=self.code).tobytes()
 
     def remember(self, run: str) -> bytes:
         if len(run) > 64:
@@ -175,19 +184,44 @@ class Encoder:
         """Ids of a whole text; none for null and empty texts."""
         if not text:
             return np.zeros(0, dtype=self.code)
-        if self.p.prefix:
-            text = " " + text
-        runs = self.run.findall(text.replace(" ", SPACE))
-        remember = self.remember
-        get = self.young.get
-        parts = []
-        for r in runs:
+        out, at = [], 0
+        while at < len(text):
+            end = run_start(text, at, at + BLOCK)
+            lead = SPACE if self.p.prefix and not at else ""
+            if end - at > 2 * BLOCK:  # no boundary for long: the search itself finds them
+                parts = (text[k : min(end, k + BLOCK)].replace(" ", SPACE) for k in range(at, end, BLOCK))
+                out.append(np.fromiter(self.stream((lead, *parts) if lead else parts), dtype=self.code).tobytes())
+            else:
+                out.append(self._known(lead + text[at:end].replace(" ", SPACE)))
+            at = end
+        return np.frombuffer(b"".join(out), dtype=self.code)
+
+    def _known(self, block: str) -> bytes:
+        remember, get, parts = self.remember, self.young.get, []
+        for r in self.run.findall(block):
             b = get(r)
             if b is None:
                 b = remember(r)
                 get = self.young.get
             parts.append(b)
-        return np.frombuffer(b"".join(parts), dtype=self.code)
+        return b"".join(parts)
+
+
+def run_start(text: str, at: int, end: int) -> int:
+    """The last place up to end, or else the first one after it, where white space begins: no piece crosses it."""
+    if end >= len(text):
+        return len(text)
+    k = end
+    while (k := text.rfind(" ", at + 1, k + 1)) > at:
+        if text[k - 1] != " ":
+            return k
+        k -= 1
+    k = end
+    while (k := text.find(" ", k)) >= 0:
+        if text[k - 1] != " ":
+            return k
+        k += 1
+    return len(text)
 
 
 class Decoder:
@@ -197,6 +231,8 @@ class Decoder:
 
     def decode(self, ids) -> str:
         """The text of a list of ids; invalid byte sequences become U+FFFD, control ids vanish."""
+        if len(ids) and not 0 <= min(ids) <= max(ids) < len(self.raw):
+            raise ValueError("an id is out of range")
         raw = b"".join(map(self.raw.__getitem__, ids))
         return (raw[1:] if self.p.prefix and raw.startswith(b" ") else raw).decode("utf-8", "replace")
 

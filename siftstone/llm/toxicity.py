@@ -1,10 +1,11 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
-A character language model (trigrams with interpolation) is counted over the whole corpus. Words that may
-hide another (digits and symbols among letters, letters spelled out with spaces or dots, repeated letters)
-become a lattice: each sign offers the letters it may stand for, each repetition one or two copies, each at
-the channel's cost. Viterbi decoding finds the likeliest reading, and the document is scored on both what
-was written and what was restored. Words without such signs have a lattice of one path: they are themselves.
+A character language model (trigrams with interpolation) is counted over the whole corpus. What may hide a
+word (digits and symbols among letters, letters spelled out with spaces or dots, repeated letters)
+becomes a lattice: each sign offers the letters it may stand for, each repetition one or two copies, each at
+the channel's cost; each separator between spelled-out letters offers to be nothing or a space. Viterbi decoding finds
+the likeliest reading, and the document is scored on both what was written and what was restored. Words without such
+signs have a lattice of one path: they are themselves.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import worker_state
+from siftstone.llm.common import materialize, worker_state
 
 #: What a sign may stand for besides itself.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "x"}
@@ -43,7 +44,7 @@ _HIDES = re.compile(r"[0-9@$!|+(<€£¡*#%]|([^\W\d_])\1")
 #: Letters spelled out: three or more single letters or signs with one separator or space between each two.
 _UNIT = r"(?:[^\W_]|[@$!|+(<€£¡#%])"
 _SPELLED = re.compile(rf"(?<!\w){_UNIT}[ .\-_*](?:{_UNIT}[ .\-_*])+{_UNIT}(?!\w)")
-_BETWEEN = re.compile(r"[ .\-_*]")
+_BETWEEN = frozenset(" .-_*")
 #: Letters of a tail that are looked at: longer than any word.
 TAIL = 64
 #: Decoration at a word's edges: repeated signs, and signs that resemble no letter.
@@ -90,36 +91,45 @@ def count_chars(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
-def restore(word: str, lm: CharModel, channel: float = 1.5, breaks: bool = False) -> str:
-    """The likeliest reading of one word (lower case): Viterbi over its lattice, channel nats for each change.
+#: Characters that one lattice is built over, and by how many the next one overlaps it: more than any word.
+SPAN, OVERLAP = 256, 64
 
-    A sign may be itself or a letter it resembles; a run of one letter may be itself, one or two of it. Signs
-    that stand for nothing at a word's edges and separators of spelled-out letters are passed over. With breaks, a
-    word may end after any run, at no cost but the model's."""
+
+def restore(word: str, lm: CharModel, channel: float = 1.5, spelled_out: bool = False) -> str:
+    """The likeliest reading of some characters (lower case): Viterbi over their lattice, channel nats for each change.
+
+    A sign may be itself or a letter it resembles; a run of one letter may be itself, one or two of it; signs
+    that stand for nothing are passed over. Of spelled-out text, every second run is a separator: it may be nothing or
+    the end of a word, at no cost but the model's."""
     runs: list[tuple[str, int]] = []
-    for c in word[:256]:  # longer than any word of a language; the caller cuts longer ones
-        if runs and runs[-1][0] == c:
+    for c in word:
+        if runs and runs[-1][0] == c and not spelled_out:
             runs[-1] = (c, runs[-1][1] + 1)
         else:
             runs.append((c, 1))
     log, space, other = lm.log, 0, SIZE - 1
     beams: dict[tuple[int, int], tuple[float, str]] = {(space, space): (0.0, "")}
-    for c, n in runs:
-        options: list[tuple[str, float]] = [(c * n, 0.0)]
-        for d in SIGNS.get(c, ""):
-            options += [(d * n, channel)] + ([(d, channel)] if n > 1 else []) + ([(d * 2, channel)] if n > 2 else [])
-        if c.isalpha() and n > 1:
-            options += [(c, channel)] + ([(c * 2, channel)] if n > 2 else [])
-        if not c.isalnum():
-            options.append(("", channel))
-        if breaks:
-            options += [(s + " ", price) for s, price in options if s]
+    for nth, (c, n) in enumerate(runs):
+        if spelled_out and nth % 2:
+            options: list[tuple[str, float]] = [("", 0.0), (" ", 0.0)]
+        else:
+            options = [(c * n, 0.0)]
+            for d in SIGNS.get(c, ""):
+                options += [(d * n, channel)] + ([(d, channel)] if n > 1 else []) + ([(d * 2, channel)] if n > 2 else [])
+            if c.isalpha() and n > 1:
+                options += [(c, channel)] + ([(c * 2, channel)] if n > 2 else [])
+            if not c.isalnum():
+                options.append(("", channel))
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, out) in beams.items():
             for s, price in options:
                 x, y, total = a, b, cost - price
+                if s == " " and y == space:
+                    continue  # a word has ended already
                 for d in s:
-                    z = _INDEX.get(d, other)
+                    z = _INDEX.get(d, other if d.isalnum() or d in SIGNS else space)  # marks end a word
+                    if z == y == space:
+                        continue
                     total += float(log[x, y, z]) - (2.0 if z == other else 0.0)
                     x, y = y, z
                 if (x, y) not in after or total > after[x, y][0]:
@@ -128,6 +138,11 @@ def restore(word: str, lm: CharModel, channel: float = 1.5, breaks: bool = False
     return max((cost + float(log[a, b, space]), out) for (a, b), (cost, out) in beams.items())[1]
 
 
+def spans(text: str) -> list[str]:
+    """text in pieces of SPAN characters that overlap by OVERLAP, so that no word is cut in all of them."""
+    return [text[k : k + SPAN] for k in range(0, max(1, len(text) - OVERLAP), SPAN - OVERLAP)]
+
+
 def readings(token: str, lm: CharModel) -> list[str]:
     """The words of one white-space-delimited token, in lower case: its runs of letters, and what it may hide."""
     out = _LETTERS.findall(token)
@@ -136,23 +151,22 @@ def readings(token: str, lm: CharModel) -> list[str]:
     else:
         core = token
     if _HIDES.search(core) and (out or len(core) > 3):
-        for k in range(0, len(core), 256):
-            out += [w for w in _LETTERS.findall(restore(core[k : k + 256], lm)) if w not in out]
+        for part in spans(core):
+            out += [w for w in _LETTERS.findall(restore(part, lm)) if w not in out]
     return out
 
 
 def spelled(low: str, lm: CharModel | None = None) -> list[str]:
     """Words spelled out letter by letter in a lower-cased text: the letters as written and, with lm, the likeliest
-    reading of letters and signs, with and without its word breaks. Each tail of three letters or more counts too,
-    as other words may come before; of a tail, TAIL letters are looked at."""
+    reading of letters, signs and separators, with and without its word breaks. Each tail of three letters or more counts
+    too, as other words may come before; of a tail, TAIL letters are looked at."""
     out: dict[str, None] = {}
     for m in _SPELLED.finditer(low):
-        core = _BETWEEN.sub("", m.group())
-        if not _LETTERS.search(core):
+        parts = _LETTERS.findall("".join(c for c in m.group()[::2]))
+        if not parts:
             continue
-        parts = _LETTERS.findall(core)
-        for k in range(0, len(core), 256 - TAIL) if lm else ():
-            read = restore(core[k : k + 256], lm, breaks=True)
+        for part in spans(m.group()) if lm else ():
+            read = restore(part, lm, spelled_out=True)
             parts += [*_LETTERS.findall(read), *_LETTERS.findall(read.replace(" ", ""))]
         for part in dict.fromkeys(parts):
             out |= dict.fromkeys(part[k : k + TAIL] for k in range(len(part) - 2))
@@ -200,16 +214,20 @@ def copies(bags: list[set[str]], bands: int = 5, rows: int = 3, common: float =
     return [root(k) for k in range(len(bags))]
 
 
-def train(texts: list[tuple[str, int]], counts: np.ndarray, max_features: int = 20_000) -> Model:
+def train(texts: list[tuple[str, int]], counts: np.ndarray) -> Model:
+    """fit_bags() of texts."""
+    lm, memo = CharModel(counts), {}
+    return fit_bags([(words_of(t, lm, memo), y) for t, y in sorted(set(texts))], counts)
+
+
+def fit_bags(labelled: list[tuple[set[str], int]], counts: np.ndarray, max_features: int = 20_000) -> Model:
     """Words and stems whose share of toxic texts exceeds the base rate beyond chance, at a level divided by the
     number tested, each with its smoothed share as its rate.
 
     The one that tells most, by its likelihood, is taken first and explains its words; the others are judged by
     the words left, so that a stem gains nothing from a word that speaks for itself. Copies count as one text."""
-    lm = CharModel(counts)
-    memo: dict[str, list[str]] = {}
-    texts = sorted(set(texts))
-    bags = [words_of(t, lm, memo) for t, _ in texts]
+    texts = labelled
+    bags = [bag for bag, _ in labelled]
     group = copies(bags)
     toxic_of: dict[str, set[int]] = {}
     calm_of: dict[str, set[int]] = {}
@@ -335,13 +353,33 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
     return run(F.col(text))
 
 
+def bags_of(docs: DataFrame, counts: np.ndarray, text: str = "text") -> Column:
+    """array<string>: all words of docs' text column, as written and as restored, in order and each once."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(counts), uuid.uuid4().hex
+
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lm, memo = worker_state(name, lambda: (CharModel(shared.value), {}))
+        for batch in batches:
+            out = []
+            for x in batch:
+                if len(memo) > 200_000:
+                    memo.clear()
+                out.append(sorted(words_of(x.as_py() or "", lm, memo)))
+            yield pa.array(out, pa.list_(pa.string()))
+
+    return run(F.col(text))
+
+
 def fit(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 3500) -> Model:
     """The language model is counted over all of docs; the classifier is fitted on a bounded sample of labelled
-    (key, text, label) rows: about `sample` of them, chosen by a hash of the key, in their natural proportion."""
+    (key, text, label) rows: about `sample` of them (2 * sample at most), chosen by a hash of key and text, in their
+    natural proportion. Their words, not their texts, come to the driver."""
     counts = count_chars(docs, text)
-    rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")).filter("t is not null and y in (0, 1)")
+    rows = labelled.select(F.xxhash64(key, text, F.lit("sample")).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")).filter("t is not null and y in (0, 1)")
     r = rows.agg(F.sum(F.col("y").cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).first()
     part = min(1.0, sample / max(1, r["n"]))
-    got = rows.filter(F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(1_000_000)) < part * 1_000_000).collect()
-    model = train(sorted((x["t"], x["y"]) for x in got), counts)
+    some = rows.filter(F.pmod("k", F.lit(1_000_000)) < part * 1_000_000).orderBy("k").limit(2 * sample)
+    got = materialize(some.select(bags_of(some, counts, "t").alias("words"), "y").distinct(), "bags").collect()
+    model = fit_bags([(set(x["words"]), x["y"]) for x in sorted(got)], counts)
     return model._replace(base=min(model.base, ((r["t"] or 0) + 0.5) / (r["n"] + 1)))

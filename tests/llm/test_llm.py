@@ -149,6 +149,44 @@ def test_encoding_equals_the_library_and_decodes():
         assert d.decode(ids) == t
 
 
+def test_streaming_keeps_a_window_and_commits_where_paths_meet(monkeypatch):
+    """Blocks of a few characters, cut anywhere; the window stays bounded on runs of any length."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    e = sentpiece.Encoder(sentpiece.load_pieces(MODEL))
+    rnd = random.Random(24)
+    texts = ["".join(rnd.choice(al) for _ in range(3000)) for al in ("abcdeinrst", "日本語テキスト", "theanin ", "a", "ab\n\U0001f642", "  x")]
+    kept = []
+    real = e._commit
+    monkeypatch.setattr(e, "_commit", lambda *a: kept.append(len(a[1])) or real(*a))
+    for t in texts:
+        want = sp.encode(t)
+        marked = (" " if e.p.prefix else "") + t
+        for size in (1, 7, 500):
+            blocks = [marked[k : k + size].replace(" ", sentpiece.SPACE) for k in range(0, len(marked), size)]
+            assert list(e.stream(blocks)) == want
+        monkeypatch.setattr(sentpiece, "BLOCK", 64)
+        assert e.encode(t).tolist() == want
+        monkeypatch.undo()
+        monkeypatch.setattr(e, "_commit", lambda *a: kept.append(len(a[1])) or real(*a))
+    assert kept and max(kept) <= 6 * e.p.longest
+    committed = []
+    monkeypatch.undo()
+    blocks = (committed.append(k) or "abcdeinrst"[k % 10] for k in range(4000))
+    ids = e.stream(blocks)
+    next(ids)
+    assert len(committed) < 400  # the first ids come before the text has ended
+
+
+def test_decoding_refuses_ids_out_of_range():
+    d = sentpiece.Decoder(sentpiece.load_pieces(MODEL))
+    for ids in ([-1], [5, 10**6]):
+        with pytest.raises(ValueError, match="out of range"):
+            d.decode(ids)
+    assert d.decode([]) == ""
+
+
 def test_encode_edges(spark):
     got = sentpiece.encode_documents(odd_docs(spark), MODEL)
     rows = got.collect()
@@ -775,6 +813,10 @@ def test_deobfuscation_of_spelled_and_doubled_letters(lm):
         assert word in toxicity.spelled(low, m), low
     for hidden, word in {"stuupid": "stupid", "iddiot": "idiot", "moroon": "moron"}.items():
         assert word in toxicity.readings(hidden, m), hidden
+    for k in range(150, 260, 7):  # wherever the lattice is cut
+        assert "idiot" in toxicity.readings("ab/" * (k // 3) + "x" * (k % 3) + "/1d10t", m), k
+        assert "moron" in toxicity.spelled(" ".join("ab" * (k // 3)) + " m 0 r 0 n", m), k
+    assert "you" in toxicity.restore("y o u a r e", m, spelled_out=True).split()
     assert toxicity.spelled("1 2 3 4", m) == [] and len(toxicity.spelled("a b " * 5000)) < 70 * 2
 
 
@@ -798,6 +840,20 @@ def test_toxicity_held_out(spark, lm):
     assert toxicity.Scorer(toxicity.train([], lm)).score(None) == toxicity.Scorer(toxicity.train([], lm)).score("")
 
 
+def test_sample_of_labelled_rows_is_bounded(spark, lm):
+    """A key that a third of the rows have, or none, does not bring them all to the driver."""
+    rows = [(7 if k % 3 else None, "some words " + "".join("abcdefghij"[int(c)] for c in str(k)) + " here " + "idiot " * (k % 4 == 0), int(k % 4 == 0)) for k in range(900)] + [(1, None, 1), (2, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen = []
+    real = toxicity.fit_bags
+    try:
+        toxicity.fit_bags = lambda bags, counts: seen.append(len(bags)) or real(bags, counts)
+        model = toxicity.fit(df, df, sample=200)
+    finally:
+        toxicity.fit_bags = real
+    assert 100 <= seen[0] <= 400 and "idiot" in model.rates
+
+
 def test_character_counts_cover_all_documents(spark):
     df = spark.createDataFrame([("abc",), ("abc",), (None,)], "text string")
     n = toxicity.count_chars(df)
