@@ -19,7 +19,9 @@ NOISE = ("About this result", "Search Labs", "Google apps", "Google Account", "M
 QUERIES_WITH_LOCATION = ("", " {l} resort", " {l} nature view", " {l} surroundings", " {l} aerial view", " {l} scenic drive to")
 QUERIES_FALLBACK = ("", " hotel resort", " nature view", " surroundings", " aerial view", " scenic landscape")
 # MIME types by extension.
-MIME = {"jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png", "webp": "image/webp", "gif": "image/gif"}
+MIME = {"jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png", "webp": "image/webp", "gif": "image/gif", "mp4": "video/mp4", "mov": "video/quicktime", "webm": "video/webm"}
+# The type of a file whose extension is not of its family.
+MIME_DEFAULT = {"image": "image/jpeg", "video": "video/mp4"}
 
 
 def col(c: Column | str) -> Column:
@@ -104,9 +106,10 @@ def guess_extension(url: Column | str) -> Column:
     return F.when(u.contains(".png"), ".png").when(u.contains(".webp"), ".webp").when(u.contains(".jpeg"), ".jpeg").otherwise(".jpg")
 
 
-def mime_type(path: Column | str) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv])
-    return F.coalesce(F.try_element_at(table, F.lower(F.substring_index(col(path), ".", -1))), F.lit("image/jpeg"))
+def mime_type(path: Column | str, family: str = "image") -> Column:
+    """The type by the extension, if it is one of the family; else the family's default."""
+    table = F.create_map(*[F.lit(x) for k, v in MIME.items() if v.startswith(f"{family}/") for x in (k, v)])
+    return F.coalesce(F.try_element_at(table, F.lower(F.substring_index(col(path), ".", -1))), F.lit(MIME_DEFAULT[family]))
 
 
 def storage_path(poi: Column | str, run: Column | str, stage: Column | str, name: Column | str) -> Column:

@@ -100,10 +100,10 @@ def embedding_dedup_blocks(df: DataFrame, poi: str = "poi", order: str = "ord",
     return got.select(F.col("poi").alias(poi), F.col("o").alias(order), "pos")
 
 
-def two_pass_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", phash: str = "phash", embedding: str = "embedding", distance: int = 8, similarity: float = 0.89) -> DataFrame:
+def two_pass_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", phash: str = "phash", embedding: str = "embedding", distance: int = 8, similarity: float = 0.89, blocks: bool = False) -> DataFrame:
     """Hashes first, then vectors among what is left; poi, ord, pos."""
     left = hash_dedup(df, poi, order, phash, distance)
-    return embedding_dedup(df.join(left, [poi, order], "left_semi"), poi, order, embedding, similarity)
+    return (embedding_dedup_blocks if blocks else embedding_dedup)(df.join(left, [poi, order], "left_semi"), poi, order, embedding, similarity)
 
 
 def perceptual_hash(gray: Column) -> Column:

@@ -23,10 +23,37 @@ def insert(df: DataFrame, rows: DataFrame) -> DataFrame:
     return df.unionByName(rows, allowMissingColumns=True).select(*df.columns)
 
 
+def required(df: DataFrame, where: Column, what: str) -> None:
+    """Raises where no row meets the condition: one job that ends at the first that does."""
+    if df.filter(where).limit(1).isEmpty():
+        raise ValueError(f"{what}: no matching record")
+
+
+def create(df: DataFrame, rows: DataFrame, what: str) -> DataFrame:
+    """As insert; raises where there is nothing to insert."""
+    required(rows, F.lit(True), f"create {what}")
+    return insert(df, rows)
+
+
+def update_one(df: DataFrame, key: str, value: str, values: dict[str, Column], what: str) -> DataFrame:
+    """As update of the rows whose key has the value; raises where none has."""
+    where = F.col(key) == value
+    required(df, where, f"update {what} {value!r}")
+    return update(df, where, values)
+
+
 def update_poi(layer: DataFrame, name: str, values: dict[str, Column], now: Column) -> DataFrame:
     """As update, stamping updated_at; raises where no row has the name."""
-    out = update(layer, F.col("poi_name") == name, values | {"updated_at": now})
-    return out.withColumn("changed", F.col("changed"))
+    return update_one(layer, "poi_name", name, values | {"updated_at": now}, "POI")
+
+
+def create_videos(videos: DataFrame, poi_id: str, rows: DataFrame) -> DataFrame:
+    """rows added under the batch poi_id; raises where there are none."""
+    return create(videos, rows.withColumn("poi_id", F.lit(poi_id)), f"video of batch {poi_id!r}")
+
+
+def update_video(videos: DataFrame, video_id: str, values: dict[str, Column]) -> DataFrame:
+    return update_one(videos, "id", video_id, values, "video")
 
 
 def claim(layer: DataFrame, name: str, now: Column) -> DataFrame:
@@ -86,6 +113,12 @@ def upsert(df: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return joined.select(*[pick(c).alias(c) for c in df.columns])
 
 
+def registered(rows: DataFrame) -> DataFrame:
+    """poi_name, registered: whether anything was uploaded; a scrape without images changes no table."""
+    return rows.select("poi_name", F.coalesce(F.col("scraped_count") > 0, F.lit(False)).alias("registered"))
+
+
 def register_scrape(layer: DataFrame, rows: DataFrame, now: Column) -> DataFrame:
-    """rows (poi_name, scraped_pics, scraped_count): created or updated, idle, stamped."""
-    return upsert(layer, rows.withColumns({"processing_status": F.lit("idle"), "updated_at": now}), "poi_name")
+    """rows (poi_name, scraped_pics, scraped_count): created or updated, idle, stamped; those without images are not."""
+    done = rows.filter("scraped_count > 0")
+    return upsert(layer, done.withColumns({"processing_status": F.lit("idle"), "updated_at": now}), "poi_name")

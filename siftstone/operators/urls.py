@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from siftstone.functions.scalars import full_size_url, is_junk, is_skipped_domain, unescape_url
 from siftstone.operators.dedup import first_seen, head_of_group
 
-#: A photograph's URL in script text.
+# A photograph's URL in script text.
 SCRIPT_URL = r"""(https://[^\s'"\\]{20,500}\.(?:jpg|jpeg|png|webp)[^\s'"\\]*)"""
-#: The source attribute of an image element.
+# The source attribute of an image element.
 IMG_SRC = r"""<img\b[^>]*?\b(?:data-)?src\s*=\s*["']([^"']*)["']"""
 
 

@@ -12,15 +12,18 @@ from siftstone.operators import dedup, filters, ranking
 JUDGED = 30
 
 
-def curate(candidates: DataFrame, replies: DataFrame | None = None, config: Config | None = None, least: float | None = None, similarity: float | None = None, distance: int | None = None) -> DataFrame:
+def curate(candidates: DataFrame, replies: DataFrame | None = None, config: Config | None = None, least: float | None = None, similarity: float | None = None, distance: int | None = None, blocks: bool = False) -> DataFrame:
     """candidates (poi, ord, width, height, phash, embedding, score) -> the rows chosen for each poi, with pos.
 
-    The judge sees the 30 best of a group; replies (poi, content) name them by that order. Without a reply for a
-    group (or without replies) all of it passes. One lazy chain: nothing is collected or written between stages."""
+    What the eliminations leave is ordered by score. The judge sees the 30 best of a group; replies (poi, content) name
+    them by that order. Without a reply for a group (or without replies) all of it passes. Of more than the wanted number
+    the best by score are chosen. One lazy chain: nothing is collected or written between stages. With blocks, groups of
+    many thousands are compared by matrices instead of folds."""
     c = config or Config()
     ok = filters.image_candidates(candidates, c.min_width, c.min_height, c.min_aspect, c.max_aspect, c.score_min if least is None else least).filter("stage_rejected is null").drop("stage_rejected")
-    kept = dedup.two_pass_dedup(ok, distance=distance or c.hash_distance, similarity=similarity or c.similarity)
+    kept = dedup.two_pass_dedup(ok, distance=c.hash_distance if distance is None else distance, similarity=c.similarity if similarity is None else similarity, blocks=blocks)
     rows = ok.join(kept, ["poi", "ord"])
+    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("poi").orderBy(*ranking.by_score("score", "pos"))) - 1)
     if replies is not None:
         seen = dedup.head_of_group(rows, ["poi"], ranking.by_score("score", "pos"), JUDGED)
         seen = seen.withColumn("shown", F.row_number().over(Window.partitionBy("poi").orderBy(*ranking.by_score("score", "pos"))) - 1)

@@ -286,7 +286,10 @@ def w3_cap(spark, d):
     return dedup.head_of_group(hrefs(T(spark, d)).select("page_id", "idx", "url"), ["page_id"], [F.col("idx")], 3)
 
 
-@query()
+@query(f"""WITH h AS (SELECT (page_id % 16)::VARCHAR AS poi, page_id * 1000 + idx AS ord, url, CASE WHEN page_id % 3 = 0 THEN 'all' ELSE (page_id % 3)::VARCHAR END AS t FROM {_HREFS}),
+g AS (SELECT poi, list({{'o': ord, 'u': url, 't': t}} ORDER BY ord) AS r FROM h GROUP BY poi),
+k AS (SELECT poi, list_reduce(list_transform(r, lambda e: [e]), lambda a, b: CASE WHEN len(a) >= 9 OR len(list_filter(a, lambda q: q.t = b[1].t)) >= CASE WHEN b[1].t = 'all' THEN 5 ELSE 3 END OR len(list_filter(a, lambda q: q.u = b[1].u)) > 0 THEN a ELSE list_concat(a, b) END) AS kept FROM g),
+u AS (SELECT poi, unnest(kept) AS q FROM k) SELECT poi, q.o AS ord, q.u AS url, q.t AS category FROM u""")
 def w2_quota_across_tabs(spark, d):
     h = hrefs(T(spark, d)).select((F.col("page_id") % 16).cast("string").alias("poi"), (F.col("page_id") * 1000 + F.col("idx")).alias("ord"), "url", F.when(F.col("page_id") % 3 == 0, "all").otherwise((F.col("page_id") % 3).cast("string")).alias("category"))
     return dedup.quota_across_tabs(h, first_quota=5, quota=3, cap=9)
@@ -358,7 +361,18 @@ def g2_blocks(spark, d):
     return dedup.embedding_dedup_blocks(hashed(T(spark, d)), similarity=0.3).select("poi", "ord")
 
 
-@query()
+def _two_folds(rows: str, bits: int, cosine: float) -> str:
+    """SQL of tables f (poi, ord, pos): rows (poi, ord, x, p, ...) after the fold on hashes p and then that on vectors x."""
+    fold = lambda near: f"list_reduce(list_transform(r, lambda e: [e]), lambda a, b: CASE WHEN len(list_filter(a, lambda q: {near})) > 0 THEN a ELSE list_concat(a, b) END)"
+    return f"""c AS ({rows}),
+g1 AS (SELECT poi, list({{'o': ord, 'x': p}} ORDER BY ord) AS r FROM c GROUP BY poi),
+k1 AS (SELECT poi, unnest(list_transform({fold(f'bit_count(xor(q.x, b[1].x)) < {bits}')}, lambda q: q.o)) AS ord FROM g1),
+g2 AS (SELECT c.poi, list({{'o': c.ord, 'x': c.x}} ORDER BY c.ord) AS r FROM c JOIN k1 ON k1.poi = c.poi AND k1.ord = c.ord GROUP BY c.poi),
+k2 AS (SELECT poi, list_transform({fold(f'list_cosine_similarity(q.x, b[1].x) >= {cosine}')}, lambda q: q.o) AS kept FROM g2),
+f AS (SELECT poi, unnest(kept) AS ord, (generate_subscripts(kept, 1) - 1)::INT AS pos FROM k2)"""
+
+
+@query("WITH " + _two_folds(f"SELECT label AS poi, vec_id AS ord, embedding::DOUBLE[] AS x, {_SIGNS} AS p FROM embeddings", 24, 0.3) + " SELECT poi, ord, pos FROM f")
 def g3_two_pass(spark, d):
     return dedup.two_pass_dedup(hashed(T(spark, d)), distance=24, similarity=0.3)
 
@@ -462,9 +476,9 @@ def f16_f17_chosen(spark, d):
     return r.select("poi", F.concat(F.lit("["), F.array_join(c.cast("array<string>"), ", "), F.lit("]")).alias("chosen"))
 
 
-@query("SELECT doc_id, nullif(regexp_extract(text, '[0-9]+'), '') AS ref, len(regexp_extract_all(text, '[0-9]+')[1:3])::INT AS n_refs FROM documents WHERE trim(text) <> ''")
+@query("SELECT doc_id, nullif(regexp_extract(text, '[0-9]+'), '') AS ref, len(regexp_extract_all(text, '[0-9]+')[1:3])::INT AS n_refs FROM documents")
 def f18_f19_refs(spark, d):
-    return T(spark, d).documents.filter("trim(text) <> ''").select("doc_id", scalars.first_ref("text").alias("ref"), F.size(scalars.first_refs("text", 3)).alias("n_refs"))
+    return T(spark, d).documents.select("doc_id", scalars.first_ref("text").alias("ref"), F.size(scalars.first_refs("text", 3)).alias("n_refs"))
 
 
 @query("""SELECT event_id, props::JSON->>'$.k' AS k, CASE WHEN props::JSON->>'$.k' IS NULL THEN NULL ELSE props::JSON->>'$.k' END AS after_put FROM events""")
@@ -512,10 +526,16 @@ def f38_norm(spark, d):
     return T(spark, d).embeddings.select(F.col("vec_id").alias("ord"), F.round(F.sqrt(scalars.dot(F.col("embedding"), F.col("embedding"))), 5).alias("norm"))
 
 
-@query()
+@query("""WITH g AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+px AS (SELECT vec_id, y, x, e[((32 * y + x + 5 * y * y) % 61 + 1)::INT] AS v FROM g, range(32) ty(y), range(32) tx(x)),
+across AS (SELECT vec_id, y, u, sum(v * cos(pi() * (2 * x + 1) * u / 64)) AS s FROM px, range(8) tu(u) GROUP BY vec_id, y, u),
+low AS (SELECT vec_id, w, u, sum(s * cos(pi() * (2 * y + 1) * w / 64)) AS c FROM across, range(8) tw(w) GROUP BY vec_id, w, u),
+m AS (SELECT vec_id, median(c) AS md FROM low GROUP BY vec_id),
+b AS (SELECT vec_id, sum(CASE WHEN c > md THEN (1::HUGEINT << (63 - 8 * w - u)::INT) ELSE 0 END)::HUGEINT AS h FROM (SELECT vec_id, w, u, c, md FROM low JOIN m USING (vec_id)) GROUP BY vec_id)
+SELECT vec_id AS ord, (CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END)::BIGINT AS phash FROM b""")
 def f39_perceptual_hash(spark, d):
-    gray = F.flatten(F.array_repeat(F.col("embedding"), 16))
-    return T(spark, d).embeddings.select(F.col("vec_id").alias("ord"), dedup.perceptual_hash(gray).alias("phash"))
+    at = F.expr("transform(sequence(0, 1023), i -> element_at(embedding, cast((i + 5 * floor(i / 32) * floor(i / 32)) % 61 + 1 as int)))")
+    return T(spark, d).embeddings.select(F.col("vec_id").alias("ord"), dedup.perceptual_hash(at).alias("phash"))
 
 
 _JOBS = "(SELECT event_id AS id, CASE WHEN event_type = 'click' THEN 'processing' ELSE 'idle' END AS processing_status, CASE WHEN event_type = 'click' THEN 'running' ELSE 'completed' END AS status, ts, user_id FROM events)"
@@ -577,7 +597,7 @@ def d14_finish_step(spark, d):
 
 
 @query("SELECT coalesce(s_suppkey, c_custkey) AS k, coalesce(s_name, c_name) AS name, c_mktsegment AS seg FROM customer FULL JOIN supplier ON s_suppkey = c_custkey + 5")
-def d9_d11_d15_d17_upsert(spark, d):
+def d9_d11_d15_upsert(spark, d):
     t = T(spark, d)
     old = t.customer.select((F.col("c_custkey") + 5).alias("j"), F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
     new = t.supplier.select(F.col("s_suppkey").alias("j"), F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))
@@ -608,25 +628,50 @@ def k7_archive(spark, d):
     return p.filter(~F.col("f").endswith(".json")).select("page_id", scalars.archive_path(F.lit("p"), scalars.stamp(now()), F.lit("s"), "f").alias("path"))
 
 
-_KEPT = SQL["g2_j9_embedding_dedup"].replace("FROM embeddings GROUP BY label", f"FROM embeddings WHERE {_HEAD} >= 5.9 GROUP BY label")
+#: Candidates of the plan: sizes of which both rules drop some, hashes, vectors and scores.
+_CANDIDATES = f"""SELECT * FROM (SELECT label AS poi, vec_id AS ord, embedding::DOUBLE[] AS x, {_SIGNS} AS p, {_HEAD} AS score, 500 + (vec_id * 37) % 1500 AS w, 500 + (vec_id * 53) % 1100 AS h FROM embeddings)
+WHERE w >= 600 AND h >= 600 AND w / h BETWEEN 0.6 AND 2.0 AND score >= 5.9"""
+_CURATED = "WITH " + _two_folds(_CANDIDATES, 20, 0.3) + ", r AS (SELECT f.poi, f.ord, row_number() OVER (PARTITION BY f.poi ORDER BY c.score DESC, f.pos) - 1 AS nth FROM f JOIN c ON c.poi = f.poi AND c.ord = f.ord)"
+
+
+def candidates(t: T) -> DataFrame:
+    k = F.col("ord")
+    sizes = {"width": 500 + k * 37 % 1500, "height": 500 + k * 53 % 1100}
+    return hashed(t).withColumns({"score": filters.head_score(F.col("embedding"), WEIGHTS, BIAS)} | sizes)
+
 
+def _plan(c: DataFrame, replies: DataFrame | None = None) -> DataFrame:
+    from siftstone.config import Config
+    from siftstone.plans import curation
 
-@query(f"""WITH kept AS ({_KEPT}), s AS (SELECT kept.poi, kept.ord, e.score FROM kept JOIN {_SCORES} e ON e.vec_id = kept.ord)
-SELECT poi, ord, (CASE WHEN count(*) OVER (PARTITION BY poi) <= 15 THEN row_number() OVER (PARTITION BY poi ORDER BY ord) ELSE row_number() OVER (PARTITION BY poi ORDER BY score DESC, ord) END) - 1 AS pos FROM s QUALIFY pos < 15""")
+    config = Config(min_width=600, min_height=600, min_aspect=0.6, max_aspect=2.0, target_max=15)
+    return curation.curate(c, replies, config, least=5.9, similarity=0.3, distance=20).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
+
+
+@query(_CURATED + " SELECT poi, ord, nth AS pos FROM r WHERE nth < 15")
 def curate(spark, d):
-    c = scored(T(spark, d)).filter(filters.good_looking(F.col("score"), 5.9))
-    kept = dedup.embedding_dedup(c, similarity=0.3).select("poi", "ord")
-    return ranking.top_n(c.join(kept, ["poi", "ord"])).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
+    """The core plan: resolution, aspect, score, both eliminations, order, top 15."""
+    return _plan(candidates(T(spark, d)))
 
 
-@query()
+@query(_CURATED + """, s AS (SELECT poi, ord, nth, CASE WHEN poi % 2 = 0 THEN nth - 1 ELSE [1, 2, 0][nth + 1] END AS q FROM r WHERE CASE WHEN poi % 2 = 0 THEN nth BETWEEN 1 AND 29 ELSE nth < 3 END),
+n AS (SELECT *, count(*) OVER (PARTITION BY poi) AS n FROM s)
+SELECT poi, ord, CASE WHEN n <= 15 THEN row_number() OVER (PARTITION BY poi ORDER BY q) ELSE row_number() OVER (PARTITION BY poi ORDER BY nth) END - 1 AS pos FROM n QUALIFY pos < 15""")
 def curate_judged(spark, d):
-    from siftstone.plans.curation import curate as plan
+    """The plan with replies: even groups lose their best, odd ones name three."""
+    c = candidates(T(spark, d))
+    r = c.select("poi").distinct().withColumn("content", F.when(F.col("poi") % 2 == 0, "1. REJECT\n2. KEEP").otherwise("TOP15: 3, 1, 2"))
+    return _plan(c, r)
 
+
+@query("""SELECT coalesce(s.k, c.k) AS poi_name, CASE WHEN s.k IS NULL THEN c.pics ELSE 'pois/' || s.k END AS scraped_pics, coalesce(s.n, c.n) AS scraped_count, CASE WHEN s.k IS NULL THEN 'processing' ELSE 'idle' END AS processing_status, s.k IS NOT NULL AS stamped
+FROM (SELECT (c_custkey + 5)::VARCHAR AS k, c_name AS pics, c_nationkey::INT AS n FROM customer) c FULL JOIN (SELECT s_suppkey::VARCHAR AS k, (s_suppkey % 3)::INT AS n FROM supplier WHERE s_suppkey % 3 > 0) s ON s.k = c.k""")
+def d17_register_scrape(spark, d):
     t = T(spark, d)
-    c = hashed(t).withColumns({"score": filters.head_score(F.col("embedding"), WEIGHTS, BIAS), "width": F.lit(800), "height": F.lit(600)})
-    r = c.select("poi").distinct().withColumn("content", F.when(F.col("poi") % 2 == 0, "1. REJECT\n2. KEEP").otherwise("TOP15: 3, 1, 2"))
-    return plan(c, r, least=5.9, similarity=0.3, distance=20).select("poi", "ord", "pos")
+    layer = t.customer.select((F.col("c_custkey") + 5).cast("string").alias("poi_name"), F.col("c_name").alias("scraped_pics"), F.col("c_nationkey").cast("int").alias("scraped_count"), F.lit("processing").alias("processing_status"), F.lit(None).cast("timestamp").alias("updated_at"))
+    k = F.col("s_suppkey").cast("string")
+    rows = t.supplier.select(k.alias("poi_name"), F.concat(F.lit("pois/"), k).alias("scraped_pics"), (F.col("s_suppkey") % 3).cast("int").alias("scraped_count"))
+    return transitions.register_scrape(layer, rows, now()).select("poi_name", "scraped_pics", "scraped_count", "processing_status", F.col("updated_at").isNotNull().alias("stamped"))
 
 
 @query("SELECT page_id, idx, url FROM " + _HREFS + " WHERE idx < 2")

@@ -179,3 +179,108 @@ def test_retry_and_upload_plan(spark):
     got = {(r["poi"], r["name"]): (r["archive"], r["upload"]) for r in upload_plan(new, stored).collect()}
     assert got == {("a", "1.jpg"): (False, False), ("a", "2.jpg"): (False, True), ("b", "1.jpg"): (False, True), ("c", "1.jpg"): (True, True), ("c", "2.jpg"): (True, True)}
     assert upload_plan(new.limit(0), stored).count() == 0
+
+
+def test_zero_row_changes_raise(spark):
+    import pytest
+
+    layer = spark.sql("select 'a' as poi_name, 'idle' as processing_status, cast(null as timestamp) as updated_at")
+    now = F.expr("timestamp '2024-01-02'")
+    assert transitions.update_poi(layer, "a", {}, now).first()["updated_at"].day == 2
+    videos = spark.sql("select 'v' as id, 'b' as poi_id, 'idle' as publishing_status")
+    assert transitions.update_video(videos, "v", {"publishing_status": F.lit("done")}).first()["publishing_status"] == "done"
+    assert transitions.create_videos(videos, "c", spark.sql("select 'w' as id")).filter("poi_id = 'c'").count() == 1
+    for change in (lambda: transitions.update_poi(layer, "b", {}, now), lambda: transitions.release(layer, "b", now), lambda: transitions.update_video(videos, "w", {}), lambda: transitions.create_videos(videos, "c", videos.limit(0)), lambda: transitions.create(layer, layer.limit(0), "POI")):
+        with pytest.raises(ValueError, match="no matching record"):
+            change()
+
+
+def test_register_scrape(spark):
+    layer = spark.sql("select * from values ('a', 'x', 3, 'processing', timestamp '2024-01-01') t(poi_name, scraped_pics, scraped_count, processing_status, updated_at)")
+    rows = spark.createDataFrame([("a", "pois/a", 0), ("b", "pois/b", 2), ("c", None, None)], "poi_name string, scraped_pics string, scraped_count int")
+    got = {r["poi_name"]: (r["scraped_pics"], r["scraped_count"], r["processing_status"], r["updated_at"].day) for r in transitions.register_scrape(layer, rows, F.expr("timestamp '2024-01-02'")).collect()}
+    assert got == {"a": ("x", 3, "processing", 1), "b": ("pois/b", 2, "idle", 2)}
+    assert {r["poi_name"]: r["registered"] for r in transitions.registered(rows).collect()} == {"a": False, "b": True, "c": False}
+
+
+def test_sources_fail_alone(spark):
+    from siftstone.plans import sourcing
+    from siftstone.sources import clients
+
+    def find(query):
+        if query == "bad":
+            raise OSError("down")
+        return [f"http://x/{query}", None, "", "http://x/both"]
+
+    def never(query):
+        raise OSError("down")
+
+    queries = spark.createDataFrame([("p", 0, "bad"), ("p", 1, "one"), ("p", 2, "two"), ("q", 0, "bad")], "poi string, ord int, query string")
+    sources = {"a": clients.search("a", find, key=None), "b": clients.search("b", never), "c": clients.search("c", find), "d": clients.search("d", find)}
+    got = sorted((r["poi"], r["ord"], r["url"], r["source"]) for r in sourcing.search_all(queries, sources).collect())
+    assert got == [("p", 0, "http://x/one", "c"), ("p", 1, "http://x/both", "c"), ("p", 2, "http://x/two", "c")]
+
+
+def test_downloads_leave_gaps_and_retry_without_referer(spark):
+    from siftstone.plans import sourcing
+    from siftstone.sources import clients
+
+    def get(url, headers):
+        if "refuses" in url and "Referer" in headers or "gone" in url:
+            raise clients.HttpError("403")
+        if "broken" in url:
+            raise OSError("reset")
+        return ("text/html" if "page" in url else "image/png"), b"x" * (10 if "tiny" in url else 6000)
+
+    names = ["a.png", "refuses.jpg", "gone", "broken", "page", "tiny", "z.webp"]
+    entries = spark.createDataFrame([("p", k, f"http://h/{n}", 5) for k, n in enumerate(names)] + [("p", 9, "http://h/late", 5)], "poi string, ord int, url string, start int")
+    got = sorted((r["name"], len(r["content"])) for r in sourcing.download_all(entries, clients.download(get, {"User-Agent": "x"}), "start", most=9).collect())
+    assert got == [("candidate_0005.png", 6000), ("candidate_0006.jpg", 6000), ("candidate_0011.webp", 6000)]
+
+
+def test_uploads_probes_and_image_encoding():
+    import json
+
+    import pandas as pd
+    import pytest
+
+    from siftstone.sources import clients
+
+    tried = []
+
+    def put(path, content, mime):
+        tried.append(path)
+        if path != "ok" and not (path == "second" and tried.count("second") == 2):
+            raise OSError(35, "busy")
+
+    rows = pd.DataFrame({"path": ["ok", "second", "ghost", "lost"], "content": [b"x"] * 4, "mime": ["image/jpeg"] * 4})
+    got = clients.upload(put, lambda p: p == "ghost", lambda p: f"http://cdn/{p}")(rows)
+    assert got["url"].tolist() == ["http://cdn/ok", "http://cdn/second", "http://cdn/ghost", None] and tried.count("lost") == 3
+
+    def shrink(content):
+        if content.startswith(b"bad"):
+            raise ValueError("no image")
+        return b"small"
+
+    images = pd.DataFrame({"path": ["a", "b", "c"], "content": [b"x" * 10, b"y" * 30, b"bad" * 10], "mime": ["image/png"] * 3})
+    got = clients.encode_images(shrink, above=20)(images)
+    assert [(base, mime) for base, mime in zip(got["data"], got["mime"])] == [("eHh4eHh4eHh4eA==", "image/png"), ("c21hbGw=", "image/jpeg"), ("YmFk" * 10, "image/png")]
+    said = json.dumps({"format": {"duration": "2.5"}, "streams": [{"width": 4, "height": 3}]})
+    assert clients.probe(lambda p: said)(pd.DataFrame({"path": ["v"]})).iloc[0].tolist() == ["v", 2.5, 4, 3]
+    with pytest.raises(KeyError):
+        clients.probe(lambda p: "{}")(pd.DataFrame({"path": ["v"]}))
+
+
+def test_types_by_family(spark):
+    row = spark.range(1).select(*[scalars.mime_type(F.lit(p), f).alias(f"x{k}") for k, (p, f) in enumerate([("a.PNG", "image"), ("a.mp4", "image"), ("a.mov", "video"), ("a.png", "video"), ("a", "video")])]).first()
+    assert tuple(row) == ("image/png", "image/jpeg", "video/quicktime", "video/mp4", "video/mp4")
+
+
+def test_plan_settings_of_zero_count(spark):
+    from siftstone.plans.curation import curate
+
+    rows = [("p", k, 700, 700, k, [1.0, float(k)], float(k)) for k in range(4)]
+    df = spark.createDataFrame(rows, "poi string, ord int, width int, height int, phash long, embedding array<double>, score double")
+    assert curate(df, least=0.0, similarity=1.1, distance=0).count() == 4
+    got = [tuple(r) for r in curate(df, least=0.0, similarity=1.1, distance=0, blocks=True).orderBy("pos").select("ord", "pos").collect()]
+    assert got == [(3, 0), (2, 1), (1, 2), (0, 3)]
