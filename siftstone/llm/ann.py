@@ -30,7 +30,7 @@ from siftstone.llm.common import materialize
 
 
 class Settings(NamedTuple):
-    centroids: int | None = None  # of each half; None: twice the fourth root of the vectors, 8 to 512
+    centroids: int | None = None  # of each half; None: four times the fourth root of the vectors, 8 to 1,024
     sample: int = 64  # rows for each centroid that the codebooks are fitted on, about
     recall: float = 0.95  # share of the sampled queries' true neighbours that the walk must reach
     tried: int = 256  # queries that the walk's length is measured on, at most about
@@ -118,16 +118,17 @@ def true_cells(index: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> list
     return [(r["n"], r["cell"]) for r in found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).collect()]
 
 
-def walk_length(found: list[tuple[int, int]], order: Callable[[int], list[int]], sizes: np.ndarray, recall: float) -> int:
-    """The least number of vectors to walk for `recall` of found (query number, cell); order: a query's cells."""
+def walk_length(found: list[tuple[int, int]], order: Callable[[int], np.ndarray], sizes: np.ndarray, recall: float) -> int:
+    """The least number of vectors to walk for `recall` of found (query number, cell); order: all cells as a query walks."""
     cells: dict[int, list[int]] = {}
     for n, cell in found:
         cells.setdefault(n, []).append(cell)
-    before = []
+    before: list[int] = []
+    at = np.empty(len(sizes), dtype=np.int64)
     for n, true in cells.items():
-        seen = order(n)
-        at = dict(zip(seen, np.cumsum(sizes[seen]) - sizes[seen], strict=True))
-        before += [int(at[c]) for c in true]
+        seen = np.asarray(order(n))
+        at[seen] = np.cumsum(sizes[seen]) - sizes[seen]
+        before += at[true].tolist()
     return sorted(before)[math.ceil(recall * len(before)) - 1] + 1 if before else 0
 
 
@@ -145,7 +146,7 @@ def build(vectors: DataFrame, vec_id: str, embedding: str, s: Settings) -> Index
     n = rows.count()
     if not n:
         return None
-    k = s.centroids or int(min(512, max(8, round(2 * n**0.25))))
+    k = s.centroids or int(min(1024, max(8, round(4 * n**0.25))))
     rate = min(1.0, max(8192, s.sample * k) / n)
     sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < rate * 1_000_000).orderBy("vec_id").limit(2 * max(8192, s.sample * k)).collect() or rows.limit(1).collect()
     x = np.array([r["v"] for r in sample], dtype=np.float64)
@@ -162,8 +163,8 @@ def build(vectors: DataFrame, vec_id: str, embedding: str, s: Settings) -> Index
     table = rows.select("vec_id", "v", F.xxhash64("vec_id", "v").alias("h")).mapInArrow(assign, f"vec_id {kind}, v array<double>, h long, cell int")
     table = materialize(table, "index")
     sizes = np.zeros(len(c1) * len(c2), dtype=np.int64)
-    for r in table.groupBy("cell").count().collect():  # at most centroids squared rows
-        sizes[r["cell"]] = r["count"]
+    counts = table.groupBy("cell").count().toArrow()  # at most centroids squared rows
+    sizes[counts.column("cell").to_numpy()] = counts.column("count").to_numpy()
     return Index(table, c1, c2, sizes)
 
 
@@ -180,7 +181,7 @@ def measured_walk(index: Index, every: int, k: int, s: Settings) -> int:
     q = np.array([r["v"] for r in tried], dtype=np.float64)
     found = true_cells(index.table, np.array([r["vec_id"] for r in tried]), q, k)
     d1, d2 = index.distances(q)
-    full = lambda i: np.argsort((d1[i][:, None] + d2[i][None, :]).ravel(), kind="stable").tolist()
+    full = lambda i: np.argsort((d1[i][:, None] + d2[i][None, :]).ravel(), kind="stable")
     return max(wanted, walk_length(found, full, index.sizes, s.recall))
 
 
