@@ -147,6 +147,15 @@ def first_ref(reply: Column | str) -> Column:
     return F.when((F.lower(r) != "none") & (r != ""), F.nullif(F.regexp_extract(r, "[0-9]+", 0), F.lit("")))
 
 
+# Characters of a page's snapshot that a model is asked about.
+SNAPSHOT = 8000
+
+
+def asked_about(snapshot: Column | str) -> Column:
+    """The part of a page's snapshot that a model is asked about."""
+    return F.substring(col(snapshot), 1, SNAPSHOT)
+
+
 def first_refs(reply: Column | str, k: int) -> Column:
     return F.slice(F.regexp_extract_all(col(reply), F.lit("([0-9]+)"), F.lit(1)), 1, k)
 

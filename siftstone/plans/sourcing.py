@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftstone.functions.scalars import guess_extension
-from siftstone.operators import ranking
-from siftstone.operators.dedup import first_seen
+from siftstone.operators import ranking, urls
+from siftstone.operators.dedup import first_seen, quota_across_tabs
 from siftstone.sources.readers import fetch
 
 Client = Callable[[pd.DataFrame], pd.DataFrame]
@@ -28,6 +28,22 @@ def search_all(queries: DataFrame, sources: dict[str, Client], at_once: int = 4)
     return numbered.select("poi", "ord", "url", "source")
 
 
+def site_images(sites: DataFrame, client: Client, cap: int = 50, at_once: int = 4) -> DataFrame:
+    """poi, ord, url, source, subpage of the images on the pages that a client of sources.clients.crawl opens for sites
+    (poi, url), in the order of the pages, each once, up to cap."""
+    pages = fetch(sites.select("poi", "url"), client, f"poi {dict(sites.dtypes)['poi']}, nth int, subpage string, html string", at_once)
+    keyed = pages.withColumn("subpage", F.concat_ws(" ", F.format_string("%04d", "nth"), "subpage"))
+    found = urls.page_images(keyed, "poi", "subpage", "html", cap=cap)
+    return found.withColumn("subpage", F.substring("subpage", 6, 1 << 20))
+
+
+def panel_images(images: DataFrame, first_quota: int = 30, quota: int = 10, cap: int = 200) -> DataFrame:
+    """poi, ord, url, category of a panel's images (poi, ord, category, src, width), tab by tab in their order: at full
+    size, without avatars and tiny ones, each once, by the tabs' quotas."""
+    found = images.withColumn("url", F.concat(urls.panel_url(F.col("src"), F.col("width")), F.lit("=s0"))).filter("url is not null")
+    return quota_across_tabs(found.select("poi", "ord", "category", "url"), first_quota=first_quota, quota=quota, cap=cap)
+
+
 def download_all(entries: DataFrame, client: Client, start: str | None = None, most: int | None = None, at_once: int = 4) -> DataFrame:
     """poi, ord, url, name, content of the entries (poi, ord, url[, start]) that could be downloaded, the first `most` of
     each group tried. Files are numbered from start before they are tried, so a failure leaves a gap."""

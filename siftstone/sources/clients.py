@@ -105,6 +105,64 @@ def encode_images(shrink: Callable[[bytes], bytes], above: int = SHRINK_ABOVE) -
     return lambda pdf: pd.DataFrame([one(*r) for r in pdf[["path", "content", "mime"]].itertuples(index=False)], columns=["path", "data", "mime"])
 
 
+# Subpages of a site that are read beside its first page.
+SUBPAGES = 3
+# Frames a second that a video is asked about with.
+FPS_LEAST, FPS_MOST = 2, 10
+
+
+def crawl(open_page: Callable[[str], tuple[str, list[str]]], choose: Callable[[str, list[str]], list[str]], most: int = SUBPAGES) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Rows (poi, url) -> poi, nth, subpage, html: a site's first page and up to `most` of the pages it links to.
+
+    open_page(url): HTML and links; choose(poi, links): the links to follow. Where choosing fails none is followed; a
+    page that does not open is left out, and if that is the first one, so is the site."""
+
+    def one(poi: str, url: str) -> list[tuple[str, int, str, str]]:
+        try:
+            html, links = open_page(url)
+        except Exception as error:
+            log.warning("%s: %s", url, error)
+            return []
+        out = [(poi, 0, url, html)]
+        try:
+            chosen = [u for u in dict.fromkeys(choose(poi, links)) if u in links and u != url][:most]
+        except Exception as error:
+            log.warning("%s: %s", poi, error)
+            chosen = []
+        for k, sub in enumerate(chosen):
+            try:
+                out.append((poi, k + 1, sub, open_page(sub)[0]))
+            except Exception as error:
+                log.warning("%s: %s", sub, error)
+        return out
+
+    return lambda pdf: pd.DataFrame([r for x in pdf[["poi", "url"]].itertuples(index=False) for r in one(*x)], columns=["poi", "nth", "subpage", "html"])
+
+
+def ask(post: Callable[[dict], tuple[int, str]], model: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Rows (poi, prompt, urls, images, videos, fps) -> poi, reply: one call of a multimodal model a row.
+
+    urls: image links; images: (mime, base64) pairs; videos: links, asked about at fps frames a second, from 2 to 10. An
+    answer other than 200 is raised."""
+
+    def one(poi, prompt, urls, images, videos, fps) -> tuple[str, str]:
+        content = [{"type": "text", "text": prompt}]
+        content += [{"type": "image_url", "image_url": {"url": u}} for u in _items(urls)]
+        content += [{"type": "image_url", "image_url": {"url": f"data:{m};base64,{d}"}} for m, d in _items(images)]
+        rate = min(FPS_MOST, max(FPS_LEAST, int(fps or FPS_LEAST)))
+        content += [{"type": "video_url", "video_url": {"url": u}, "fps": rate} for u in _items(videos)]
+        status, body = post({"model": model, "messages": [{"role": "user", "content": content}]})
+        if status != 200:
+            raise HttpError(f"{status}: {body[:200]}")
+        return poi, body
+
+    return lambda pdf: pd.DataFrame([one(*r) for r in pdf[["poi", "prompt", "urls", "images", "videos", "fps"]].itertuples(index=False)], columns=["poi", "reply"])
+
+
+def _items(values) -> list:
+    return [] if values is None else list(values)
+
+
 def probe(describe: Callable[[str], str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Rows (path) -> path, duration, width, height. describe(path): the JSON that a media prober prints of the format's
     duration and the first video stream's sides; an error of it, or a reply without them, is raised."""

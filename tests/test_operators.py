@@ -284,3 +284,48 @@ def test_plan_settings_of_zero_count(spark):
     assert curate(df, least=0.0, similarity=1.1, distance=0).count() == 4
     got = [tuple(r) for r in curate(df, least=0.0, similarity=1.1, distance=0, blocks=True).orderBy("pos").select("ord", "pos").collect()]
     assert got == [(3, 0), (2, 1), (1, 2), (0, 3)]
+
+
+def test_sites_and_panels(spark):
+    from siftstone.plans import sourcing
+    from siftstone.sources import clients
+
+    image = "https://cdn.example.org/pictures/large/{}.jpg"
+    pages = {"h": ["a", "b", "gone", "c", "d"], "a": [], "b": [], "c": [], "d": []}
+
+    def open_page(url):
+        if url not in pages:
+            raise OSError("no page")
+        return f'<img src="{image.format(url)}"><img src="{image.format("both")}">', pages[url]
+
+    def choose(poi, links):
+        if poi == "q":
+            raise OSError("no reply")
+        return ["elsewhere", "b", "b", "gone", "a", "c"]
+
+    sites = spark.createDataFrame([("p", "h"), ("q", "h"), ("r", "none")], "poi string, url string")
+    got = [tuple(r) for r in sourcing.site_images(sites, clients.crawl(open_page, choose)).orderBy("poi", "ord").select("poi", "url", "subpage").collect()]
+    assert got == [("p", image.format("h"), "h"), ("p", image.format("both"), "h"), ("p", image.format("b"), "b"), ("p", image.format("a"), "a"), ("q", image.format("h"), "h"), ("q", image.format("both"), "h")]
+    long = "https://lh3.googleusercontent.com/p/" + "x" * 40
+    rows = [("p", 0, "All", long + "1=w20", 90), ("p", 1, "All", long + "1=w40", 90), ("p", 2, "Food", long + "2=w1", 10), ("p", 3, "Food", "https://lh3.googleusercontent.com/a/" + "y" * 40, 90), ("p", 4, "Food", long + "3", 90), ("p", 5, "Food", long + "4", 90)]
+    df = spark.createDataFrame(rows, "poi string, ord int, category string, src string, width int")
+    assert sorted((r["ord"], r["url"], r["category"]) for r in sourcing.panel_images(df, quota=1).collect()) == [(0, long + "1=s0", "All"), (4, long + "3=s0", "Food")]
+
+
+def test_asking_a_model():
+    import pandas as pd
+    import pytest
+
+    from siftstone.sources import clients
+
+    sent = []
+
+    def post(payload):
+        sent.append(payload)
+        return (200, "yes") if payload["messages"][0]["content"][0]["text"] != "fail" else (500, "down")
+
+    rows = pd.DataFrame({"poi": ["p", "q"], "prompt": ["one", "two"], "urls": [["u"], None], "images": [[("image/png", "eA==")], None], "videos": [["v"], ["w"]], "fps": [30, 1]})
+    assert clients.ask(post, "m")(rows)["reply"].tolist() == ["yes", "yes"]
+    assert [len(p["messages"][0]["content"]) for p in sent] == [4, 2] and [p["messages"][0]["content"][-1]["fps"] for p in sent] == [10, 2]
+    with pytest.raises(clients.HttpError, match="500"):
+        clients.ask(post, "m")(rows.assign(prompt="fail"))
