@@ -371,15 +371,19 @@ def bags_of(docs: DataFrame, counts: np.ndarray, text: str = "text") -> Column:
     return run(F.col(text))
 
 
-def fit(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 3500) -> Model:
-    """The language model is counted over all of docs; the classifier is fitted on a bounded sample of labelled
-    (key, text, label) rows: about `sample` of them (2 * sample at most), chosen by a hash of key and text, in their
-    natural proportion. Their words, not their texts, come to the driver."""
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 3500) -> Model:
+    """The language model is counted over all of docs; the classifier is fitted on a bounded sample of the documents that
+    labels (key, label 0 or 1) marks: about `sample` keys (2 * sample at most), chosen by a hash of the key, in their natural
+    proportion; of documents that share a key one is taken, and of labels the worst. The keys are chosen by a join of the
+    keys alone, and few enough to find their texts without a shuffle of the others; their words come to the driver."""
     counts = count_chars(docs, text)
-    rows = labelled.select(F.xxhash64(key, text, F.lit("sample")).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")).filter("t is not null and y in (0, 1)")
-    r = rows.agg(F.sum(F.col("y").cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).first()
-    part = min(1.0, sample / max(1, r["n"]))
-    some = rows.filter(F.pmod("k", F.lit(1_000_000)) < part * 1_000_000).orderBy("k").limit(2 * sample)
-    got = materialize(some.select(bags_of(some, counts, "t").alias("words"), "y").distinct(), "bags").collect()
+    marks = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
+    marks = materialize(marks.join(docs.select(F.col(key).alias("of")), F.col("k") == F.col("of"), "left_semi"), "marks")
+    r = marks.agg(F.sum(F.col("y").cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).first()
+    part, at = min(1.0, sample / max(1, r["n"])), F.xxhash64("k", F.lit("sample"))
+    chosen = materialize(marks.filter(F.pmod(at, F.lit(1_000_000)) < part * 1_000_000).orderBy(at).limit(2 * sample), "chosen")
+    rows = docs.select(F.col(key).alias("of"), F.col(text).alias("t")).filter("t is not null").join(chosen, F.col("of") == F.col("k"))
+    rows = rows.groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    got = materialize(rows.select(bags_of(rows, counts, "t").alias("words"), "y").distinct(), "bags").collect()
     model = fit_bags([(set(x["words"]), x["y"]) for x in sorted(got)], counts)
     return model._replace(base=min(model.base, ((r["t"] or 0) + 0.5) / (r["n"] + 1)))

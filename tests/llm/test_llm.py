@@ -841,17 +841,19 @@ def test_toxicity_held_out(spark, lm):
 
 
 def test_sample_of_labelled_rows_is_bounded(spark, lm):
-    """A key that a third of the rows have, or none, does not bring them all to the driver."""
-    rows = [(7 if k % 3 else None, "some words " + "".join("abcdefghij"[int(c)] for c in str(k)) + " here " + "idiot " * (k % 4 == 0), int(k % 4 == 0)) for k in range(900)] + [(1, None, 1), (2, "x", None)]
+    """A key that a third of the rows have counts once; rows without a key, text or label do not count."""
+    words = lambda k: "some words " + "".join("abcdefghij"[int(c)] for c in str(k)) + " here "
+    rows = [(7 if k % 3 == 0 else k, words(k) + "idiot " * (k % 4 == 0), int(k % 4 == 0)) for k in range(1200)] + [(None, "x", 1), (5000, None, 1), (5001, "x", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     seen = []
     real = toxicity.fit_bags
     try:
         toxicity.fit_bags = lambda bags, counts: seen.append(len(bags)) or real(bags, counts)
-        model = toxicity.fit(df, df, sample=200)
+        model = toxicity.fit(df, df.select("doc_id", "toxic"), sample=300)
     finally:
         toxicity.fit_bags = real
-    assert 100 <= seen[0] <= 400 and "idiot" in model.rates
+    assert 150 <= seen[0] <= 600 and "idiot" in model.rates
+    assert toxicity.fit(df.limit(0), df, sample=300).rates == {} and toxicity.fit(df, df.limit(0), sample=300).rates == {}
 
 
 def test_character_counts_cover_all_documents(spark):
