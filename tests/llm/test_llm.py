@@ -429,8 +429,8 @@ def test_mixing_splits_equal_rows(spark):
         for s in {r["target"] for r in got}:
             assert abs(sum(r["taken"] for r in got if r["target"] == s) - sum({(r["target"], r["source_size"]) for r in got if r["target"] == s}.pop()[:1])) <= 20
         assert all(r["taken"] <= 2 * r["size"] for r in got)
-        kept = mixing.remix(spark.createDataFrame(rows, DOCS), weights=weights).groupBy("source").count().collect()
-        assert sum(r["count"] * (9 if r["source"] == "u" else 20) for r in kept) == sum(r["taken"] for r in got)
+    kept = mixing.remix(spark.createDataFrame(rows, DOCS), weights=weights).groupBy("source").count().collect()
+    assert sum(r["count"] * (9 if r["source"] == "u" else 20) for r in kept) == sum(r["taken"] for r in got)
 
 
 def test_mixing_refines_large_buckets(spark, monkeypatch):
@@ -898,11 +898,12 @@ def test_stages_on_odd_and_empty_tables(spark):
     texts = [r["text"] for r in odd.collect()]
     want = {"language": [t for t in texts if t and any(map(str.isalpha, t))], "personal_data": texts}
     for name, stage in pipeline.STAGES:
-        got = stage(spark, odd, "").collect()
+        done = stage(spark, odd, "")
+        got = done.collect()
         if name in want:
             assert sorted(map(repr, (r["text"] for r in got))) == sorted(map(repr, want[name]))
         if name != "tokens":
-            assert stage(spark, odd, "").columns == list(pipeline.COLUMNS)
+            assert done.columns == list(pipeline.COLUMNS)
         assert stage(spark, odd.limit(0), "").collect() == []
 
 
