@@ -23,7 +23,7 @@ from siftstone.llm.common import bounded_sample, worker_state
 
 LENGTH, AROUND = 128, 24
 #: Stretches that are read at once, and bytes of documents that are laid out for that, about.
-BATCH, BLOCK = 2048, 1 << 20
+BATCH, BLOCK = 1024, 1 << 20
 #: What is read before a document begins and after it ends: the state stays 0.
 PAD = 256
 UND = "und"

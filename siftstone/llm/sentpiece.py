@@ -26,6 +26,8 @@ from siftstone.llm.common import worker_state
 SPACE = "▁"
 #: Characters that are looked at together.
 BLOCK = 1 << 16
+#: Words whose ids a worker remembers, in each of two generations: about 0.2 kB each.
+REMEMBERED = 250_000
 
 
 class Pieces(NamedTuple):
@@ -61,7 +63,7 @@ def load_pieces(path: str) -> Pieces:
 class Encoder:
     """Encodes one text at a time; remembers the ids of words it has met, in two generations of a fixed size."""
 
-    def __init__(self, pieces: Pieces, remembered: int = 250_000):
+    def __init__(self, pieces: Pieces, remembered: int = REMEMBERED):
         self.p = pieces
         self.stable: dict[int, bool] = {}
         #: Pieces that merging reaches from single characters, and by their last three characters their lengths.
@@ -100,7 +102,7 @@ class Encoder:
         key = a << 32 | b
         got = self.stable.get(key)
         if got is None:
-            if len(self.stable) > 600_000:
+            if len(self.stable) > 400_000:
                 self.stable.clear()
             x, y = self.p.text[a], self.p.text[b]
             got = self.stable[key] = self.merged(x + y) == [x, y]
@@ -237,18 +239,19 @@ class Decoder:
         return (raw[1:] if self.p.prefix and raw.startswith(b" ") else raw).decode("utf-8", "replace")
 
 
-def _worker(name: str, pieces) -> tuple[Encoder, Decoder]:
+def _worker(name: str, pieces, remembered: int = REMEMBERED) -> tuple[Encoder, Decoder]:
     """One encoder a Python worker and model: words met in an earlier batch or task need no new search."""
-    return worker_state(name, lambda: (Encoder(pieces.value), Decoder(pieces.value)))
+    return worker_state(f"{name}:{remembered}", lambda: (Encoder(pieces.value, remembered), Decoder(pieces.value)))
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> Column:
-    """array<int> of ids of docs' text column, equal to the library's; null and empty texts give no ids."""
+def encode(docs: DataFrame, model: str, text: str = "text", remembered: int = REMEMBERED) -> Column:
+    """array<int> of ids of docs' text column, equal to the library's; null and empty texts give no ids. Fewer words
+    remembered take less memory and more time."""
     shared, name = docs.sparkSession.sparkContext.broadcast(load_pieces(model)), model
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc, _ = _worker(name, shared)
+        enc, _ = _worker(name, shared, remembered)
         for batch in batches:
             found = [enc.encode(x.as_py()) for x in batch]
             offsets = np.zeros(len(found) + 1, dtype=np.int64)
