@@ -16,6 +16,8 @@ from siftstone.llm import langid, mixing, pii, sentpiece, shingles, simhash
 from siftstone.llm.common import Scratch, drop_table, held_out, materialize
 from siftstone.llm.queries import PIECES
 
+#: Words that the last stage remembers a generation: its workers share executors whose heap earlier stages have grown.
+REMEMBERED = 100_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -52,7 +54,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang and token ids of each row; none for empty texts and nulls."""
-    return docs.select("doc_id", "source", "lang", sentpiece.encode(docs, PIECES).alias("ids"))
+    return docs.select("doc_id", "source", "lang", sentpiece.encode(docs, PIECES, remembered=REMEMBERED).alias("ids"))
 
 
 STAGES = [("language", language), ("near_duplicates", near_copies), ("personal_data", personal_data), ("mixture", mixture), ("tokens", tokens)]
