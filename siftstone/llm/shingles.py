@@ -1,9 +1,9 @@
 """Near copies by shingles: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Candidates come from MinHash: 20 bands of 4 minima, so that a pair at similarity 0.8 shares no band with a probability
-of 0.00003 and one above it with less. Candidates are verified on the whole sets. Where groups are large, not all pairs
-are formed: each member of a band's group is held against up to 64 leaders; of similar ones the later goes, the leaders
-have been held against all others and leave the group, and the rest do it again.
+of 0.00003 and one above it with less. Candidates are verified on the whole sets. Only in small groups all pairs are
+formed. Each member of a larger group is held against up to 64 leaders; of similar ones the later goes, the leaders
+have been held against all others and leave the group, and the rest do it again, until the group is small or gone.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
 SEED = 42
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
-#: Leaders of a group in one round; all pairs are formed at once where they are no more than so many a member.
+#: Leaders of a large group in one round; all pairs are formed in groups where they are no more than so many a member.
 LEADERS = 64
 
 _MULT = np.random.default_rng(5).integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -90,23 +90,27 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     sets = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member")))
     sets = materialize(sets.dropDuplicates(["node"]).select("node", _lists(F.col("t"), lambda x: shingle_hashes(x).view(np.int64)).alias("hashes")), "sets")
     gone: list[DataFrame] = []
+    small = 2 * leaders + 1  # members of a group in which all pairs are no more than `leaders` a member
     while True:
-        sizes = groups.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-        n, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-        if not n:
-            break
-        if pairs <= leaders * n:
-            met = groups.select("band", F.col("node").alias("first")).join(groups, "band").filter("first < node").select("first", "node").distinct()
+        sizes = materialize(groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        n_small, n_large = sizes.agg(F.count_if(F.col("n") <= small), F.count_if(F.col("n") > small)).first()
+        if n_small:
+            few = groups.join(sizes.filter(F.col("n") <= small).select("band"), "band")
+            met = few.select("band", F.col("node").alias("first")).join(few, "band").filter("first < node").select("first", "node").distinct()
             gone.append(materialize(_verified(met, sets, similarity), "copies"))
+        if not n_large:
             break
-        first = groups.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min("node").alias("leader"))
+        many = groups.join(sizes.filter(F.col("n") > small).select("band"), "band")
+        first = many.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min("node").alias("leader"))
         first = materialize(first.select("band", "leader"), "leaders")
-        met = groups.join(first, "band").filter("leader <> node").select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
+        met = many.join(first, "band").filter("leader <> node").select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
         gone.append(materialize(_verified(met, sets, similarity), "copies"))
-        left = groups.join(first.withColumnRenamed("leader", "node"), ["band", "node"], "left_anti").join(gone[-1], "node", "left_anti").select("band", "node")
+        left = many.join(first.withColumnRenamed("leader", "node"), ["band", "node"], "left_anti").join(gone[-1], "node", "left_anti").select("band", "node")
+        left = materialize(left, "left")
         met = left.groupBy("band").count().filter("count > 1").select("band")
         rest = materialize(left.join(met, "band"), "groups")
-        drop_table(groups)
+        for done in (groups, sizes, left):
+            drop_table(done)
         groups = rest
     if not gone:
         return docs
