@@ -52,7 +52,7 @@ def rate(lam: Column, size: Column, scale: Column, cap: float) -> Column:
     return F.coalesce(F.round(tilted, 9), F.col("limit"))
 
 
-def solve(histogram: DataFrame, balance: DataFrame, cap: float = 2.0, steps: int = 60, near: float = 1e-5) -> DataFrame:
+def solve(histogram: DataFrame, balance: DataFrame, cap: float = 2.0, steps: int = 60, near: float = 1e-9) -> DataFrame:
     """balance (source, source_size, target) with scale, lam and limit: the dual's optimum.
 
     histogram (source, size, n): n documents of that size. A Newton step goes by the logarithm of a source's tokens,

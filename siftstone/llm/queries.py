@@ -94,6 +94,34 @@ SQL = {
                CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM q""",
+    # the dual by bisection, in which Newton steps and their rounding leave no trace
+    "op3_mixing": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                          md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS mark FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::INT] AS w, source_size * 2.0 AS most FROM s),
+        l AS (SELECT *, row_number() OVER o AS pos,
+                     (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                     / (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+              FROM w WINDOW o AS (ORDER BY most / w, source IS NULL, encode(source))),
+        f AS (SELECT arg_min(level, pos) AS level FROM l WHERE most >= level * w),
+        t AS (SELECT source, source_size, least(most, (SELECT level FROM f) * w)::DOUBLE AS target FROM l),
+        h AS (SELECT source, size, count(*) AS n FROM d WHERE size > 0 GROUP BY source, size),
+        g AS (SELECT source, sum(size * n) / sum(n) AS scale, min(size) AS least FROM h GROUP BY source),
+        b AS (SELECT t.source, target, scale, scale / least * least(ln(target / source_size), 0.0) AS lo, scale / least * CASE WHEN target > source_size THEN ln(2.0) ELSE 0.0 END AS hi, 0 AS step
+              FROM t JOIN g ON g.source IS NOT DISTINCT FROM t.source WHERE target > 0 AND target / source_size < 2
+              UNION ALL
+              SELECT source, target, scale, CASE WHEN now > target THEN lo ELSE (lo + hi) / 2 END, CASE WHEN now > target THEN (lo + hi) / 2 ELSE hi END, step + 1
+              FROM (SELECT b.source, target, scale, lo, hi, step, sum(n * size * least(exp(least((lo + hi) / 2 * size / scale, 50.0)), 2.0)) AS now
+                    FROM b JOIN h ON h.source IS NOT DISTINCT FROM b.source WHERE step < 80 GROUP BY ALL)),
+        m AS (SELECT t.*, b.scale, round(b.lo, 7) AS lam FROM t LEFT JOIN b ON b.source IS NOT DISTINCT FROM t.source AND b.step = 80),
+        r AS (SELECT d.*, m.source_size, m.target, coalesce(round(least(exp(least(lam * size / scale, 50.0)), 2.0), 9), CASE WHEN target > 0 THEN 2.0 ELSE 0.0 END) AS rate FROM d JOIN m ON m.source IS NOT DISTINCT FROM d.source),
+        z AS (SELECT *, floor(rate)::BIGINT AS whole, floor((('0x' || substr(mark, 1, 12))::BIGINT / 281474976710656.0 - (rate - floor(rate)) + 1) * 70368744177664.0)::BIGINT AS place FROM r),
+        e AS (SELECT *, target - sum(size * whole) OVER (PARTITION BY source) AS extra, size > 0 AND whole < 2 AS free FROM z),
+        c AS (SELECT *, CASE WHEN free THEN sum(CASE WHEN free THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY place, mark ROWS UNBOUNDED PRECEDING) END AS upto FROM e),
+        p AS (SELECT *, extra > 0 AND free AND upto <= extra AS more, extra - coalesce(max(CASE WHEN free AND upto <= extra THEN upto END) OVER (PARTITION BY source), 0) AS miss FROM c),
+        o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY free AND NOT more AND extra > 0 AND abs(miss - size) < miss DESC, abs(miss - size), place, mark) = 1 AND free AND NOT more AND extra > 0 AND abs(miss - size) < miss AS one FROM p)
+        SELECT doc_id, size, source_size, target, (size * least(whole + CASE WHEN more OR one THEN 1 ELSE 0 END, 2))::BIGINT AS taken FROM o""",
     "op5_ann": """
         WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2])) AS score
