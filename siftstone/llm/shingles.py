@@ -3,7 +3,9 @@
 Candidates come from MinHash: 20 bands of 4 minima, so that a pair at similarity 0.8 shares no band with a probability
 of 0.00003 and one above it with less. Candidates are verified on the whole sets. Only in small groups all pairs are
 formed. Each member of a larger group is held against up to 64 leaders; of similar ones the later goes, the leaders
-have been held against all others and leave the group, and the rest do it again, until the group is small or gone.
+have been held against all others and leave the group, and the rest do it again with twice as many, until the group is
+small or gone: a group of copies ends with the first round, one of unlike texts after a number of rounds that is the
+logarithm of its size.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
 SEED = 42
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
-#: Leaders of a large group in one round; all pairs are formed in groups where they are no more than so many a member.
+#: Leaders of a large group in the first round; all pairs are formed in groups where they are no more than so many a member.
 LEADERS = 64
 
 _MULT = np.random.default_rng(5).integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -90,8 +92,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     sets = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member")))
     sets = materialize(sets.dropDuplicates(["node"]).select("node", _lists(F.col("t"), lambda x: shingle_hashes(x).view(np.int64)).alias("hashes")), "sets")
     gone: list[DataFrame] = []
-    small = 2 * leaders + 1  # members of a group in which all pairs are no more than `leaders` a member
     while True:
+        small = 2 * leaders + 1  # members of a group in which all pairs are no more than `leaders` a member
         sizes = materialize(groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "sizes")
         n_small, n_large = sizes.agg(F.count_if(F.col("n") <= small), F.count_if(F.col("n") > small)).first()
         if n_small:
@@ -111,7 +113,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         rest = materialize(left.join(met, "band"), "groups")
         for done in (groups, sizes, left):
             drop_table(done)
-        groups = rest
+        groups, leaders = rest, 2 * leaders  # what is left is like none of these: more are needed
     if not gone:
         return docs
     out = reduce(DataFrame.unionByName, gone).select(F.col("node.id").alias(ident), F.col("node.h").alias(h)).distinct()
