@@ -91,6 +91,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     members = groups.select(F.col("node.h").alias("h"), F.col("node").alias("member")).distinct()
     sets = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member")))
     sets = materialize(sets.dropDuplicates(["node"]).select("node", _lists(F.col("t"), lambda x: shingle_hashes(x).view(np.int64)).alias("hashes")), "sets")
+    sized = materialize(groups.join(sets.select("node", F.size("hashes").alias("size")), "node").select("band", "node", "size"), "groups")
+    drop_table(groups)
+    groups = sized
+    # of sets whose sizes differ by more no pair can be similar enough: such pairs need no look at the sets
+    close = lambda a, b: F.least(a, b) >= F.lit(similarity) * F.greatest(a, b)
     gone: list[DataFrame] = []
     while True:
         small = 2 * leaders + 1  # members of a group in which all pairs are no more than `leaders` a member
@@ -98,16 +103,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         n_small, n_large = sizes.agg(F.count_if(F.col("n") <= small), F.count_if(F.col("n") > small)).first()
         if n_small:
             few = groups.join(sizes.filter(F.col("n") <= small).select("band"), "band")
-            met = few.select("band", F.col("node").alias("first")).join(few, "band").filter("first < node").select("first", "node").distinct()
+            met = few.select("band", F.col("node").alias("first"), F.col("size").alias("first_size")).join(few, "band").filter((F.col("first") < F.col("node")) & close("first_size", "size")).select("first", "node").distinct()
             gone.append(materialize(_verified(met, sets, similarity), "copies"))
         if not n_large:
             break
         many = groups.join(sizes.filter(F.col("n") > small).select("band"), "band")
-        first = many.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min("node").alias("leader"))
-        first = materialize(first.select("band", "leader"), "leaders")
-        met = many.join(first, "band").filter("leader <> node").select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
+        first = many.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min(F.struct("node", "size")).alias("least"))
+        first = materialize(first.select("band", F.col("least.node").alias("leader"), F.col("least.size").alias("leader_size")), "leaders")
+        met = many.join(first, "band").filter((F.col("leader") != F.col("node")) & close("leader_size", "size")).select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
         gone.append(materialize(_verified(met, sets, similarity), "copies"))
-        left = many.join(first.withColumnRenamed("leader", "node"), ["band", "node"], "left_anti").join(gone[-1], "node", "left_anti").select("band", "node")
+        left = many.join(first.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti").join(gone[-1], "node", "left_anti").select("band", "node", "size")
         left = materialize(left, "left")
         met = left.groupBy("band").count().filter("count > 1").select("band")
         rest = materialize(left.join(met, "band"), "groups")
