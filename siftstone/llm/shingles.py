@@ -119,6 +119,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         for done in (groups, sizes, left):
             drop_table(done)
         groups, leaders = rest, 2 * leaders  # what is left is like none of these: more are needed
+    for done in (sets, groups):
+        drop_table(done)
     if not gone:
         return docs
     out = reduce(DataFrame.unionByName, gone).select(F.col("node.id").alias(ident), F.col("node.h").alias(h)).distinct()
