@@ -49,6 +49,15 @@ def chosen(content: Column, count: Column) -> Column:
     return F.when(F.size(top) > 0, top).otherwise(keep)
 
 
+# What a call of the judge came to.
+SKIPPED, REPLIED, FAILED = "skipped", "replied", "failed"
+
+
+def outcome(content: Column) -> Column:
+    """Of a reply's text alone: a blank or missing one has failed."""
+    return F.when(F.coalesce(content.rlike(r"\S"), F.lit(False)), REPLIED).otherwise(FAILED)
+
+
 def usage(reply: Column) -> Column:
     """struct(prompt, completion, total) of token counts of a JSON reply; 0 where missing."""
     n = lambda k: F.coalesce(F.get_json_object(reply, f"$.usage.{k}").cast("long"), F.lit(0))

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -170,39 +168,39 @@ def note(notes: Column | str, key: str) -> Column:
     return F.get_json_object(col(notes), f"$.{key}")
 
 
-def _notes(notes: Column | str) -> Column:
-    n = col(notes)
-    empty = F.create_map().cast("map<string,string>")
-    return F.coalesce(F.when(n.startswith("{"), F.from_json(n, "map<string,string>")), empty)
+def _edited(notes: Column | str, key: str, value: Column | None, gap: str = "") -> Column:
+    """The JSON text of notes without the key, or with value (JSON text) under it; gap: what follows commas and colons.
+
+    Members are read as variants, so that numbers, truth values, lists and objects stay what they are and keep their order;
+    of a repeated member the last counts. A decimal fraction of zeros goes (1.0 is written 1). Text that is no object is
+    an empty one, nulls included."""
+    some = F.coalesce(F.map_entries(F.from_json(col(notes), "map<string,variant>")), F.array().cast("array<struct<key:string,value:variant>>"))
+    keys = F.array_distinct(F.transform(some, lambda e: e["key"]))
+    quoted = lambda k: F.to_json(k.cast("variant"))
+    written = lambda k: F.to_json(F.element_at(F.filter(some, lambda e: e["key"] == k), -1)["value"])
+    if value is None:
+        texts = F.transform(F.filter(keys, lambda k: k != key), lambda k: F.concat(quoted(k), F.lit(f":{gap}"), written(k)))
+    else:
+        keys = F.array_union(keys, F.array(F.lit(key)))  # a new key is the last
+        texts = F.transform(keys, lambda k: F.concat(quoted(k), F.lit(f":{gap}"), F.when(k == key, F.coalesce(value, F.lit("null"))).otherwise(written(k))))
+    return F.concat(F.lit("{"), F.array_join(texts, f",{gap}"), F.lit("}"))
 
 
 def put_note(notes: Column | str, key: str, value: Column) -> Column:
-    """The JSON text with a string value put under a key; text that is no object starts anew."""
-    rest = F.map_filter(_notes(notes), lambda k, v: k != key)
-    return F.to_json(F.map_concat(rest, F.create_map(F.lit(key), value)))
+    """The JSON text with a value of any simple type put under a key; other members keep their types. Text that is no
+    object starts anew; a null value is JSON's null."""
+    return _edited(notes, key, F.to_json(value.cast("variant")))
 
 
 def pop_note(notes: Column | str, key: str) -> Column:
-    return F.to_json(F.map_filter(_notes(notes), lambda k, v: k != key))
+    """The JSON text without a key; other members keep their types."""
+    return _edited(notes, key, None)
 
 
 def put_note_list(notes: Column | str, key: str, values: Column) -> Column:
-    """As put_note, for an array value; other members keep their types. An Arrow UDF, as maps of strings would quote
-    what is no string."""
-    @F.pandas_udf("string")
-    def run(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        def one(text, items):
-            try:
-                found = json.loads(text)
-            except (TypeError, ValueError):
-                found = {}
-            found = found if isinstance(found, dict) else {}
-            found[key] = [] if items is None else list(items)
-            return json.dumps(found, ensure_ascii=False)
-
-        return pd.Series([one(t, v) for t, v in zip(texts, lists, strict=True)])
-
-    return run(col(notes), values)
+    """As put_note, for an array of strings (null: an empty one), written with a blank after commas and colons."""
+    items = F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.coalesce(F.to_json(v.cast("variant")), F.lit("null")))
+    return _edited(notes, key, F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")), " ")
 
 
 def suffix_list(reply: Column | str) -> Column:
@@ -292,8 +290,8 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """The vector over its length."""
-    n = F.sqrt(dot(v, v))
+    """The vector over its length; nulls of one of zeros, which is near nothing."""
+    n = F.nullif(F.sqrt(dot(v, v)), F.lit(0.0))
     return F.transform(v, lambda x: x.cast("double") / n)
 
 

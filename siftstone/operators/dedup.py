@@ -44,14 +44,18 @@ def quota_across_tabs(df: DataFrame, poi: str = "poi", tab: str = "category", ur
     return kept.select(poi, F.col("r.o").alias(order), F.col("r.u").alias(url), F.col("r.t").alias(tab))
 
 
-def _fold(rows: Column, kind: str, near) -> Column:
-    """Ordinals kept: a row stays if it can't be compared or is near no kept row."""
+def fold(rows: Column, kind: str, comparable, near) -> Column:
+    """The rows (an array of type kind) that stay: those that can't be compared, and those near no earlier one that stays."""
     def step(acc: Column, r: Column) -> Column:
-        return F.when(r["x"].isNotNull() & F.exists(acc, lambda k: F.coalesce(near(k["x"], r["x"]), F.lit(False))), acc).otherwise(F.concat(acc, F.array(r)))
+        return F.when(comparable(r) & F.exists(acc, lambda k: F.coalesce(near(k, r), F.lit(False))), acc).otherwise(F.concat(acc, F.array(r)))
 
     return F.aggregate(rows, F.array().cast(kind), step)
 
 
+def _fold(rows: Column, kind: str, near) -> Column:
+    return fold(rows, kind, lambda r: r["x"].isNotNull(), lambda k, r: near(k["x"], r["x"]))
+
+
 def hash_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", phash: str = "phash", distance: int = 8) -> DataFrame:
     """poi, ord of the rows kept: dropped is what is less than `distance` bits from a kept hash. Rows without a hash
     stay in their place and suppress nothing."""
@@ -106,20 +110,105 @@ def two_pass_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", phash: s
     return (embedding_dedup_blocks if blocks else embedding_dedup)(df.join(left, [poi, order], "left_semi"), poi, order, embedding, similarity)
 
 
+def _logged(rows: Column, kind: str, order: str, comparable, score) -> Column:
+    """For each row of an array: o, its best score against the rows that stay before it, which of these has it (the first of
+    equal ones) and whether it stays, by `near` of the score; null without such a row."""
+    log = f"struct<kept:{kind},log:array<struct<o:{order},best:double,matched:{order},kept:boolean>>>"
+    value, near = score
+
+    def step(acc: Column, r: Column) -> Column:
+        scored = F.transform(F.filter(acc["kept"], lambda k: comparable(k)), lambda k, i: F.struct(value(k, r).alias("b"), (-i).alias("i"), k["o"].alias("o")))
+        best = F.when(comparable(r), F.array_max(scored))
+        stays = ~F.coalesce(near(best["b"]), F.lit(False))
+        return F.struct(
+            F.when(stays, F.concat(acc["kept"], F.array(r))).otherwise(acc["kept"]).alias("kept"),
+            F.concat(acc["log"], F.array(F.struct(r["o"].alias("o"), best["b"].alias("best"), best["o"].alias("matched"), stays.alias("kept")))).alias("log"))
+
+    none = F.struct(F.array().cast(kind).alias("kept"), F.array().cast(f"array<struct<o:{order},best:double,matched:{order},kept:boolean>>").alias("log")).cast(log)
+    return F.aggregate(rows, none, step, lambda acc: acc["log"])
+
+
+def hash_log(df: DataFrame, poi: str = "poi", order: str = "ord", phash: str = "phash", distance: int = 8) -> DataFrame:
+    """poi, ord, nearest (bits to the nearest hash that stays before the row), matched (whose it is) and kept: hash_dedup()
+    with its reasons. Rows without a hash are kept and have no nearest."""
+    kinds = dict(df.dtypes)
+    bits = lambda k, r: -F.bit_count(k["x"].bitwiseXOR(r["x"])).cast("double")
+    log = _logged(F.col("rows"), f"array<struct<o:{kinds[order]},x:{kinds[phash]}>>", kinds[order], lambda r: r["x"].isNotNull(), (bits, lambda b: -b < distance))
+    got = _groups(df, poi, order, phash).select(poi, F.explode(log).alias("r"))
+    return got.select(poi, F.col("r.o").alias(order), (-F.col("r.best")).cast("int").alias("nearest"), F.col("r.matched").alias("matched"), F.col("r.kept").alias("kept"))
+
+
+def embedding_log(df: DataFrame, poi: str = "poi", order: str = "ord", embedding: str = "embedding", similarity: float = 0.89) -> DataFrame:
+    """poi, ord, nearest (largest cosine to a row that stays before it), matched and kept: embedding_dedup() with its reasons."""
+    kind = dict(df.dtypes)[order]
+    normed = df.withColumn("__u", F.when(F.size(embedding) > 0, unit(F.col(embedding))))
+    log = _logged(F.col("rows"), f"array<struct<o:{kind},x:array<double>>>", kind, lambda r: r["x"].isNotNull(), (lambda k, r: dot(k["x"], r["x"]), lambda b: b >= similarity))
+    got = _groups(normed, poi, order, "__u").select(poi, F.explode(log).alias("r"))
+    return got.select(poi, F.col("r.o").alias(order), F.col("r.best").alias("nearest"), F.col("r.matched").alias("matched"), F.col("r.kept").alias("kept"))
+
+
+_BASIS = np.cos(np.pi * (2 * np.arange(32)[None, :] + 1) * np.arange(8)[:, None] / 64)
+
+
+def _signs(grey: np.ndarray) -> np.ndarray:
+    """64-bit hashes of 32 x 32 images: signs of the 8 x 8 low band of their cosine transforms against its median."""
+    low = np.einsum("uy,nyx,vx->nuv", _BASIS, grey, _BASIS, optimize=True).reshape(len(grey), 64)
+    low = np.round(low, 6)  # what is 0 but for the order of summation, as in an image of one colour, is 0
+    return np.packbits(low > np.median(low, axis=1, keepdims=True), axis=1).view(">u8").ravel().astype(np.uint64).view(np.int64)
+
+
 def perceptual_hash(gray: Column) -> Column:
-    """64-bit hash of a 32 x 32 grey image (array of 1,024 numbers): signs of the 8 x 8 low band of its cosine
-    transform against their median; null for other lengths."""
+    """64-bit hash of a 32 x 32 grey image (array of 1,024 numbers); null for other lengths."""
+
     @F.pandas_udf("long")
     def run(images: pd.Series) -> pd.Series:
-        k = np.arange(32)
-        basis = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 64)
+        fit = images.map(lambda x: x is not None and len(x) == 1024)
+        out = pd.Series(pd.NA, index=images.index, dtype="Int64")
+        if fit.any():
+            out[fit] = _signs(np.stack(images[fit].to_list()).astype(np.float64).reshape(-1, 32, 32))
+        return out
+
+    return run(gray)
 
-        def one(x):
-            if x is None or len(x) != 1024:
-                return None
-            low = (basis @ np.asarray(x, dtype=np.float64).reshape(32, 32) @ basis.T)[:8, :8]
-            return int(np.packbits((low > np.median(low)).ravel()).view(">u8")[0].astype(np.uint64).view(np.int64))
 
-        return images.map(one).astype("Int64")
+def _weights(size: int) -> np.ndarray:
+    """32 x size: shares of the pixels of a line in each of 32 new ones, by a Lanczos window of three lobes that is as
+    wide as the line is shrunk by."""
+    scale = max(1.0, size / 32)
+    middle = (np.arange(32) + 0.5) * size / 32
+    first, last = np.maximum(0, np.floor(middle - 3 * scale + 0.5)), np.minimum(size, np.floor(middle + 3 * scale + 0.5))
+    at = np.arange(size)[None, :]
+    x = (at + 0.5 - middle[:, None]) / scale
+    w = np.where((np.abs(x) < 3) & (at >= first[:, None]) & (at < last[:, None]), np.sinc(x) * np.sinc(x / 3), 0.0)
+    return w / w.sum(axis=1, keepdims=True)
 
-    return run(gray)
+
+def grey_32(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
+    """32 x 32 grey values of an image's bytes (rows of pixels; blue, green, red and what follows, or grey alone):
+    luma, then both sides resampled, each a product with a matrix, in whole numbers from 0 to 255."""
+    px = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels).astype(np.int64)
+    grey = px[:, :, 0] if channels < 3 else (px[:, :, 2] * 19595 + px[:, :, 1] * 38470 + px[:, :, 0] * 7471 + 0x8000) >> 16
+    whole = lambda m: np.clip(np.floor(m + 0.5), 0, 255)
+    grey = grey.astype(np.float64)
+    if width != 32:
+        grey = whole(grey @ _weights(width).T)
+    return grey if height == 32 else whole(_weights(height) @ grey)
+
+
+def image_hash(image: Column) -> Column:
+    """Perceptual hash of a decoded image, struct(height, width, nChannels, data) as Spark's image source gives it; null
+    for nulls, images without a pixel and data that does not fit the sides."""
+
+    @F.pandas_udf("long")
+    def run(images: pd.DataFrame) -> pd.Series:
+        out = pd.Series(pd.NA, index=images.index, dtype="Int64")
+        grey, fit = [], []
+        for k, (h, w, c, data) in zip(images.index, images[["height", "width", "nChannels", "data"]].itertuples(index=False), strict=True):
+            if data is not None and h and w and c and len(data) == h * w * c:
+                grey.append(grey_32(bytes(data), int(h), int(w), int(c)))
+                fit.append(k)
+        if fit:
+            out[fit] = _signs(np.stack(grey))
+        return out
+
+    return run(image)

@@ -9,11 +9,14 @@ from __future__ import annotations
 import base64
 import json
 import logging
+import time
 from collections.abc import Callable
 from urllib.parse import urlparse
 
 import pandas as pd
 
+from siftstone.functions.judge import FAILED, REPLIED, SKIPPED
+
 log = logging.getLogger(__name__)
 
 # Types that a download may have, and its least length.
@@ -159,6 +162,34 @@ def ask(post: Callable[[dict], tuple[int, str]], model: str) -> Callable[[pd.Dat
     return lambda pdf: pd.DataFrame([one(*r) for r in pdf[["poi", "prompt", "urls", "images", "videos", "fps"]].itertuples(index=False)], columns=["poi", "reply"])
 
 
+# Tries of a judge's call, and seconds after each that brought nothing.
+JUDGE_TRIES, JUDGE_WAITS = 3, (5, 15)
+
+
+def judged(call: Callable[[object], str | None] | None, tries: int = JUDGE_TRIES, waits: tuple[float, ...] = JUDGE_WAITS, sleep: Callable[[float], None] = time.sleep) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Rows with poi -> poi, outcome, content: what call(row) replies, tried again after an error or a blank reply.
+
+    Without a call (no key) every row is skipped, which lets its group pass. A row of which all tries came to nothing has
+    failed, and so does its group; the other rows go on. One wait lies between two tries, none after the last."""
+
+    def one(row) -> tuple[object, str, str | None]:
+        if call is None:
+            return row.poi, SKIPPED, None
+        for k in range(tries):
+            try:
+                content = call(row)
+                if content and content.strip():
+                    return row.poi, REPLIED, content
+                log.warning("%s: blank reply in try %d of %d", row.poi, k + 1, tries)
+            except Exception as error:
+                log.warning("%s: try %d of %d: %s", row.poi, k + 1, tries, error)
+            if k + 1 < tries:
+                sleep(waits[min(k, len(waits) - 1)])
+        return row.poi, FAILED, None
+
+    return lambda pdf: pd.DataFrame([one(r) for r in pdf.itertuples(index=False)], columns=["poi", "outcome", "content"], dtype=object)
+
+
 def _items(values) -> list:
     return [] if values is None else list(values)
 

@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone import schemas
+from siftstone.functions.headers import image_size
 
 # Extensions of images on resume and among candidates.
 RESUME = ("jpg", "jpeg", "png", "webp")
 CANDIDATE = ("jpg", "jpeg", "png", "webp", "bmp")
 
 
-def read_manifest(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
-    """poi, ord, url, source, category, subpage of a manifest's first `most` entries."""
-    m = spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(path)
+def read_manifest(spark: SparkSession, path: str, most: int | None = None, lines: bool = False) -> DataFrame:
+    """poi, ord, url, source, category, subpage of the first `most` entries of each manifest: a file each, or, with lines, a
+    line each, as write_manifest() leaves them."""
+    m = spark.read.schema(schemas.MANIFEST).option("multiLine", not lines).json(path)
     rows = m.select(F.col("poi_name").alias("poi"), F.posexplode("urls").alias("ord", "e")).select("poi", "ord", "e.*")
     return rows if most is None else rows.filter(F.col("ord") < most)
 
@@ -35,8 +37,16 @@ def image_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = CA
 
 
 def image_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """path, width, height; unreadable files have -1."""
-    return spark.read.format("image").load(path).select(F.col("image.origin").alias("path"), F.col("image.width").alias("width"), F.col("image.height").alias("height"))
+    """path, width, height by the files' headers (PNG, GIF, BMP, JPEG, WebP); files that are none of these have -1; empty files
+    have no row."""
+    files = spark.read.format("binaryFile").load(path).select("path", image_size(F.col("content")).alias("s"))
+    return files.select("path", "s.width", "s.height")
+
+
+def image_pixels(spark: SparkSession, path: str) -> DataFrame:
+    """path, image (height, width, nChannels, data) of the files that can be decoded; WebP is none of them."""
+    files = spark.read.format("image").option("dropInvalid", True).load(path)
+    return files.select(F.col("image.origin").alias("path"), F.struct("image.height", "image.width", "image.nChannels", "image.data").alias("image"))
 
 
 def listing(files: DataFrame, path: str = "path") -> DataFrame:
