@@ -91,3 +91,23 @@ def run_summary(results: DataFrame) -> DataFrame:
 
 def selection_stats(df: DataFrame, by: list[str], score: str = "score") -> DataFrame:
     return df.groupBy(*by).agg(F.max(score).alias("best"), F.min(score).alias("worst"), F.avg(score).alias("mean"), F.count(F.lit(1)).alias("n"))
+
+
+def matching(df: DataFrame, equal: dict[str, object] | None = None, least: dict[str, object] | None = None, below: dict[str, object] | None = None, null: tuple[str, ...] = ()) -> DataFrame:
+    """Rows by the store's comparisons: = equal, >= least, < below, IS NULL; a null fits the last alone. All reach the scan."""
+    for compare, wanted in ((Column.__eq__, equal), (Column.__ge__, least), (Column.__lt__, below)):
+        for name, value in (wanted or {}).items():
+            df = df.filter(compare(F.col(name), F.lit(value)))
+    for name in null:
+        df = df.filter(F.col(name).isNull())
+    return df
+
+
+def first_row(df: DataFrame, order: str, **equal: object) -> DataFrame:
+    """The first row, by order, of those that are equal to the given values; none if there is none."""
+    return matching(df, equal).orderBy(F.col(order).asc_nulls_last()).limit(1)
+
+
+def value_counts(df: DataFrame, by: list[str], column: str, values: tuple[str, ...]) -> DataFrame:
+    """by, and n_value for each of values: how many rows of a group have it; 0 where none has."""
+    return df.groupBy(*by).agg(*[F.count_if(F.col(column) == v).alias(f"n_{v}") for v in values])

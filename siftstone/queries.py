@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.functions import judge, scalars
-from siftstone.operators import dedup, filters, ranking, tables, transitions, urls
+from siftstone.operators import dedup, filters, neardup, ranking, tables, transitions, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,6 +62,30 @@ def p1_resolution(spark, d):
     return part_sizes(T(spark, d)).filter(filters.large_enough(F.col("w"), F.col("h")))
 
 
+@query("SELECT p_partkey, CASE WHEN p_partkey % 8 = 7 THEN -1 ELSE p_size * 40 END AS width, CASE WHEN p_partkey % 8 = 7 THEN -1 ELSE (p_partkey % 50) * 30 + 1 END AS height, p_partkey % 8 < 7 AND p_size * 40 >= 600 AND (p_partkey % 50) * 30 + 1 >= 600 AS large_enough FROM part")
+def s12_p1_image_sizes(spark, d):
+    """Headers of seven kinds of files, and one that is none, with the parts' sizes."""
+    from siftstone.functions.headers import image_size
+
+    t = T(spark, d)
+    w, h = F.col("p_size") * 40, F.pmod("p_partkey", F.lit(50)) * 30 + 1
+    big = lambda v, n: F.lpad(F.hex(v), 2 * n, "0")
+    little = lambda v, n: F.concat(*[F.lpad(F.hex(F.shiftright(v, 8 * k).bitwiseAND(255)), 2, "0") for k in range(n)])
+    kinds = [
+        F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big(w, 4), big(h, 4)),
+        F.concat(F.lit("474946383961"), little(w, 2), little(h, 2)),
+        F.concat(F.lit("424D" + "00" * 12 + "28000000"), little(w, 4), little(-h, 4)),
+        F.concat(F.lit("FFD8FFE000040102FFC2001108"), big(h, 2), big(w, 2)),
+        F.concat(F.lit("52494646000000005745425056503820000000003001009D012A"), little(w, 2), little(h, 2)),
+        F.concat(F.lit("5249464600000000574542505650384C000000002F"), little((w - 1).bitwiseOR(F.shiftleft(h - 1, 14)), 4)),
+        F.concat(F.lit("52494646000000005745425056503858" + "00" * 8), little(w - 1, 3), little(h - 1, 3)),
+        F.lit("3C68746D6C3E"),
+    ]
+    k = F.pmod("p_partkey", F.lit(8))
+    files = t.part.select("p_partkey", image_size(F.unhex(F.coalesce(*[F.when(k == i, x) for i, x in enumerate(kinds)]))).alias("s"))
+    return files.select("p_partkey", "s.width", "s.height", filters.large_enough(F.col("s.width"), F.col("s.height")).alias("large_enough"))
+
+
 @query(f"SELECT p_partkey, w, h FROM {_SIZES} WHERE CASE WHEN h > 0 THEN w / h ELSE 0 END BETWEEN 0.4 AND 2.5")
 def p2_aspect(spark, d):
     return part_sizes(T(spark, d)).filter(filters.fair_aspect(F.col("w"), F.col("h")))
@@ -123,7 +147,8 @@ def p10_recently_scraped(spark, d):
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_totalprice >= 1000 AND o_totalprice < 200000 AND nullif(o_orderpriority, '1-URGENT') IS NULL")
 def p11_p15_predicates(spark, d):
     o = T(spark, d).orders
-    return o.filter((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") >= 1000) & (F.col("o_totalprice") < 200000) & F.nullif("o_orderpriority", F.lit("1-URGENT")).isNull()).select("o_orderkey", "o_totalprice")
+    o = o.withColumn("calm", F.nullif("o_orderpriority", F.lit("1-URGENT")))
+    return tables.matching(o, {"o_orderstatus": "O"}, {"o_totalprice": 1000}, {"o_totalprice": 200000}, ("calm",)).select("o_orderkey", "o_totalprice")
 
 
 _LAYER = "(SELECT p_partkey AS id, p_size AS scraped_count, p_partkey % 2 AS img_count, (p_partkey % 40)::INT AS enough, p_partkey % 3 AS clip_count, CASE WHEN p_partkey % 5 = 0 THEN 'processing' ELSE 'idle' END AS processing_status FROM part)"
@@ -233,7 +258,7 @@ def j12_u5_best_name(spark, d):
 
 @query("SELECT lang, count(*) FILTER (source = 'src0') AS n_src0, count(*) FILTER (source = 'src1') AS n_src1, count(*) FILTER (source = 'none') AS n_none FROM documents GROUP BY lang")
 def a1_a2_counts(spark, d):
-    return T(spark, d).documents.groupBy("lang").agg(*[F.count_if(F.col("source") == s).alias(f"n_{s}") for s in ("src0", "src1", "none")])
+    return tables.value_counts(T(spark, d).documents, ["lang"], "source", ("src0", "src1", "none"))
 
 
 @query(f"""WITH x AS (SELECT p_partkey % 10 AS poi, w, h FROM {_SIZES}),
@@ -377,6 +402,42 @@ def g3_two_pass(spark, d):
     return dedup.two_pass_dedup(hashed(T(spark, d)), distance=24, similarity=0.3)
 
 
+_FEW = f"(SELECT label AS poi, vec_id AS ord, {_SIGNS} & 268435455 AS p FROM embeddings)"
+_FEW_KEPT = f"""g AS (SELECT poi, list({{'o': ord, 'x': p}} ORDER BY ord) AS r FROM {_FEW} GROUP BY poi),
+k AS (SELECT poi, list_reduce(list_transform(r, lambda e: [e]), lambda a, b: CASE WHEN len(list_filter(a, lambda q: bit_count(xor(q.x, b[1].x)) < 8)) > 0 THEN a ELSE list_concat(a, b) END) AS kept FROM g),
+s AS (SELECT poi, unnest(list_transform(kept, lambda q: q.o)) AS ord FROM k)"""
+
+
+def few_bits(t: T) -> DataFrame:
+    return hashed(t).withColumn("phash", F.col("phash").bitwiseAND((1 << 28) - 1))
+
+
+@query(f"WITH {_FEW_KEPT} SELECT poi, ord FROM s")
+def g1_rounds(spark, d):
+    """The elimination by hashes as tables, of groups beyond a head of eight rows."""
+    return neardup.hash_dedup(few_bits(T(spark, d)), head=8)
+
+
+@query(SQL["g2_j9_embedding_dedup"])
+def g2_rounds(spark, d):
+    return neardup.embedding_dedup(hashed(T(spark, d)), similarity=0.3, head=8).select("poi", "ord")
+
+
+@query(f"""WITH {_FEW_KEPT}, e AS (SELECT r.poi, r.ord, min(bit_count(xor(f.p, r.p))) AS nearest, arg_min(f.ord, bit_count(xor(f.p, r.p)) * 1000000 + f.ord) AS matched
+FROM {_FEW} r JOIN s ON s.poi = r.poi AND s.ord < r.ord JOIN {_FEW} f ON f.poi = s.poi AND f.ord = s.ord GROUP BY r.poi, r.ord)
+SELECT r.poi, r.ord, e.nearest::INT AS nearest, e.matched, s.ord IS NOT NULL AS kept FROM {_FEW} r LEFT JOIN e ON e.poi = r.poi AND e.ord = r.ord LEFT JOIN s ON s.poi = r.poi AND s.ord = r.ord""")
+def a5_nearest_kept_hash(spark, d):
+    """Which row that stays is nearest to each row, and whether that drops it."""
+    return dedup.hash_log(few_bits(T(spark, d)))
+
+
+@query(f"""WITH s AS ({SQL["g2_j9_embedding_dedup"]}), v AS (SELECT label AS poi, vec_id AS ord, embedding::DOUBLE[] AS x FROM embeddings),
+e AS (SELECT r.poi, r.ord, max(list_cosine_similarity(f.x, r.x)) AS nearest, arg_max(f.ord, list_cosine_similarity(f.x, r.x)) AS matched FROM v r JOIN s ON s.poi = r.poi AND s.ord < r.ord JOIN v f ON f.poi = s.poi AND f.ord = s.ord GROUP BY r.poi, r.ord)
+SELECT r.poi, r.ord, round(e.nearest, 6) AS nearest, e.matched, s.ord IS NOT NULL AS kept FROM v r LEFT JOIN e ON e.poi = r.poi AND e.ord = r.ord LEFT JOIN s ON s.poi = r.poi AND s.ord = r.ord""")
+def a5_nearest_kept_vector(spark, d):
+    return dedup.embedding_log(hashed(T(spark, d)), similarity=0.3).withColumn("nearest", F.round("nearest", 6))
+
+
 @query("SELECT 0 AS source_rank, n_name AS name FROM nation UNION ALL SELECT 1, r_name FROM region UNION ALL SELECT 2, s_name FROM supplier")
 def u1_u3_union(spark, d):
     t = T(spark, d)
@@ -487,6 +548,15 @@ def f25_f26_notes(spark, d):
     return T(spark, d).events.select("event_id", scalars.note("props", "k").alias("k"), scalars.note(scalars.pop_note(put, "z"), "k").alias("after_put"))
 
 
+@query("""SELECT event_id, '{"n":' || user_id || ',"deep":{"list":[' || user_id || ',true,null],"s":"' || event_type || '"},"z":"1"}' AS put, '{"deep":{"list":[' || user_id || ',true,null],"s":"' || event_type || '"}}' AS popped,
+'{"n": ' || user_id || ', "deep": {"list":[' || user_id || ',true,null],"s":"' || event_type || '"}, "m": ["' || event_type || '", "x"]}' AS many FROM events""")
+def f26_typed_notes(spark, d):
+    """Other members keep their types; the whole text is compared."""
+    u = F.col("user_id").cast("string")
+    e = T(spark, d).events.select("event_id", "event_type", F.concat(F.lit('{"n": '), u, F.lit(', "deep": {"list": ['), u, F.lit(', true, null], "s": "'), F.col("event_type"), F.lit('"}}')).alias("notes"))
+    return e.select("event_id", scalars.put_note("notes", "z", F.lit("1")).alias("put"), scalars.pop_note("notes", "n").alias("popped"), scalars.put_note_list("notes", "m", F.array("event_type", F.lit("x"))).alias("many"))
+
+
 @query("SELECT n_nationkey, CASE WHEN n_nationkey >= 4 THEN n_name || ',b,c,d' END AS suffixes FROM nation")
 def f27_suffix_list(spark, d):
     items = F.when(F.col("n_nationkey") >= 4, F.concat(F.lit('```json\n[" '), F.col("n_name"), F.lit('","b ","c","d","e"]\n```'))).otherwise('["a"]')
@@ -538,6 +608,23 @@ def f39_perceptual_hash(spark, d):
     return T(spark, d).embeddings.select(F.col("vec_id").alias("ord"), dedup.perceptual_hash(at).alias("phash"))
 
 
+@query("""WITH g AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+px AS (SELECT vec_id, y, x, floor(((b + 40 * x) % 256 * 7471 + (b * 3 + 17 * y) % 256 * 38470 + (b + x * y) % 256 * 19595 + 32768) / 65536) AS v FROM (SELECT vec_id, (vec_id * 31 + floor(abs(e[1]) * 100)::BIGINT) % 256 AS b FROM g), range(32) ty(y), range(32) tx(x)),
+across AS (SELECT vec_id, y, u, sum(v * cos(pi() * (2 * x + 1) * u / 64)) AS s FROM px, range(8) tu(u) GROUP BY vec_id, y, u),
+low AS (SELECT vec_id, w, u, sum(s * cos(pi() * (2 * y + 1) * w / 64)) AS c FROM across, range(8) tw(w) GROUP BY vec_id, w, u),
+m AS (SELECT vec_id, median(c) AS md FROM low GROUP BY vec_id),
+b AS (SELECT vec_id, sum(CASE WHEN c > md THEN (1::HUGEINT << (63 - 8 * w - u)::INT) ELSE 0 END)::HUGEINT AS h FROM (SELECT vec_id, w, u, c, md FROM low JOIN m USING (vec_id)) GROUP BY vec_id)
+SELECT vec_id AS ord, (CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END)::BIGINT AS phash FROM b""")
+def f39_image_bytes(spark, d):
+    """The same of pixels: 32 rows of 32 times blue, green and red, as bytes."""
+    b = F.pmod(F.col("vec_id") * 31 + F.floor(F.abs(F.element_at("embedding", 1).cast("double")) * 100), F.lit(256))
+    rows = T(spark, d).embeddings.select(F.col("vec_id").alias("ord"), b.alias("b"))
+    byte = lambda v: f"lpad(hex(pmod({v}, 256)), 2, '0')"
+    data = F.expr(f"unhex(array_join(transform(sequence(0, 1023), i -> concat({byte('b + i % 32 * 40')}, {byte('b * 3 + i div 32 * 17')}, {byte('b + i % 32 * (i div 32)')})), ''))")
+    image = F.struct(F.lit(32).alias("height"), F.lit(32).alias("width"), F.lit(3).alias("nChannels"), data.alias("data"))
+    return rows.select("ord", image.alias("image")).select("ord", dedup.image_hash(F.col("image")).alias("phash"))
+
+
 _JOBS = "(SELECT event_id AS id, CASE WHEN event_type = 'click' THEN 'processing' ELSE 'idle' END AS processing_status, CASE WHEN event_type = 'click' THEN 'running' ELSE 'completed' END AS status, ts, user_id FROM events)"
 
 
@@ -612,7 +699,7 @@ def d16_notes_update(spark, d):
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 7 ORDER BY o_orderkey LIMIT 1")
 def d10_first_url(spark, d):
-    return T(spark, d).orders.filter("o_custkey = 7").orderBy("o_orderkey").limit(1).select("o_orderkey", "o_totalprice")
+    return tables.first_row(T(spark, d).orders, "o_orderkey", o_custkey=7).select("o_orderkey", "o_totalprice")
 
 
 @query("SELECT lang, to_json(map_from_entries(list((source, n) ORDER BY source)))::VARCHAR AS metadata FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL) GROUP BY lang")
@@ -640,12 +727,16 @@ def candidates(t: T) -> DataFrame:
     return hashed(t).withColumns({"score": filters.head_score(F.col("embedding"), WEIGHTS, BIAS)} | sizes)
 
 
-def _plan(c: DataFrame, replies: DataFrame | None = None) -> DataFrame:
+def _config():
     from siftstone.config import Config
+
+    return Config(min_width=600, min_height=600, min_aspect=0.6, max_aspect=2.0, target_max=15)
+
+
+def _plan(c: DataFrame, replies: DataFrame | None = None) -> DataFrame:
     from siftstone.plans import curation
 
-    config = Config(min_width=600, min_height=600, min_aspect=0.6, max_aspect=2.0, target_max=15)
-    return curation.curate(c, replies, config, least=5.9, similarity=0.3, distance=20).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
+    return curation.curate(c, replies, _config(), least=5.9, similarity=0.3, distance=20).select("poi", "ord", F.col("pos").cast("long").alias("pos"))
 
 
 @query(_CURATED + " SELECT poi, ord, nth AS pos FROM r WHERE nth < 15")
@@ -664,6 +755,22 @@ def curate_judged(spark, d):
     return _plan(c, r)
 
 
+@query("WITH " + _two_folds(_CANDIDATES, 20, 0.3) + f""", a AS (SELECT label AS poi, {_HEAD} AS score, 500 + (vec_id * 37) % 1500 AS w, 500 + (vec_id * 53) % 1100 AS h FROM embeddings),
+n AS (SELECT poi, count(*) AS n0, count(*) FILTER (w >= 600 AND h >= 600) AS n1, count(*) FILTER (w >= 600 AND h >= 600 AND w / h BETWEEN 0.6 AND 2.0) AS n2 FROM a GROUP BY poi),
+m AS (SELECT n.*, (SELECT count(*) FROM c WHERE c.poi = n.poi) AS n3, (SELECT count(*) FROM k1 WHERE k1.poi = n.poi) AS n4, (SELECT count(*) FROM f WHERE f.poi = n.poi) AS n5 FROM n),
+j AS (SELECT *, CASE WHEN poi % 3 = 0 THEN n5 WHEN poi % 3 = 1 THEN greatest(least(n5, 30) - 1, 0) ELSE 0 END AS n6 FROM m),
+x AS (SELECT poi, unnest([0, 1, 2, 3, 4, 5, 6]) AS step, unnest(['resolution', 'aspect', 'score', 'hashes', 'vectors', 'judge', 'top']) AS stage, unnest([n0, n1, n2, n3, n4, n5, n6]) AS before, unnest([n1, n2, n3, n4, n5, n6, least(n6, 15)]) AS remaining FROM j)
+SELECT poi, step, stage, before, before - remaining AS rejected, remaining FROM x""")
+def a3_all_stages(spark, d):
+    """What each stage of the whole plan drops: a third of the groups skip the judge, a third lose one image to it, a third fail."""
+    from siftstone.plans import curation
+
+    c = candidates(T(spark, d))
+    k = F.pmod("poi", F.lit(3))
+    replies = c.select("poi").distinct().select("poi", F.when(k == 0, "skipped").when(k == 1, "replied").otherwise("failed").alias("outcome"), F.when(k == 1, "1. REJECT").alias("content"))
+    return curation.accounts(curation.selected(c, replies, _config(), least=5.9, similarity=0.3, distance=20))
+
+
 @query("""SELECT coalesce(s.k, c.k) AS poi_name, CASE WHEN s.k IS NULL THEN c.pics ELSE 'pois/' || s.k END AS scraped_pics, coalesce(s.n, c.n) AS scraped_count, CASE WHEN s.k IS NULL THEN 'processing' ELSE 'idle' END AS processing_status, s.k IS NOT NULL AS stamped
 FROM (SELECT (c_custkey + 5)::VARCHAR AS k, c_name AS pics, c_nationkey::INT AS n FROM customer) c FULL JOIN (SELECT s_suppkey::VARCHAR AS k, (s_suppkey % 3)::INT AS n FROM supplier WHERE s_suppkey % 3 > 0) s ON s.k = c.k""")
 def d17_register_scrape(spark, d):
@@ -676,7 +783,17 @@ def d17_register_scrape(spark, d):
 
 @query("SELECT page_id, idx, url FROM " + _HREFS + " WHERE idx < 2")
 def s9_manifest_prefix(spark, d):
-    return hrefs(T(spark, d)).select("page_id", "idx", "url").filter("idx < 2")
+    """Each page's links as a manifest, written and read back by its first entries."""
+    import uuid
+
+    from siftstone.shared import folder
+    from siftstone.sources import readers
+
+    none = F.lit(None).cast("string")
+    entries = hrefs(T(spark, d)).select(F.col("page_id").cast("string").alias("poi"), F.col("idx").alias("ord"), "url", F.lit("official_site").alias("source"), none.alias("category"), none.alias("subpage"))
+    path = f"{folder(spark)}/siftstone/manifest-{uuid.uuid4().hex}"
+    readers.write_manifest(urls.manifest(entries, now()), path)
+    return readers.read_manifest(spark, path, most=2, lines=True).select(F.col("poi").cast("long").alias("page_id"), F.col("ord").alias("idx"), "url")
 
 
 @query("SELECT regexp_replace(url, '/[^/]*$', '') AS dir, regexp_extract(url, '[^/]*$') AS name FROM pages WHERE contains(url, '/') AND NOT ends_with(url, '/')")
