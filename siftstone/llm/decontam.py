@@ -14,7 +14,9 @@ nor all postings are ever in one place; a task sees one block and the items that
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ _RUN = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*")
 #: Words of a window.
 WIDTH = 10
 #: Words of a block, about: a block ends with the document that reaches it.
-BLOCK = 400_000
+BLOCK = 1_000_000
 #: Bytes of a text that are split at once.
 _PIECE = 1 << 20
 #: Places that are tried at once.
@@ -53,7 +55,7 @@ class _Block:
     empty, so that no window crosses from one to the next."""
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: dict[bytes, int] = defaultdict(count().__next__)  # a new word takes the next number
         self.parts: list[np.ndarray] = []
         self.ids: list = []
         self.sizes: list[int] = []
@@ -63,8 +65,6 @@ class _Block:
         size, numbers = 0, self.numbers
         self.parts.append(np.array([-1], dtype=np.int32))
         for words in words_of(data):
-            for w in set(words).difference(numbers):
-                numbers[w] = len(numbers)
             self.parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             size += len(words)
         self.ids.append(doc_id)
@@ -74,7 +74,9 @@ class _Block:
     def rows(self, block: int, schema: pa.Schema) -> pa.RecordBatch:
         """A row a term, with the steps between its places (the first from place 0), and one of the documents."""
         said = np.concatenate(self.parts)
-        order = np.argsort(said, kind="stable").astype(np.int32)[len(self.ids) :]
+        keys = (said.astype(np.int64) << 32) | np.arange(len(said), dtype=np.int64)
+        keys.sort()  # by word, then place; the empty places first
+        order = (keys[len(self.ids) :] & 0xFFFFFFFF).astype(np.int32)
         counts = np.bincount(said[order], minlength=len(self.numbers)) if len(order) else np.zeros(0, dtype=np.int64)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         steps = np.diff(order, prepend=np.int32(0))
