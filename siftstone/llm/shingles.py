@@ -1,11 +1,14 @@
 """Near copies by shingles: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Candidates come from MinHash: 20 bands of 4 minima, so that a pair at similarity 0.8 shares no band with a probability
-of 0.00003 and one above it with less. Candidates are verified on the whole sets. Only in small groups all pairs are
-formed. Each member of a larger group is held against up to 64 leaders; of similar ones the later goes, the leaders
-have been held against all others and leave the group, and the rest do it again with twice as many, until the group is
-small or gone: a group of copies ends with the first round, one of unlike texts after a number of rounds that is the
-logarithm of its size.
+of 0.00003 and one above it with less. The members of a band are held against a few leaders only; of similar ones the later
+goes, the leaders have been held against all others and leave the group, and the rest do it again with eight times as
+many. A group of copies so ends with the first round, at a pair a member. Where many are left after 64 leaders, they are
+unlike texts that share a passage, and the band says too little: these are grouped anew by the rarest of their shingles,
+of which similar texts must share one (if a fifth of the shingles may differ, one of the rarest fifth and one more is
+common to both). A passage that many texts share is not among them, so such texts do not meet again.
+
+A pair is first compared by its 80 minima; the sets of only those that may be similar are joined and compared exactly.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
@@ -23,8 +26,10 @@ from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
 SEED = 42
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
-#: Leaders of a large group in the first round; all pairs are formed in groups where they are no more than so many a member.
-LEADERS = 64
+#: Leaders of a group in the first round, how many times as many the next has, and the most before groups are formed anew.
+LEADERS, MORE, MOST = 1, 8, 64
+#: Share of equal minima below which a pair is not looked at: 4.5 standard deviations below that of a similarity of 0.8.
+LIKELY = 0.6
 
 _MULT = np.random.default_rng(5).integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.random.default_rng(6).integers(1, 2**63, (1, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -46,79 +51,119 @@ def shingle_hashes(data: bytes | None, width: int = WIDTH) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One number a band, the band itself mixed in; none for a text without words."""
-    if not len(hashes):
-        return hashes.view(np.int64)
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The least of the hashes by each of BANDS * ROWS orders."""
     least = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
     for at in range(0, len(hashes), 4096):
         x = hashes[None, at : at + 4096] * _MULT
         least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=1))
-    mixed = (least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
+    return least
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One number a band, the band itself mixed in; none for a text without words."""
+    if not len(hashes):
+        return hashes.view(np.int64)
+    mixed = (minima(hashes).reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
     mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX[0, 0]
     return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
 
-def _lists(text: Column, of) -> Column:
+def _bands(text: Column) -> Column:
     @F.arrow_udf("array<bigint>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([of(x.as_py()) for x in batch], pa.list_(pa.int64()))
+            yield pa.array([band_keys(shingle_hashes(x.as_py())) for x in batch], pa.list_(pa.int64()))
+
+    return run(text.cast("binary"))
+
+
+def _signed(text: Column) -> Column:
+    """struct(hashes, sketch): a text's set of shingles and the low 32 bits of its minima."""
+
+    @F.arrow_udf("hashes array<bigint>, sketch array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sets = [shingle_hashes(x.as_py()) for x in batch]
+            sketches = pa.array([minima(x).astype(np.uint32).view(np.int32) for x in sets], pa.list_(pa.int32()))
+            yield pa.StructArray.from_arrays([pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), sketches], ["hashes", "sketch"])
 
     return run(text.cast("binary"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """node: the later one of each pair (first, node) that is similar enough."""
-    a = sets.select(F.col("node").alias("first"), F.col("hashes").alias("x"))
-    both = pairs.join(a, "first").join(sets, "node")
+    of = lambda column, name: sets.select(F.col("node").alias("first"), F.col(column).alias(name))
+    met = pairs.join(of("sketch", "x"), "first").join(sets.select("node", "sketch"), "node")
+    alike = F.size(F.filter(F.zip_with("x", "sketch", lambda a, b: a == b), lambda e: e))
+    likely = met.filter(alike >= LIKELY / SIMILARITY * similarity * BANDS * ROWS).select("first", "node")
+    both = likely.join(of("hashes", "x"), "first").join(sets.select("node", "hashes"), "node")
     common = F.size(F.array_intersect("x", "hashes"))
     return both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("hashes") - common)).select("node").distinct()
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, leaders: int = LEADERS) -> DataFrame:
-    """docs of which no two are near copies: a document goes if it is a near copy of one that comes before it, by
-    doc_id (null ids last) and then by a hash of the text, and that stays or went by the same rule.
+def _by_rare_shingles(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """band, node, size: a group for each shingle that is among the rarest of two documents, as many as must be looked at
+    so that no two that are similar enough have none in common."""
+    said = nodes.join(sets, "node").select("node", "size", F.explode("hashes").alias("band"))
+    often = said.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = Window.partitionBy("node")
+    shared = said.join(often, "band").withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("n", "band")))
+    prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9) + 1
+    return shared.filter(F.col("size") - F.col("m") + F.col("rank") <= prefix).select("band", "node", "size")
+
+
+def _round(groups: DataFrame, sets: DataFrame, leaders: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """What goes (node), and the groups as they are after it. In groups where that makes no more than `leaders` pairs a
+    member all pairs are compared, and the group is done."""
+    small = 2 * leaders + 1
+    sizes = materialize(groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
+    few, many = (groups.join(sizes.filter(of).select("band"), "band") for of in (f"n <= {small}", f"n > {small}"))
+    first = many.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min(F.struct("node", "size")).alias("least"))
+    first = materialize(first.select("band", F.col("least.node").alias("leader"), F.col("least.size").alias("leader_size")), "leaders")
+    # of sets whose sizes differ by more no pair can be similar enough: such pairs need no look at the sets
+    close = F.least("leader_size", "size") >= F.lit(similarity) * F.greatest("leader_size", "size")
+    all_of = few.select("band", F.col("node").alias("leader"), F.col("size").alias("leader_size")).join(few, "band").filter("leader < node")
+    met = many.join(first, "band").filter("leader <> node").select("band", "leader", "leader_size", "node", "size").unionByName(all_of)
+    pairs = met.filter(close).select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
+    gone = materialize(_verified(pairs, sets, similarity), "copies")
+    left = many.join(first.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti").join(gone, "node", "left_anti")
+    left = materialize(left.select("band", "node", "size"), "groups")
+    for done in (sizes, first):
+        drop_table(done)
+    return gone, left
+
 
-    Rows equal in id and text stay or go together; texts without words stay. Columns are kept as they are."""
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, leaders: int = LEADERS, most: int = MOST) -> DataFrame:
+    """docs of which no two are near copies. A document goes only if it is a near copy of one that comes before it, by
+    doc_id (null ids last) and then by a hash of the text; that one may go as well, so that in a chain (B like A, C like
+    B) C may go though it is unlike A, and may stay once B has gone.
+
+    Rows equal in id and text stay or go together; texts without words stay. Columns are kept as they are, whatever their
+    names; an empty table gives an empty one. leaders: of the first round; most: after how many groups are formed anew."""
     h, ident = fresh(docs, "h", "ident")
     named = lambda df: F.struct(df[f"`{doc_id}`"].isNull().alias("nameless"), df[f"`{doc_id}`"].alias("id"), F.xxhash64(df[f"`{text}`"]).alias("h"))
     src = docs.select(named(docs).alias("node"), F.col(f"`{text}`").alias("t"))
-    bands = materialize(src.select("node", F.explode(_lists(F.col("t"), lambda x: band_keys(shingle_hashes(x)))).alias("band")), "bands")
+    bands = materialize(src.select("node", F.explode(_bands(F.col("t"))).alias("band")), "bands")
     met = bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("band")
     groups = materialize(bands.join(met, "band").distinct(), "groups")
     drop_table(bands)
     members = groups.select(F.col("node.h").alias("h"), F.col("node").alias("member")).distinct()
-    sets = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member")))
-    sets = materialize(sets.dropDuplicates(["node"]).select("node", _lists(F.col("t"), lambda x: shingle_hashes(x).view(np.int64)).alias("hashes")), "sets")
-    sized = materialize(groups.join(sets.select("node", F.size("hashes").alias("size")), "node").select("band", "node", "size"), "groups")
+    texts = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member"))).dropDuplicates(["node"])
+    sets = materialize(texts.select("node", _signed(F.col("t")).alias("s")).select("node", F.size("s.hashes").alias("size"), "s.hashes", "s.sketch"), "sets")
+    sized = materialize(groups.join(sets.select("node", "size"), "node").select("band", "node", "size"), "groups")
     drop_table(groups)
-    groups = sized
-    # of sets whose sizes differ by more no pair can be similar enough: such pairs need no look at the sets
-    close = lambda a, b: F.least(a, b) >= F.lit(similarity) * F.greatest(a, b)
-    gone: list[DataFrame] = []
-    while True:
-        small = 2 * leaders + 1  # members of a group in which all pairs are no more than `leaders` a member
-        sizes = materialize(groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "sizes")
-        n_small, n_large = sizes.agg(F.count_if(F.col("n") <= small), F.count_if(F.col("n") > small)).first()
-        if n_small:
-            few = groups.join(sizes.filter(F.col("n") <= small).select("band"), "band")
-            met = few.select("band", F.col("node").alias("first"), F.col("size").alias("first_size")).join(few, "band").filter((F.col("first") < F.col("node")) & close("first_size", "size")).select("first", "node").distinct()
-            gone.append(materialize(_verified(met, sets, similarity), "copies"))
-        if not n_large:
-            break
-        many = groups.join(sizes.filter(F.col("n") > small).select("band"), "band")
-        first = many.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min(F.struct("node", "size")).alias("least"))
-        first = materialize(first.select("band", F.col("least.node").alias("leader"), F.col("least.size").alias("leader_size")), "leaders")
-        met = many.join(first, "band").filter((F.col("leader") != F.col("node")) & close("leader_size", "size")).select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
-        gone.append(materialize(_verified(met, sets, similarity), "copies"))
-        left = many.join(first.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti").join(gone[-1], "node", "left_anti").select("band", "node", "size")
-        left = materialize(left, "left")
-        met = left.groupBy("band").count().filter("count > 1").select("band")
-        rest = materialize(left.join(met, "band"), "groups")
-        for done in (groups, sizes, left):
-            drop_table(done)
-        groups, leaders = rest, 2 * leaders  # what is left is like none of these: more are needed
+    groups, gone, by_rare = sized, [], False
+    while not groups.isEmpty():
+        if leaders > most and not by_rare:
+            by_rare, leaders = True, most
+            rest = materialize(_by_rare_shingles(groups.select("node").distinct(), sets, similarity), "groups")
+        else:
+            out, rest = _round(groups, sets, leaders, similarity)
+            gone.append(out)
+            leaders *= MORE
+        drop_table(groups)
+        groups = rest
     for done in (sets, groups):
         drop_table(done)
     if not gone:
