@@ -135,15 +135,16 @@ def word_blocks(data: bytes, block: int = 1 << 20) -> Iterator[list[bytes]]:
 
 
 def bounded_sample(df: DataFrame, mark: Column, label: str, rows: int) -> DataFrame:
-    """About `rows` rows of df, 2 * rows at most, dealt evenly over the values of label (each value is met, however
-    many there are); which ones is decided by the hash `mark`: deterministic, without a shuffle of the rows."""
+    """About `rows` rows of df, no more, dealt evenly over the values of label: up to rows / (number of values) of each, and one
+    of each if there are more values than rows, so that every value is met. Which ones is decided by the hash `mark`:
+    deterministic, without a shuffle of other rows."""
     counts = materialize(df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("__of")).count(), "labels")
     each = max(1, rows // max(1, counts.count()))
-    rates = materialize(counts.select("__of", (F.lit(float(each)) / F.col("count")).alias("__rate")), "rates")
-    # a value's few rows may all miss a low rate: of up to four times the wanted number the first are taken
-    some = df.withColumn("__mark", mark).join(rates, F.col(label) == F.col("__of")).filter(F.pmod("__mark", F.lit(1 << 40)) < 4 * F.col("__rate") * (1 << 40))
+    # of each value several times the wanted number are read, so that none is missed by chance (about 1 in 10**10)
+    rates = materialize(counts.select("__of", (F.lit(4.0 * each + 20) / F.col("count")).alias("__rate")), "rates")
+    some = df.withColumn("__mark", mark).join(rates, F.col(label) == F.col("__of")).filter(F.pmod("__mark", F.lit(1 << 40)) < F.col("__rate") * (1 << 40))
     rank = F.row_number().over(Window.partitionBy("__of").orderBy("__mark"))
-    return some.withColumn("__rank", rank).filter(F.col("__rank") <= each).orderBy("__mark").limit(2 * rows).drop("__of", "__rate", "__mark", "__rank")
+    return some.withColumn("__rank", rank).filter(F.col("__rank") <= each).orderBy("__mark").drop("__of", "__rate", "__mark", "__rank")
 
 
 _state: dict[str, object] = {}

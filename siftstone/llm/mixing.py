@@ -46,10 +46,11 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return t.select("source", "source_size", F.least("most", F.coalesce(F.col("free.level") * F.col("w"), F.col("most"))).alias("target"))
 
 
-def rate(lam: Column, size: Column, scale: Column, cap: float) -> Column:
-    """A document's rate; null lam stands for the limit at which all documents are at the cap (or, for target 0, at 0)."""
-    tilted = F.least(F.exp(F.least(lam * size / scale, F.lit(50.0))), F.lit(cap))
-    return F.coalesce(F.round(tilted, 9), F.col("limit"))
+def rate(size: Column, cap: float, of: str = "") -> Column:
+    """A document's rate by the columns lam, scale and limit (of: what stands before their names); null lam stands for the
+    limit at which all documents are at the cap (or, for target 0, at 0)."""
+    tilted = F.least(F.exp(F.least(F.col(f"{of}lam") * size / F.col(f"{of}scale"), F.lit(50.0))), F.lit(float(cap)))
+    return F.coalesce(F.round(tilted, 9), F.col(f"{of}limit"))
 
 
 def solve(histogram: DataFrame, balance: DataFrame, cap: float = 2.0, steps: int = 60, near: float = 1e-9) -> DataFrame:
@@ -94,6 +95,8 @@ def solve(histogram: DataFrame, balance: DataFrame, cap: float = 2.0, steps: int
         state = new
         if not state.filter("off > 0").limit(1).collect():
             break
+    else:
+        raise RuntimeError(f"the dual was not solved in {steps} steps")
     # rounded, so that another order of summation gives the same rates
     return state.select("source", "source_size", "target", "scale", "limit", F.round("lam", 7).alias("lam"))
 
@@ -164,14 +167,17 @@ def ends(ranked: DataFrame, balance: DataFrame, cap: float = 2.0) -> DataFrame:
 
 def plan(sizes: DataFrame, cap: float = 2.0, **how) -> DataFrame:
     """sizes (doc_id, source, size, mark, tie) -> one row a source: s, source_size, target, scale, limit, lam, last, one."""
+    if cap != int(cap) or cap < 1:
+        raise ValueError("cap must be a whole number of copies")
     histogram = materialize(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     totals = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     balance = materialize(targets(totals, cap=cap, **how), "targets")
     balance = solve(histogram, balance, cap)
     of = balance.select(F.col("source").alias("s"), "scale", "limit", "lam")
     ranked = sizes.join(of, F.col("source").eqNullSafe(F.col("s")))
-    r = rate(F.col("lam"), F.col("size"), F.col("scale"), cap)
-    ranked = ranked.select("source", "size", F.floor(r).alias("whole"), rank(F.col("mark"), F.col("tie"), r).alias("rank"))
+    r = rate(F.col("size"), cap)
+    # hashes of the ranks are computed once; the search for the prefix's end reads them several times
+    ranked = materialize(ranked.select("source", "size", F.floor(r).alias("whole"), rank(F.col("mark"), F.col("tie"), r).alias("rank")), "ranked")
     last = ends(ranked, balance, cap)
     got = balance.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
     return materialize(got, "plan")
@@ -181,38 +187,36 @@ def _chosen(place: Column, last: Column, one: Column) -> Column:
     return (place <= last) | F.coalesce(place == one, F.lit(False))
 
 
-def copies(size: Column, mark: Column, tie: Column, cap: float = 2.0) -> Column:
-    """Copies of a document, from the columns of plan() beside it."""
-    r = rate(F.col("lam"), size, F.col("scale"), cap)
-    more = F.col("last").isNotNull() & (size > 0) & _chosen(rank(mark, tie, r), F.col("last"), F.col("one"))
+def copies(size: Column, mark: Column, tie: Column, cap: float = 2.0, of: str = "") -> Column:
+    """Copies of a document, from the columns of plan() beside it (of: what stands before their names)."""
+    r = rate(size, cap, of)
+    more = F.col(f"{of}last").isNotNull() & (size > 0) & _chosen(rank(mark, tie, r), F.col(f"{of}last"), F.col(f"{of}one"))
     return F.least(F.floor(r) + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0), F.lit(int(cap)))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """doc_id, size, source_size, target, taken: what the mix takes of each document.
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cap: float = 2.0, **how) -> DataFrame:
+    """doc_id, size, source_size, target, taken: what the mix takes of each document, `cap` times its words at most.
 
     Null texts have size 0, the null source is a source of its own, repeated rows and null ids are documents of
     their own (of rows equal in id and text as many get a copy more as the target takes). Other columns are ignored; an
     empty table gives an empty one. Equal inputs give equal results, whatever the partitions."""
     sizes = materialize(sizes_of(docs, doc_id, text, source), "sizes")
-    out = sizes.join(plan(sizes, **how), F.col("source").eqNullSafe(F.col("s")))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies(F.col("size"), F.col("mark"), F.col("tie"))).alias("taken"))
+    out = sizes.join(plan(sizes, cap, **how), F.col("source").eqNullSafe(F.col("s")))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies(F.col("size"), F.col("mark"), F.col("tie"), cap)).alias("taken"))
 
 
-def remix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """docs with each row as often as the mix takes it (0, 1 or 2 times; rows without a word once); columns as they are.
+def remix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cap: float = 2.0, **how) -> DataFrame:
+    """docs with each row as often as the mix takes it (up to `cap` times; rows without a word once); columns as they are.
 
     docs is read twice and must give its rows in the same order, as a table does: that order tells equal rows
     apart. The plan has one row a source; whether it is broadcast is the planner's decision by its size. The texts
     themselves are not shuffled then. Nulls, repeated rows and empty tables as in mix()."""
     size, own, tie, times = fresh(docs, "size", "mark", "tie", "times")
     sizes = materialize(sizes_of(docs, doc_id, text, source), "sizes")
-    p = plan(sizes, **how)
+    p = plan(sizes, cap, **how)
     p = p.select(F.struct(*p.columns).alias("__plan"))
     rows = docs.select("*", n_words(F.col(f"`{text}`")).alias(size), mark(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias(own), F.monotonically_increasing_id().alias(tie))
     rows = rows.join(p, rows[f"`{source}`"].eqNullSafe(p["__plan"]["s"]))
-    r = F.coalesce(F.round(F.least(F.exp(F.least(F.col("__plan.lam") * F.col(size) / F.col("__plan.scale"), F.lit(50.0))), F.lit(2.0)), 9), F.col("__plan.limit"))
-    more = F.col("__plan.last").isNotNull() & (F.col(size) > 0) & _chosen(rank(F.col(own), F.col(tie), r), F.col("__plan.last"), F.col("__plan.one"))
-    n = F.when(F.col(size) == 0, 1).otherwise(F.least(F.floor(r) + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0), F.lit(2)))
+    n = F.when(F.col(size) == 0, 1).otherwise(copies(F.col(size), F.col(own), F.col(tie), cap, "__plan."))
     rows = rows.withColumn(times, F.explode(F.array_repeat(F.lit(1), n.cast("int"))))
     return rows.select(*[f"`{c}`" for c in docs.columns])
