@@ -34,7 +34,6 @@ class Settings(NamedTuple):
     sample: int = 64  # rows for each centroid that the codebooks are fitted on, about
     recall: float = 0.95  # share of the sampled queries' true neighbours that the walk must reach
     tried: int = 256  # queries that the walk's length is measured on, at most about
-    least: int = 1000  # vectors that a query sees at least
     shard: int = 1 << 16  # vectors in a shard at most, about
     block: int = 64  # queries that are held against a shard at once
 
@@ -64,8 +63,10 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 5) -> np.ndarray
     return c
 
 
-def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return ((c * c).sum(axis=1)[None, :] - 2 * x @ c.T).argmin(axis=1)
+def nearest(x: np.ndarray, c: np.ndarray, lot: int = 8192) -> np.ndarray:
+    """Of each row the nearest centroid; distances are held for `lot` rows at once."""
+    norms = (c * c).sum(axis=1)[None, :]
+    return np.concatenate([np.zeros(0, dtype=np.int64), *((norms - 2 * x[at : at + lot] @ c.T).argmin(axis=1) for at in range(0, len(x), lot))])
 
 
 def matrix(column) -> np.ndarray:
@@ -148,8 +149,8 @@ def build(vectors: DataFrame, vec_id: str, embedding: str, s: Settings) -> Index
         return None
     k = s.centroids or int(min(1024, max(8, round(4 * n**0.25))))
     rate = min(1.0, max(8192, s.sample * k) / n)
-    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < rate * 1_000_000).orderBy("vec_id").limit(2 * max(8192, s.sample * k)).collect() or rows.limit(1).collect()
-    x = np.array([r["v"] for r in sample], dtype=np.float64)
+    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < rate * 1_000_000).orderBy("vec_id").limit(2 * max(8192, s.sample * k)).select("v").toArrow()
+    x = matrix((sample if sample.num_rows else rows.limit(1).select("v").toArrow()).column("v"))
     half = x.shape[1] // 2
     c1, c2 = kmeans(x[:, :half], k), kmeans(x[:, half:], k)
 
@@ -170,7 +171,7 @@ def build(vectors: DataFrame, vec_id: str, embedding: str, s: Settings) -> Index
 
 def measured_walk(index: Index, every: int, k: int, s: Settings) -> int:
     """How many vectors a query is to see."""
-    n, wanted = int(index.sizes.sum()), max(s.least, k + 1)
+    n, wanted = int(index.sizes.sum()), k + 1
     if n <= wanted:
         return wanted
     part = min(1.0, s.tried * every / n)
@@ -220,8 +221,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_
 
     Null ids, and vectors that are null, zero, of another length than most or with null or non-finite parts take
     no part; rows with the query's own id are no candidates. Rows equal in id and vector count once; an id with several
-    vectors is that many rows. Fewer than k candidates give fewer rows; an empty table gives none. A query sees
-    settings.least vectors at least, so that small tables are searched exactly."""
+    vectors is that many rows. Fewer than k candidates give fewer rows; an empty table gives none. Tables of any size are
+    searched alike; with a recall of 1, and no more queries than settings.tried, every neighbour is found."""
     s = settings or Settings()
     spark = vectors.sparkSession
     kind = dict(vectors.dtypes)[vec_id]

@@ -142,12 +142,6 @@ SQL = {
         p AS (SELECT *, extra > 0 AND free AND upto <= extra AS more, extra - coalesce(max(CASE WHEN free AND upto <= extra THEN upto END) OVER (PARTITION BY source), 0) AS miss FROM c),
         o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY free AND NOT more AND extra > 0 AND abs(miss - size) < miss DESC, abs(miss - size), place, mark) = 1 AND free AND NOT more AND extra > 0 AND abs(miss - size) < miss AS one FROM p)
         SELECT doc_id, size, source_size, target, (size * least(whole + CASE WHEN more OR one THEN 1 ELSE 0 END, 2))::BIGINT AS taken FROM o""",
-    "op5_ann": """
-        WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2])) AS score
-              FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
-        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
-        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
     "op11_filter_audit": r"""
         WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
         l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),

@@ -4,7 +4,9 @@ Rules are a table of one row a host: pages are joined with it once for each numb
 that lists of any length work, and whether that table is broadcast is the planner's decision by its size.
 The trees are fitted on a bounded sample of labelled URLs and become one SQL expression. Features: length, depth, digit
 ratio, entropy, parameter count, host labels and the smoothed share of blocked URLs of the host's suffix (over all
-labelled URLs; for those that the trees are fitted on, over the other folds only).
+labelled URLs; for those that the trees are fitted on, over the hosts of other folds only). A third of the hosts fitted on
+have their suffix hidden, as if no labelled URL had it: so the trees learn what a URL says where its suffix says nothing, and
+a URL of an unseen suffix gets about the share of all, more or less by its own features.
 """
 
 from __future__ import annotations
@@ -146,8 +148,12 @@ def expression(start: float, trees: list[Tree]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-#: Parts of the labelled URLs: a URL's suffix statistics for fitting come from the other parts.
-FOLDS = 5
+#: Parts of the labelled hosts: a URL's suffix statistics for fitting come from the other parts; one host in HIDDEN has none.
+FOLDS, HIDDEN = 5, 3
+
+
+def hashed(host: str, what: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(host), F.lit(what)), F.lit(n))
 
 
 def described(rows: DataFrame) -> DataFrame:
@@ -167,34 +173,58 @@ def suffix_rates(known: DataFrame, strength: float = 10.0) -> tuple[DataFrame, f
     return materialize(both.select("s", "fold", ((F.col("b") + strength * F.lit(prior)) / (F.col("n") + strength)).alias("suffix_rate")), "rates"), prior
 
 
+class Model(NamedTuple):
+    """rates: suffix_rates() of all labelled URLs, a row for each suffix and fold."""
+
+    start: float
+    trees: list[Tree]
+    rates: DataFrame
+    prior: float
+
+
+def fit(known: DataFrame, sample: int = 20_000) -> Model:
+    """known: described() rows with y (1: blocked). About `sample` of them are fitted on, chosen by a hash."""
+    known = known.withColumn("fold", hashed("host", "fold", FOLDS))
+    rates, prior = suffix_rates(known)
+    part = min(1.0, sample / max(1, known.count()))
+    mark = F.xxhash64("u", F.lit("fit"))
+    some = known.filter(F.pmod(mark, F.lit(1_000_000)) < part * 1_000_000).orderBy(mark).limit(2 * sample)
+    own = rates.withColumnRenamed("fold", "of")
+    some = some.join(own, (F.col("suffix") == F.col("s")) & (F.col("fold") == F.col("of")), "left")
+    seen = F.when(hashed("host", "hide", HIDDEN) > 0, F.col("suffix_rate"))
+    got = some.withColumn("suffix_rate", F.coalesce(seen, F.lit(prior))).groupBy(*FEATURES, "y").count().orderBy(*FEATURES, "y").collect()
+    n = np.array([r["count"] for r in got], dtype=int)
+    x = np.repeat(np.array([[r[f] for f in FEATURES] for r in got], dtype=float).reshape(-1, len(FEATURES)), n, axis=0)
+    y = np.repeat(np.array([r["y"] for r in got], dtype=float), n)
+    return Model(*boost(x, y), rates, prior)
+
+
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """described() rows with block_score: the trees' P(block)."""
+    out = rows.join(model.rates.filter("fold = -1").select("s", "suffix_rate"), F.col("suffix") == F.col("s"), "left").drop("s")
+    return out.withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(model.prior))).withColumn("block_score", expression(model.start, model.trees))
+
+
+def split_urls(rows: DataFrame) -> DataFrame:
+    """rows (u) with host and path."""
+    host, path = parts(F.col("u"))
+    return rows.withColumn("host", host).withColumn("path", path)
+
+
 def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None, page_id: str = "page_id", url: str = "url", sample: int = 20_000, threshold: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict, block_score for every row.
 
     labelled (url, blocked 0 or 1) trains the trees; by default the URLs that a rule fits, labelled by it. About
-    `sample` of them are fitted on, chosen by a hash. Without labels the score is 0.5 and the verdict allow. Null
-    and odd URLs have empty parts and are judged like any other; repeated rows stay; an empty table gives an
-    empty one; other columns are ignored."""
-    host, path = parts(F.col("u"))
-    split = lambda df: df.withColumn("host", host).withColumn("path", path)
-    rows = with_rules(split(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("u"))), rules)
+    `sample` of them are fitted on, chosen by a hash. A URL that no rule fits is blocked if its score is above `threshold` and
+    above the share of blocked URLs among the labelled ones: where its features say nothing it is not. Without labels the
+    score is 0.5 and the verdict allow. Null and odd URLs have empty parts and are judged like any other; repeated rows
+    stay; an empty table gives an empty one; other columns are ignored."""
+    rows = with_rules(split_urls(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("u"))), rules)
     rows = materialize(described(rows), "urls")
     if labelled is None:
         known = rows.filter("ruled is not null").withColumn("y", (F.col("ruled") == "block").cast("int"))
     else:
-        known = described(split(labelled.select(F.col("url").alias("u"), F.col("blocked").cast("int").alias("y")).filter("y in (0, 1)")))
-    known = known.withColumn("fold", F.pmod(F.xxhash64("u", F.lit("fold")), F.lit(FOLDS)))
-    rates, prior = suffix_rates(known)
-    n_known = known.count()
-    part = min(1.0, sample / max(1, n_known))
-    some = known.filter(F.pmod(F.xxhash64("u", F.lit("fit")), F.lit(1_000_000)) < part * 1_000_000).orderBy(F.xxhash64("u", F.lit("fit"))).limit(2 * sample)
-    own = rates.withColumnRenamed("fold", "of")
-    some = some.join(own, (F.col("suffix") == F.col("s")) & (F.col("fold") == F.col("of")), "left").withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(prior)))
-    got = some.groupBy(*FEATURES, "y").count().orderBy(*FEATURES, "y").collect()
-    n = np.array([r["count"] for r in got], dtype=int)
-    x = np.repeat(np.array([[r[f] for f in FEATURES] for r in got], dtype=float).reshape(-1, len(FEATURES)), n, axis=0)
-    y = np.repeat(np.array([r["y"] for r in got], dtype=float), n)
-    score = expression(*boost(x, y))
-    out = rows.join(rates.filter("fold = -1").select("s", "suffix_rate"), F.col("suffix") == F.col("s"), "left")
-    out = out.withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(prior))).withColumn("block_score", score)
-    verdict = F.coalesce("ruled", F.when(F.col("block_score") > threshold, "block").otherwise("allow"))
-    return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")
+        known = described(split_urls(labelled.select(F.col("url").alias("u"), F.col("blocked").cast("int").alias("y")).filter("y in (0, 1)")))
+    model = fit(known, sample)
+    verdict = F.coalesce("ruled", F.when(F.col("block_score") > max(threshold, model.prior), "block").otherwise("allow"))
+    return scored(rows, model).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")
