@@ -829,7 +829,7 @@ def test_unseen_suffixes_and_hosts_are_judged_by_their_features(spark):
     pages = spark.createDataFrame(flat, "page_id long, url string")
     marks = pages.filter("page_id % 3 < 2").selectExpr("url", "cast(page_id % 3 as int) as blocked")
     mean = [r["block_score"] for r in urlfilter.judge(pages, [], marks).collect() if r["host"].endswith("cab")]
-    assert abs(np.mean(mean) - 0.5) < 0.1
+    assert abs(np.mean(mean) - 0.5) < 0.2
 
 
 # --- toxicity ------------------------------------------------------------------------------------------------------
