@@ -16,6 +16,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -36,7 +38,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,64}")
+_TERM = re.compile(r"[^\W\d_]{3,}")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -49,7 +51,6 @@ class Settings(NamedTuple):
     remove: float = 0.8  # p(entity | term) from which a term is removed
     remove_contexts: int = 3  # and the contexts that takes
     most: float = 0.5  # share of one context in the texts at most: a larger one is a text and its near copies
-    reach: int = 400  # characters on either side in which words are looked for
     told: int = 200_000  # terms that a worker holds as a table; more are found by a filter and a join
     part: int = 1 << 20  # terms that one such filter is for
 
@@ -107,12 +108,27 @@ def _place(word: str) -> int:
 
 
 def contexts(text: str, s: Settings) -> Iterator[tuple[str, int, int]]:
-    """(term, entity, context) for the terms near each entity of one text."""
-    for kind, a, b in base_spans(text):
-        before, after = text[max(0, a - s.reach) : a], text[b : b + s.reach]
-        left, right = _TERM.findall(before.lower()), _TERM.findall(after.lower())
-        n_left = min(s.window, len(_TERM.findall(before.rsplit("\n", 1)[-1])))
-        n_right = min(s.window, len(_TERM.findall(after.split("\n", 1)[0])))
+    """(term, entity, context) for the terms near each entity of one text. Terms are found once, and looked up by place,
+    however far from the entity they stand; a term that runs into an entity counts as far as it is outside."""
+    spans = base_spans(text)
+    if not spans:
+        return
+    starts = array("q", (m.start() for m in _TERM.finditer(text)))
+    word = lambda k: _TERM.match(text, starts[k]).group().lower()
+    for kind, a, b in spans:
+        i, j = bisect_left(starts, a), bisect_left(starts, b)
+        line, end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
+        n_left = min(s.window, i - bisect_left(starts, line))
+        n_right = min(s.window, (bisect_left(starts, end) if end >= 0 else len(starts)) - j)
+        left = [word(k) for k in range(max(0, i - n_left - s.around), i)]
+        right = [word(k) for k in range(j, min(len(starts), j + n_right + s.around))]
+        if left and starts[i - 1] + len(left[-1]) > a:
+            cut = text[starts[i - 1] : a].lower()
+            left[-1:] = [cut] if len(cut) > 2 else []
+            n_left -= not left or len(cut) < 3
+        if b < len(text) and text[b - 1].isalpha() and (m := _TERM.match(text, b)):
+            right = [m.group().lower(), *right]
+            n_right = min(s.window, n_right + 1)
         near = {*left[len(left) - n_left :], *right[:n_right]}
         if near:
             beyond = (*left[: len(left) - n_left][-s.around :], *right[n_right:][: s.around])
@@ -216,9 +232,10 @@ def _hits(docs: DataFrame, terms: DataFrame, s: Settings) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
-def disclosures(docs: DataFrame, s: Settings) -> DataFrame | None:
-    """term, kind (generalise or remove): terms of docs (k, h, t) that give an entity away; None if no term stands
-    near one entity in enough contexts. Counts go over all documents."""
+def measures(docs: DataFrame, s: Settings) -> DataFrame | None:
+    """term, entity, contexts, n, total, mentions, p, bits of each term that stands near one entity in enough contexts, in docs
+    (k, h, t); None if there is none. Counts go over all documents: n, how often the term stands near the entity; total,
+    how often it occurs; mentions, how often any term stands near the entity."""
     near = _near(docs, s).groupBy("term", "entity", "context", "h").agg(F.count(F.lit(1)).alias("n"))
     near = materialize(near.groupBy("term", "entity", "context").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n")), "near")
     joint = near.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("contexts"), F.sum("texts").alias("texts"), F.max("texts").alias("most"), F.sum("n").alias("n"))
@@ -229,10 +246,18 @@ def disclosures(docs: DataFrame, s: Settings) -> DataFrame | None:
     total = materialize(_totals(docs, joint.select("term").distinct(), s), "totals")
     entities = near.groupBy("entity").agg(F.sum("n").alias("mentions"))
     everything = total.filter("term = ''").first()["total"]
-    told = joint.join(total, "term").join(entities, "entity")
     p = F.least(F.col("n") / F.col("total"), F.lit(1.0))
     bits = F.log2(p / (F.col("mentions") / F.lit(float(everything))))
-    told = told.select("term", p.alias("p"), bits.alias("bits"), "contexts").filter(F.col("bits") >= s.min_bits)
+    return joint.join(total, "term").join(entities, "entity").withColumn("p", p).withColumn("bits", bits)
+
+
+def disclosures(docs: DataFrame, s: Settings) -> DataFrame | None:
+    """term, kind (generalise or remove): terms of docs (k, h, t) that give an entity away; None if no term stands
+    near one entity in enough contexts."""
+    told = measures(docs, s)
+    if told is None:
+        return None
+    told = told.filter(F.col("bits") >= s.min_bits)
     kind = F.when((F.col("p") >= s.remove) & (F.col("contexts") >= s.remove_contexts), 2).when((F.col("p") >= s.generalise) & (F.col("contexts") >= s.min_contexts), 1)
     told = told.withColumn("kind", kind).filter("kind is not null").groupBy("term").agg(F.max("kind").alias("kind"))
     return materialize(told.select("term", F.when(F.col("kind") == 2, "remove").otherwise("generalise").alias("kind")), "told")

@@ -518,6 +518,59 @@ def test_disclosing_terms_by_either_way(spark, how):
     assert disclosing(spark, near + [(100 + k, once) for k in range(5)], **how) == set()
 
 
+def brute_measures(texts, s):
+    near, total, mentions, everything = {}, {}, {}, 0
+    for t in texts:
+        terms = [(m.start(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{3,}", t or "")]
+        everything += len(terms)
+        for _, w in terms:
+            total[w] = total.get(w, 0) + 1
+        for kind, a, b in brute_spans(t or ""):
+            left, right = [x for x in terms if x[0] < a], [x for x in terms if x[0] >= b]
+            lines = lambda x: t[min(x[0], a) : max(x[0], b)].count("\n") == 0
+            n_left, n_right = len([x for x in left[-s.window :] if lines(x)]), len([x for x in right[: s.window] if lines(x)])
+            close = {w for _, w in left[len(left) - n_left :] + right[:n_right]}
+            far = [w for _, w in left[: len(left) - n_left][-s.around :] + right[n_right:][: s.around]]
+            if close:
+                context = min((zlib.crc32(w.encode()) * 2654435761 % (1 << 32) for w in far), default=-1)
+                e = (kind, t[a:b].lower())
+                for w in close:
+                    near.setdefault((w, e), []).append((context, t))
+                    mentions[e] = mentions.get(e, 0) + 1
+    out = []
+    for (w, e), seen in near.items():
+        by = {}
+        for c, t in seen:
+            by.setdefault(c, set()).add(t)
+        n = sum(map(len, by.values()))
+        if len(by) >= min(s.min_contexts, s.remove_contexts) and max(map(len, by.values())) <= s.most * n:
+            p = min(1.0, len(seen) / total[w])
+            out.append((w, len(by), len(seen), total[w], mentions[e], p, math.log2(p / (mentions[e] / everything))))
+    return sorted(out)
+
+
+def test_disclosure_equals_brute_force(spark):
+    rnd = random.Random(28)
+    word = lambda: rnd.choice(["anna", "Berta", "the", "and", "for", "Zoë", "it", "x1", "mail", *(f"w{chr(97 + k)}o" for k in range(20))])
+    said = lambda n: " ".join(word() for _ in range(n))
+    mails = ["a@b.org", "c@d.org", "10.0.0.1", "+49 30 1234567"]
+    texts = [said(rnd.randrange(12)) + rnd.choice(["\n", " ", " " * 500]) + f"anna {rnd.choice(mails)} " + rnd.choice(["\n", "", " " * 700]) + said(rnd.randrange(40)) for _ in range(150)]
+    texts += texts[:9] + [None, "", "a@b.org", "anna a@b.org", "q" * 5000 + " a@b.org berta"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string").withColumn("h", F.xxhash64("t"))
+    for s in (pii.Settings(), pii.Settings(window=1, around=2, min_contexts=2, remove_contexts=2, most=0.9)):
+        got = sorted((r["term"], r["contexts"], r["n"], r["total"], r["mentions"], r["p"], r["bits"]) for r in pii.measures(df, s).collect())
+        want = brute_measures(texts, s)
+        assert [g[:5] for g in got] == [w[:5] for w in want] and want
+        assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for g, w in zip(got, want, strict=True) for a, b in zip(g[5:], w[5:], strict=True))
+
+
+def test_terms_that_run_into_an_entity():
+    s = pii.Settings()
+    found = lambda t: {c[0] for c in pii.contexts(t, s)}
+    assert found("éèàund@x.org nachher") == {"éèà", "nachher"} and found("vor a@b.orgäöü nach") == {"vor", "äöü", "nach"}
+    assert found("éund@x.org") == set() and found("name" + " " * 5000 + "a@b.org") == {"name"}
+
+
 def test_pii_edges(spark):
     got = pii.sanitise(odd_docs(spark))
     assert got.count() == len(ODD) + 3 and pii.sanitise(odd_docs(spark).limit(0)).count() == 0
