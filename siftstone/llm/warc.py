@@ -1,18 +1,24 @@
 """WARC archives as tables of chunks.
 
-Writing: a payload up to `chunk` bytes is one record; a larger one is a segmented record, a row for each chunk
-(record and chunk number) with the digest carried from chunk to chunk, so that no step after the first cut holds
-a whole record. Every row is one WARC record and ends with an empty line, which is the row separator of Spark's
-text writer: archives are therefore written by Spark's own committer to any store, gzipped, and survive a lost
-executor. Reading goes by Content-Length, never by what a payload may contain; a record's segments follow one
-another in one archive, so the reader, too, carries one digest along and holds one segment.
-
-Every input row is a record of its own: its id is made of page id, payload digest and a number among the rows
-that are equal in both. Rows that repeat an id, with the same payload or others, and rows without one do not meet.
+Writing: payloads are cut where they are read. One up to `chunk` bytes is one record; a larger one is a segmented record, a
+row for each chunk (record and chunk number) with the digest carried from chunk to chunk, and only such rows are shuffled,
+sorted and joined: no step after the scan holds a whole record. Every row is one WARC record and ends with an empty line,
+which is the row separator of Spark's text writer: archives are therefore written by Spark's own committer to any store,
+gzipped, and survive a lost executor. A file takes a fixed number of rows, so a record that is larger than an archive goes
+on in the next one.
+
+Reading goes by Content-Length, never by what a payload may contain, file by file: each is of bounded size, and so is what is
+held of one. A record that lies in one file is digested there. The segments of one that does not are shuffled by record
+and segment number, and a digest is carried along them.
+
+Every input row is a record of its own: its id is made of page id, payload digest and the row's place in the table. Rows that
+repeat an id, with the same payload or others, and rows without one do not meet. The place must be the same whenever the
+table is read, as it is of files.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -20,7 +26,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.llm.common import fresh_path, materialize
@@ -29,8 +35,10 @@ CHUNK = 1 << 20
 #: Bytes of uncompressed records that one archive holds, about.
 ARCHIVE = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
-#: Parts that the rows of a much repeated (id, payload) are dealt into.
-PARTS = 16
+#: Archives that one task writes, about.
+TASK = 8
+#: Bytes of a record besides its payload, about.
+HEAD = 600
 
 
 def base32(hex_digest: Column) -> Column:
@@ -78,26 +86,22 @@ class Archive(NamedTuple):
     parts: tuple[str, ...]
 
 
-def _key() -> Column:
-    return F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("digest"))
-
-
 def _rows(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
     uri = F.regexp_replace(F.coalesce(F.col(url).cast("string"), F.lit("")), r"[\r\n]", " ")
-    rows = pages.select(F.col(page_id).alias("id"), uri.alias("uri"), payload(html).alias("body"))
-    return rows.select("id", "uri", "body", F.length("body").cast("long").alias("n_bytes"), base32(F.sha1("body")).alias("digest"))
+    rows = pages.select(F.monotonically_increasing_id().alias("k"), F.col(page_id).alias("id"), uri.alias("uri"), payload(html).alias("body"))
+    return rows.select("k", "id", "uri", "body", F.length("body").cast("long").alias("n_bytes"), base32(F.sha1("body")).alias("digest"))
 
 
-def kinds(table: DataFrame, min_bytes: int) -> DataFrame:
-    """table (id, digest, n_bytes), a row a page -> key, refers_to, n: a row for each (id, payload); refers_to: the
-    page whose payload it repeats, null for responses; n: how many rows there are."""
-    first = table.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"))
-    types = table.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).join(first, "digest", "left")
-    return types.select(_key().alias("key"), F.when(F.col("id").isNull() | (F.col("id") != F.col("first")), F.col("first")).alias("refers_to"), "n")
+def revisits(table: DataFrame, min_bytes: int) -> DataFrame:
+    """table (k, id, digest, n_bytes), a row a page -> k, refers_to, refers_k of the pages that are no response: the id whose
+    payload they repeat, and the place of its first row."""
+    first = table.filter((F.col("n_bytes") >= min_bytes) & F.col("id").isNotNull()).groupBy("digest").agg(F.min(F.struct("id", "k")).alias("first"))
+    again = table.join(first, "digest").filter(F.col("id").isNull() | (F.col("id") != F.col("first.id")))
+    return again.select("k", F.col("first.id").alias("refers_to"), F.col("first.k").alias("refers_k"))
 
 
 def _records(rows: DataFrame) -> Column:
-    """The WARC record of each row of (id, uri, digest, n_bytes, refers_to, k, chunk_no, n_chunks, running, body)."""
+    """The WARC record of each row of (id, uri, digest, n_bytes, refers_to, refers_k, k, chunk_no, n_chunks, running, body)."""
     again, cut = F.col("refers_to").isNotNull(), F.col("n_chunks") > 1
     text = lambda c: F.url_encode(F.col(c)) if dict(rows.dtypes)[c] == "string" else F.col(c).cast("string")
     urn = lambda ident, *more: F.concat(F.lit("<urn:page:"), F.coalesce(ident, F.lit("")), F.lit(":"), F.col("digest"), *more, F.lit(">"))
@@ -107,7 +111,7 @@ def _records(rows: DataFrame) -> Column:
         "WARC-Date": F.lit(DATE),
         "WARC-Target-URI": F.when(F.col("uri") != "", F.col("uri")),
         "WARC-Payload-Digest": F.concat(F.lit("sha1:"), F.col("digest")),
-        "WARC-Refers-To": F.when(again, urn(text("refers_to"), F.lit(":0"))),
+        "WARC-Refers-To": F.when(again, urn(text("refers_to"), F.lit(":"), F.col("refers_k").cast("string"))),
         "WARC-Profile": F.when(again, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         "WARC-Segment-Number": F.when(cut, F.col("chunk_no") + 1),
         "WARC-Segment-Origin-ID": F.when(F.col("chunk_no") > 0, own),
@@ -130,38 +134,31 @@ def write(pages: DataFrame, path: str | None = None, page_id: str = "page_id", u
 
     Of equal payloads of min_bytes or more, the one with the smallest page_id is a response and the others
     revisit it (rows that repeat that page_id are responses too; if all ids are null, all are). Payloads over
-    chunk bytes are segmented. The table of kinds is narrow; payloads are shuffled once, by (id, payload), into
-    archives of about `archive` bytes; a pair that makes up a thousandth of the rows or more is dealt into PARTS.
-    An empty table gives no records; other columns of pages are ignored."""
+    chunk bytes are segmented. Which page revisits which is found in a narrow table; pages are read a second time, and
+    their chunks are shuffled once, by the page's place in the table, so that no key is hot. An archive holds about
+    `archive` bytes before compression. An empty table gives no records; other columns of pages are ignored."""
     spark = pages.sparkSession
     path = path or fresh_path(spark, "warc")
     rows = _rows(pages, page_id, url, html)
-    table = materialize(rows.select("id", "digest", "n_bytes"), "digests")
-    types = materialize(kinds(table, min_bytes), "kinds")
+    # all that the second reading takes is read here too, so that rows have the same places
+    table = materialize(rows.select("k", "id", "digest", "n_bytes", F.length("uri").alias("u")), "digests")
+    again = materialize(revisits(table, min_bytes), "revisits")
     large = F.col("n_bytes") > chunk
-    sums = table.groupBy(large.alias("large")).agg(F.sum(F.col("n_bytes") + 400).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
-    total = sum(r["n"] for r in sums)
-    hot = [r["key"] for r in types.filter(F.col("n") >= max(1000, total // 1000)).select("key").collect()]  # 1,000 at most
-    some = F.col("key").isin(hot) if hot else F.lit(False)
-    types = types.withColumn("p", F.explode(F.when(some, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))))
-    types = types.select(F.concat_ws(":", "key", "p").alias("key"), "refers_to")
-    rows = rows.withColumn("key", _key()).withColumn("part", F.when(some, F.pmod(F.spark_partition_id(), F.lit(PARTS))).otherwise(0))
-    rows = rows.withColumn("key", F.concat_ws(":", "key", "part"))
+    sums = table.groupBy(large.alias("large")).agg(F.sum(F.col("n_bytes") + HEAD).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     written = []
     for r in sorted(sums, key=lambda r: r["large"]):
-        n = int(max(1, -(-r["bytes"] // archive), min(spark.sparkContext.defaultParallelism, r["n"] // 256)))
-        of = rows.filter(large if r["large"] else ~large)
-        # both sides are dealt out by one key: with several, or null-safe ones, the join would deal the payloads out again
-        of = of.repartition(n, "key").join(types.repartition(n, "key"), "key")
-        nth = F.count(F.lit(1)).over(Window.partitionBy("key").rowsBetween(Window.unboundedPreceding, 0))
-        of = of.withColumn("k", (nth - 1) * PARTS + F.col("part")).drop("key", "part")
-        of = of.withColumn("body", F.when(F.col("refers_to").isNotNull(), F.lit(b"")).otherwise(F.col("body")))
+        n = int(max(1, -(-r["bytes"] // (TASK * archive)), min(spark.sparkContext.defaultParallelism, r["n"] // 256)))
         if r["large"]:
-            of = chunk_digests(chunks(of, chunk))
+            of, one = chunk_digests(chunks(rows.filter(large), chunk)), chunk + HEAD
         else:
-            of = of.withColumns({"chunk_no": F.lit(0), "n_chunks": F.lit(1), "running": F.lit("")})
+            of, one = rows.filter(~large).withColumns({"chunk_no": F.lit(0), "n_chunks": F.lit(1), "running": F.lit("")}), r["bytes"] // r["n"]
+        of = of.repartition(n, "k").join(again.repartition(n, "k"), "k", "left")
+        revisit = F.col("refers_to").isNotNull()
+        of = of.filter(~revisit | (F.col("chunk_no") == 0)).withColumn("n_chunks", F.when(revisit, 1).otherwise(F.col("n_chunks")))
+        of = of.withColumn("body", F.when(revisit, F.lit(b"")).otherwise(F.col("body"))).sortWithinPartitions("k", "chunk_no")
         written.append(f"{path}/{'segmented' if r['large'] else 'whole'}")
-        of.select(_records(of).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(written[-1])
+        out = of.select(_records(of).alias("value")).write.option("maxRecordsPerFile", int(max(1, archive // one)))
+        out.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(written[-1])
     return Archive(path, tuple(written))
 
 
@@ -209,56 +206,117 @@ def parse(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
             at = 0
 
 
-_OUT = "record_id string, page_id string, chunk_no int, last boolean, record_type string, refers_to string, n_bytes long, so_far long, running string, payload_bytes long, payload_digest string, body binary"
+_OUT = "record_id string, page_id string, chunk_no int, last boolean, record_type string, refers_to string, n_bytes long, so_far long, running string, payload_bytes long, payload_digest string, body binary, whole boolean"
+_NAMES = [x.split()[0] for x in _OUT.split(", ")]
+_TYPES = [{"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]] for x in _OUT.split(", ")]
 
 
-def read(spark: SparkSession, archive: Archive, bodies: bool = True) -> DataFrame:
-    """The chunk table of archives: a row for each WARC record: its own length, and length and SHA-1 (base32) of the
-    payload up to its end (so_far, running), from the bytes read. With bodies, these come along.
+def _pack(rows: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
 
-    Archives that are cut short, in which a segment is missing, or whose bytes belie a digest are refused."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import base64
+class _Run:
+    """The segments of one record, as they come: a digest is carried along, from the first segment on."""
+
+    def __init__(self, origin: str, first: int):
+        self.origin, self.next, self.known, self.done = origin, first, first == 0, False
+        self.state, self.so_far = hashlib.sha1(), 0
 
-        names = [x.split()[0] for x in _OUT.split(", ")]
-        types = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary()}
-        kinds = [types[x.split()[1]] for x in _OUT.split(", ")]
-        pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    def add(self, number: int, body: bytes, last: bool, kind: str, digest: str) -> tuple[int | None, str | None]:
+        """Length and digest of the payload up to this segment; unknown of a run that does not begin at the first."""
+        if self.done or number != self.next:
+            raise ValueError(f"a segment is missing before segment {number + 1} of {self.origin}")
+        self.next, self.done = number + 1, last
+        if not self.known:
+            return None, None
+        self.state.update(body)
+        self.so_far += len(body)
+        running = base64.b32encode(self.state.digest()).decode()
+        if last and kind != "revisit" and running != digest:
+            raise ValueError(f"the payload of {self.origin} is not that of its digest")
+        return self.so_far, running
+
+
+def _segments(spark: SparkSession, archive: Archive, bodies: bool) -> DataFrame:
+    """A row for each WARC record, file by file; whole: all of its payload's segments are in the file. Of others the body
+    comes along in any case, and length and digest are still unknown."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows, held, of, number, state, so_far = [], 0, None, 0, hashlib.sha1(), 0
+                rows, held, now, open_rows = [], 0, None, []
+
+                def close(now=None) -> None:  # the record at hand has ended, or the file or another record cuts it off
+                    for r in open_rows:
+                        r[-1] = bool(now and now.done and now.known)
+                        if r[-1] and not bodies:
+                            r[-2] = None
+                    rows.extend(open_rows)
+                    open_rows.clear()
+
                 for head, body in parse(memoryview(content.as_buffer())):
-                    segment = int(head.get("WARC-Segment-Number", 1))
+                    number = int(head.get("WARC-Segment-Number", 1)) - 1
                     origin = head.get("WARC-Segment-Origin-ID", head["WARC-Record-ID"])
-                    if segment != (number + 1 if of is not None else 1) or of not in (None, origin):
-                        raise ValueError(f"a segment is missing before {head['WARC-Record-ID']}")
-                    if segment == 1:
-                        state, so_far = hashlib.sha1(), 0
-                    state.update(body)
-                    so_far += len(body)
                     last = "WARC-Segment-Number" not in head or "WARC-Segment-Total-Length" in head
-                    of, number = (None, 0) if last else (origin, segment)
-                    running = base64.b32encode(state.digest()).decode()
+                    if now is None or now.origin != origin:
+                        close()
+                        now = _Run(origin, number)
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if last and head["WARC-Type"] != "revisit" and running != digest:
-                        raise ValueError(f"the payload of {origin} is not that of its digest")
-                    rows.append((origin, head.get("X-Page-ID"), segment - 1, last, head["WARC-Type"], head.get("X-Refers-To-Page"), len(body), so_far, running, int(head["X-Payload-Length"]), digest, body if bodies else None))
-                    held += len(body) + 400 if bodies else 400
-                    if held > 8 << 20:
-                        yield pack(rows)
+                    so_far, running = now.add(number, body, last, head["WARC-Type"], digest)
+                    open_rows.append([origin, head.get("X-Page-ID"), number, last, head["WARC-Type"], head.get("X-Refers-To-Page"), len(body), so_far, running, int(head["X-Payload-Length"]), digest, body, False])
+                    held += len(body) + 400
+                    if last:
+                        close(now)
+                        now = None
+                    if held > 8 << 20 and rows:
+                        yield _pack(rows)
                         rows, held = [], 0
-                if of is not None:
-                    raise ValueError(f"{of} ends without its last segment")
+                close()
                 if rows:
-                    yield pack(rows)
+                    yield _pack(rows)
 
-    if not archive.parts:
-        return spark.createDataFrame([], _OUT)
     files = spark.read.format("binaryFile").load(list(archive.parts)).select("content")
     return files.mapInArrow(run, _OUT)
 
 
+def _joined(segments: DataFrame, bodies: bool) -> DataFrame:
+    """Segments of records that lie in several files, by record and number, with length and digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: _Run | None = None
+        for batch in batches:
+            rows = [list(r.values()) for r in batch.to_pylist()]
+            for r in rows:
+                if now is None or now.origin != r[0]:
+                    if now is not None and not now.done:
+                        raise ValueError(f"{now.origin} ends without its last segment")
+                    if r[2] != 0:
+                        raise ValueError(f"a segment is missing before segment {r[2] + 1} of {r[0]}")
+                    now = _Run(r[0], 0)
+                r[7], r[8] = now.add(r[2], r[11], r[3], r[4], r[10])
+                r[11] = r[11] if bodies else None
+            if rows:
+                yield _pack(rows)
+        if now is not None and not now.done:
+            raise ValueError(f"{now.origin} ends without its last segment")
+
+    return segments.repartition("record_id").sortWithinPartitions("record_id", "chunk_no").mapInArrow(run, _OUT)
+
+
+def read(spark: SparkSession, archive: Archive, bodies: bool = True) -> DataFrame:
+    """The chunk table of archives: a row for each WARC record: its own length, and length and SHA-1 (base32) of the
+    payload up to its end (so_far, running), from the bytes read. With bodies, these come along, and the archives are
+    read twice; without them a table of what was read is written between.
+
+    Archives that are cut short, in which a segment is missing, or whose bytes belie a digest are refused."""
+    if not archive.parts:
+        return spark.createDataFrame([], _OUT).drop("whole")
+    found = _segments(spark, archive, bodies)
+    if not bodies:
+        found = materialize(found, "segments")
+    return found.filter("whole").unionByName(_joined(found.filter("not whole"), bodies)).drop("whole")
+
+
 def read_pages(spark: SparkSession, archive: Archive, id_type: str = "bigint") -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to: one row for each page of the archives.
 

@@ -357,6 +357,30 @@ def test_warc_record_ids_differ_and_damage_is_refused(spark, tmp_path):
         warc.read_pages(spark, archive).collect()
 
 
+def test_a_record_goes_on_in_the_next_archive(spark, tmp_path):
+    """A payload of many archives: files stay small, its segments are digested across them, and a lost file is noticed."""
+    import glob
+    import os
+
+    from pyspark.errors import PythonException
+
+    rnd = random.Random(3)
+    noise = "".join(chr(rnd.randrange(32, 127)) for _ in range(1 << 20))
+    pages = [(1, "u", noise * 8), (2, "u", "short"), (3, "u", noise * 8), (4, "u", noise[:300000] * 3), (5, "u", "é" * 150000), (None, "u", noise * 2)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    archive = warc.write(df, path=f"file://{tmp_path}/w", chunk=1 << 16, archive=1 << 18)
+    files = glob.glob(f"{tmp_path}/w/*/*.gz")
+    assert len(files) > 30 and max(map(os.path.getsize, files)) < 1 << 18
+    got = sorted((tuple(r) for r in warc.read_pages(spark, archive).collect()), key=repr)
+    assert got == brute_warc(pages)
+    rows = warc.read(spark, archive).filter("page_id = '1'").orderBy("chunk_no").collect()
+    assert b"".join(bytes(r["body"]) for r in rows).decode() == noise * 8 and [r["chunk_no"] for r in rows] == list(range(128))
+    assert rows[64]["running"] == base64.b32encode(hashlib.sha1((noise * 8).encode()[: 65 << 16]).digest()).decode() and rows[64]["so_far"] == 65 << 16
+    os.remove(sorted(glob.glob(f"{tmp_path}/w/segmented/*.gz"))[3])
+    with pytest.raises(PythonException, match="segment"):
+        warc.read_pages(spark, archive).collect()
+
+
 def test_chunks_carry_digests(spark):
     df = spark.createDataFrame([(1, bytearray(b"abcdefg")), (2, bytearray(b""))], "id long, body binary")
     rows = warc.chunk_digests(warc.chunks(df, 3).coalesce(1)).collect()
