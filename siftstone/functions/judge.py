@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# How a judge's reply writes a decision and the ranking.
+DECISION = r"(?i)^(\d{1,9})[.\s:)\-]+\s*(KEEP|REJECT)"
+RANKING = r"(?i)^TOP\s*15\s*[:：]"
+
+
 def _lines(content: Column) -> Column:
     return F.split(F.trim(F.coalesce(content, F.lit(""))), "\n")
 
@@ -16,8 +21,8 @@ def decisions(content: Column, count: Column) -> Column:
         F.transform(
             _lines(content),
             lambda x: F.struct(
-                F.try_to_number(F.regexp_extract(F.trim(x), r"(?i)^(\d{1,9})[.\s:)\-]+\s*(KEEP|REJECT)", 1), F.lit("999999999")).cast("int").alias("n"),
-                F.upper(F.regexp_extract(F.trim(x), r"(?i)^(\d{1,9})[.\s:)\-]+\s*(KEEP|REJECT)", 2)).alias("d"),
+                F.try_to_number(F.regexp_extract(F.trim(x), DECISION, 1), F.lit("999999999")).cast("int").alias("n"),
+                F.upper(F.regexp_extract(F.trim(x), DECISION, 2)).alias("d"),
             ),
         ),
         lambda s: s["n"].isNotNull(),
@@ -30,7 +35,7 @@ def decisions(content: Column, count: Column) -> Column:
 def top15(content: Column, count: Column) -> Column:
     """array<int> of 0-based images of the first ranking line that names a valid one; repeats stay, any number."""
     ranking = F.transform(_lines(content), lambda x: F.trim(F.regexp_replace(x, "[*#]", "")))
-    ranking = F.filter(ranking, lambda x: x.rlike(r"(?i)^TOP\s*15\s*[:：]"))
+    ranking = F.filter(ranking, lambda x: x.rlike(RANKING))
     numbers = F.transform(ranking, lambda x: F.split(F.regexp_replace(x, r"^[^:：]*[:：]", ""), ","))
     valid = F.transform(
         numbers,

@@ -31,7 +31,13 @@ def _groups(df: DataFrame, poi: str, order: str, value: str) -> DataFrame:
 
 def quota_across_tabs(df: DataFrame, poi: str = "poi", tab: str = "category", url: str = "url", order: str = "ord", first_tab: str = "all", first_quota: int = 30, quota: int = 10, cap: int = 200) -> DataFrame:
     """poi, ord, url, tab of the accepted entries, in order: a URL is accepted once, up to its tab's quota and the
-    cap. A URL seen earlier takes no quota; one cut off by a quota may be accepted from a later tab."""
+    cap. A URL seen earlier takes no quota; one cut off by a quota may be accepted from a later tab.
+
+    Of a tab only each URL's first entry can be accepted, and only the first of these: as many as its quota and as were
+    accepted elsewhere, at most the cap. So a group's array has that many entries a tab, however many it was given."""
+    nameless = F.when(F.col(url).isNull(), F.col(order)).alias("__n")
+    once = df.groupBy(poi, tab, url, nameless).agg(F.min(order).alias("__o")).select(poi, tab, url, F.col("__o").alias(order))
+    df = head_of_group(once, [poi, tab], [F.col(order)], max(first_quota, quota) + cap)
     rows = df.groupBy(poi).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(url).alias("u"), F.col(tab).alias("t")))).alias("rows"))
     kind = f"array<struct<o:{dict(df.dtypes)[order]},u:string,t:string>>"
 

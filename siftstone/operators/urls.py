@@ -76,13 +76,17 @@ def label_of_ref(refs: DataFrame, snapshots: DataFrame, poi: str = "poi", ref: s
     return out.select(*[refs[c] for c in refs.columns], F.coalesce(F.nullif(label, F.lit("")), F.concat(F.lit("subpage_"), refs[ref].cast("string"))).alias("label"))
 
 
-def photos_button(snapshot: Column) -> Column:
-    """The ref of the first button or link to photos, or null."""
-    hit = F.filter(F.split(snapshot, "\n"), lambda x: x.rlike(r'(?:button|link).*"[^"]*[Pp]hotos[^"]*".*\[ref=\d+\]'))
-    return F.nullif(F.regexp_extract(F.get(hit, F.lit(0)), r"\[ref=(\d+)\]", 1), F.lit(""))
+# How a page's snapshot writes the button to its photos, a reference, a tab of a collection and a priced link.
+PHOTOS = r'(?:button|link).*"[^"]*[Pp]hotos[^"]*".*\[ref=\d+\]'
+REF = r"\[ref=(\d+)\]"
+TAB = r'"Change collection to (.+?)" \[ref=(\d+)\]'
+PRICED = r'link\s+"([^"]+?)\s*\$\d+'
 
 
-TAB = r'"Change collection to (.+?)" \[ref=(\d+)\]'
+def photos_button(snapshot: Column) -> Column:
+    """The ref of the first button or link to photos, or null."""
+    hit = F.filter(F.split(snapshot, "\n"), lambda x: x.rlike(PHOTOS))
+    return F.nullif(F.regexp_extract(F.get(hit, F.lit(0)), REF, 1), F.lit(""))
 
 
 def tab_refs(snapshot: Column) -> Column:
@@ -94,7 +98,7 @@ def tab_refs(snapshot: Column) -> Column:
 
 def pack_names(snapshot: Column) -> Column:
     """Names before a price in links, in order."""
-    names = F.transform(F.split(snapshot, "\n"), lambda x: F.trim(F.regexp_extract(x, r'link\s+"([^"]+?)\s*\$\d+', 1)))
+    names = F.transform(F.split(snapshot, "\n"), lambda x: F.trim(F.regexp_extract(x, PRICED, 1)))
     return F.array_remove(names, "")
 
 

@@ -19,9 +19,11 @@ Client = Callable[[pd.DataFrame], pd.DataFrame]
 
 def search_all(queries: DataFrame, sources: dict[str, Client], at_once: int = 4) -> DataFrame:
     """poi, ord, url, source: what the sources (name: client of sources.clients.search) find for queries (poi, ord, query),
-    sources in the order given, then queries in theirs; a URL that several give counts where it comes first."""
+    sources in the order given, then queries in theirs; a URL that several give counts where it comes first. at_once: tasks of
+    all sources together, one of each at least."""
+    own = max(1, at_once // max(1, len(sources)))
     schema = f"poi {dict(queries.dtypes)['poi']}, ord {dict(queries.dtypes)['ord']}, query string, source string, url string, nth int"
-    parts = [fetch(queries.select("poi", "ord", "query"), client, schema, at_once).withColumn("rank", F.lit(k)) for k, client in enumerate(sources.values())]
+    parts = [fetch(queries.select("poi", "ord", "query"), client, schema, own).withColumn("rank", F.lit(k)) for k, client in enumerate(sources.values())]
     every = reduce(DataFrame.unionByName, parts).withColumn("at", F.struct("rank", "ord", "nth"))
     once = first_seen(every, ["poi", "url"], "at")
     numbered = ranking.number_files(once, order="at").withColumn("ord", F.regexp_extract("candidate_id", "[0-9]+", 0).cast("int"))

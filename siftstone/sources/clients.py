@@ -142,6 +142,9 @@ def crawl(open_page: Callable[[str], tuple[str, list[str]]], choose: Callable[[s
     return lambda pdf: pd.DataFrame([r for x in pdf[["poi", "url"]].itertuples(index=False) for r in one(*x)], columns=["poi", "nth", "subpage", "html"])
 
 
+# The names in the request and the reply of ask() are fixed values: they are the service's.
+
+
 def ask(post: Callable[[dict], tuple[int, str]], model: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Rows (poi, prompt, urls, images, videos, fps) -> poi, reply: one call of a multimodal model a row.
 

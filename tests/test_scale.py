@@ -93,3 +93,20 @@ def test_a_group_of_a_hundred_thousand(spark):
             kept[len(at)] = x
             at.append(o)
     assert got == set(at)
+
+
+def test_quotas_of_a_large_group(spark):
+    """One group of 60,000 entries in a dozen tabs, of which many URLs repeat within and across tabs."""
+    rnd = random.Random(6)
+    rows = [("p", k, rnd.choice(["All", *(f"t{j}" for j in range(11))]), f"u{rnd.randrange(400)}" if k % 3 else f"v{k}") for k in range(60_000)] + [("q", k, "All", "same") for k in range(500)] + [("r", k, "t1", None) for k in range(4)]
+    df = spark.createDataFrame(rows, "poi string, ord int, category string, url string").repartition(4)
+    for quotas in ((30, 10, 200), (3, 2, 15), (5, 50, 60)):
+        want = []
+        for p in "pqr":
+            kept, of = [], {}
+            for q, o, t, u in rows:
+                if q == p and len(kept) < quotas[2] and of.get(t, 0) < (quotas[0] if t == "All" else quotas[1]) and (u is None or all(x[2] != u for x in kept)):
+                    kept.append((p, o, u, t))
+                    of[t] = of.get(t, 0) + 1
+            want += kept
+        assert sorted(tuple(r) for r in dedup.quota_across_tabs(df, first_quota=quotas[0], quota=quotas[1], cap=quotas[2]).collect()) == sorted(want)
