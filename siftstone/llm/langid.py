@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import bounded_sample, worker_state
+from siftstone.llm.common import bounded_sample, fresh, worker_state
 
 LENGTH, AROUND = 128, 24
 #: Stretches that are read at once, and bytes of documents that are laid out for that, about.
@@ -265,5 +265,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
     Null texts and texts without a letter: `und`, 0. Empty tables give empty ones; repeated rows stay."""
     names = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in ("lang_pred", "score")]
-    got = docs.withColumn("__lid", predict(docs, model, text))
-    return got.select(*[f"`{c}`" for c in names], F.col("__lid.lang").alias("lang_pred"), F.col("__lid.score").alias("score"))
+    lid, = fresh(docs, "lid")
+    got = docs.withColumn(lid, predict(docs, model, text))
+    return got.select(*[f"`{c}`" for c in names], F.col(f"{lid}.lang").alias("lang_pred"), F.col(f"{lid}.score").alias("score"))

@@ -927,6 +927,51 @@ def test_deobfuscation(lm):
     assert "moron" in toxicity.spelled("you m o r o n") and "idiot" in toxicity.spelled("an i.d.i.o.t here") and toxicity.spelled("a b") == []
 
 
+@pytest.mark.parametrize("spelled_out", [False, True])
+def test_the_reading_is_the_best_path_of_the_whole_lattice(spelled_out):
+    """Every path is scored on its own; a model of random counts, so that no path is best by habit."""
+    from itertools import groupby, product
+
+    rnd = random.Random(33)
+    model = toxicity.CharModel(np.random.default_rng(3).integers(0, 9, toxicity.SIZE**3) ** 3)
+    space, other = 0, toxicity.SIZE - 1
+
+    def options(c, n, between):
+        if between:
+            return [("", 0.0), (" ", 0.0)]
+        out = {c * n: 0.0}
+        for d in toxicity.SIGNS.get(c, ""):
+            for m in {n, *([1] if n > 1 else []), *([2] if n > 2 else [])}:
+                out.setdefault(d * m, 1.5)
+        for m in (1, 2):
+            if c.isalpha() and n > m:
+                out.setdefault(c * m, 1.5)
+        if not c.isalnum():
+            out.setdefault("", 1.5)
+        return list(out.items())
+
+    def score(path):
+        total, x, y = -sum(price for _, price in path), space, space
+        for s, _ in path:
+            if s == " " and y == space:
+                return None
+            for d in s:
+                z = toxicity._INDEX.get(d, other if d.isalnum() or d in toxicity.SIGNS else space)
+                if z == y == space:
+                    continue
+                total += float(model.log[x, y, z]) - (2.0 if z == other else 0.0)
+                x, y = y, z
+        return total + float(model.log[x, y, space])
+
+    for _ in range(150):
+        signs = "ab3@1*i!s$x|"
+        word = "-".join(rnd.choice(signs) for _ in range(rnd.randint(1, 5))) if spelled_out else "".join(rnd.choice(signs) * rnd.choice([1, 1, 2, 3]) for _ in range(rnd.randint(1, 5)))
+        runs = [(c, 1) for c in word] if spelled_out else [(c, len(list(g))) for c, g in groupby(word)]
+        paths = [(score(p), "".join(s for s, _ in p)) for p in product(*(options(c, n, spelled_out and k % 2 == 1) for k, (c, n) in enumerate(runs)))]
+        best = max(s for s, _ in paths if s is not None)
+        assert toxicity.restore(word, model, spelled_out=spelled_out) in {t for s, t in paths if s is not None and s > best - 1e-9}, word
+
+
 def test_deobfuscation_of_spelled_and_doubled_letters(lm):
     m = toxicity.CharModel(lm)
     for low, word in {"t h a t i d i o t": "idiot", "such a i d 1 0 t here": "idiot", "y o u a r e a m 0 r 0 n": "moron"}.items():
