@@ -111,3 +111,10 @@ def first_row(df: DataFrame, order: str, **equal: object) -> DataFrame:
 def value_counts(df: DataFrame, by: list[str], column: str, values: tuple[str, ...]) -> DataFrame:
     """by, and n_value for each of values: how many rows of a group have it; 0 where none has."""
     return df.groupBy(*by).agg(*[F.count_if(F.col(column) == v).alias(f"n_{v}") for v in values])
+
+
+def overlay_urls(videos: DataFrame, variations: DataFrame) -> DataFrame:
+    """videos (id) with final_output_url of one of a video's variations, the smallest that is not null; null without one. The
+    store gives any; the same one each time is what a rerun needs."""
+    of = variations.groupBy(F.col("compiled_video_id").alias("__v")).agg(F.min("final_output_url").alias("final_output_url"))
+    return videos.join(of, videos["id"] == of["__v"], "left").drop("__v")

@@ -56,6 +56,14 @@ def update_video(videos: DataFrame, video_id: str, values: dict[str, Column]) ->
     return update_one(videos, "id", video_id, values, "video")
 
 
+def create_overlays(variations: DataFrame, videos: DataFrame, rows: DataFrame) -> DataFrame:
+    """variations with rows (compiled_video_id, overlay_text, final_output_url) added as completed; each row's video must be
+    among videos (id), as the store's foreign key wants it."""
+    strays = rows.join(videos.select(F.col("id").alias("__id")), F.col("compiled_video_id") == F.col("__id"), "left_anti")
+    required(strays.select(F.lit(1).alias("n")).groupBy().agg(F.count("n").alias("n")), F.col("n") == 0, "a video for each overlay")
+    return insert(variations, rows.select("compiled_video_id", "overlay_text", "final_output_url", F.lit("completed").alias("status")))
+
+
 def claim(layer: DataFrame, name: str, now: Column) -> DataFrame:
     return update(layer, (F.col("poi_name") == name) & (F.col("processing_status") == "idle"), {"processing_status": F.lit("processing"), "updated_at": now})
 

@@ -702,6 +702,20 @@ def d10_first_url(spark, d):
     return tables.first_row(T(spark, d).orders, "o_orderkey", o_custkey=7).select("o_orderkey", "o_totalprice")
 
 
+@query("SELECT s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN 'old/' || s_suppkey WHEN s_suppkey % 4 = 1 THEN 'u/' || s_suppkey || '/0' END AS url, CASE WHEN s_suppkey % 4 = 1 THEN 3 WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END AS n_variations, s_suppkey % 4 <= 1 AS completed FROM supplier")
+def d10_overlay_variations(spark, d):
+    """Variations of some videos, three more each of others, and each video's URL."""
+    k = F.col("s_suppkey")
+    s = T(spark, d).supplier
+    videos = s.select(k.alias("id"))
+    old = s.filter(k % 4 == 0).select(k.alias("compiled_video_id"), F.col("s_name").alias("overlay_text"), F.concat(F.lit("old/"), k).alias("final_output_url"), F.lit("completed").alias("status"))
+    new = s.filter(k % 4 == 1).select(k.alias("compiled_video_id"), F.col("s_name").alias("overlay_text"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: F.concat(F.lit("u/"), k, F.lit("/"), j))).alias("final_output_url"))
+    both = transitions.create_overlays(old, videos, new)
+    counts = both.groupBy(F.col("compiled_video_id").alias("v")).agg(F.count(F.lit(1)).cast("int").alias("n"), F.bool_and(F.col("status") == "completed").alias("completed"))
+    out = tables.overlay_urls(videos, both).join(counts, F.col("id") == F.col("v"), "left")
+    return out.select("id", F.col("final_output_url").alias("url"), F.coalesce("n", F.lit(0)).alias("n_variations"), F.coalesce("completed", F.lit(False)).alias("completed"))
+
+
 @query("SELECT lang, to_json(map_from_entries(list((source, n) ORDER BY source)))::VARCHAR AS metadata FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL) GROUP BY lang")
 def k6_a2_sidecar(spark, d):
     from siftstone.sources.readers import sidecar
