@@ -34,7 +34,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """near_duplicates(), then of documents whose five-word shingles are similar by 0.8 or more only the first."""
+    """near_duplicates(), then of documents whose five-word shingles are similar by 0.8 or more only the first.
+
+    A document goes only if it is similar to an earlier one, which may have gone itself: in a chain (B like A, C like B) C may
+    go though it is unlike A. No two documents that stay are similar."""
     once = materialize(near_duplicates(spark, docs, sf_dir), "once")
     return shingles.keep_one(once).select(*COLUMNS)
 
