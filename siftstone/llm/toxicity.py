@@ -304,16 +304,30 @@ def words_of(text: str, lm: CharModel, memo: dict[str, list[str]]) -> set[str]:
     return out
 
 
+_REPEATED = re.compile(r"(.)\1+", re.DOTALL)
+
+
 class Scorer:
-    """Scores texts; remembers which features a token has, up to a fixed number of tokens."""
+    """Scores texts; remembers which features a token has, up to a fixed number of tokens.
+
+    A reading of a word of letters alone differs from it by repeated letters only: where not even without repeats the word
+    is or begins like a feature, no reading of it has one, and its lattice is not built."""
 
     def __init__(self, model: Model, remembered: int = 400_000):
         self.model, self.lm, self.remembered = model, CharModel(model.counts), remembered
         self.memo: dict[str, tuple[str, ...]] = {}
+        once = lambda f: _REPEATED.sub(r"\1", f)
+        self.words = {once(f) for f in model.rates if not f.endswith("~")}
+        self.stems = {once(f[:-1]) for f in model.rates if f.endswith("~")}
+
+    def may_hide(self, word: str) -> bool:
+        low = _REPEATED.sub(r"\1", word)
+        return low in self.words or any(low[:k] in self.stems for k in range(1, 7))
 
     def found(self, token: str) -> tuple[str, ...]:
         rates = self.model.rates
-        got = tuple(f for w in readings(token, self.lm) for f in features(w) if f in rates)
+        read = [token] if token.isalpha() and not self.may_hide(token) else readings(token, self.lm)
+        got = tuple(f for w in read for f in features(w) if f in rates)
         if len(self.memo) >= self.remembered:
             self.memo.clear()
         if len(token) <= 64:

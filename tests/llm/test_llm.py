@@ -985,6 +985,17 @@ def test_deobfuscation_of_spelled_and_doubled_letters(lm):
     assert toxicity.spelled("1 2 3 4", m) == [] and len(toxicity.spelled("a b " * 5000)) < 70 * 2
 
 
+def test_words_without_a_lattice_have_the_same_features(lm):
+    rnd = random.Random(34)
+    bases = ["idiot", "moron", "aabba", "trash", "loser", "bookk", "ßeer", "abab"]
+    rates = {"idiot": 0.9, "moron~": 0.5, "mooron": 0.4, "tras~": 0.6, "book~": 0.7, "loosser": 0.8, "aab~": 0.3, "abab~": 0.3}
+    s = toxicity.Scorer(toxicity.Model("x", lm, rates, 0.1))
+    for _ in range(3000):
+        w = "".join(c * rnd.choice([1, 1, 1, 2, 3]) for c in rnd.choice(bases)) + rnd.choice(["", "s", "ness", "1"])
+        want = tuple(f for r in toxicity.readings(w, s.lm) for f in toxicity.features(r) if f in rates)
+        assert s.found(w) == want, w
+
+
 def test_toxicity_held_out(spark, lm):
     rnd = random.Random(12)
     filler = ["".join(rnd.choice(["ba", "ko", "ri", "mu", "te"]) for _ in range(3)) for _ in range(200)]
