@@ -3,10 +3,12 @@
 Candidates come from MinHash: 20 bands of 4 minima, so that a pair at similarity 0.8 shares no band with a probability
 of 0.00003 and one above it with less. The members of a band are held against a few leaders only; of similar ones the later
 goes, the leaders have been held against all others and leave the group, and the rest do it again with eight times as
-many. A group of copies so ends with the first round, at a pair a member. Where many are left after 64 leaders, they are
+many. A group of copies so ends with the first round, at a pair a member. What is left after eight leaders is
 unlike texts that share a passage, and the band says too little: these are grouped anew by the rarest of their shingles,
-of which similar texts must share one (if a fifth of the shingles may differ, one of the rarest fifth and one more is
-common to both). A passage that many texts share is not among them, so such texts do not meet again.
+of which similar texts must share one. If the sets' similarity is 0.8, at most a ninth of the smaller one's shingles and a fifth
+of the larger one's are not in the other, so one of the smaller one's rarest ninth, and one more, is among the larger one's
+rarest fifth, and one more. A passage that many texts share is among neither, unless it is most of the text. Only pairs
+are compared of which one has the group's shingle in its rarest ninth. The new groups begin with one leader.
 
 A pair is first compared by its 80 minima; the sets of only those that may be similar are joined and compared exactly.
 """
@@ -27,7 +29,7 @@ SEED = 42
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 #: Leaders of a group in the first round, how many times as many the next has, and the most before groups are formed anew.
-LEADERS, MORE, MOST = 1, 8, 64
+LEADERS, MORE, MOST = 1, 8, 8
 #: Share of equal minima below which a pair is not looked at: 4.5 standard deviations below that of a similarity of 0.8.
 LIKELY = 0.6
 
@@ -103,32 +105,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def _by_rare_shingles(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """band, node, size: a group for each shingle that is among the rarest of two documents, as many as must be looked at
-    so that no two that are similar enough have none in common."""
+    """band, node, size, short: a group for each shingle that is among the rarest of two documents; short: it is among so few
+    of them that it must be looked at where the other document is no smaller."""
     said = nodes.join(sets, "node").select("node", "size", F.explode("hashes").alias("band"))
     often = said.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     own = Window.partitionBy("node")
     shared = said.join(often, "band").withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("n", "band")))
-    prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9) + 1
-    return shared.filter(F.col("size") - F.col("m") + F.col("rank") <= prefix).select("band", "node", "size")
+    place = F.col("size") - F.col("m") + F.col("rank")  # those of one document alone are the rarest
+    first = lambda share: F.col("size") - F.ceil(F.lit(share) * F.col("size") - 1e-9) + 1
+    return shared.filter(place <= first(similarity)).select("band", "node", "size", (place <= first(2 * similarity / (1 + similarity))).alias("short"))
 
 
 def _round(groups: DataFrame, sets: DataFrame, leaders: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """What goes (node), and the groups as they are after it. In groups where that makes no more than `leaders` pairs a
-    member all pairs are compared, and the group is done."""
+    """What goes (node), and the groups (band, node, size, short) as they are after it. Pairs of which neither is short are not
+    compared. In groups of few short members all other pairs are, and the group is done."""
     small = 2 * leaders + 1
-    sizes = materialize(groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
-    few, many = (groups.join(sizes.filter(of).select("band"), "band") for of in (f"n <= {small}", f"n > {small}"))
-    first = many.groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min(F.struct("node", "size")).alias("least"))
+    # bands with the same members are one group: copies share all of theirs
+    same = groups.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if("short").alias("s"), *[F.bit_xor(F.xxhash64("node", "short", F.lit(k))).alias(f"m{k}") for k in range(2)])
+    sizes = materialize(same.filter("n > 1 and s > 0").groupBy("n", "s", "m0", "m1").agg(F.min("band").alias("band")).select("band", "s"), "sizes")
+    few, many = (groups.join(sizes.filter(of).select("band"), "band") for of in (f"s <= {small}", f"s > {small}"))
+    first = many.filter("short").groupBy("band", F.pmod("node.h", F.lit(leaders)).alias("part")).agg(F.min(F.struct("node", "size")).alias("least"))
     first = materialize(first.select("band", F.col("least.node").alias("leader"), F.col("least.size").alias("leader_size")), "leaders")
     # of sets whose sizes differ by more no pair can be similar enough: such pairs need no look at the sets
     close = F.least("leader_size", "size") >= F.lit(similarity) * F.greatest("leader_size", "size")
-    all_of = few.select("band", F.col("node").alias("leader"), F.col("size").alias("leader_size")).join(few, "band").filter("leader < node")
-    met = many.join(first, "band").filter("leader <> node").select("band", "leader", "leader_size", "node", "size").unionByName(all_of)
+    all_of = few.filter("short").select("band", F.col("node").alias("leader"), F.col("size").alias("leader_size")).join(few, "band").filter("leader < node or leader > node and not short")
+    met = many.join(first, "band").filter("leader <> node").select("band", "leader", "leader_size", "node", "size").unionByName(all_of.drop("short"))
     pairs = met.filter(close).select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
     gone = materialize(_verified(pairs, sets, similarity), "copies")
     left = many.join(first.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti").join(gone, "node", "left_anti")
-    left = materialize(left.select("band", "node", "size"), "groups")
+    left = materialize(left.select("band", "node", "size", "short"), "groups")
     for done in (sizes, first):
         drop_table(done)
     return gone, left
@@ -151,12 +156,12 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     members = groups.select(F.col("node.h").alias("h"), F.col("node").alias("member")).distinct()
     texts = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member"))).dropDuplicates(["node"])
     sets = materialize(texts.select("node", _signed(F.col("t")).alias("s")).select("node", F.size("s.hashes").alias("size"), "s.hashes", "s.sketch"), "sets")
-    sized = materialize(groups.join(sets.select("node", "size"), "node").select("band", "node", "size"), "groups")
+    sized = materialize(groups.join(sets.select("node", "size"), "node").select("band", "node", "size", F.lit(True).alias("short")), "groups")
     drop_table(groups)
     groups, gone, by_rare = sized, [], False
     while not groups.isEmpty():
         if leaders > most and not by_rare:
-            by_rare, leaders = True, most
+            by_rare, leaders = True, LEADERS
             rest = materialize(_by_rare_shingles(groups.select("node").distinct(), sets, similarity), "groups")
         else:
             out, rest = _round(groups, sets, leaders, similarity)
