@@ -66,6 +66,25 @@ def _dropped(steps: Steps, rows: DataFrame, kept_of_head: Callable[[DataFrame],
     return steps.written(gone.unionByName(near).unionByName(more.select("poi", F.col("v").alias("ord"))))
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _beside(steps: Steps, rows: DataFrame, held: DataFrame, of: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """of(rows, held) for blocks of a group's rows (poi, ord, ..), each beside all that is held of the group (poi, ..; some
+    hundred rows): so these come once a block, not once a row."""
+    parts = steps.written(rows.groupBy("poi").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")))
+    left = rows.join(parts, "poi").withColumn("part", F.pmod(F.xxhash64("ord"), F.col("parts")).cast("int")).drop("parts")
+    right = held.join(parts, "poi").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    right = right.withColumnsRenamed({"poi": "of", **{c: f"held_{c}" for c in held.columns if c != "poi"}})
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        return of(a, b)
+
+    return left.groupBy("poi", "part").cogroup(right.groupBy("of", "at")).applyInArrow(run, schema)
+
+
 def _keyed(df: DataFrame, poi: str, order: str, value: Column) -> DataFrame:
     return df.select(F.col(poi).alias("poi"), F.col(order).alias("ord"), value.alias("x"))
 
@@ -114,20 +133,20 @@ def _vector_links(similarity: float) -> Callable[[Steps, DataFrame], DataFrame]:
 
     def links(steps: Steps, rows: DataFrame) -> DataFrame:
         pick = F.row_number().over(Window.partitionBy("poi").orderBy(F.xxhash64("ord"), "ord"))
-        centres = rows.withColumn("n", pick).filter(F.col("n") <= CELLS).groupBy("poi").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("c"))
-        centres = steps.written(centres.select("poi", F.transform("c", lambda c: c["x"]).alias("centres")))
-
-        @F.arrow_udf("array<int>")
-        def cells(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-            for xs, cs in batches:  # the first is the home, guests follow
-                out = []
-                for x, c in zip(xs, cs, strict=True):
-                    angle = np.arccos(np.clip(np.stack([v.values.to_numpy() for v in c.values]) @ x.values.to_numpy(), -1, 1))
-                    home = int(angle.argmin())
-                    out.append([home, *(int(k) for k in np.flatnonzero(angle <= angle[home] + 2 * reach + 1e-9) if k != home)])
-                yield pa.array(out, pa.list_(pa.int32()))
-
-        placed = steps.written(rows.join(centres, "poi").select("poi", "ord", "x", cells("x", "centres").alias("cells")))
+        centres = steps.written(rows.withColumn("n", pick).filter(F.col("n") <= CELLS).select("poi", "n", "x"))
+
+        def cells(own: pa.Table, held: pa.Table) -> pa.Table:
+            middle = _matrix(held.sort_by("held_n").column("held_x"))
+            if not own.num_rows:
+                return pa.table({c: own.column(c) for c in ("poi", "ord", "x")} | {"cells": pa.array([], pa.list_(pa.int32()))})
+            angle = np.arccos(np.clip(_matrix(own.column("x")) @ middle.T, -1, 1))
+            home = angle.argmin(axis=1)
+            near = angle <= angle[np.arange(len(home)), home][:, None] + 2 * reach + 1e-9
+            out = [[h, *(k for k in np.flatnonzero(n).tolist() if k != h)] for h, n in zip(home.tolist(), near, strict=True)]  # the first is the home
+            return pa.table({"poi": own.column("poi"), "ord": own.column("ord"), "x": own.column("x"), "cells": pa.array(out, pa.list_(pa.int32()))})
+
+        kinds = dict(rows.dtypes)
+        placed = steps.written(_beside(steps, rows, centres, cells, f"poi {kinds['poi']}, ord {kinds['ord']}, x array<double>, cells array<int>"))
         sized = placed.groupBy("poi", F.col("cells")[0].alias("cell")).agg(F.count(F.lit(1)).alias("n"))
         parts = steps.written(sized.select("poi", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")))
         # homes of a cell are dealt into parts; a cell's homes and guests come to each part, so that a part has two blocks
@@ -137,12 +156,10 @@ def _vector_links(similarity: float) -> Callable[[Steps, DataFrame], DataFrame]:
         lots = steps.written(guests.groupBy("poi", "cell", "part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lots")))
         guests = guests.join(lots, ["poi", "cell", "part"]).withColumn("lot", F.pmod(F.xxhash64("ord", F.lit(7)), F.col("lots")).cast("int")).drop("lots")
         homes = homes.join(lots, ["poi", "cell", "part"]).withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
-        kinds = dict(rows.dtypes)
-
         def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             home = np.asarray(table.column("home").to_pylist(), dtype=bool)
             order = table.column("ord").to_pylist()
-            x = np.stack([v.values.to_numpy() for v in table.column("x")])
+            x = _matrix(table.column("x"))
             at, of = np.flatnonzero(home), np.flatnonzero(~home)
             i, j = np.nonzero(x[at] @ x[of].T >= similarity)
             pairs = [(order[a], order[b]) for a, b in zip(at[i].tolist(), of[j].tolist(), strict=True)]
@@ -165,15 +182,16 @@ def embedding_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", embeddi
         rows = steps.written(normed)
         whole = rows.filter(F.col("x").isNotNull() & F.col("poi").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
 
-        def near_head(rest: DataFrame, kept: DataFrame) -> DataFrame:
-            held = kept.groupBy("poi").agg(F.collect_list("x").alias("held"))
+        kinds = dict(whole.dtypes)
 
-            @F.arrow_udf("boolean")
-            def near(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-                for xs, hs in batches:
-                    yield pa.array([bool((np.stack([v.values.to_numpy() for v in h.values]) @ x.values.to_numpy() >= similarity).any()) for x, h in zip(xs, hs, strict=True)])
+        def near_head(rest: DataFrame, kept: DataFrame) -> DataFrame:
+            def near(own: pa.Table, held: pa.Table) -> pa.Table:
+                there = np.zeros(own.num_rows, dtype=bool)
+                if own.num_rows and held.num_rows:
+                    there = (_matrix(own.column("x")) @ _matrix(held.column("held_x")).T >= similarity).any(axis=1)
+                return own.select(["poi", "ord"]).filter(pa.array(there))
 
-            return rest.join(held, "poi").filter(near("x", "held")).select("poi", "ord")
+            return _beside(steps, rest, kept, near, f"poi {kinds['poi']}, ord {kinds['ord']}")
 
         fold = lambda top: dedup.embedding_dedup_blocks(top, "poi", "ord", "x", similarity).join(top, ["poi", "ord"]).select("poi", "ord", "x")
         gone = _dropped(steps, whole, fold, near_head, _vector_links(similarity), head)

@@ -110,3 +110,20 @@ def test_quotas_of_a_large_group(spark):
                     of[t] = of.get(t, 0) + 1
             want += kept
         assert sorted(tuple(r) for r in dedup.quota_across_tabs(df, first_quota=quotas[0], quota=quotas[1], cap=quotas[2]).collect()) == sorted(want)
+
+
+def test_vectors_of_a_group_of_twenty_thousand(spark):
+    """Half the rows are near copies of 3,000 vectors, so that many a cluster begins beyond the head."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(20_000, 24))
+    x[10_000:] = x[rng.integers(0, 3000, 10_000)] + 0.1 * rng.normal(size=(10_000, 24))
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([("p", k, v.tolist()) for k, v in enumerate(x)], "poi string, ord int, embedding array<double>").repartition(8)
+    got = {r["ord"] for r in neardup.embedding_dedup(df).select("ord").collect()}
+    u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    kept, at = np.empty_like(u), []
+    for k, v in enumerate(u):
+        if not at or (kept[: len(at)] @ v).max() < 0.89:
+            kept[len(at)] = v
+            at.append(k)
+    assert got == set(at) and len(at) < 15_000
