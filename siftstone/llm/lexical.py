@@ -89,10 +89,17 @@ def search(found: Index, asked: DataFrame, k: int = 10) -> DataFrame:
     weight = F.floor(1000 * F.log((2 * n + 2).cast("double") / (2 * F.col("df") + 1)))
     weights = materialize(hits.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", weight.cast("long").alias("w")), "weights")
     weighed = materialize(asked.join(weights, "term").select("term", "item_id", (F.col("times") * F.col("w")).alias("w")), "asked")
-    # documents meet their lengths by doc_id, so the sums by item and document below need no further shuffle
-    m = F.expr("25 + (75 * n * documents) div terms")
-    mine = hits.join(found.lengths, hits["doc_id"].eqNullSafe(found.lengths["doc_id"])).select(hits["doc_id"], "term", "tf", "n")
-    part = mine.withColumns({"documents": n, "terms": total}).withColumn("m", m).select("doc_id", "term", F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").alias("part"))
-    scores = part.join(weighed, "term").groupBy("item_id", "doc_id").agg(F.sum(F.col("w") * F.col("part")).alias("score")).filter("score > 0")
+
+    def scores(mine: DataFrame) -> DataFrame:
+        """Sums by item and document of rows (doc_id, term, tf, n)."""
+        m = mine.withColumns({"documents": n, "terms": total}).withColumn("m", F.expr("25 + (75 * n * documents) div terms"))
+        part = m.select("doc_id", "term", F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").alias("part"))
+        return part.join(weighed, "term").groupBy("item_id", "doc_id").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
+
+    # documents meet their lengths by doc_id, so that the sums need no further shuffle; the one without an id goes alone
+    every = scores(hits.filter("doc_id is not null").join(found.lengths.filter("doc_id is not null"), "doc_id"))
+    nameless = found.lengths.filter("doc_id is null").first()
+    if nameless is not None:
+        every = every.unionByName(scores(hits.filter("doc_id is null").withColumn("n", F.lit(nameless["n"]))))
     best = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc("doc_id"))
-    return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
+    return every.filter("score > 0").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
