@@ -474,6 +474,38 @@ def test_mixing_edges(spark):
     assert set(mixing.remix(odd_docs(spark)).columns) == set(odd_docs(spark).columns)
 
 
+@pytest.mark.parametrize("cap", [1, 3, 5])
+def test_mixing_with_another_cap(spark, cap):
+    rnd = random.Random(40)
+    rows = [(k, "w " * rnd.choice([0, 1, 5, 30, 200]), "en", rnd.choice(["a", "a", "a", "a", "b", "b", "c", None]), 0) for k in range(900)]
+    df = spark.createDataFrame(rows, DOCS)
+    share = 0.9 if cap == 1 else 1.5
+    got = sorted(mixing.mix(df, cap=cap, share=share).collect(), key=lambda r: r["doc_id"])
+    by = {}
+    for r, (_, _, _, s, _) in zip(got, rows, strict=True):
+        assert r["taken"] <= cap * r["size"] and r["target"] <= cap * r["source_size"]
+        x = by.setdefault(s, [r["target"], 0, 0])
+        x[1], x[2] = x[1] + r["taken"], max(x[2], r["size"])
+    assert all(abs(taken - target) <= most for target, taken, most in by.values())
+    assert math.isclose(sum(x[0] for x in by.values()), share * sum(r["size"] for r in got), rel_tol=1e-9)
+    times = {}
+    for r in mixing.remix(df, cap=cap, share=share).collect():
+        times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
+    assert {r["doc_id"]: times.get(r["doc_id"], 0) * r["size"] for r in got} == {r["doc_id"]: r["taken"] for r in got}
+    with pytest.raises(ValueError, match="whole"):
+        mixing.mix(df, cap=2.5)
+
+
+def test_every_label_is_met(spark):
+    from siftstone.llm.common import bounded_sample
+
+    df = spark.range(30_000).selectExpr("id as doc_id", "concat('l', case when id % 3 = 0 then 0 else id % 3000 end) as lang")
+    labels = df.select("lang").distinct().count()
+    for wanted in (500, 6000):
+        got = bounded_sample(df, F.xxhash64("doc_id"), "lang", wanted)
+        assert got.count() <= max(wanted, labels) and got.select("lang").distinct().count() == labels
+
+
 # --- personal data -----------------------------------------------------------------------------------------------
 
 
