@@ -4,11 +4,12 @@ Candidates come from MinHash: 20 bands of 4 minima, so that a pair at similarity
 of 0.00003 and one above it with less. The members of a band are held against a few leaders only; of similar ones the later
 goes, the leaders have been held against all others and leave the group, and the rest do it again with eight times as
 many. A group of copies so ends with the first round, at a pair a member. What is left after eight leaders is
-unlike texts that share a passage, and the band says too little: these are grouped anew by the rarest of their shingles,
-of which similar texts must share one. If the sets' similarity is 0.8, at most a ninth of the smaller one's shingles and a fifth
-of the larger one's are not in the other, so one of the smaller one's rarest ninth, and one more, is among the larger one's
-rarest fifth, and one more. A passage that many texts share is among neither, unless it is most of the text. Only pairs
-are compared of which one has the group's shingle in its rarest ninth. The new groups begin with one leader.
+unlike texts that share a passage, and the band says too little: these are grouped anew by the rarest of their shingles.
+Shingles are looked at in one order, those that many texts share last. If two sets' similarity is 0.8, at most a ninth of the
+smaller one's shingles and a fifth of the larger one's are not in the other, so one of the smaller one's first ninth, and one
+more, is among the larger one's first fifth, and one more. A passage that many texts share is among neither, unless it is
+most of the text. Only pairs are compared of which one has the group's shingle in its first ninth. The new groups begin
+with one leader.
 
 A pair is first compared by its 80 minima; the sets of only those that may be similar are joined and compared exactly.
 """
@@ -104,16 +105,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("hashes") - common)).select("node").distinct()
 
 
+#: Documents, and the shingles of one at most, by which it is told what is common; how many of them a common shingle is in.
+SAMPLE, SAMPLE_SIZE, COMMON = 512, 8192, 4
+
+
+def _common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of a bounded sample of documents have, in order, and how many of these."""
+    some = sets.filter(F.col("size") <= SAMPLE_SIZE).orderBy(F.xxhash64("node")).limit(SAMPLE)
+    found = some.select(F.explode("hashes").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON).orderBy("t").toArrow()
+    return found.column("t").to_numpy(), found.column("n").to_numpy()
+
+
+def rarest(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """The first n of a set's shingles: those that are not common, by their hash, then the others, the least common first. In
+    whatever order shingles are looked at, it is the same for all sets, and no pair is lost by it; this one keeps what many
+    texts share for last."""
+    often = np.zeros(len(hashes), dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        often = np.where(common[at] == hashes, counts[at], 0)
+    return hashes[np.lexsort((hashes, often))[:n]]
+
+
 def _by_rare_shingles(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """band, node, size, short: a group for each shingle that is among the rarest of two documents; short: it is among so few
-    of them that it must be looked at where the other document is no smaller."""
-    said = nodes.join(sets, "node").select("node", "size", F.explode("hashes").alias("band"))
-    often = said.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = Window.partitionBy("node")
-    shared = said.join(often, "band").withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("n", "band")))
-    place = F.col("size") - F.col("m") + F.col("rank")  # those of one document alone are the rarest
-    first = lambda share: F.col("size") - F.ceil(F.lit(share) * F.col("size") - 1e-9) + 1
-    return shared.filter(place <= first(similarity)).select("band", "node", "size", (place <= first(2 * similarity / (1 + similarity))).alias("short"))
+    """band, node, size, short: a row for each shingle that is among the rarest of a document; short: among so few of them that
+    it must be looked at where the other document is no smaller."""
+    mine = nodes.join(sets, "node")
+    common, counts = _common_shingles(mine)
+    shared = sets.sparkSession.sparkContext.broadcast((common, counts))
+    long, short = ((lambda n, t=t: n - int(np.ceil(t * n - 1e-9)) + 1) for t in (similarity, 2 * similarity / (1 + similarity)))
+
+    @F.arrow_udf("array<struct<band:bigint,short:boolean>>")
+    def first(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for x in batch:
+                h = x.values.to_numpy()
+                out.append([{"band": t, "short": k < short(len(h))} for k, t in enumerate(rarest(h, *shared.value, long(len(h))).tolist())])
+            yield pa.array(out, pa.list_(pa.struct([("band", pa.int64()), ("short", pa.bool_())])))
+
+    found = mine.select("node", "size", F.explode(first("hashes")).alias("x"))
+    return found.select("x.band", "node", "size", "x.short")
 
 
 def _round(groups: DataFrame, sets: DataFrame, leaders: int, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +194,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     while not groups.isEmpty():
         if leaders > most and not by_rare:
             by_rare, leaders = True, LEADERS
-            rest = materialize(_by_rare_shingles(groups.select("node").distinct(), sets, similarity), "groups")
+            met = groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            rest = materialize(_by_rare_shingles(groups.join(met, "band", "left_semi").select("node").distinct(), sets, similarity), "groups")
         else:
             out, rest = _round(groups, sets, leaders, similarity)
             gone.append(out)
