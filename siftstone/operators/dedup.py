@@ -46,7 +46,7 @@ def quota_across_tabs(df: DataFrame, poi: str = "poi", tab: str = "category", ur
         full = (F.size(acc) >= cap) | (F.size(F.filter(acc, lambda a: a["t"] == r["t"])) >= limit)
         return F.when(full | F.exists(acc, lambda a: a["u"] == r["u"]), acc).otherwise(F.concat(acc, F.array(r)))
 
-    kept = rows.select(poi, F.explode(F.aggregate("rows", F.array().cast(kind), take)).alias("r"))
+    kept = rows.select(poi, F.explode_outer(F.aggregate("rows", F.array().cast(kind), take)).alias("r"))
     return kept.select(poi, F.col("r.o").alias(order), F.col("r.u").alias(url), F.col("r.t").alias(tab))
 
 
@@ -67,7 +67,7 @@ def hash_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", phash: str =
     stay in their place and suppress nothing."""
     kinds = dict(df.dtypes)
     kept = _fold(F.col("rows"), f"array<struct<o:{kinds[order]},x:{kinds[phash]}>>", lambda a, b: F.bit_count(a.bitwiseXOR(b)) < distance)
-    return _groups(df, poi, order, phash).select(poi, F.explode(kept).alias("r")).select(poi, F.col("r.o").alias(order))
+    return _groups(df, poi, order, phash).select(poi, F.explode_outer(kept).alias("r")).select(poi, F.col("r.o").alias(order))
 
 
 def embedding_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", embedding: str = "embedding", similarity: float = 0.89) -> DataFrame:
@@ -77,7 +77,7 @@ def embedding_dedup(df: DataFrame, poi: str = "poi", order: str = "ord", embeddi
     normed = df.withColumn("__u", F.when(F.size(embedding) > 0, unit(F.col(embedding))))
     kept = _fold(F.col("rows"), kind, lambda a, b: dot(a, b) >= similarity)
     ordered = F.concat(F.filter(kept, lambda r: r["x"].isNotNull()), F.filter(kept, lambda r: r["x"].isNull()))
-    return _groups(normed, poi, order, "__u").select(poi, F.posexplode(ordered).alias("pos", "r")).select(poi, F.col("r.o").alias(order), "pos")
+    return _groups(normed, poi, order, "__u").select(poi, F.posexplode_outer(ordered).alias("pos", "r")).select(poi, F.col("r.o").alias(order), "pos")
 
 
 def embedding_dedup_blocks(df: DataFrame, poi: str = "poi", order: str = "ord", embedding: str = "embedding", similarity: float = 0.89) -> DataFrame:
@@ -140,7 +140,7 @@ def hash_log(df: DataFrame, poi: str = "poi", order: str = "ord", phash: str = "
     kinds = dict(df.dtypes)
     bits = lambda k, r: -F.bit_count(k["x"].bitwiseXOR(r["x"])).cast("double")
     log = _logged(F.col("rows"), f"array<struct<o:{kinds[order]},x:{kinds[phash]}>>", kinds[order], lambda r: r["x"].isNotNull(), (bits, lambda b: -b < distance))
-    got = _groups(df, poi, order, phash).select(poi, F.explode(log).alias("r"))
+    got = _groups(df, poi, order, phash).select(poi, F.explode_outer(log).alias("r"))
     return got.select(poi, F.col("r.o").alias(order), (-F.col("r.best")).cast("int").alias("nearest"), F.col("r.matched").alias("matched"), F.col("r.kept").alias("kept"))
 
 
@@ -149,7 +149,7 @@ def embedding_log(df: DataFrame, poi: str = "poi", order: str = "ord", embedding
     kind = dict(df.dtypes)[order]
     normed = df.withColumn("__u", F.when(F.size(embedding) > 0, unit(F.col(embedding))))
     log = _logged(F.col("rows"), f"array<struct<o:{kind},x:array<double>>>", kind, lambda r: r["x"].isNotNull(), (lambda k, r: dot(k["x"], r["x"]), lambda b: b >= similarity))
-    got = _groups(normed, poi, order, "__u").select(poi, F.explode(log).alias("r"))
+    got = _groups(normed, poi, order, "__u").select(poi, F.explode_outer(log).alias("r"))
     return got.select(poi, F.col("r.o").alias(order), F.col("r.best").alias("nearest"), F.col("r.matched").alias("matched"), F.col("r.kept").alias("kept"))
 
 

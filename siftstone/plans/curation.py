@@ -80,7 +80,8 @@ def curate(candidates: DataFrame, replies: DataFrame | None = None, config: Conf
     Of more than the wanted number the best by score are chosen. With blocks, groups may hold any number of rows:
     the eliminations then are tables (operators.neardup) instead of arrays."""
     if not blocks:
-        top = selected(candidates, replies, config, least, similarity, distance).select("poi", F.posexplode("top").alias("pos", "ord"))
+        # the outer form: for the other, Spark infers a filter on the array's size and computes the whole plan again for it
+        top = selected(candidates, replies, config, least, similarity, distance).select("poi", F.posexplode_outer("top").alias("pos", "ord")).filter("pos is not null")
         own = top.select(F.col("poi").alias("__p"), F.col("ord").alias("__o"), "pos")
         return candidates.join(own, F.col("poi").eqNullSafe(F.col("__p")) & F.col("ord").eqNullSafe(F.col("__o"))).drop("__p", "__o")
     c = config or Config()
