@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import append, fresh, materialize
+from siftstone.llm.common import append, fresh, materialize, worker_state
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -145,6 +145,7 @@ def _near(docs: DataFrame, s: Settings) -> DataFrame:
     """term, entity, context and the text's hash, once for each occurrence; docs: h, t."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("pii", dict)  # what an earlier operator has left goes
         for batch in batches:
             found = [(*c, h) for h, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) if (t := x.as_py()) for c in contexts(t, s)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), *(_long([f[k] for f in found]) for k in (1, 2, 3))], ["term", "entity", "context", "h"])
@@ -284,6 +285,7 @@ def _spans(text: Column, extra: Column, rewrite: bool, told=None) -> Column:
 
     @F.arrow_udf(_TYPE)
     def run(texts: pa.Array, extras: pa.Array) -> pa.Array:
+        worker_state("pii", dict)
         terms = told.value if told is not None else {}
         rows = []
         for n in range(len(texts)):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
+from siftstone.llm.common import drop_table, fresh, materialize, word_blocks, worker_state
 
 SEED = 42
 WIDTH, SIMILARITY = 5, 0.8
@@ -75,6 +75,7 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 def _bands(text: Column) -> Column:
     @F.arrow_udf("array<bigint>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("shingles", dict)  # what an earlier operator has left goes
         for batch in batches:
             yield pa.array([band_keys(shingle_hashes(x.as_py())) for x in batch], pa.list_(pa.int64()))
 
@@ -86,6 +87,7 @@ def _signed(text: Column) -> Column:
 
     @F.arrow_udf("hashes array<bigint>, sketch array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("shingles", dict)
         for batch in batches:
             sets = [shingle_hashes(x.as_py()) for x in batch]
             sketches = pa.array([minima(x).astype(np.uint32).view(np.int32) for x in sets], pa.list_(pa.int32()))
