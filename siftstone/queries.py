@@ -279,9 +279,7 @@ def a4_selection_stats(spark, d):
 @query("""SELECT a.vec_id AS ord, round(max(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS nearest
 FROM embeddings a JOIN embeddings b ON a.label = b.label AND b.vec_id < a.vec_id GROUP BY a.vec_id""")
 def a5_nearest_earlier(spark, d):
-    g = scored(T(spark, d)).groupBy("poi").agg(F.array_sort(F.collect_list(F.struct("ord", scalars.unit(F.col("embedding")).alias("u")))).alias("rows"))
-    near = F.transform("rows", lambda r: F.struct(r["ord"].alias("ord"), F.array_max(F.transform(F.filter("rows", lambda e: e["ord"] < r["ord"]), lambda e: scalars.dot(e["u"], r["u"]))).alias("nearest")))
-    return g.select(F.explode(near).alias("x")).select("x.ord", F.round("x.nearest", 6).alias("nearest")).filter("nearest is not null")
+    return neardup.nearest_earlier(scored(T(spark, d))).select("ord", F.round("nearest", 6).alias("nearest"))
 
 
 @query("SELECT DISTINCT user_id FROM events WHERE event_type = 'click'")

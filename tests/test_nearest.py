@@ -10,6 +10,35 @@ from siftstone import queries
 from siftstone.operators import dedup, neardup
 
 
+@pytest.fixture
+def blocks(monkeypatch):
+    monkeypatch.setattr(neardup, "SIDE", 40)
+    monkeypatch.setattr(neardup, "SLICE", 7)
+
+
+def vectors(seed, n, dims=6):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(8, dims))
+    return [(centres[rng.integers(8)] + rng.normal(size=dims) * rng.choice([0.05, 0.4])).tolist() for _ in range(n)]
+
+
+def cosine(a, b):
+    a, b = np.array(a), np.array(b)
+    return float(a @ b / np.sqrt((a @ a) * (b @ b)))
+
+
+def test_nearest_earlier_equals_a_loop(spark, blocks):
+    rows = [(p, o * 3 % 301, x) for p, n in (("a", 300), ("b", 2), ("c", 1)) for o, x in enumerate(vectors(n, n))]
+    rows += [("d", 0, [1.0, 0.0]), ("d", 1, [1.0]), ("d", 2, [3.0, 4.0]), ("d", 3, [0.0, 0.0]), ("d", 4, None), ("d", 5, []), ("d", 6, [2.0, None]), (None, 0, [1.0]), (None, 1, [1.0])]
+    got = {(r["poi"], r["ord"]): r["nearest"] for r in neardup.nearest_earlier(spark.createDataFrame(rows, "poi string, ord int, embedding array<double>")).collect()}
+    want = {("d", 2): 0.6}
+    for p in "abc":
+        own = [(o, x) for q, o, x in rows if q == p]
+        want |= {(p, o): max(cosine(x, y) for k, y in own if k < o) for o, x in own if any(k < o for k, _ in own)}
+    assert got == pytest.approx(want)
+    assert neardup.nearest_earlier(spark.createDataFrame([], "poi string, ord int, embedding array<double>")).count() == 0
+
+
 @pytest.mark.parametrize("head", [8, 600])
 def test_hashes_of_few_bits_leave_few_rows_to_link(spark, head, monkeypatch):
     """Two groups of 12,000 rows with hashes of 20 bits: nearly all pairs share a band, and one in eight is near."""
