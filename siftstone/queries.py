@@ -426,7 +426,7 @@ FROM {_FEW} r JOIN s ON s.poi = r.poi AND s.ord < r.ord JOIN {_FEW} f ON f.poi =
 SELECT r.poi, r.ord, e.nearest::INT AS nearest, e.matched, s.ord IS NOT NULL AS kept FROM {_FEW} r LEFT JOIN e ON e.poi = r.poi AND e.ord = r.ord LEFT JOIN s ON s.poi = r.poi AND s.ord = r.ord""")
 def a5_nearest_kept_hash(spark, d):
     """Which row that stays is nearest to each row, and whether that drops it."""
-    return dedup.hash_log(few_bits(T(spark, d)))
+    return neardup.hash_log(few_bits(T(spark, d)))
 
 
 @query(f"""WITH s AS ({SQL["g2_j9_embedding_dedup"]}), v AS (SELECT label AS poi, vec_id AS ord, embedding::DOUBLE[] AS x FROM embeddings),

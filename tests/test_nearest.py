@@ -39,6 +39,19 @@ def test_nearest_earlier_equals_a_loop(spark, blocks):
     assert neardup.nearest_earlier(spark.createDataFrame([], "poi string, ord int, embedding array<double>")).count() == 0
 
 
+def test_hash_log_equals_the_arrays(spark, blocks):
+    rnd = random.Random(3)
+    rows = [(p, o, None if rnd.random() < 0.03 else rnd.getrandbits(20) | rnd.choice([0, 1 << 63]) - (1 << 63)) for p, n in (("a", 250), ("b", 30), ("c", 1)) for o in range(n)] + [("d", 0, None), ("d", 1, 5), ("d", 2, 5)]
+    df = spark.createDataFrame(rows, "p string, o int, h long")
+    for distance in (8, 3, 0):
+        got = {tuple(r) for r in neardup.hash_log(df, "p", "o", "h", distance, head=8).collect()}
+        want = dedup.hash_log(df, "p", "o", "h", distance)
+        assert got == {tuple(r) for r in want.collect()} and len(got) == len(rows)
+        assert neardup.hash_log(df, "p", "o", "h", distance).dtypes == want.dtypes
+    lone = {tuple(r) for r in neardup.hash_log(spark.createDataFrame([(None, 0, 5), (None, 1, 5)], "poi string, ord int, phash long")).collect()}
+    assert lone == {(None, 0, None, None, True), (None, 1, None, None, True)}
+
+
 @pytest.mark.parametrize("head", [8, 600])
 def test_hashes_of_few_bits_leave_few_rows_to_link(spark, head, monkeypatch):
     """Two groups of 12,000 rows with hashes of 20 bits: nearly all pairs share a band, and one in eight is near."""
