@@ -433,7 +433,7 @@ def a5_nearest_kept_hash(spark, d):
 e AS (SELECT r.poi, r.ord, max(list_cosine_similarity(f.x, r.x)) AS nearest, arg_max(f.ord, list_cosine_similarity(f.x, r.x)) AS matched FROM v r JOIN s ON s.poi = r.poi AND s.ord < r.ord JOIN v f ON f.poi = s.poi AND f.ord = s.ord GROUP BY r.poi, r.ord)
 SELECT r.poi, r.ord, round(e.nearest, 6) AS nearest, e.matched, s.ord IS NOT NULL AS kept FROM v r LEFT JOIN e ON e.poi = r.poi AND e.ord = r.ord LEFT JOIN s ON s.poi = r.poi AND s.ord = r.ord""")
 def a5_nearest_kept_vector(spark, d):
-    return dedup.embedding_log(hashed(T(spark, d)), similarity=0.3).withColumn("nearest", F.round("nearest", 6))
+    return neardup.embedding_log(hashed(T(spark, d)), similarity=0.3).withColumn("nearest", F.round("nearest", 6))
 
 
 @query("SELECT 0 AS source_rank, n_name AS name FROM nation UNION ALL SELECT 1, r_name FROM region UNION ALL SELECT 2, s_name FROM supplier")

@@ -39,6 +39,12 @@ def test_nearest_earlier_equals_a_loop(spark, blocks):
     assert neardup.nearest_earlier(spark.createDataFrame([], "poi string, ord int, embedding array<double>")).count() == 0
 
 
+def test_no_group_of_the_nearest_is_in_one_row(spark):
+    for name in ("a5_nearest_earlier", "a5_nearest_kept_hash", "a5_nearest_kept_vector"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "collect_list" not in plan, name
+
+
 def test_hash_log_equals_the_arrays(spark, blocks):
     rnd = random.Random(3)
     rows = [(p, o, None if rnd.random() < 0.03 else rnd.getrandbits(20) | rnd.choice([0, 1 << 63]) - (1 << 63)) for p, n in (("a", 250), ("b", 30), ("c", 1)) for o in range(n)] + [("d", 0, None), ("d", 1, 5), ("d", 2, 5)]
@@ -52,6 +58,17 @@ def test_hash_log_equals_the_arrays(spark, blocks):
     assert lone == {(None, 0, None, None, True), (None, 1, None, None, True)}
 
 
+def test_vector_log_equals_the_arrays(spark, blocks):
+    rows = [(p, o, x) for p, n in (("a", 250), ("b", 30), ("c", 1)) for o, x in enumerate(vectors(n + 1, n))]
+    rows += [("d", 0, None), ("d", 1, [1.0, 0.0]), ("d", 2, [1.0]), ("d", 3, [2.0, 0.1]), ("d", 4, []), ("d", 5, [2.0])]
+    df = spark.createDataFrame(rows, "poi string, ord int, embedding array<double>")
+    got = {r["ord"] if r["poi"] == "d" else (r["poi"], r["ord"]): r for r in neardup.embedding_log(df, similarity=0.8, head=8).collect()}
+    want = {r["ord"] if r["poi"] == "d" else (r["poi"], r["ord"]): r for r in dedup.embedding_log(df, similarity=0.8).collect()}
+    assert {k: (r["matched"], r["kept"]) for k, r in got.items() if k != 2} == {k: (r["matched"], r["kept"]) for k, r in want.items() if k != 2}
+    assert {k: r["nearest"] for k, r in got.items()} == pytest.approx({k: r["nearest"] for k, r in want.items()})
+    assert got[2]["matched"] is None and got[2]["kept"]  # the arrays name the first row here, though it has no cosine
+
+
 @pytest.mark.parametrize("head", [8, 600])
 def test_hashes_of_few_bits_leave_few_rows_to_link(spark, head, monkeypatch):
     """Two groups of 12,000 rows with hashes of 20 bits: nearly all pairs share a band, and one in eight is near."""
@@ -95,3 +112,10 @@ def test_bands_are_dealt_by_the_bits_that_differ(spark):
     h = np.array([r["x"] for r in df.orderBy("ord").collect()], dtype=np.int64).view(np.uint64)
     u, v = np.nonzero(np.bitwise_count(h[:, None] ^ h[None, :]) < 5)
     assert got == {(a, b) for a, b in zip(u.tolist(), v.tolist(), strict=True) if a < b}
+
+
+@pytest.mark.parametrize("head", [8, 1000])
+def test_vectors_of_other_lengths_are_near_none(spark, head):
+    rows = [("a", o, [1.0] * (1 + o % 3)) for o in range(60)]
+    df = spark.createDataFrame(rows, "poi string, ord int, embedding array<double>")
+    assert {r["ord"] for r in neardup.embedding_dedup(df, head=head).collect()} == {0, 1, 2}
