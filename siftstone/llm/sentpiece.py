@@ -28,6 +28,8 @@ SPACE = "▁"
 BLOCK = 1 << 16
 #: Words whose ids a worker remembers, in each of two generations: about 0.2 kB each.
 REMEMBERED = 250_000
+#: Characters by which the pieces are known that can end with them.
+TAIL = 4
 
 
 class Pieces(NamedTuple):
@@ -66,13 +68,14 @@ class Encoder:
     def __init__(self, pieces: Pieces, remembered: int = REMEMBERED):
         self.p = pieces
         self.stable: dict[int, bool] = {}
-        #: Pieces that merging reaches from single characters, and by their last three characters their lengths.
+        #: Pieces that merging reaches from single characters; lengths of those beyond TAIL, longest first, by their last TAIL characters.
         self.whole = {t: i for t, i in pieces.ids.items() if len(t) == 1 or self.merged(t) == [t]}
-        by_end: dict[str, set[int]] = {}
+        longer: dict[str, set[int]] = {}
         for t in self.whole:
-            if len(t) > 2:
-                by_end.setdefault(t[-3:], set()).add(len(t))
-        self.ends = {k: (*sorted(v, reverse=True), 2, 1) for k, v in by_end.items()}
+            if len(t) > TAIL:
+                longer.setdefault(t[-TAIL:], set()).add(len(t))
+        self.longer = {k: sorted(v, reverse=True) for k, v in longer.items()}
+        self.ends: dict[str, tuple[tuple[int, int], ...]] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.remembered = remembered
@@ -81,20 +84,31 @@ class Encoder:
         #: characters that follow a letter in no piece. Shorter runs recur more often.
         after = {b for t in pieces.ids for a, b in zip(t, t[1:], strict=False) if a.isalpha()}
         cut = "".join(re.escape(c) for c in ".,;:!?%$&#*|)\"" if c not in after)
-        self.run = re.compile((f"{SPACE}*[^\\W\\d_]+(?=[{cut}])|" if cut else "") + f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
+        self.run = re.compile((f"{SPACE}*+[^\\W\\d_]++(?=[{cut}])|" if cut else "") + f"{SPACE}*+[^{SPACE}\n]++|{SPACE}++|\n++")
 
     def merged(self, text: str) -> list[str]:
         """Byte-pair merges from single characters, best rank first, leftmost on ties."""
-        rank, parts = self.p.rank, list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if at < 0:
+        return self._merged(list(text), 0)
+
+    def _merged(self, parts: list[str], border: int) -> list[str]:
+        """As merged(), of single characters; nothing once a merge goes over the border (in characters; 0: none)."""
+        rank, none = self.p.rank.get, float("inf")
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
+            at = ranks.index(best)
+            if border and at == border - 1:
+                return []
+            if at < border:
+                border -= 1
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], none)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], none)
         return parts
 
     def pair(self, a: int, b: int) -> bool:
@@ -105,7 +119,16 @@ class Encoder:
             if len(self.stable) > 400_000:
                 self.stable.clear()
             x, y = self.p.text[a], self.p.text[b]
-            got = self.stable[key] = self.merged(x + y) == [x, y]
+            got = self.stable[key] = self._merged([*x, *y], len(x)) == [x, y]
+        return got
+
+    def ending(self, tail: str) -> tuple[tuple[int, int], ...]:
+        """Length and id of the pieces that can end where a text does, by its last TAIL characters, longest first; of longer ones, which
+        are to be looked up, the id is -1."""
+        if len(self.ends) > 200_000:
+            self.ends.clear()
+        short = ((l, self.whole.get(tail[-l:])) for l in range(TAIL, 0, -1))
+        got = self.ends[tail] = (*((l, -1) for l in self.longer.get(tail, ())), *((l, i) for l, i in short if i is not None))
         return got
 
     def spell(self, char: str) -> list[int]:
@@ -115,35 +138,44 @@ class Encoder:
     def stream(self, blocks: Iterable[str]) -> Iterator[int]:
         """The ids of a text that comes in blocks, in order, committed as soon as the surviving paths meet: of what
         has come, only the window since the last committed boundary is kept."""
-        whole, ends, stable, longest = self.whole, self.ends, self.stable, self.p.longest
+        longest = self.p.longest
         piece: list[int] = [-1]  # piece[k]: id of the piece that ends at the window's boundary k; -1 at the start and for unknown characters
         size: list[int] = [0]  # and its length
         held = ""  # the window's characters
         for block in blocks:
             for at in range(0, len(block), longest):
                 held += block[at : at + longest]
-                padded = "\n" * longest + held  # no piece of several characters holds a line end
-                for k in range(len(piece), len(held) + 1):
-                    e = k + longest
-                    for l in ends.get(padded[e - 3 : e], (2, 1)):
-                        i = whole.get(padded[e - l : e])
-                        if i is not None:
-                            before = piece[k - l]
-                            if before < 0:
-                                break
-                            ok = stable.get(before << 32 | i)
-                            if ok or (ok is None and self.pair(before, i)):
-                                break
-                    else:
-                        i, l = -1, 1
-                    piece.append(i)
-                    size.append(l)
+                self._extend(held, piece, size)
                 if len(held) >= 2 * longest:
                     gone, done = self._commit(held, piece, size)
                     held = held[gone:]
                     yield from done
         yield from self._path(held, piece, size, len(held))
 
+    def _extend(self, held: str, piece: list[int], size: list[int]) -> None:
+        """The surviving piece at each boundary of the window that has none yet."""
+        whole, ends, stable = self.whole, self.ends, self.stable
+        pad = max(self.p.longest, TAIL)
+        padded = "\n" * pad + held  # no piece of several characters holds a line end
+        for k in range(len(piece), len(held) + 1):
+            e = k + pad
+            tail = padded[e - TAIL : e]
+            for l, i in ends.get(tail) or self.ending(tail):
+                if i < 0:
+                    i = whole.get(padded[e - l : e])
+                    if i is None:
+                        continue
+                before = piece[k - l]
+                if before < 0:
+                    break
+                ok = stable.get(before << 32 | i)
+                if ok or (ok is None and self.pair(before, i)):
+                    break
+            else:
+                i, l = -1, 1
+            piece.append(i)
+            size.append(l)
+
     def _path(self, held: str, piece: list[int], size: list[int], k: int) -> list[int]:
         out: list[int] = []
         while k > 0:
@@ -169,7 +201,11 @@ class Encoder:
         return at, done
 
     def ids_of(self, run: str) -> bytes:
-        return np.fromiter(self.stream((run,)), dtype=self.code).tobytes()
+        if len(run) > 64:
+            return np.fromiter(self.stream((run,)), dtype=self.code).tobytes()
+        piece, size = [-1], [0]  # a run of one window, which needs no committing before its end
+        self._extend(run, piece, size)
+        return np.array(self._path(run, piece, size, len(run)), dtype=self.code).tobytes()
 
     def remember(self, run: str) -> bytes:
         if len(run) > 64:
