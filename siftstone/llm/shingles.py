@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import drop_table, fresh, materialize, word_blocks, worker_state
+from siftstone.llm.common import drop_table, fresh, materialize, may_be_among, without, word_blocks, worker_state
 
 SEED = 42
 WIDTH, SIMILARITY = 5, 0.8
@@ -97,14 +97,16 @@ def _signed(text: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """node: the later one of each pair (first, node) that is similar enough."""
-    of = lambda column, name: sets.select(F.col("node").alias("first"), F.col(column).alias(name))
-    met = pairs.join(of("sketch", "x"), "first").join(sets.select("node", "sketch"), "node")
-    alike = F.size(F.filter(F.zip_with("x", "sketch", lambda a, b: a == b), lambda e: e))
-    likely = met.filter(alike >= LIKELY / SIMILARITY * similarity * BANDS * ROWS).select("first", "node")
-    both = likely.join(of("hashes", "x"), "first").join(sets.select("node", "hashes"), "node")
-    common = F.size(F.array_intersect("x", "hashes"))
-    return both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("hashes") - common)).select("node").distinct()
+    """node: the later one of each pair (first, node) that is similar enough. Sets of other documents stay where they are."""
+    of = lambda pairs, side: may_be_among(sets, F.col("node.h"), pairs.select(f"{side}.h"))
+    met = lambda pairs, column: pairs.join(of(pairs, "first").select(F.col("node").alias("first"), F.col(column).alias("x")), "first").join(of(pairs, "node").select("node", F.col(column).alias("y")), "node")
+    alike = F.size(F.filter(F.zip_with("x", "y", lambda a, b: a == b), lambda e: e))
+    likely = materialize(met(pairs, "sketch").filter(alike >= LIKELY / SIMILARITY * similarity * BANDS * ROWS).select("first", "node"), "likely")
+    common = F.size(F.array_intersect("x", "y"))
+    alike = common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)
+    gone = materialize(met(likely, "hashes").filter(alike).select("node").distinct(), "copies")
+    drop_table(likely)
+    return gone
 
 
 #: Documents, and the shingles of one at most, by which it is told what is common; how many of them a common shingle is in.
@@ -132,7 +134,7 @@ def rarest(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, n: int) -
 def _by_rare_shingles(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """band, node, size, short: a row for each shingle that is among the rarest of a document; short: among so few of them that
     it must be looked at where the other document is no smaller."""
-    mine = nodes.join(sets, "node")
+    mine = nodes.join(may_be_among(sets, F.col("node.h"), nodes.select("node.h")), "node")
     common, counts = _common_shingles(mine)
     shared = sets.sparkSession.sparkContext.broadcast((common, counts))
     long, short = ((lambda n, t=t: n - int(np.ceil(t * n - 1e-9)) + 1) for t in (similarity, 2 * similarity / (1 + similarity)))
@@ -164,11 +166,11 @@ def _round(groups: DataFrame, sets: DataFrame, leaders: int, similarity: float)
     close = F.least("leader_size", "size") >= F.lit(similarity) * F.greatest("leader_size", "size")
     all_of = few.filter("short").select("band", F.col("node").alias("leader"), F.col("size").alias("leader_size")).join(few, "band").filter("leader < node or leader > node and not short")
     met = many.join(first, "band").filter("leader <> node").select("band", "leader", "leader_size", "node", "size").unionByName(all_of.drop("short"))
-    pairs = met.filter(close).select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct()
-    gone = materialize(_verified(pairs, sets, similarity), "copies")
+    pairs = materialize(met.filter(close).select(F.least("leader", "node").alias("first"), F.greatest("leader", "node").alias("node")).distinct(), "pairs")
+    gone = _verified(pairs, sets, similarity)
     left = many.join(first.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti").join(gone, "node", "left_anti")
     left = materialize(left.select("band", "node", "size", "short"), "groups")
-    for done in (sizes, first):
+    for done in (sizes, first, pairs):
         drop_table(done)
     return gone, left
 
@@ -184,11 +186,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     named = lambda df: F.struct(df[f"`{doc_id}`"].isNull().alias("nameless"), df[f"`{doc_id}`"].alias("id"), F.xxhash64(df[f"`{text}`"]).alias("h"))
     src = docs.select(named(docs).alias("node"), F.col(f"`{text}`").alias("t"))
     bands = materialize(src.select("node", F.explode(_bands(F.col("t"))).alias("band")), "bands")
-    met = bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("band")
-    groups = materialize(bands.join(met, "band").distinct(), "groups")
-    drop_table(bands)
+    met = materialize(bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("band"), "met")
+    groups = materialize(may_be_among(bands, F.col("band"), met).join(met, "band").distinct(), "groups")
+    for done in (bands, met):
+        drop_table(done)
     members = groups.select(F.col("node.h").alias("h"), F.col("node").alias("member")).distinct()
-    texts = src.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member"))).dropDuplicates(["node"])
+    some = may_be_among(src, F.col("node.h"), groups.select("node.h"))
+    texts = some.join(members, (F.xxhash64("t") == F.col("h")) & F.col("node").eqNullSafe(F.col("member"))).dropDuplicates(["node"])
     sets = materialize(texts.select("node", _signed(F.col("t")).alias("s")).select("node", F.size("s.hashes").alias("size"), "s.hashes", "s.sketch"), "sets")
     sized = materialize(groups.join(sets.select("node", "size"), "node").select("band", "node", "size", F.lit(True).alias("short")), "groups")
     drop_table(groups)
@@ -197,7 +201,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         if leaders > most and not by_rare:
             by_rare, leaders = True, LEADERS
             met = groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-            rest = materialize(_by_rare_shingles(groups.join(met, "band", "left_semi").select("node").distinct(), sets, similarity), "groups")
+            nodes = materialize(groups.join(met, "band", "left_semi").select("node").distinct(), "nodes")
+            rest = materialize(_by_rare_shingles(nodes, sets, similarity), "groups")
+            drop_table(nodes)
         else:
             out, rest = _round(groups, sets, leaders, similarity)
             gone.append(out)
@@ -208,5 +214,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         drop_table(done)
     if not gone:
         return docs
-    out = reduce(DataFrame.unionByName, gone).select(F.col("node.id").alias(ident), F.col("node.h").alias(h)).distinct()
-    return docs.join(out, (F.xxhash64(docs[f"`{text}`"]) == out[h]) & docs[f"`{doc_id}`"].eqNullSafe(out[ident]), "left_anti")
+    out = materialize(reduce(DataFrame.unionByName, gone).select(F.col("node.id").alias(ident), F.col("node.h").alias(h)).distinct(), "gone")
+    return without(docs, F.xxhash64(docs[f"`{text}`"]), out, h, docs[f"`{doc_id}`"].eqNullSafe(out[ident]))

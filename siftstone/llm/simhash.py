@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import drop_table, fresh, materialize, word_blocks
+from siftstone.llm.common import drop_table, fresh, materialize, without, word_blocks
 from siftstone.llm.components import connected_components
 
 SEED = 42
@@ -127,7 +127,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.min("h").alias("kept"))
     rest = found.join(chosen, "root").filter("doc_id is null or doc_id <> component_id or h <> kept")
     gone = materialize(rest.select(F.col("h").alias(h), F.col("doc_id").alias(ident)).distinct(), "gone")
-    out = docs.join(gone, (F.xxhash64(docs[text]) == gone[h]) & docs[doc_id].eqNullSafe(gone[ident]), "left_anti")
+    out = without(docs, F.xxhash64(docs[text]), gone, h, docs[doc_id].eqNullSafe(gone[ident]))
     again = found.filter("doc_id is not null").groupBy("doc_id", "h").count().filter("count > 1")
     if not again.isEmpty():
         rest = out.filter(F.col(doc_id).isNotNull()).withColumn(h, F.xxhash64(F.col(text))).dropDuplicates([doc_id, h]).drop(h)

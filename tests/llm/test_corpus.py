@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from siftstone.llm import audit, decontam, lexical, shingles
+from siftstone.llm import audit, common, decontam, lexical, shingles, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = ("n", "words", "term", "block", "tf", "digest", "part", "good", "toxic", "item", "counts", "bucket", "known", "word", "h", "c", "d")
@@ -257,3 +257,41 @@ def test_recall_of_near_copies(spark):
     assert len(kept) < len(ids)
 
 
+def shuffled(spark):
+    """Bytes of shuffle that the session has written."""
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(found.apply(k).totalShuffleWrite() for k in range(found.size()))
+
+
+def test_texts_without_near_copies_stay_where_they_are(spark):
+    rnd = random.Random(5)
+    texts = [" ".join(f"{rnd.getrandbits(60):x}" for _ in range(1000)) for _ in range(400)]
+    for k in range(200, 220):  # near copies, of which texts and sets must meet
+        texts[k] = texts[k - 200] + " tail"
+    texts[220] = texts[50]  # and one that SimHash finds
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], DOCS).repartition(8)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if every table were large
+    try:
+        df.write.mode("overwrite").parquet(path := common.fresh_path(spark, "test"))
+        docs, before = spark.read.parquet(path), shuffled(spark)
+        once = common.materialize(simhash.keep_one(docs), "once")
+        kept = {r["doc_id"] for r in shingles.keep_one(once).select("doc_id", "text").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert kept == set(range(400)) - set(range(200, 221))
+    assert shuffled(spark) - before < 0.4 * sum(map(len, texts))
+
+
+def test_rows_that_may_be_among_keys(spark):
+    df = spark.range(20000).select(F.xxhash64("id").alias("k"), "id", F.lit(1).alias("word"), F.lit(2).alias("__word"))
+    keys = spark.range(0, 20000, 7).select(F.xxhash64("id").alias("k"))
+    among = {r["id"] for r in common.may_be_among(df, F.col("k"), keys).collect()}
+    rest = {r["id"] for r in common.may_be_among(df, F.col("k"), keys, "left_anti").collect()}
+    assert set(range(0, 20000, 7)) <= among and not among & rest and among | rest == set(range(20000))
+    assert len(among) < 2857 + 100
+    assert common.may_be_among(df, F.col("k"), keys.limit(0)).count() == 0
+    gone = df.filter("id % 7 = 0 and id % 2 = 0").select(F.col("k").alias("h"), F.col("id").alias("gone_id"))
+    left = common.without(df.unionByName(df), F.col("k"), gone, "h", F.col("id").eqNullSafe(F.col("gone_id")))
+    assert left.columns == df.columns
+    assert sorted(r["id"] for r in left.collect()) == sorted([i for i in range(20000) if i % 14] * 2)
